@@ -18,6 +18,15 @@ Split = tuple[DataFrame, DataFrame]
 Check = tuple[str, Column]
 
 
+def _evaluated_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are used many times. Next to the partition's number, which is no pure function of the row, they
+    are not copied into each of their uses; for parsed JSON that would mean a parse per field and check."""
+    parts = [column.alias(name) for name, column in columns.items()]
+    return df.withColumn("_once", F.struct(*parts, F.spark_partition_id().alias("_part"))).select(
+        *df.columns, *[F.col(f"_once.{name}").alias(name) for name in columns]
+    )
+
+
 def _text_schema(fields: list[str]) -> str:
     return ", ".join(f"`{f}` string" for f in fields)
 
@@ -139,8 +148,10 @@ _ENTITIES = {
 def examine(values: DataFrame, entity: str) -> DataFrame:
     """`values` with the raw record and `reason`, why it is malformed (null if it is not)."""
     schema, checks, _ = _ENTITIES[entity]
-    parsed = values.withColumn("_raw", F.from_json("value", _text_schema(schema.fieldNames()))).withColumn(
-        "_typed", F.try_parse_json("value")
+    parsed = _evaluated_once(
+        values,
+        _raw=F.from_json("value", _text_schema(schema.fieldNames())),
+        _typed=F.try_parse_json("value"),
     )
     failure = _first_failure(checks(F.col("_raw"), F.col("_typed")))
     shaped = _is_object(F.col("value")) & F.col("_raw").isNotNull()
@@ -180,11 +191,15 @@ def _observation_ok(raw: Column, typed: Column) -> Column:
 def examine_snapshots(bodies: DataFrame) -> DataFrame:
     """Snapshot bodies `(url, body)` with the parsed parts and `error`: one bad observation rejects the whole body."""
     element = f"struct<{', '.join(f'{f}:string' for f in _OBSERVATION_FIELDS)}>"
-    parsed = (
-        bodies.withColumn("_raw", F.from_json("body", _text_schema(["machine_id", "timestamp", "metrics"])))
-        .withColumn("_typed", F.try_parse_json("body"))
-        .withColumn("_metrics", F.from_json("_raw.metrics", f"array<{element}>"))
-        .withColumn("_typed_metrics", F.try_variant_get("_typed", "$.metrics", "array<variant>"))
+    parsed = _evaluated_once(
+        bodies,
+        _raw=F.from_json("body", _text_schema(["machine_id", "timestamp", "metrics"])),
+        _typed=F.try_parse_json("body"),
+    )
+    parsed = _evaluated_once(
+        parsed,
+        _metrics=F.from_json("_raw.metrics", f"array<{element}>"),
+        _typed_metrics=F.try_variant_get("_typed", "$.metrics", "array<variant>"),
     )
     raw, typed = F.col("_raw"), F.col("_typed")
     is_list = F.startswith(F.ltrim(raw["metrics"]), F.lit("["))
