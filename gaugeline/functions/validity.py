@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 # How a time has to look. A zone offset is required, so that no reader guesses one.
 ISO_WITH_OFFSET = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|z|[+-]\d{2}:?\d{2})$"
-HEX_32 = "^[0-9a-f]{32}$"
+HEX_32 = "^([0-9a-f]{8})([0-9a-f]{4})([0-9a-f]{4})([0-9a-f]{4})([0-9a-f]{12})$"
+CANONICAL_UUID = "^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 INTEGER = r"^\s*[+-]?\d+(\.0+)?\s*$"
-DECIMAL = r"^\s*[+-]?((\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?|inf|infinity|nan)\s*$"
+DECIMAL = r"(?i)^\s*[+-]?((\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
 
 
 def sure(condition: Column) -> Column:
@@ -22,7 +23,7 @@ def non_empty(text: Column) -> Column:
 
 def number(text: Column) -> Column:
     """A number sent as a number or as text; null for anything else."""
-    return F.when(F.lower(text).rlike(DECIMAL), text.try_cast("double"))
+    return F.when(text.rlike(DECIMAL), text.try_cast("double"))
 
 
 def whole_number(text: Column, kind: str = "bigint") -> Column:
@@ -54,13 +55,8 @@ def iso_to_epoch(text: Column) -> Column:
 
 def normalise_uuid(text: Column) -> Column:
     """Canonical lower-case form of a UUID in any usual spelling; null if it is none."""
-    bare = F.lower(F.regexp_replace(F.regexp_replace(text, "urn:|uuid:", ""), r"^\{+|\}+$|-", ""))
-    dashed = F.concat_ws(
-        "-",
-        F.substring(bare, 1, 8),
-        F.substring(bare, 9, 4),
-        F.substring(bare, 13, 4),
-        F.substring(bare, 17, 4),
-        F.substring(bare, 21, 12),
+    named = F.replace(F.replace(text, F.lit("urn:"), F.lit("")), F.lit("uuid:"), F.lit(""))
+    bare = F.lower(F.replace(F.btrim(named, F.lit("{}")), F.lit("-"), F.lit("")))
+    return F.when(text.rlike(CANONICAL_UUID), text).when(
+        bare.rlike(HEX_32), F.regexp_replace(bare, HEX_32, "$1-$2-$3-$4-$5")
     )
-    return F.when(bare.rlike(HEX_32), dashed)

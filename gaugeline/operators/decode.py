@@ -64,40 +64,9 @@ def _texts(names: list[str], raw: Column, typed: Column) -> list[Check]:
     ]
 
 
-def _numbers(names: list[str], raw: Column) -> list[Check]:
-    return [(f"{name}: number expected", ok.sure(ok.number(raw[name]).isNotNull())) for name in names]
-
-
-def metric_checks(raw: Column, typed: Column) -> list[Check]:
-    return [
-        *_texts(["name", "type", "unit", "machine_id"], raw, typed),
-        *_numbers(["timestamp", "value"], raw),
-        ("metric_id: UUID expected", ok.sure(ok.normalise_uuid(raw["metric_id"]).isNotNull())),
-        ("attributes: texts by name expected", _text_map_ok(raw["attributes"], typed, "$.attributes")),
-    ]
-
-
-def evaluation_checks(raw: Column, typed: Column) -> list[Check]:
-    return [
-        *_texts(["machine_id", "metric_name", "algorithm"], raw, typed),
-        *_numbers(["timestamp", "baseline", "upper"], raw),
-        ("lower: number or null expected", raw["lower"].isNull() | ok.sure(ok.number(raw["lower"]).isNotNull())),
-        ("is_anomaly: true or false expected", ok.sure(ok.boolean(raw["is_anomaly"]).isNotNull())),
-        ("metric_id: UUID expected", ok.sure(ok.normalise_uuid(raw["metric_id"]).isNotNull())),
-    ]
-
-
-def machine_checks(raw: Column, typed: Column) -> list[Check]:
-    counts = [("cores", "int"), ("total_memory", "bigint"), ("total_disk", "bigint")]
-    return [
-        *_texts(["machine_id", "hostname", "os", "os_version", "architecture"], raw, typed),
-        *[
-            (f"{name}: whole number from 0 expected", ok.sure(ok.whole_number(raw[name], kind) >= 0))
-            for name, kind in counts
-        ],
-        ("last_boot: time with offset expected", ok.sure(ok.aware_timestamp(raw["last_boot"]).isNotNull())),
-        *_numbers(["last_seen_at"], raw),
-    ]
+def _present(names: list[str], fields: Column, expected: str) -> list[Check]:
+    """Fields whose conversion gave a value."""
+    return [(f"{name}: {expected} expected", fields[name].isNotNull()) for name in names]
 
 
 def _metric_fields(raw: Column) -> list[Column]:
@@ -113,6 +82,15 @@ def _metric_fields(raw: Column) -> list[Column]:
     ]
 
 
+def _metric_checks(raw: Column, typed: Column, fields: Column) -> list[Check]:
+    return [
+        *_texts(["name", "type", "unit", "machine_id"], raw, typed),
+        *_present(["timestamp", "value"], fields, "number"),
+        *_present(["metric_id"], fields, "UUID"),
+        ("attributes: texts by name expected", _text_map_ok(raw["attributes"], typed, "$.attributes")),
+    ]
+
+
 def _evaluation_fields(raw: Column) -> list[Column]:
     return [
         ok.normalise_uuid(raw["metric_id"]).alias("metric_id"),
@@ -127,40 +105,63 @@ def _evaluation_fields(raw: Column) -> list[Column]:
     ]
 
 
+def _evaluation_checks(raw: Column, typed: Column, fields: Column) -> list[Check]:
+    return [
+        *_texts(["machine_id", "metric_name", "algorithm"], raw, typed),
+        *_present(["timestamp", "baseline", "upper"], fields, "number"),
+        ("lower: number or null expected", raw["lower"].isNull() | fields["lower"].isNotNull()),
+        *_present(["is_anomaly"], fields, "true or false"),
+        *_present(["metric_id"], fields, "UUID"),
+    ]
+
+
 def _machine_fields(raw: Column) -> list[Column]:
     return [
         *[raw[name].alias(name) for name in ("machine_id", "hostname", "os", "os_version", "architecture")],
         ok.whole_number(raw["cores"], "int").alias("cores"),
         ok.whole_number(raw["total_memory"]).alias("total_memory"),
         ok.whole_number(raw["total_disk"]).alias("total_disk"),
-        raw["last_boot"].alias("last_boot"),
+        F.when(ok.aware_timestamp(raw["last_boot"]).isNotNull(), raw["last_boot"]).alias("last_boot"),
         ok.number(raw["last_seen_at"]).alias("last_seen_at"),
     ]
 
 
+def _machine_checks(raw: Column, typed: Column, fields: Column) -> list[Check]:
+    return [
+        *_texts(["machine_id", "hostname", "os", "os_version", "architecture"], raw, typed),
+        *[
+            (f"{name}: whole number from 0 expected", ok.sure(fields[name] >= 0))
+            for name in ("cores", "total_memory", "total_disk")
+        ],
+        *_present(["last_boot"], fields, "time with offset"),
+        *_present(["last_seen_at"], fields, "number"),
+    ]
+
+
 _ENTITIES = {
-    "metrics": (schemas.SAMPLE_STREAM, metric_checks, _metric_fields),
-    "evaluations": (schemas.EVALUATION_STREAM, evaluation_checks, _evaluation_fields),
-    "machines": (schemas.MACHINE_STREAM, machine_checks, _machine_fields),
+    "metrics": (schemas.SAMPLE_STREAM, _metric_fields, _metric_checks),
+    "evaluations": (schemas.EVALUATION_STREAM, _evaluation_fields, _evaluation_checks),
+    "machines": (schemas.MACHINE_STREAM, _machine_fields, _machine_checks),
 }
 
 
 def examine(values: DataFrame, entity: str) -> DataFrame:
-    """`values` with the raw record and `reason`, why it is malformed (null if it is not)."""
-    schema, checks, _ = _ENTITIES[entity]
+    """`values` with `record`, its converted fields, and `reason`, why it is malformed (null if it is not)."""
+    schema, fields_of, checks_of = _ENTITIES[entity]
     parsed = _evaluated_once(
         values,
         _raw=F.from_json("value", _text_schema(schema.fieldNames())),
         _typed=F.try_parse_json("value"),
     )
-    failure = _first_failure(checks(F.col("_raw"), F.col("_typed")))
-    shaped = _is_object(F.col("value")) & F.col("_raw").isNotNull()
-    return parsed.withColumn("reason", F.when(~shaped, F.lit("JSON object expected")).otherwise(failure)).drop("_typed")
+    raw, typed, fields = F.col("_raw"), F.col("_typed"), F.col("record")
+    converted = _evaluated_once(parsed, record=F.struct(*fields_of(raw)))
+    shaped = _is_object(F.col("value")) & raw.isNotNull()
+    reason = F.when(~shaped, F.lit("JSON object expected")).otherwise(_first_failure(checks_of(raw, typed, fields)))
+    return converted.withColumn("reason", reason).drop("_raw", "_typed")
 
 
-def valid_records(examined: DataFrame, entity: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    fields = _ENTITIES[entity][2](F.col("_raw"))
-    return examined.where(F.col("reason").isNull()).select(*fields, *keep)
+def valid_records(examined: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    return examined.where(F.col("reason").isNull()).select("record.*", *keep)
 
 
 def malformed_records(examined: DataFrame) -> DataFrame:
@@ -172,7 +173,7 @@ def malformed_records(examined: DataFrame) -> DataFrame:
 def decode(values: DataFrame, entity: str, keep: tuple[str, ...] = ()) -> Split:
     """A DataFrame with a `value` column to (valid records, malformed ones). `keep` names columns to carry along."""
     examined = examine(values, entity)
-    return valid_records(examined, entity, keep), malformed_records(examined)
+    return valid_records(examined, keep), malformed_records(examined)
 
 
 _OBSERVATION_FIELDS = ["name", "type", "unit", "value", "attributes"]
@@ -199,6 +200,7 @@ def examine_snapshots(bodies: DataFrame) -> DataFrame:
     parsed = _evaluated_once(
         parsed,
         _metrics=F.from_json("_raw.metrics", f"array<{element}>"),
+        _epoch=ok.iso_to_epoch(F.col("_raw.timestamp")),
         _typed_metrics=F.try_variant_get("_typed", "$.metrics", "array<variant>"),
     )
     raw, typed = F.col("_raw"), F.col("_typed")
@@ -210,7 +212,7 @@ def examine_snapshots(bodies: DataFrame) -> DataFrame:
     observations = F.forall(pairs, lambda p: p["raw"].isNotNull() & _observation_ok(p["raw"], p["typed"]))
     checks = [
         *_texts(["machine_id"], raw, typed),
-        ("timestamp: time with offset expected", ok.sure(ok.aware_timestamp(raw["timestamp"]).isNotNull())),
+        ("timestamp: time with offset expected", F.col("_epoch").isNotNull()),
         ("metrics: list expected", ok.sure(is_list & F.col("_metrics").isNotNull())),
         ("metrics: malformed observation", ok.sure(observations)),
     ]
@@ -223,7 +225,7 @@ def snapshot_samples(examined: DataFrame) -> DataFrame:
     """One sample per observation of the valid bodies, with the body's machine and time and an id of its own."""
     flat = examined.where(F.col("error").isNull()).select(
         F.col("_raw.machine_id").alias("machine_id"),
-        ok.iso_to_epoch(F.col("_raw.timestamp")).alias("timestamp"),
+        F.col("_epoch").alias("timestamp"),
         F.posexplode("_metrics").alias("position", "m"),
     )
     samples = flat.select(
@@ -242,15 +244,14 @@ def snapshot_samples(examined: DataFrame) -> DataFrame:
 def explode_snapshots(bodies: DataFrame) -> Split:
     """Bodies to (samples, rejected bodies with their error)."""
     examined = examine_snapshots(bodies)
-    return snapshot_samples(examined), examined.where(F.col("error").isNotNull()).drop("_raw", "_metrics")
+    return snapshot_samples(examined), examined.where(F.col("error").isNotNull()).drop("_raw", "_metrics", "_epoch")
 
 
 def machine_records(bodies: DataFrame) -> Split:
     """Machine bodies `(url, body)` to (records, rejected bodies with their error)."""
-    valid, malformed = decode(bodies.withColumn("value", F.col("body")), "machines")
     examined = examine(bodies.withColumn("value", F.col("body")), "machines")
-    rejected = examined.where(F.col("reason").isNotNull()).drop("_raw", "value").withColumnRenamed("reason", "error")
-    return valid, rejected
+    rejected = examined.where(F.col("reason").isNotNull()).withColumnRenamed("reason", "error")
+    return valid_records(examined), rejected.drop("record", "value")
 
 
 def with_metric_id(samples: DataFrame) -> DataFrame:

@@ -160,7 +160,7 @@ def load_batch(
         consumed, malformed = examined.agg(F.count("*"), F.count("reason")).first()
         started = time.perf_counter()
         if consumed > malformed:
-            rows = spec.to_row(valid_records(examined, spec.table))
+            rows = spec.to_row(valid_records(examined))
             assert_schema(rows, TABLES[spec.table])
             write_with_retries(lambda: write(rows, root, spec.table, round(time.time() * 1000), sort=False), attempts, wait, sleep)
         seconds = time.perf_counter() - started
