@@ -10,7 +10,8 @@ ISO_WITH_OFFSET = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|z|[+-]\
 HEX_32 = "^([0-9a-f]{8})([0-9a-f]{4})([0-9a-f]{4})([0-9a-f]{4})([0-9a-f]{12})$"
 CANONICAL_UUID = "^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 INTEGER = r"^\s*[+-]?\d+(\.0+)?\s*$"
-DECIMAL = r"(?i)^\s*[+-]?((\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
+DECIMAL = r'(?i)^(\s*[+-]?((\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*|"[+-]?(inf|infinity|nan)")$'
+WITHOUT_SECONDS = r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2})(Z|z|[+-]\d{2}:?\d{2})$"
 
 
 def sure(condition: Column) -> Column:
@@ -22,8 +23,8 @@ def non_empty(text: Column) -> Column:
 
 
 def number(text: Column) -> Column:
-    """A number sent as a number or as text; null for anything else."""
-    return F.when(text.rlike(DECIMAL), text.try_cast("double"))
+    """A number sent as a number or as text; null for anything else. Bare NaN and infinity are read with quotes around."""
+    return F.when(text.rlike(DECIMAL), F.btrim(text, F.lit('"')).try_cast("double"))
 
 
 def whole_number(text: Column, kind: str = "bigint") -> Column:
@@ -44,7 +45,9 @@ def aware_timestamp(text: Column) -> Column:
     """A time that names its offset, or counts seconds (milliseconds beyond 2e10) since 1970; null for anything else."""
     count = number(text)
     seconds = F.when(F.abs(count) > F.lit(2e10), count / 1000).otherwise(count)
-    return F.when(has_offset(text), F.try_to_timestamp(F.upper(text))).when(
+    return F.when(
+        has_offset(text), F.try_to_timestamp(F.regexp_replace(F.upper(text), WITHOUT_SECONDS, "$1:00$2"))
+    ).when(
         F.abs(count) < F.lit(9e14), F.timestamp_seconds(seconds)
     )
 

@@ -213,7 +213,7 @@ def _run_all(series: DataFrame, settings: list[Settings], order: tuple[str, ...]
     ordered = _ordered_series(series, order)
     size = balanced_rows(series.sparkSession, ordered.total)
     led = with_chunks(ordered, min(GUESS_ROWS, size), size)
-    own = with_chunks(ordered, 0, max(size, GUESS_ROWS))
+    own = with_chunks(ordered, 0, size)
     guessed = led.groupBy("_chunk").applyInArrow(_guess_states(settings), STATE_SCHEMA)
     states = _chunk_states(own, guessed, settings)
     return own.groupBy("_chunk").cogroup(states.groupBy("_chunk")).applyInArrow(kernel, schema)
