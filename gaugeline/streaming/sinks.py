@@ -206,6 +206,7 @@ def start_sink(
 
 def run_sinks(spark: SparkSession, streams: dict[str, DataFrame], root: str, checkpoints: str) -> None:
     """One query per topic; when one ends or fails, the others are stopped and the failure is raised."""
+    spark.streams.resetTerminated()  # a query that ended earlier is none of these
     queries = [start_sink(stream, SINKS[name], root, f"{checkpoints}/{name}") for name, stream in streams.items()]
     try:
         spark.streams.awaitAnyTermination()
