@@ -960,7 +960,8 @@ def samples_json(spark, sf_dir):
 def sink_loaded(spark, sf_dir):
     """The sample texts as a stream through the sink, twice as after a lost checkpoint, and read from the table."""
     source, root = scratch_path(spark, "sink-in"), scratch_path(spark, "sink-root")
-    views.sample_texts(spark, sf_dir).select("value", "partition", "offset").write.parquet(source)
+    texts = views.sample_texts(spark, sf_dir).select("value", "partition", "offset")
+    texts.repartition("partition").write.parquet(source)  # a file per partition of the topic
     spec = src.SourceSpec("parquet", source, topic="raw_metrics")
     for run in ("first", "replay"):
         stream = src.read_stream(spark, spec)
@@ -1125,14 +1126,16 @@ def counter_rate(spark, sf_dir):
 )
 def counter_labels(spark, sf_dir):
     """The three error counts; a counter that was never seen has not increased."""
-    c = _counters(spark, sf_dir)
-    dead = ct.counter_increase(c, "messages_published_total", ALL_TIME, ct.label_matches("topic", ".*_dlq"))
-    failed = ct.counter_increase(c, "scrapes_total", ALL_TIME, ~ct.label_equals("outcome", "ok"))
-    malformed = ct.counter_increase(c, "malformed_records_total", ALL_TIME)
-    return panels.one_row(
-        dead.withColumnRenamed("increase", "dead_letters"),
-        failed.withColumnRenamed("increase", "failed_scrapes"),
-        malformed.withColumnRenamed("increase", "malformed"),
+    names = ["messages_published_total", "scrapes_total", "malformed_records_total"]
+    steps = ct.counter_steps(_counters(spark, sf_dir), names, ALL_TIME)
+    sent, scraped, skipped = (F.col("name") == name for name in names)
+    wanted = {
+        "dead_letters": sent & ct.label_matches("topic", ".*_dlq"),
+        "failed_scrapes": scraped & ~ct.label_equals("outcome", "ok"),
+        "malformed": skipped,
+    }
+    return steps.agg(
+        *[F.coalesce(F.sum(F.when(hit, F.col("step"))), F.lit(0.0)).alias(name) for name, hit in wanted.items()]
     )
 
 
@@ -1149,14 +1152,15 @@ asked AS (
   FROM rungs, (VALUES (0.5::double), (0.95::double)) v (q) WHERE count >= total * q GROUP BY ALL)"""
 
 
-@query('SELECT tag AS "table", q, round(quantile, 6) AS quantile FROM asked', _COUNTERS, _LADDER)
+@query(
+    """SELECT tag AS "table", round(max(quantile) FILTER (WHERE q = 0.5), 6) AS p50,
+      round(max(quantile) FILTER (WHERE q = 0.95), 6) AS p95 FROM asked GROUP BY tag""",
+    _COUNTERS,
+    _LADDER,
+)
 def histogram_quantile(spark, sf_dir):
     c = _counters(spark, sf_dir)
-    half, most = (
-        ct.histogram_quantile(c, "write_seconds_bucket", q, ALL_TIME, ["table"]).withColumn("q", F.lit(q))
-        for q in (0.5, 0.95)
-    )
-    return half.unionByName(most)
+    return ct.histogram_quantiles(c, "write_seconds_bucket", {"p50": 0.5, "p95": 0.95}, ALL_TIME, ["table"])
 
 
 @query(

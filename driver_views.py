@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from gaugeline.operators.dedup import metrics_final
 from gaugeline.operators.scoring import score
 from gaugeline.plans.lifecycle import append
-from gaugeline.session import prepare, scratch_path
+from gaugeline.session import materialise, prepare, scratch_path
 from gaugeline.sources.tables import Tables, open_tables
 
 _NAME = """CASE event_type WHEN 'click' THEN 'system.cpu.utilization' WHEN 'view' THEN 'system.memory.usage'
@@ -108,7 +108,7 @@ def store_root(spark: SparkSession, sf_dir: str) -> str:
         root = scratch_path(spark, "store")
         append(metrics_raw(spark, sf_dir), root, "metrics")
         append(machines_raw(spark, sf_dir), root, "machines")
-        scored = score(metrics_final(metrics_raw(spark, sf_dir)))
+        scored = materialise(score(metrics_final(metrics_raw(spark, sf_dir))), "scored")
         append(evaluations_raw(scored), root, "evaluations")
         _stored[key] = root
     return _stored[key]

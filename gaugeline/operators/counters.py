@@ -35,25 +35,25 @@ def label_matches(key: str, pattern: str) -> Column:
 
 
 def counter_steps(
-    counters: DataFrame, name: str, within: Range, labels: Column | None = None
+    counters: DataFrame, names: str | list[str], within: Range, labels: Column | None = None
 ) -> DataFrame:
-    """Each sample of a counter in the range with `step`, its rise since the sample before it (0 for the first)."""
+    """Each sample of the counters in the range with `step`, its rise since the sample before it (0 for the first)."""
     start, end = within
-    chosen = counters.where((F.col("name") == name) & F.col("ts").between(F.lit(start), F.lit(end)))
+    listed = [names] if isinstance(names, str) else names
+    chosen = counters.where(F.col("name").isin(listed) & F.col("ts").between(F.lit(start), F.lit(end)))
     if labels is not None:
         chosen = chosen.where(labels)
-    keyed = chosen.withColumn(
-        "series", F.to_json(F.array_sort(F.map_entries("labels")))
-    ).select("series", "ts", "value", "labels")
-    ordered = order_rows(keyed, ["series", "ts"])
+    # One text per set of labels, whatever the order of the map's entries.
+    keyed = chosen.select("name", F.to_json(F.array_sort(F.map_entries("labels"))).alias("series"), "ts", "value", "labels")
+    ordered = order_rows(keyed, ["name", "series", "ts"])
     chunks = with_chunks(ordered, 1, chunk_rows(counters.sparkSession, ordered.total))
-    before = F.lag("value").over(Window.partitionBy("_chunk", "series").orderBy("_pos"))
+    before = F.lag("value").over(Window.partitionBy("_chunk", "name", "series").orderBy("_pos"))
     step = (
         F.when(before.isNull(), F.lit(0.0))
         .when(F.col("value") < before, F.col("value"))
         .otherwise(F.col("value") - before)
     )
-    return chunks.withColumn("step", step).where("_own").select("series", "ts", "labels", "value", "step")
+    return chunks.withColumn("step", step).where("_own").select("name", "series", "ts", "labels", "value", "step")
 
 
 def _by(labels: list[str]) -> list[Column]:
@@ -86,47 +86,51 @@ def counter_rate(
     )
 
 
-def histogram_quantile(counters: DataFrame, name: str, q: float, within: Range, by: list[str]) -> DataFrame:
-    """The `q` quantile of a cumulative bucket counter, by linear interpolation inside its bucket.
+def histogram_quantiles(
+    counters: DataFrame, name: str, probabilities: dict[str, float], within: Range, by: list[str]
+) -> DataFrame:
+    """Quantiles of a cumulative bucket counter, by linear interpolation inside their buckets, a column for each.
 
     Buckets are the values of the label `le`, the last one `+Inf`; a quantile in that one is the bound before it.
     """
+    bound = F.when(F.col("le") == "+Inf", F.lit(float("inf"))).otherwise(F.col("le").try_cast("double"))
     rates = (
         counter_increase(counters, name, within, by=[*by, "le"])
-        .withColumn("bound", F.when(F.col("le") == "+Inf", F.lit(float("inf"))).otherwise(F.col("le").try_cast("double")))
+        .withColumn("bound", bound)
         .where(F.col("bound").isNotNull())
     )
     # A row per bucket of the histogram: a handful per group.
     ladder = Window.partitionBy(*by).orderBy("bound")
-    total = F.last("count").over(ladder.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    lower = F.coalesce(F.lag("bound").over(ladder), F.lit(0.0))
-    below = F.coalesce(F.lag("count").over(ladder), F.lit(0.0))
-    # Later buckets include earlier ones; a smaller count can only be a sampling error.
-    cumulative = F.max("increase").over(ladder.rowsBetween(Window.unboundedPreceding, 0))
+    so_far = ladder.rowsBetween(Window.unboundedPreceding, 0)
+    whole = ladder.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     steps = (
-        rates.withColumn("count", cumulative)
-        .withColumn("total", total)
-        .withColumn("lower", lower)
-        .withColumn("below", below)
-        .withColumn("rank", F.col("total") * F.lit(float(q)))
-    )
-    inside = F.col("lower") + (F.col("bound") - F.col("lower")) * F.try_divide(
-        F.col("rank") - F.col("below"), F.col("count") - F.col("below")
-    )
-    value = F.when(F.isnan("bound") | (F.col("bound") == float("inf")), F.col("lower")).otherwise(inside)
-    hit = (F.col("count") >= F.col("rank")) & (F.col("total") > 0)
-    return (
-        steps.groupBy(*by)
-        .agg(F.min_by(value, F.when(hit, F.col("bound"))).alias("quantile"))
-        .where(F.col("quantile").isNotNull())
+        rates.withColumn("count", F.max("increase").over(so_far))  # later buckets include earlier ones
+        .withColumn("total", F.last("count").over(whole))
+        .withColumn("lower", F.coalesce(F.lag("bound").over(ladder), F.lit(0.0)))
+        .withColumn("below", F.coalesce(F.lag("count").over(ladder), F.lit(0.0)))
+        .where(F.col("total") > 0)
     )
 
+    def quantile(q: float) -> Column:
+        rank = F.col("total") * F.lit(float(q))
+        share = F.try_divide(rank - F.col("below"), F.col("count") - F.col("below"))
+        inside = F.col("lower") + (F.col("bound") - F.col("lower")) * share
+        value = F.when(F.col("bound") == float("inf"), F.col("lower")).otherwise(inside)
+        return F.min_by(value, F.when(F.col("count") >= rank, F.col("bound")))
+
+    return steps.groupBy(*by).agg(*[quantile(q).alias(column) for column, q in probabilities.items()])
+
+
+def histogram_quantile(counters: DataFrame, name: str, q: float, within: Range, by: list[str]) -> DataFrame:
+    return histogram_quantiles(counters, name, {"quantile": q}, within, by)
+
 
 def mean_cost(counters: DataFrame, total: str, count: str, within: Range, by: list[str]) -> DataFrame:
     """Mean per call: the increase of a running total over the increase of its count."""
-    spent = counter_increase(counters, total, within, by=by).withColumnRenamed("increase", "spent")
-    calls = counter_increase(counters, count, within, by=by).withColumnRenamed("increase", "calls")
-    return spent.join(calls, by).select(*by, F.try_divide("spent", "calls").alias("mean_cost"))
+    steps = counter_steps(counters, [total, count], within).select("name", *_by(by), "step")
+    spent = F.sum(F.when(F.col("name") == total, F.col("step")))
+    calls = F.sum(F.when(F.col("name") == count, F.col("step")))
+    return steps.groupBy(*by).agg(F.try_divide(spent, calls).alias("mean_cost"))
 
 
 def _current(counters: DataFrame, name: str, as_of: datetime, lookback: int) -> DataFrame:

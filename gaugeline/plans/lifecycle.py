@@ -58,9 +58,17 @@ def _sorted_by_key(stored: DataFrame, table: str) -> DataFrame:
 
 
 def append(rows: DataFrame, root: str, table: str, insert_seq: int = 0, sort: bool = True) -> None:
-    """Add rows to a table. Small batches go unsorted; `compact` puts them in order later."""
+    """Add rows to a table.
+
+    Sorting takes a sample of the rows first, so rows that are dear to compute should be written out before. Small
+    batches go unsorted, in as few files per day as their size allows; `compact` puts them in order later.
+    """
     stored = to_stored(rows, table, insert_seq)
-    writer = (_sorted_by_key(stored, table) if sort else stored).write.mode("append")
+    if sort:
+        stored = _sorted_by_key(stored, table)
+    elif table in DAILY:
+        stored = stored.hint("rebalance", F.col("date"))
+    writer = stored.write.mode("append")
     if table in DAILY:
         writer = writer.partitionBy("date")
     writer.parquet(f"{root}/{table}")

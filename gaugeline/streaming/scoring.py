@@ -12,7 +12,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from gaugeline.functions.scalars import epoch_to_timestamp
 from gaugeline.operators.detectors import DEFAULT_REGISTRY, WINDOW_POINTS, Registry
-from gaugeline.operators.scoring import DEFAULT_ORDER, SERIES, evaluation_schema, score_values
+from gaugeline.operators.scoring import DEFAULT_ORDER, SERIES, Observer, evaluation_schema, score_values
 
 WATERMARK = "5 seconds"
 
@@ -25,6 +25,7 @@ def score_stream(
     order: tuple[str, ...] = DEFAULT_ORDER,
     registry: Registry = DEFAULT_REGISTRY,
     idle_timeout_ms: int | None = None,
+    observe: Observer | None = None,
 ) -> DataFrame:
     """Evaluations of a stream of samples, in the order of `order` within each micro-batch of a series.
 
@@ -51,7 +52,7 @@ def score_stream(
         own = np.arange(len(values)) >= len(kept)
         origin = np.zeros(len(values), dtype=int)
         for block, algorithm, bands in score_values(
-            values, origin, own, [key[1]], np.zeros(len(values), dtype=int), registry, window
+            values, origin, own, [key[1]], np.zeros(len(values), dtype=int), registry, window, observe
         ):
             chosen = rows.iloc[block - len(kept)]
             yield pd.DataFrame(
@@ -62,7 +63,7 @@ def score_stream(
                     "timestamp": chosen["timestamp"].to_numpy(),
                     "algorithm": algorithm,
                     "baseline": bands.baseline,
-                    "lower": None if bands.lower is None else bands.lower,
+                    "lower": np.full(len(block), np.nan) if bands.lower is None else bands.lower,
                     "upper": bands.upper,
                     "is_anomaly": bands.is_anomaly,
                 }
