@@ -6,6 +6,7 @@ on that row's window alone, the scored value included.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field, replace
 from typing import Protocol
@@ -37,19 +38,43 @@ CPU_MIN_DEVIATION = 10.0
 MEMORY_MIN_RELATIVE = 0.02
 
 
-@dataclass(frozen=True)
 class Windows:
-    """`values[i, :lengths[i]]` is window i; the cells after it are NaN."""
+    """A block of windows cut from one array: window i is `lengths[i]` values from `first[i]` on, oldest first."""
 
-    values: np.ndarray
-    lengths: np.ndarray
+    def __init__(self, source: np.ndarray, first: np.ndarray, lengths: np.ndarray):
+        self.first, self.lengths = first, lengths
+        self.width = int(lengths.max())
+        self.source = np.append(source, np.full(self.width - 1, np.nan))
+        self._adjacent = bool((np.diff(first) == 1).all())
 
-    def lists(self) -> Iterator[list[float]]:
-        for row, length in zip(self.values, self.lengths, strict=True):
-            yield row[:length].tolist()
+    @classmethod
+    def of(cls, *windows: list[float]) -> Windows:
+        lengths = np.array([len(w) for w in windows])
+        return cls(np.array([v for w in windows for v in w], dtype=float), np.cumsum(lengths) - lengths, lengths)
+
+    def __len__(self) -> int:
+        return len(self.lengths)
+
+    def step(self, k: int) -> np.ndarray:
+        """Value k of every window; anything where a window is shorter."""
+        if self._adjacent:
+            return self.source[self.first[0] + k : self.first[-1] + k + 1]
+        return self.source[self.first + k]
 
     def newest(self) -> np.ndarray:
-        return self.values[np.arange(len(self.lengths)), self.lengths - 1]
+        return self.source[self.first + self.lengths - 1]
+
+    def matrix(self, begin: int = 0, end: int | None = None) -> np.ndarray:
+        """Windows `begin` to `end` as rows; the cells after a shorter window are NaN."""
+        first, lengths = self.first[begin:end], self.lengths[begin:end]
+        rows = np.lib.stride_tricks.sliding_window_view(self.source, self.width)[first]
+        if lengths.min() < self.width:
+            rows[np.arange(self.width)[None, :] >= lengths[:, None]] = np.nan
+        return rows
+
+    def lists(self) -> Iterator[list[float]]:
+        for begin, length in zip(self.first, self.lengths, strict=True):
+            yield self.source[begin : begin + length].tolist()
 
 
 @dataclass(frozen=True)
@@ -75,28 +100,43 @@ def _medians(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Median of each row's first `lengths` cells, NaN if one of them is; the cells after them must be NaN."""
     width = values.shape[1]
     whole = lengths == width
+    if whole.all():
+        middle = width // 2
+        split = np.partition(values, middle, axis=1)
+        upper = split[:, middle]
+        lower = upper if width % 2 else split[:, :middle].max(axis=1)
+        return np.where(np.isnan(values.max(axis=1)), np.nan, (lower + upper) / 2)
     result = np.empty(len(lengths))
     if whole.any():
-        upper, lower = width // 2, (width - 1) // 2
-        split = np.partition(values if whole.all() else values[whole], sorted({lower, upper}), axis=1)
-        result[whole] = (split[:, lower] + split[:, upper]) / 2
-    if not whole.all():
-        short = lengths[~whole]
-        ranked = np.sort(values[~whole], axis=1)
-        rows = np.arange(len(short))
-        result[~whole] = (ranked[rows, (short - 1) // 2] + ranked[rows, short // 2]) / 2
-    gaps = np.isnan(values).sum(axis=1) > width - lengths
-    result[gaps] = np.nan
+        result[whole] = _medians(values[whole], lengths[whole])
+    short = lengths[~whole]
+    ranked = np.sort(values[~whole], axis=1)
+    rows = np.arange(len(short))
+    middles = (ranked[rows, (short - 1) // 2] + ranked[rows, short // 2]) / 2
+    result[~whole] = np.where(np.isnan(ranked[rows, short - 1]), np.nan, middles)
     return result
 
 
+# Below this, windows are folded one after the other instead of side by side.
+_FEW_WINDOWS = 32
+
+# Rows of the window matrix handled at a time: 128 x 360 doubles stay in a core's cache.
+_MATRIX_ROWS = 128
+
+
 def rolling_spread(windows: Windows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per window the median, the median deviation from it and the mean deviation."""
+    parts = []
     with np.errstate(all="ignore"):
-        median = _medians(windows.values, windows.lengths)
-        deviations = np.abs(windows.values - median[:, None])
-        mean = np.nansum(deviations, axis=1) / windows.lengths
-        return median, _medians(deviations, windows.lengths), np.where(np.isnan(median), np.nan, mean)
+        for at in range(0, len(windows), _MATRIX_ROWS):
+            rows, lengths = windows.matrix(at, at + _MATRIX_ROWS), windows.lengths[at : at + _MATRIX_ROWS]
+            median = _medians(rows, lengths)
+            rows -= median[:, None]
+            np.abs(rows, out=rows)
+            mean = np.nansum(rows, axis=1) / lengths
+            parts.append((median, _medians(rows, lengths), np.where(np.isnan(median), np.nan, mean)))
+    median, spread, mean = (np.concatenate(column) for column in zip(*parts, strict=True))
+    return median, spread, mean
 
 
 @dataclass(frozen=True)
@@ -109,14 +149,9 @@ class MAD:
     min_points: int = MAD_MIN_POINTS
 
     def evaluate(self, windows: Windows) -> Bands:
+        median, deviation, mean_deviation = rolling_spread(windows)
         with np.errstate(all="ignore"):
-            median = _medians(windows.values, windows.lengths)
-            deviations = np.abs(windows.values - median[:, None])
-            spread = MAD_SIGMA * _medians(deviations, windows.lengths)
-            flat = np.flatnonzero(spread == 0)
-            if len(flat):
-                total = np.nansum(deviations[flat], axis=1)
-                spread[flat] = MAD_MEAN_SIGMA * (total / windows.lengths[flat])
+            spread = np.where(deviation == 0, MAD_MEAN_SIGMA * mean_deviation, MAD_SIGMA * deviation)
             floor = np.fmax(self.min_deviation, self.min_relative * np.abs(median)) / MAD_THRESHOLD
             scale = np.maximum(spread, floor)
             margin = MAD_THRESHOLD * scale
@@ -138,38 +173,68 @@ class EWMA:
     min_points: int = EWMA_MIN_POINTS
 
     def evaluate(self, windows: Windows) -> Bands:
-        steps = np.ascontiguousarray(windows.values.T)
         lengths = windows.lengths
         if lengths.min() < self.min_points:
             raise ValueError(f"{self.name} needs at least {self.min_points} values, got {lengths.min()}")
+        if len(windows) < _FEW_WINDOWS:
+            return self._one_by_one(windows)
         ending = {int(k): np.flatnonzero(lengths == k) for k in np.unique(lengths)}
-        baseline, upper = np.empty(len(lengths)), np.empty(len(lengths))
-        flagged = np.zeros(len(lengths), dtype=bool)
-        average, variance = steps[0].copy(), np.zeros(len(lengths))
+        size = len(windows)
+        baseline, upper, flagged = np.empty(size), np.empty(size), np.zeros(size, dtype=bool)
+        average, variance = windows.step(0).copy(), np.zeros(size)
+        rise, scale, floor, work = np.empty(size), np.empty(size), np.empty(size), np.empty(size)
+        damped = EWMA_ALPHA * EWMA_DAMPING
         with np.errstate(all="ignore"):
-            for index in range(1, len(steps)):
-                deviation = steps[index] - average
-                scale = EWMA_MULTIPLIER * np.sqrt(variance)
+            for index in range(1, windows.width):
+                np.subtract(windows.step(index), average, out=rise)
+                np.sqrt(variance, out=scale)
+                scale *= EWMA_MULTIPLIER
                 if self.min_relative:
-                    np.maximum(scale, np.fmax(self.min_deviation, self.min_relative * np.abs(average)), out=scale)
+                    np.abs(average, out=floor)
+                    floor *= self.min_relative
+                    np.maximum(scale, np.fmax(floor, self.min_deviation, out=floor), out=scale)
                 elif self.min_deviation:
                     np.maximum(scale, self.min_deviation, out=scale)
-                # Without any scale a rise is endlessly far out and everything else is not out at all.
-                over = np.where(scale > 0, deviation / scale > EWMA_THRESHOLD, deviation > 0)
+                # Without any scale a rise is infinitely far out, a fall as far below, and no change is not a number.
+                over = np.divide(rise, scale, out=work) > EWMA_THRESHOLD
                 done = ending.get(index + 1)
                 if done is not None:
                     baseline[done] = average[done]
                     upper[done] = average[done] + EWMA_THRESHOLD * scale[done]
                     flagged[done] = over[done]
                 if index >= EWMA_WARMUP_READINGS:
-                    alpha = np.where(over, EWMA_ALPHA * EWMA_DAMPING, EWMA_ALPHA)
+                    alpha, rest = np.where(over, damped, EWMA_ALPHA), np.where(over, 1 - damped, 1 - EWMA_ALPHA)
                 else:
-                    alpha = EWMA_ALPHA
-                step = alpha * deviation
-                average += step
-                variance = (1 - alpha) * (variance + alpha * (deviation * deviation))
+                    alpha, rest = EWMA_ALPHA, 1 - EWMA_ALPHA
+                average += np.multiply(alpha, rise, out=work)
+                np.multiply(rise, rise, out=work)
+                work *= alpha
+                variance += work
+                variance *= rest
         return Bands(baseline, None, upper, flagged)
 
+    def _one_by_one(self, windows: Windows) -> Bands:
+        """The same for a handful of windows, as a micro-batch of a series has: array operations would not pay."""
+        answers = []
+        for window in windows.lists():
+            average, variance = window[0], 0.0
+            for index, value in enumerate(window[1:-1], start=1):
+                rise, alpha = value - average, EWMA_ALPHA
+                if index >= EWMA_WARMUP_READINGS and rise > 0:
+                    scale = self._scale(average, variance)
+                    if scale == 0 or rise / scale > EWMA_THRESHOLD:
+                        alpha = EWMA_ALPHA * EWMA_DAMPING
+                average += alpha * rise
+                variance = (1 - alpha) * (variance + alpha * (rise * rise))
+            scale, rise = self._scale(average, variance), window[-1] - average
+            over = rise > 0 and (scale == 0 or rise / scale > EWMA_THRESHOLD)
+            answers.append((average, average + EWMA_THRESHOLD * scale, over))
+        baseline, upper, flagged = (np.array(column) for column in zip(*answers, strict=True))
+        return Bands(baseline, None, upper, flagged)
+
+    def _scale(self, average: float, variance: float) -> float:
+        return max(EWMA_MULTIPLIER * math.sqrt(variance), self.min_deviation, self.min_relative * abs(average))
+
 
 @dataclass(frozen=True)
 class OneWindow:

@@ -18,8 +18,8 @@ from gaugeline.operators.ordering import chunk_rows, order_rows, with_chunks
 SERIES = ("machine_id", "name")
 DEFAULT_ORDER = ("timestamp", "metric_id")
 
-# Windows scored at a time: 2,048 x 360 doubles are 6 MB.
-BLOCK_ROWS = 2_048
+# Windows handed to a detector at a time.
+BLOCK_ROWS = 4_096
 
 # Told the detector's name, the number of windows and the seconds they took.
 Observer = Callable[[str, int, float], None]
@@ -46,18 +46,10 @@ def window_blocks(
     values: np.ndarray, series_start: np.ndarray, rows: np.ndarray, window: int
 ) -> Iterator[tuple[np.ndarray, Windows]]:
     """The windows that end at `rows`, never reaching behind the row's `series_start`, in blocks of bounded size."""
-    if not len(rows):
-        return
-    width = int(min(window, (rows - series_start[rows]).max() + 1))
-    sliding = np.lib.stride_tricks.sliding_window_view(np.append(values, np.full(width - 1, np.nan)), width)
     for at in range(0, len(rows), BLOCK_ROWS):
         block = rows[at : at + BLOCK_ROWS]
-        first = np.maximum(series_start[block], block - width + 1)
-        lengths = block - first + 1
-        matrix = sliding[first]
-        if lengths.min() < width:
-            matrix[np.arange(width)[None, :] >= lengths[:, None]] = np.nan
-        yield block, Windows(matrix, lengths)
+        first = np.maximum(series_start[block], block - window + 1)
+        yield block, Windows(values, first, block - first + 1)
 
 
 def score_values(

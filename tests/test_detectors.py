@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 import brute
+from gaugeline.operators import scoring
 from gaugeline.operators.detectors import EWMA, MAD, OneWindow, Windows
 from gaugeline.operators.scoring import score_values, window_blocks
 
@@ -12,7 +13,7 @@ GIGABYTE = [1e9, 1000004096.0, 999995904.0] * 10
 
 
 def judge(detector, window):
-    bands = detector.evaluate(Windows(np.array([window], dtype=float), np.array([len(window)])))
+    bands = detector.evaluate(Windows.of(window))
     lower = None if bands.lower is None else bands.lower[0]
     return bands.baseline[0], lower, bands.upper[0], bool(bands.is_anomaly[0])
 
@@ -104,8 +105,10 @@ def test_ewma_needs_enough_values():
         judge(EWMA(), [1.0] * 10)
 
 
+@pytest.mark.parametrize("block_rows", [5, 4_096])
 @pytest.mark.parametrize("name", [brute.CPU, brute.MEMORY, "nab.x"])
-def test_blocks_agree_with_one_window_at_a_time(name):
+def test_blocks_agree_with_one_window_at_a_time(name, block_rows, monkeypatch):
+    monkeypatch.setattr(scoring, "BLOCK_ROWS", block_rows)
     rng = np.random.default_rng(7)
     values = np.round(rng.normal(100, 15, 900), 1)
     values[rng.random(900) < 0.05] += 200
@@ -125,7 +128,9 @@ def test_blocks_agree_with_one_window_at_a_time(name):
                 assert (bands.lower is None) == (lower is None)
 
 
-def test_nan_is_contained_in_its_window():
+@pytest.mark.parametrize("block_rows", [5, 4_096])
+def test_nan_is_contained_in_its_window(block_rows, monkeypatch):
+    monkeypatch.setattr(scoring, "BLOCK_ROWS", block_rows)
     values = np.array([1.0, 2.0] * 15 + [np.nan] + [1.0, 2.0] * 200)
     starts = np.zeros(len(values), dtype=int)
     rows = np.arange(20, len(values))
@@ -140,7 +145,7 @@ def test_nan_is_contained_in_its_window():
 
 def test_own_detector_for_one_window():
     detector = OneWindow("last", 3, lambda w: (w[0], None, w[-1], w[-1] > w[0]))
-    bands = detector.evaluate(Windows(np.array([[1.0, 2.0, 3.0], [5.0, 4.0, np.nan]]), np.array([3, 2])))
+    bands = detector.evaluate(Windows.of([1.0, 2.0, 3.0], [5.0, 4.0]))
     assert bands.baseline.tolist() == [1.0, 5.0]
     assert bands.upper.tolist() == [3.0, 4.0]
     assert bands.is_anomaly.tolist() == [True, False]
