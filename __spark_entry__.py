@@ -27,7 +27,7 @@ from gaugeline.session import scratch_path  # noqa: E402
 from gaugeline.sources import streams as src  # noqa: E402
 from gaugeline.sources.tables import read_counters, read_table  # noqa: E402
 from gaugeline.streaming import sinks  # noqa: E402
-from gaugeline.streaming.scoring import score_stream  # noqa: E402
+from gaugeline.streaming.scoring import start_bulk_scoring  # noqa: E402
 
 with_views = views.with_views
 
@@ -244,25 +244,21 @@ def custom_detector(spark, sf_dir):
 
 @query(f"SELECT {_EVALUATION_COLUMNS} FROM evaluations", EVAL)
 def evaluations_streamed(spark, sf_dir):
-    """The samples as a stream through keyed state: the same evaluations as in batch."""
-    source, target, checkpoint = (scratch_path(spark, n) for n in ("stream-in", "stream-out", "stream-progress"))
+    """The samples as a stream in several micro-batches, each after the state of the one before."""
+    source, target, state, progress = (scratch_path(spark, f"stream-{n}") for n in ("in", "out", "state", "progress"))
     rows = dedup.metrics_final(views.metrics_raw(spark, sf_dir))
-    rows = rows.select("metric_id", "machine_id", "name", "timestamp", "value").withColumn(
-        "timestamp", F.unix_millis("timestamp") / 1000
-    )
-    rows.write.parquet(source)
-    stream = spark.readStream.schema(rows.schema).parquet(source)
-    running = (
-        score_stream(stream)
-        .writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    running.awaitTermination()
-    scored = spark.read.parquet(target)
-    return scored.withColumn("timestamp", scalars.epoch_to_timestamp(F.col("timestamp")))
+    rows = rows.select("metric_id", "machine_id", "name", "timestamp", "value")
+    # Three stretches of time, sent one after the other.
+    cuts = [F.lit(t).cast("timestamp") for t in (*ALL_TIME[:1], START, AS_OF, *ALL_TIME[1:])]
+    for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+        rows.where((F.col("timestamp") >= low) & (F.col("timestamp") < high)).write.mode("append").parquet(source)
+        start_bulk_scoring(
+            spark.readStream.schema(rows.schema).parquet(source),
+            lambda scored, _: scored.write.mode("append").parquet(target),
+            state,
+            progress,
+        ).awaitTermination()
+    return spark.read.parquet(target)
 
 
 # Whole-series averages

@@ -9,21 +9,15 @@ from pyspark.sql import functions as F
 
 from gaugeline.operators.dedup import KEYS, final
 from gaugeline.schemas import INSERT_SEQ, DAILY, TABLES, stored_schema
-from gaugeline.session import materialise
+from gaugeline.session import delete_path, file_system, materialise
 
 RETENTION_HOURS = 24
 
 
-def _file_system(spark: SparkSession, path: str):
-    """The Hadoop file system of `path` and the path on it: works on any storage Spark can reach."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
-
-
 def create_tables(spark: SparkSession, root: str, register: bool = True) -> None:
     """Make the table folders and, unless told not to, name them in the session's catalog."""
     for name in TABLES:
-        fs, path = _file_system(spark, f"{root}/{name}")
+        fs, path = file_system(spark, f"{root}/{name}")
         fs.mkdirs(path)
         if register:
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stored_schema(name))
@@ -107,8 +101,7 @@ def expire(spark: SparkSession, root: str, table: str, as_of: datetime, hours: i
     stored = spark.read.schema(stored_schema(table)).parquet(f"{root}/{table}")
     days = [row["date"] for row in expired_days(stored, as_of, hours).select("date").collect()]  # one value per day
     for day in days:
-        fs, path = _file_system(spark, f"{root}/{table}/date={day}")
-        fs.delete(path, True)
+        delete_path(spark, f"{root}/{table}/date={day}")
     return sorted(days)
 
 
@@ -123,8 +116,8 @@ def rebuild(spark: SparkSession, root: str, table: str, renames: dict[str, str])
     if table in DAILY:
         writer = writer.partitionBy("date")
     writer.parquet(fresh)
-    fs, path = _file_system(spark, source)
-    old_path, new_path = _file_system(spark, old)[1], _file_system(spark, fresh)[1]
+    fs, path = file_system(spark, source)
+    old_path, new_path = file_system(spark, old)[1], file_system(spark, fresh)[1]
     if not fs.rename(path, old_path) or not fs.rename(new_path, path):
         raise OSError(f"could not swap {source}; the copy is at {fresh} and the original at {old}")
     fs.delete(old_path, True)

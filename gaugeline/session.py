@@ -80,3 +80,14 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of `path` and the path on it: works on any storage Spark can reach."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, jpath = file_system(spark, path)
+    fs.delete(jpath, True)

@@ -1,18 +1,26 @@
-"""Scoring a stream: per series the last values are kept as state, and every scored sample is judged as it arrives."""
+"""Scoring a stream: per series the last values are kept as state, and every scored sample is judged as it arrives.
+
+Two ways, with the same results. `score_stream` keeps the values in Spark's state store, keyed by series: for live data,
+where a trigger lets in a few rows of each series. `start_bulk_scoring` keeps them in a small table beside the
+checkpoint and scores each micro-batch like a table, cut into even chunks whatever the series: for a backlog, or where one
+series may fill a large part of a batch.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from gaugeline.functions.scalars import epoch_to_timestamp
+from gaugeline.session import delete_path
 from gaugeline.operators.detectors import DEFAULT_REGISTRY, WINDOW_POINTS, Registry
-from gaugeline.operators.scoring import DEFAULT_ORDER, SERIES, Observer, evaluation_schema, score_values
+from gaugeline.operators.scoring import DEFAULT_ORDER, SERIES, Observer, evaluation_schema, score, score_values
 
 WATERMARK = "5 seconds"
 
@@ -76,3 +84,75 @@ def score_stream(
     return scored.groupBy(*SERIES).applyInPandasWithState(
         advance, evaluation_schema(samples), "recent array<double>", "append", timeout
     )
+
+
+_AGE = "_age"
+
+
+def _newest_values(rows: DataFrame, order: tuple[str, ...], count: int) -> DataFrame:
+    """Per series the last `count` values, the newest with age 1. Spark cuts a series down to `count` rows in every map
+    task before it brings them together."""
+    newest_first = [F.col(_AGE).asc_nulls_first(), *[F.col(c).desc() for c in order]]
+    ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*SERIES).orderBy(*newest_first)))
+    return ranked.where(F.col("_rank") <= count).select(*SERIES, F.col("_rank").alias(_AGE), "value")
+
+
+def score_after(
+    state: DataFrame | None,
+    batch: DataFrame,
+    *,
+    window: int = WINDOW_POINTS,
+    order: tuple[str, ...] = DEFAULT_ORDER,
+    registry: Registry = DEFAULT_REGISTRY,
+) -> tuple[DataFrame, DataFrame]:
+    """Evaluations of a batch of samples that follow the values of `state`, and the state after them."""
+    columns = list(dict.fromkeys(["metric_id", *SERIES, "timestamp", "value", *order]))
+    rows = batch.where(registry.is_scored(F.col("name"))).select(*columns).withColumn(_AGE, F.lit(None).cast("int"))
+    if state is not None:
+        rows = rows.unionByName(state, allowMissingColumns=True)
+    # Earlier values first, the oldest at the head, then the batch in its own order.
+    rows = rows.withColumn("_before", F.coalesce(-F.col(_AGE), F.lit(0)))
+    scored = score(rows, window=window, order=("_before", *order), registry=registry)
+    return scored.where(F.col("metric_id").isNotNull()), _newest_values(rows, order, window - 1)
+
+
+def start_bulk_scoring(
+    samples: DataFrame,
+    publish: Callable[[DataFrame, int], None],
+    state_path: str,
+    checkpoint: str,
+    *,
+    trigger: str | None = None,
+    window: int = WINDOW_POINTS,
+    order: tuple[str, ...] = DEFAULT_ORDER,
+    registry: Registry = DEFAULT_REGISTRY,
+) -> StreamingQuery:
+    """Score a stream batch by batch and hand each batch's evaluations to `publish(evaluations, batch_id)`.
+
+    The state after a batch is written under the batch's number, before the batch counts as done: a batch that is run
+    again starts from the state before it and writes the same once more.
+    """
+
+    def version(batch_id: int) -> str:
+        return f"{state_path}/batch-{batch_id}"
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        state = spark.read.parquet(version(batch_id - 1)) if batch_id else None
+        batch.persist()
+        try:
+            scored, after = score_after(state, batch, window=window, order=order, registry=registry)
+            publish(scored, batch_id)
+            after.write.mode("overwrite").parquet(version(batch_id))
+        finally:
+            batch.unpersist()
+        if batch_id > 1:
+            delete_path(spark, version(batch_id - 2))
+
+    timing = {"availableNow": True} if trigger is None else {"processingTime": trigger}
+    return (
+        samples.writeStream.foreachBatch(handle)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**timing)
+        .start()
+    )

@@ -14,7 +14,7 @@ from gaugeline.operators.scoring import score
 from gaugeline.sources.streams import SourceSpec, read_snapshots, read_stream, to_kafka
 from gaugeline.sources.tables import read_table
 from gaugeline.streaming import sinks
-from gaugeline.streaming.scoring import score_stream
+from gaugeline.streaming.scoring import score_stream, start_bulk_scoring
 from test_decode import BAD, EVALUATION, MACHINE, SAMPLE, SNAPSHOT
 from test_scoring import frame
 
@@ -81,6 +81,32 @@ def test_stream_equals_batch_over_many_batches_and_a_restart(spark, series, tmp_
     assert comparable(spark.read.parquet(out)) == expected
 
 
+def test_bulk_scoring_equals_batch(spark, series, small_chunks, tmp_path):
+    samples = epoch(frame(spark, series)).persist()
+    source, out, state, checkpoint = (str(tmp_path / n) for n in ("in", "out", "state", "cp"))
+    for low, high in ((0, 5), (5, 15), (15, 400), (400, 420)):
+        second = F.expr("timestamp - 1704067200")
+        samples.where((second >= low) & (second < high)).write.mode("append").parquet(source)
+        start_bulk_scoring(
+            spark.readStream.schema(SCHEMA).parquet(source),
+            lambda scored, _: scored.write.mode("append").parquet(out),
+            state,
+            checkpoint,
+        ).awaitTermination()
+    assert comparable(spark.read.parquet(out)) == comparable(score(samples))
+    assert sorted(os.listdir(state)) == ["batch-2", "batch-3"]
+    kept = spark.read.parquet(f"{state}/batch-3").groupBy("name").agg(F.count("*").alias("n")).collect()
+    assert {r["name"]: r["n"] for r in kept} == {brute.CPU: 359, "nab.x": 60}
+
+
+def test_a_series_is_cut_down_before_the_shuffle(spark, capsys):
+    from gaugeline.streaming.scoring import score_after
+
+    score_after(None, epoch(frame(spark, {("m", "nab.x"): [1.0] * 40})))[1].explain()
+    plan = capsys.readouterr().out
+    assert plan.index("WindowGroupLimit", plan.index("Exchange")) and "Partial" in plan
+
+
 def test_late_samples_are_scored(spark, tmp_path):
     source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
     early = epoch(frame(spark, {("m", "nab.x"): [1.0] * 30}))
