@@ -34,15 +34,13 @@ def order_rows(df: DataFrame, keys: list[str], partitions: int | None = None) ->
 
     The sorted rows are written once: range bounds come from a sample, so only the written partitions are certain to be
     the same for the positions and for everything computed from them. The number of rows per partition is the one thing
-    the driver sees, one number for each of the `partitions`.
+    the driver sees, one number for each.
     """
     spark = df.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Without a number, adaptive execution may join neighbouring small partitions; the order stays.
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     written = materialise(
-        df.repartitionByRange(parts, *keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_place", F.monotonically_increasing_id()),
-        "ordered",
+        ranged.sortWithinPartitions(*keys).withColumn("_place", F.monotonically_increasing_id()), "ordered"
     )
     part = F.shiftright("_place", _PLACE_BITS)
     sizes = written.groupBy(part.alias("_part")).count().orderBy("_part").collect()

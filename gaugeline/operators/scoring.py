@@ -12,7 +12,15 @@ from pyspark.sql import DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeline.operators.detectors import DEFAULT_REGISTRY, WINDOW_POINTS, Bands, Registry, Windows, rolling_spread
+from gaugeline.operators.detectors import (
+    DEFAULT_REGISTRY,
+    WINDOW_POINTS,
+    Bands,
+    Registry,
+    Windows,
+    detector_config,
+    rolling_spread,
+)
 from gaugeline.operators.ordering import chunk_rows, order_rows, with_chunks
 
 SERIES = ("machine_id", "name")
@@ -209,8 +217,6 @@ def window_points(
 
 def warm_detectors(samples: DataFrame, registry: Registry = DEFAULT_REGISTRY) -> DataFrame:
     """Per scored sample the detectors that have enough values to speak."""
-    from gaugeline.operators.detectors import detector_config
-
     points = window_points(samples)
     return detector_config(points, registry).where(F.col("points") >= F.col("min_points")).drop("pattern")
 

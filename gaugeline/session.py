@@ -91,3 +91,8 @@ def file_system(spark: SparkSession, path: str):
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, jpath = file_system(spark, path)
     fs.delete(jpath, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove this application's intermediate tables; call it once nothing made from them will be read again."""
+    delete_path(spark, scratch_root(spark))

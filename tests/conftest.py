@@ -20,6 +20,8 @@ def spark(tmp_path_factory):
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.default.parallelism": "4",
+            # Keep small test data in several partitions.
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
