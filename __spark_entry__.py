@@ -27,7 +27,7 @@ from gaugeline.session import scratch_path  # noqa: E402
 from gaugeline.sources import streams as src  # noqa: E402
 from gaugeline.sources.tables import read_counters, read_table  # noqa: E402
 from gaugeline.streaming import sinks  # noqa: E402
-from gaugeline.streaming.scoring import start_bulk_scoring  # noqa: E402
+from gaugeline.streaming.scoring import score_stream, start_bulk_scoring  # noqa: E402
 
 with_views = views.with_views
 
@@ -271,6 +271,26 @@ def evaluations_streamed(spark, sf_dir):
     return spark.read.parquet(target)
 
 
+@query("SELECT machine_id, metric_name, algorithm, count(*) AS evaluations FROM evaluations GROUP BY ALL", EVAL)
+def evaluations_live(spark, sf_dir):
+    """The samples through keyed state, a bounded number of bytes per trigger. Files arrive in no certain order, so that
+    only the number of evaluations is compared."""
+    source, target, progress = (scratch_path(spark, f"live-{n}") for n in ("in", "out", "progress"))
+    rows = dedup.metrics_final(views.metrics_raw(spark, sf_dir))
+    rows = rows.select("metric_id", "machine_id", "name", "timestamp", "value").withColumn(
+        "timestamp", F.unix_millis("timestamp") / 1000
+    )
+    rows.write.option("maxRecordsPerFile", 100_000).parquet(source)
+    stream = spark.readStream.schema(rows.schema).option("maxBytesPerTrigger", 64 * 1024 * 1024).parquet(source)
+    writer = score_stream(stream).writeStream.format("parquet").option("path", target)
+    writer.option("checkpointLocation", progress).trigger(availableNow=True).start().awaitTermination()
+    return (
+        spark.read.parquet(target)
+        .groupBy("machine_id", "metric_name", "algorithm")
+        .agg(F.count("*").alias("evaluations"))
+    )
+
+
 # Whole-series averages
 
 _STATE = "{'i': 0::bigint, 'v': v, 'average': 0.0::double, 'variance': 0.0::double}"
@@ -976,6 +996,36 @@ def sink_loaded(spark, sf_dir):
     return read_table(spark, root, "metrics").drop("inserted_at")
 
 
+@query(
+    f"""SELECT 'messages_consumed_total' AS name, count(*)::double AS total FROM samples
+    UNION ALL SELECT 'malformed_records_total', count(*) FROM samples WHERE {_BAD_TEXT}
+    UNION ALL SELECT 'rows_written_total', count(*) FROM samples WHERE NOT {_BAD_TEXT}""",
+    ["samples"],
+)
+def sink_counters(spark, sf_dir):
+    """What the sink counted while it loaded the sample texts."""
+    source, root = scratch_path(spark, "counted-in"), scratch_path(spark, "counted-root")
+    texts = views.sample_texts(spark, sf_dir).select("value", "partition", "offset")
+    texts.repartition("partition").write.parquet(source)
+    stream = src.read_stream(spark, src.SourceSpec("parquet", source, topic="raw_metrics"))
+    progress = scratch_path(spark, "counted-progress")
+    sinks.start_sink(stream, sinks.SINKS["metrics"], root, progress, trigger=None).awaitTermination()
+    totals = sinks.job_counters(spark, root).where(F.col("name").endswith("_total"))
+    return totals.groupBy("name").agg(F.max_by("value", "ts").alias("total"))
+
+
+@query("SELECT metric_id, algorithm FROM evaluations", EVAL)
+def replays_dropped(spark, sf_dir):
+    """The stored evaluations, replays included, as a stream that lets each through once."""
+    target, progress = scratch_path(spark, "once-out"), scratch_path(spark, "once-progress")
+    stored = views.tables(spark, sf_dir).evaluations
+    stream = spark.readStream.schema(stored.schema).parquet(f"{views.store_root(spark, sf_dir)}/evaluations")
+    once = dedup.drop_replays(stream.withColumn("event_time", F.col("timestamp")), "31 days")
+    writer = once.select("metric_id", "algorithm").writeStream.format("parquet").option("path", target)
+    writer.option("checkpointLocation", progress).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(target)
+
+
 # Storage
 
 

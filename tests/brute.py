@@ -25,17 +25,30 @@ def mad(window, least, relative):
     return middle, middle - 3.5 * scale, middle + 3.5 * scale, scale > 0 and distances[-1] / scale >= 3.5
 
 
-def ewma(window, least, relative):
-    level, spread = window[0], 0.0
-    for i, value in enumerate(window[1:], start=1):
-        scale = max(3.0 * math.sqrt(spread), least, relative * abs(level))
-        out = (value - level) / scale > 1.0 if scale > 0 else value > level
-        if i == len(window) - 1:
-            return level, None, level + scale, out
-        weight = 0.1 * 0.1 if out and i >= 10 else 0.1
+def followed(past, alpha, damping, is_out):
+    """Level and spread after the `past` values; `is_out(i, value, level, spread)` says which are damped."""
+    states = [(past[0], 0.0)]
+    for i, value in enumerate(past):
+        if i == 0:
+            continue
+        level, spread = states[-1]
+        weight = alpha * damping if is_out(i, value, level, spread) else alpha
         step = value - level
-        level += weight * step
-        spread = (1 - weight) * (spread + weight * (step * step))
+        states.append((level + weight * step, (1 - weight) * (spread + weight * (step * step))))
+    return states
+
+
+def ewma(window, least, relative):
+    def scale(level, spread):
+        return max(3.0 * math.sqrt(spread), least, relative * abs(level))
+
+    def beyond(value, level, spread):
+        width = scale(level, spread)
+        return (value - level) / width > 1.0 if width else value > level
+
+    *past, newest = window
+    level, spread = followed(past, 0.1, 0.1, lambda i, *at: i >= 10 and beyond(*at))[-1]
+    return level, None, level + scale(level, spread), beyond(newest, level, spread)
 
 
 def evaluations(series):
@@ -53,14 +66,12 @@ def evaluations(series):
 
 
 def trajectory(values, alpha=0.1, multiplier=3.0, least=10.0, damping=0.1):
-    level, spread = values[0], 0.0
-    rows = [(level, None, False)]
-    for i, value in enumerate(values[1:], start=1):
-        bound = level + max(multiplier * math.sqrt(spread), least)
-        out = i >= 10 and value > bound
-        weight = alpha * damping if out else alpha
-        step = value - level
-        level += weight * step
-        spread = (1 - weight) * (spread + weight * (step * step))
-        rows.append((level, bound if i >= 10 else None, out))
+    def bound(level, spread):
+        return level + max(multiplier * math.sqrt(spread), least)
+
+    states = followed(values, alpha, damping, lambda i, v, *at: i >= 10 and v > bound(*at))
+    rows = [(values[0], None, False)]
+    for i in range(1, len(values)):
+        held = bound(*states[i - 1]) if i >= 10 else None
+        rows.append((states[i][0], held, held is not None and values[i] > held))
     return rows
