@@ -23,7 +23,7 @@ def non_empty(text: Column) -> Column:
 
 
 def number(text: Column) -> Column:
-    """A number sent as a number or as text; null for anything else. Bare NaN and infinity are read with quotes around."""
+    """A number sent as a number or as text; null for anything else. Bare NaN and infinity come with quotes around."""
     return F.when(text.rlike(DECIMAL), F.btrim(text, F.lit('"')).try_cast("double"))
 
 

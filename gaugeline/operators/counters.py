@@ -44,7 +44,8 @@ def counter_steps(
     if labels is not None:
         chosen = chosen.where(labels)
     # One text per set of labels, whatever the order of the map's entries.
-    keyed = chosen.select("name", F.to_json(F.array_sort(F.map_entries("labels"))).alias("series"), "ts", "value", "labels")
+    series = F.to_json(F.array_sort(F.map_entries("labels")))
+    keyed = chosen.select("name", series.alias("series"), "ts", "value", "labels")
     ordered = order_rows(keyed, ["name", "series", "ts"])
     chunks = with_chunks(ordered, 1, chunk_rows(counters.sparkSession, ordered.total))
     before = F.lag("value").over(Window.partitionBy("_chunk", "name", "series").orderBy("_pos"))

@@ -264,9 +264,8 @@ def with_metric_id(samples: DataFrame) -> DataFrame:
     entries = F.array_sort(F.map_entries(F.coalesce("attributes", F.create_map().cast("map<string,string>"))))
     attributes = F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
     position = F.col("position") if "position" in samples.columns else F.lit(0)
-    digest = F.md5(
-        F.concat_ws("|", "machine_id", "name", attributes, millis.cast("string"), position.cast("string")).cast("binary")
-    )
+    parts = ["machine_id", "name", attributes, millis.cast("string"), position.cast("string")]
+    digest = F.md5(F.concat_ws("|", *parts).cast("binary"))
     head = F.lpad(F.lower(F.hex(millis)), 12, "0")
     # The two top bits of this digit are the variant, 10.
     variant = F.substring(F.lit("89ab"), F.conv(F.substring(digest, 4, 1), 16, 10).cast("int") % 4 + 1, F.lit(1))

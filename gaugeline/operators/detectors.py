@@ -1,7 +1,7 @@
 """Detectors over many windows at once, and the rules that say which metric gets which.
 
-A detector sees a block of windows as a matrix, a row per scored sample, oldest value first. Its answer for a row depends
-on that row's window alone, the scored value included.
+A detector sees a block of windows, one per scored sample. Its answer for a sample depends on that sample's window
+alone, the scored value included.
 """
 
 from __future__ import annotations

@@ -236,9 +236,8 @@ def rolling_mad(samples: DataFrame, window: int = WINDOW_POINTS, order: tuple[st
         table = table.sort_by("_pos")
         own = np.flatnonzero(_flat(table, "_own").to_numpy(zero_copy_only=False))
         values = _flat(table, "value").to_numpy(zero_copy_only=False)
-        parts = [
-            (block, *rolling_spread(windows)) for block, windows in window_blocks(values, series_starts(table), own, window)
-        ]
+        blocks = window_blocks(values, series_starts(table), own, window)
+        parts = [(block, *rolling_spread(windows)) for block, windows in blocks]
         rows, median, mad, mean = (
             (np.concatenate(column) for column in zip(*parts, strict=True)) if parts else (np.empty(0, int),) * 4
         )

@@ -1,10 +1,10 @@
 """Averages that run over a whole series, without a window limit.
 
-The state after a row depends on every row before it, but a series may be too long for one task. The ordered rows are cut
-into chunks. Where a chunk continues a series, the state it starts from is first guessed by running over the rows just
-before it; old values fade, so the guess is mostly exact. Then every guess is compared with the state in which the chunk
-before really ended, and only the chunks that disagree are run again from that state, until none is left. The result
-is that of one pass over the series; a chunk and the list of chunks each hold about the square root of the rows.
+The state after a row depends on every row before it, but a series may be too long for one task. The ordered rows are
+cut into chunks. Where a chunk continues a series, the state it starts from is first guessed by running over the rows
+just before it; old values fade, so the guess is mostly exact. Then every guess is compared with the state in which the
+chunk before really ended, and only the chunks that disagree are run again from that state, until none is left. The
+result is that of one pass over the series; a chunk and the list of chunks each hold about the square root of the rows.
 """
 
 from __future__ import annotations

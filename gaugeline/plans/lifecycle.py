@@ -7,7 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.operators.dedup import KEYS, final
+from gaugeline.operators.dedup import KEYS, VERSIONS, final
 from gaugeline.schemas import INSERT_SEQ, DAILY, TABLES, stored_schema
 from gaugeline.session import delete_path, file_system, materialise
 
@@ -43,12 +43,16 @@ def _sorted_by_key(stored: DataFrame, table: str) -> DataFrame:
     """Rows in key order within files, so that Parquet statistics skip other series.
 
     Range partitioning on day and key gives every task one stretch of one or two days: no small files, and a day or a
-    series of any size is spread over as many files as it needs.
+    series of any size is spread over as many files as it needs. Copies of one row have equal keys; the number of the
+    partition they come from keeps them apart.
     """
-    if table not in DAILY:
-        return stored.repartition(*KEYS[table]).sortWithinPartitions(*KEYS[table])
-    keys = ["date", *KEYS[table]]
-    return stored.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    keys = [*(["date"] if table in DAILY else []), *KEYS[table], *([VERSIONS[table]] if VERSIONS[table] else [])]
+    return (
+        stored.withColumn("_from", F.spark_partition_id())
+        .repartitionByRange(*keys, "_from")
+        .sortWithinPartitions(*keys)
+        .drop("_from")
+    )
 
 
 def append(rows: DataFrame, root: str, table: str, insert_seq: int = 0, sort: bool = True) -> None:

@@ -1,9 +1,9 @@
 """Scoring a stream: per series the last values are kept as state, and every scored sample is judged as it arrives.
 
-Two ways, with the same results. `score_stream` keeps the values in Spark's state store, keyed by series: for live data,
-where a trigger lets in a few rows of each series. `start_bulk_scoring` keeps them in a small table beside the
-checkpoint and scores each micro-batch like a table, cut into even chunks whatever the series: for a backlog, or where one
-series may fill a large part of a batch.
+Two ways, with the same results. `score_stream` keeps the values in Spark's state store, keyed by series: for live
+data, where a trigger lets in a few rows of each series. `start_bulk_scoring` keeps them in a small table beside the
+checkpoint and scores each micro-batch like a table, cut into even chunks whatever the series: for a backlog, or where
+one series may fill a large part of a batch.
 """
 
 from __future__ import annotations

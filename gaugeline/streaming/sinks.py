@@ -162,7 +162,8 @@ def load_batch(
         if consumed > malformed:
             rows = spec.to_row(valid_records(examined))
             assert_schema(rows, TABLES[spec.table])
-            write_with_retries(lambda: write(rows, root, spec.table, round(time.time() * 1000), sort=False), attempts, wait, sleep)
+            sequence = round(time.time() * 1000)
+            write_with_retries(lambda: write(rows, root, spec.table, sequence, sort=False), attempts, wait, sleep)
         seconds = time.perf_counter() - started
         if malformed:
             bad = malformed_records(examined).withColumn("table", F.lit(spec.table))

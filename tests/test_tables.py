@@ -86,6 +86,16 @@ def test_days_and_replays_on_disk(spark, root):
         read_table(spark, root, "other")
 
 
+def test_copies_of_one_row_are_spread_over_files(spark, root):
+    one = metrics(spark, SAMPLES[:1]).first()
+    values = [F.lit(one[c]).cast(METRICS_TABLE[c].dataType).alias(c) for c in one.asDict() if c != "attributes"]
+    copies = spark.range(0, 4_000, 1, 4).select(*values, F.expr("map('k', '1')").alias("attributes"))
+    lifecycle.append(copies, root, "metrics")
+    sizes = spark.read.parquet(f"{root}/metrics").groupBy(F.col("_metadata.file_path")).count().collect()
+    assert len(sizes) > 1 and max(r["count"] for r in sizes) < 2_500
+    assert read_table(spark, root, "metrics").count() == 1
+
+
 def test_a_day_expires_as_a_whole(spark, root):
     lifecycle.append(metrics(spark, SAMPLES), root, "metrics")
     newest_of_first_day = DAY + timedelta(seconds=10)
