@@ -1257,6 +1257,21 @@ def up_or_zero(spark, sf_dir):
     return answers
 
 
+# Operators on training data: there only if their subpackage is.
+try:
+    from gaugeline.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if not str(missing.name).startswith("gaugeline.llm"):
+        raise
+else:
+    import corpus_pipeline
+
+    _queries.update(llm_queries.QUERIES, pipeline=corpus_pipeline.run)
+    _oracles.update(llm_queries.ORACLE_SQL)
+    if corpus_pipeline.ORACLE_SQL is not None:
+        _oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: every scored sample of sf0.001 under both detectors."""
     return _queries["evaluations"](spark, "/root/testdata/sf0.001")
