@@ -6,18 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeline.llm import rules
+from gaugeline.llm import ball_hash, rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op9_ball_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_hash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op9_ball_hash": op9_ball_hash,
     "op10_quality_rules": op10_quality_rules,
 }
 
