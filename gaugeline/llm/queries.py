@@ -5,14 +5,27 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gaugeline.llm import ball_hash, rules
+from gaugeline.llm import ball_hash, rlbwt, rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op7_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = rlbwt.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    return cut.select(
+        "doc_id",
+        n_bytes.alias("n_bytes"),
+        (n_bytes - F.length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op9_ball_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ball_hash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -22,6 +35,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_run_length_index": op7_run_length_index,
     "op9_ball_hash": op9_ball_hash,
     "op10_quality_rules": op10_quality_rules,
 }
