@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import ball_hash, rlbwt, rules
+from gaugeline.llm import ball_hash, rlbwt, rules, ss_packing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +27,11 @@ def op7_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return ss_packing.checksum(ss_packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")))
+
+
 def op9_ball_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ball_hash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -36,6 +42,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_run_length_index": op7_run_length_index,
+    "op8_sum_of_squares": op8_sum_of_squares,
     "op9_ball_hash": op9_ball_hash,
     "op10_quality_rules": op10_quality_rules,
 }
