@@ -8,13 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import ball_hash, rlbwt, rules, ss_packing
+from gaugeline.llm import ball_hash, byte_cnn, rlbwt, rules, ss_packing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = byte_cnn.identify(docs.select("doc_id", "text"), byte_cnn.fit(docs))
+    return found.select("doc_id", byte_cnn.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op7_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = rlbwt.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
@@ -41,6 +47,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_byte_cnn": op1_byte_cnn,
     "op7_run_length_index": op7_run_length_index,
     "op8_sum_of_squares": op8_sum_of_squares,
     "op9_ball_hash": op9_ball_hash,
