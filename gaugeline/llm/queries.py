@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import ball_hash, byte_cnn, rlbwt, rules, ss_packing
+from gaugeline.llm import align, ball_hash, byte_cnn, rlbwt, rules, ss_packing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,12 @@ def op1_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", byte_cnn.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op5_seeded_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = align.leaks(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
 def op7_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = rlbwt.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
@@ -48,6 +54,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_cnn": op1_byte_cnn,
+    "op5_seeded_alignment": op5_seeded_alignment,
     "op7_run_length_index": op7_run_length_index,
     "op8_sum_of_squares": op8_sum_of_squares,
     "op9_ball_hash": op9_ball_hash,
