@@ -88,3 +88,34 @@ class RollingHash:
         if n <= 0:
             return np.zeros(0, np.uint64)
         return mix((prefix[k:] - prefix[:n]) * self._down[:n])
+
+
+SPANS = "array<struct<a:int,b:int>>"
+
+
+def beside(texts: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    """Rows of `texts` with what was found for their doc_id, null or not, and text hash (`_hash`)."""
+    found = found.withColumnRenamed("doc_id", "_id").withColumnRenamed("_hash", "_of")
+    joined = texts.join(found, texts["doc_id"].eqNullSafe(found["_id"]) & (texts["_hash"] == found["_of"]), how)
+    return joined.drop("_id", "_of")
+
+
+def merged(ranges: Column) -> Column:
+    """Sorted ranges (a, b) with overlapping and touching ones joined."""
+
+    def add(done: Column, x: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        joined = F.struct(last["a"].alias("a"), F.greatest(last["b"], x["b"]).alias("b"))
+        longer = F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(joined))
+        return F.when(last["b"] >= x["a"], longer).otherwise(F.concat(done, F.array(x)))
+
+    return F.aggregate(ranges, F.array().cast(SPANS), add)
+
+
+def without(text: Column, spans: Column) -> Column:
+    """The bytes of `text` outside the ordered ranges `spans`; all of them if that is null."""
+    begins = F.concat(F.array(F.lit(0)), spans["b"])
+    ends = F.concat(spans["a"], F.array(F.length(text)))
+    cut = F.zip_with(begins, ends, lambda x, y: F.substring(text, x + 1, y - x))
+    kept = F.aggregate(cut, F.lit("").cast("binary"), lambda done, piece: F.concat(done, piece))
+    return F.when(spans.isNull(), text).otherwise(kept)

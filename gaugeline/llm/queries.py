@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import align, ball_hash, byte_cnn, rlbwt, rules, ss_packing
+from gaugeline.llm import align, ball_hash, byte_cnn, link_trust, merkle, rlbwt, rules, ss_packing, unit_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,12 +21,28 @@ def op1_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", byte_cnn.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op2_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = merkle.archived(table(spark, sf_dir, "pages"))
+    return merkle.audit(records, merkle.damaged_copy(records), keep=("page_id",))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = unit_dedup.remove_repeated_units(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = F.sha2(F.coalesce("kept", F.lit("")).cast("binary"), 256)
+    counts = [F.col(c).cast("long").alias(c) for c in ("n_units", "n_removed")]
+    return cut.select("doc_id", *counts, kept.alias("kept_sha256"))
+
+
 def op5_seeded_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = align.leaks(docs, table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
 
 
+def op6_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_trust.judge(table(spark, sf_dir, "pages"))
+
+
 def op7_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = rlbwt.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
@@ -54,7 +70,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_cnn": op1_byte_cnn,
+    "op2_merkle_audit": op2_merkle_audit,
+    "op4_line_dedup": op4_line_dedup,
     "op5_seeded_alignment": op5_seeded_alignment,
+    "op6_link_trust": op6_link_trust,
     "op7_run_length_index": op7_run_length_index,
     "op8_sum_of_squares": op8_sum_of_squares,
     "op9_ball_hash": op9_ball_hash,
@@ -62,5 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_merkle_audit": merkle.SQL,
+    "op4_line_dedup": unit_dedup.SQL,
     "op10_quality_rules": rules.judge_sql(),
 }

@@ -29,11 +29,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeline.llm.common import RollingHash, even_partitions, own, stored, utf8
+from gaugeline.llm.common import SPANS, RollingHash, beside, even_partitions, merged, own, stored, utf8, without
 
 #: Bytes of text that one task indexes at a time; sorting ranks of three neighbours in 63 bits needs fewer than 2**21.
 SHARD_BYTES = 1_000_000
@@ -296,7 +296,7 @@ def repeats(docs: DataFrame, length: int = 400, shard_bytes: int = SHARD_BYTES)
     parts = [c for c in grouped.columns if c not in ("doc_id", "_hash")]
     wanted = grouped.groupBy("doc_id", "_hash").agg(F.collect_list(F.struct(*parts)).alias("parts"))
     text = F.col("text").cast("binary")
-    taken = _beside(texts, wanted, "inner").select(
+    taken = beside(texts, wanted, "inner").select(
         F.explode(
             F.transform("parts", lambda x: x.withField("text", F.substring(text, x["at"] + 1, x["n"] + F.lit(length - 1))))
         ).alias("part")
@@ -309,39 +309,12 @@ def repeats(docs: DataFrame, length: int = 400, shard_bytes: int = SHARD_BYTES)
         "doc_id", "_hash", (F.col("at") + F.col("first")).alias("a"), (F.col("at") + F.col("last") + length).alias("b")
     )
     ranges = spans.groupBy("doc_id", "_hash").agg(F.sort_array(F.collect_set(F.struct("a", "b"))).alias("ranges"))
-    return ranges.select("doc_id", "_hash", _merged(F.col("ranges")).alias("spans"))
-
-
-def _beside(texts: DataFrame, found: DataFrame, how: str) -> DataFrame:
-    """Rows of `texts` with what was found for them by id, null or not, and text."""
-    found = found.withColumnRenamed("doc_id", "_id").withColumnRenamed("_hash", "_of")
-    joined = texts.join(found, texts["doc_id"].eqNullSafe(found["_id"]) & (texts["_hash"] == found["_of"]), how)
-    return joined.drop("_id", "_of")
-
-
-def _merged(ranges: Column) -> Column:
-    """Sorted ranges with overlapping and touching ones joined."""
-
-    def add(done: Column, x: Column) -> Column:
-        last = F.element_at(done, -1)
-        head = F.slice(done, F.lit(1), F.size(done) - 1)
-        joined = F.struct(last["a"].alias("a"), F.greatest(last["b"], x["b"]).alias("b"))
-        return F.when((F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["b"] >= x["a"]), F.concat(head, F.array(joined))).otherwise(
-            F.concat(done, F.array(x))
-        )
-
-    return F.aggregate(ranges, F.array().cast("array<struct<a:int,b:int>>"), add)
+    return ranges.select("doc_id", "_hash", merged(F.col("ranges")).alias("spans"))
 
 
 def remove_repeats(docs: DataFrame, length: int = 400, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """All of `docs` with `spans` (array of removed byte ranges, empty if none) and `kept` (the remaining bytes)."""
     texts = docs.withColumn("_hash", F.xxhash64(utf8("text")))
-    joined = _beside(texts, repeats(docs, length, shard_bytes), "left").drop("_hash")
-    spans = F.coalesce("spans", F.array().cast("array<struct<a:int,b:int>>"))
-    text = utf8("text")
-    begins = F.concat(F.array(F.lit(0)), F.col("spans")["b"])
-    ends = F.concat(F.col("spans")["a"], F.array(F.length(text)))
-    pieces = F.transform(F.arrays_zip(begins.alias("x"), ends.alias("y")), lambda z: F.substring(text, z["x"] + 1, z["y"] - z["x"]))
-    kept = F.aggregate(pieces, F.lit("").cast("binary"), lambda done, piece: F.concat(done, piece))
-    kept = F.when(F.col("spans").isNull(), text).otherwise(kept)
-    return joined.withColumn("kept", kept).withColumn("spans", spans)
+    joined = beside(texts, repeats(docs, length, shard_bytes), "left").drop("_hash")
+    kept = without(utf8("text"), F.col("spans"))
+    return joined.withColumn("kept", kept).withColumn("spans", F.coalesce("spans", F.array().cast(SPANS)))
