@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import align, ball_hash, byte_cnn, link_trust, merkle, rlbwt, rules, ss_packing, unit_dedup
+from gaugeline.llm import align, ball_hash, byte_cnn, cotrain, link_trust, merkle, rlbwt, rules, ss_packing, unit_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,12 @@ def op2_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(records, merkle.damaged_copy(records), keep=("page_id",))
 
 
+def op3_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = cotrain.score(docs, cotrain.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", "text_score", "meta_score", "score", (F.col("score") >= 0.5).alias("kept"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = unit_dedup.remove_repeated_units(table(spark, sf_dir, "documents").select("doc_id", "text"))
     kept = F.sha2(F.coalesce("kept", F.lit("")).cast("binary"), 256)
@@ -71,6 +77,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_cnn": op1_byte_cnn,
     "op2_merkle_audit": op2_merkle_audit,
+    "op3_cotraining": op3_cotraining,
     "op4_line_dedup": op4_line_dedup,
     "op5_seeded_alignment": op5_seeded_alignment,
     "op6_link_trust": op6_link_trust,
