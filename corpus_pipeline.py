@@ -2,16 +2,71 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES = []
+from gaugeline.llm import align, ball_hash, byte_cnn, rlbwt, ss_packing
+from gaugeline.llm.common import stored
 
-#: No stage can be said in SQL.
+#: Documents whose likeliest language is less likely than this are of no known one.
+LEAST_SCORE = 0.25
+#: Bytes of a repeated passage: some forty words, so that any of over fifty is caught.
+PASSAGE_BYTES = 200
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the languages that their labels teach; those without a letter, or of no clear language, go."""
+    found = byte_cnn.identify(docs, byte_cnn.fit(docs))
+    clear = (F.col("lang_pred") != byte_cnn.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
+    return found.filter(clear).select(docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return ball_hash.one_of_each(docs)
+
+
+def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the passages that stand elsewhere too; what is left of a cut character goes as well."""
+
+    @F.arrow_udf("string")
+    def readable(kept):
+        import pyarrow as pa
+
+        return pa.array([None if x is None else x.decode("utf-8", "ignore") for x in kept.to_pylist()], pa.string())
+
+    cut = rlbwt.remove_repeats(docs, PASSAGE_BYTES)
+    text = F.coalesce(readable(F.when(F.size("spans") > 0, F.col("kept"))), F.col("text"))
+    cut = cut.withColumn("text", text)
+    return cut.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no copy of a test item."""
+    found = align.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.filter(F.size("leaks") == 0).select(docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences, each with its ids."""
+    return ss_packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("language", language),
+    ("near_dedup", near_dedup),
+    ("passage_dedup", passage_dedup),
+    ("decontaminate", decontaminate),
+    ("packing", packing),
+]
+
+#: SQL cannot say the stages (training, sketches, indexes, alignment).
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -34,10 +34,20 @@ from gaugeline.llm.components import components
 
 #: Variants that one task expands at a time.
 VARIANTS = 2_000_000
+#: Independent fingerprints by which `one_of_each` looks for near texts.
+TABLES = 4
 #: Leading bits by which an overfull bucket is dealt out again.
 MORE_BITS = 6
 
 
+def _majority(hashes: list[int]) -> int:
+    votes = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 4096):
+        block = np.array(hashes[at : at + 4096], dtype=">u8")
+        votes += np.unpackbits(block.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.uint32)
+    return int.from_bytes(np.packbits(2 * votes > len(hashes)).tobytes(), "big")
+
+
 def fingerprint(text: bytes, width: int) -> int:
     """64 majority votes over the hashes of the text's word windows (all of its words if it has fewer)."""
     words = text.lower().split()  # of bytes: only A-Z, and only ASCII white space
@@ -52,11 +62,14 @@ def fingerprint(text: bytes, width: int) -> int:
         stops = (ends[width - 1 :] - 1).tolist()
         digest = xxhash.xxh64_intdigest
         hashes = [digest(joined[a:b], 42) for a, b in zip(starts, stops, strict=True)]
-    votes = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 4096):
-        block = np.array(hashes[at : at + 4096], dtype=">u8")
-        votes += np.unpackbits(block.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.uint32)
-    return int.from_bytes(np.packbits(2 * votes > len(hashes)).tobytes(), "big")
+    return _majority(hashes)
+
+
+def word_set_fingerprints(text: bytes, tables: int) -> list[int]:
+    """Fingerprints by different seeds, in which each different word votes once."""
+    words = set(text.lower().split())
+    digest = xxhash.xxh64_intdigest
+    return [_majority([digest(word, seed) for word in words]) if words else 0 for seed in range(tables)]
 
 
 def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
@@ -83,52 +96,46 @@ def _flips(bits: int, most: int) -> np.ndarray:
     return np.array(masks, np.uint64)
 
 
-def _signed(n: int) -> int:
-    return n - (1 << 64) if n >= 1 << 63 else n
+def _deal(rows: DataFrame, depth: int, deeper: int, half: int) -> DataFrame:
+    """Every row (`fp`, and `bucket` of `depth` leading bits) once for each bucket of `deeper` bits that its variants reach."""
+    masks = [F.lit(int(m)) for m in _flips(deeper - depth, half)]
+    own_bits = F.shiftrightunsigned(F.col("fp"), 64 - deeper).bitwiseAND((1 << (deeper - depth)) - 1)
+    spread = rows.select("fp", "bucket", F.explode(F.array(*masks)).alias("mask"))
+    bucket = F.shiftleft("bucket", deeper - depth).bitwiseOR(own_bits.bitwiseXOR(F.col("mask")))
+    spread = spread.select("fp", bucket.alias("bucket"))
+    return spread.filter(_used(deeper) <= half) if depth else spread
 
 
-def _deal(rows: DataFrame, depth: int, deeper: int, half: int) -> DataFrame:
-    """Every row once for each bucket of `deeper` leading bits that its variants reach; `depth` bits are dealt by already."""
-    masks = [
-        F.struct(F.lit(_signed(int(m) << (64 - deeper))).alias("mask"), F.lit(int(m).bit_count()).alias("cost"))
-        for m in _flips(deeper - depth, half)
-    ]
-    spread = rows.select("fp", "v", "used", F.explode(F.array(*masks)).alias("flip"))
-    spread = spread.filter(F.col("used") + F.col("flip.cost") <= half)
-    v = F.col("v").bitwiseXOR(F.col("flip.mask"))
-    return spread.select(
-        "fp",
-        v.alias("v"),
-        (F.col("used") + F.col("flip.cost")).alias("used"),
-        F.lit(deeper).alias("depth"),
-        F.shiftrightunsigned(v, 64 - deeper).alias("bucket"),
-    )
-
-
-def _weight(bits: int, half: int) -> Column:
+def _used(depth: int) -> Column:
+    """How many of the leading bits the bucket has flipped."""
+    return F.bit_count(F.shiftrightunsigned(F.col("fp"), 64 - depth).bitwiseXOR(F.col("bucket")))
+
+
+def _weight(depth: int, half: int) -> Column:
     """Variants that a row stands for, by the flips that it has left."""
     weight = F.lit(1)
     for used in range(half):
-        weight = F.when(F.col("used") == used, F.lit(ball(bits, half - used))).otherwise(weight)
+        weight = F.when(_used(depth) == used, F.lit(ball(64 - depth, half - used))).otherwise(weight)
     return weight
 
 
 def _buckets(fps: DataFrame, half: int, variants: int) -> DataFrame:
-    """`fps` dealt into buckets of at most about `variants` variants, whatever fingerprints lie close together."""
+    """`fps` dealt into buckets (of `depth` bits) of at most about `variants` variants, whatever lies close together."""
     spread = fps.count() * ball(64, half) / (variants / 2)
     deeper = min(24, max(1, math.ceil(math.log2(max(2, spread)))))
-    rows, depth = fps.select("fp", F.col("fp").alias("v"), F.lit(0).alias("used")), 0
+    rows, depth = fps.select("fp", F.lit(0).cast("long").alias("bucket")), 0
     ready = None
     while True:
         dealt = _deal(rows, depth, deeper, half)
-        full = dealt.groupBy("bucket").agg(F.sum(_weight(64 - deeper, half)).alias("n")).filter(F.col("n") > variants)
+        full = dealt.groupBy("bucket").agg(F.sum(_weight(deeper, half)).alias("n")).filter(F.col("n") > variants)
         full = stored(full.select("bucket"), "full-buckets")
         done = deeper == 64 or full.isEmpty()
-        fitting = dealt if done else dealt.join(full, "bucket", "left_anti").select(dealt.columns)
+        fitting = dealt if done else dealt.join(full, "bucket", "left_anti").select("fp", "bucket")
+        fitting = fitting.withColumn("depth", F.lit(deeper))
         ready = fitting if ready is None else ready.unionByName(fitting)
         if done:
             return ready
-        rows = stored(dealt.join(full, "bucket", "left_semi").select("fp", "v", "used"), "overfull")
+        rows = stored(dealt.join(full, "bucket", "left_semi").select("fp", "bucket"), "overfull")
         depth, deeper = deeper, min(64, deeper + MORE_BITS)
 
 
@@ -160,9 +167,11 @@ def links(fps: DataFrame, radius: int = 4, variants: int = VARIANTS) -> DataFram
 
     def meet(key: tuple, rows: pa.Table) -> pa.Table:
         fp = rows.column("fp").to_numpy().view(np.uint64)
-        v = rows.column("v").to_numpy().view(np.uint64)
-        used = rows.column("used").to_numpy()
-        bits = 64 - key[0].as_py()
+        depth, bucket = key[0].as_py(), key[1].as_py()
+        bits = 64 - depth
+        low = np.uint64((1 << bits) - 1)
+        v = fp & low | np.uint64((bucket << bits) % (1 << 64))
+        used = np.bitwise_count(fp ^ v)
         made, owner = [], []
         for flipped in range(half + 1):
             own_ = np.flatnonzero(used == flipped)
@@ -195,3 +204,40 @@ def near_duplicates(docs: DataFrame, width: int = 4, radius: int = 4) -> DataFra
     by_fp = rooted.join(named, "root").select("fp", "component_id")
     shown = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return found.join(by_fp, "fp").select("doc_id", shown.alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, tables: int = TABLES, radius: int = 4) -> DataFrame:
+    """`docs` with one row (the least doc_id that is not null, then text hash) of each group of near-duplicates.
+
+    Near are texts whose word sets have fingerprints within `radius` bits under any of `tables` seeds, and what chains
+    of near texts connect. Repeated rows count as one document.
+    """
+    hashed = docs.withColumn("_key", F.struct("doc_id", F.xxhash64(utf8("text")).alias("hash")))
+    chosen = hashed.select("_key", utf8("text").alias("_text"))
+
+    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [word_set_fingerprints(text, tables) for text in rows_of(batch, "_text")]
+            fps = np.array(found, np.uint64).reshape(-1, tables).view(np.int64)
+            columns = [pa.array(np.ascontiguousarray(fps[:, k])) for k in range(tables)]
+            yield pa.RecordBatch.from_arrays([batch.column("_key"), *columns], ["_key", *names])
+
+    names = [f"fp{k}" for k in range(tables)]
+    kinds = [T.StructField(name, T.LongType()) for name in names]
+    found = chosen.mapInArrow(vote, T.StructType([chosen.schema["_key"], *kinds]))
+    found = stored(found.withColumn("node", F.xxhash64(*names)), "word-set-fingerprints")
+    nodes = found.select("node", *names).distinct()
+    near = None
+    for name in names:
+        named = stored(nodes.groupBy(F.col(name).alias("fp")).agg(F.min("node").alias("first")), "table")
+        same = nodes.join(named, nodes[name] == named["fp"]).select(F.col("node").alias("u"), F.col("first").alias("v"))
+        u, v = (named.select(F.col("fp").alias(c), F.col("first").alias(f"{c}_first")) for c in "uv")
+        close = links(named.select("fp"), radius).join(u, "u").join(v, "v").select(F.col("u_first").alias("u"), F.col("v_first").alias("v"))
+        part = stored(same.filter("u <> v").unionByName(close), "table-links")
+        near = part if near is None else near.unionByName(part)
+    rooted = found.select("_key", "node").join(components(near), "node", "left")
+    order = F.struct(F.col("_key.doc_id").isNull().alias("last"), F.col("_key").alias("key"))
+    kept = rooted.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min(order).alias("kept"))
+    kept = kept.select(F.col("kept.key").alias("_key"))
+    joined = hashed.join(kept, "_key", "left_semi")
+    return joined.dropDuplicates(["_key"]).select(docs.columns)
