@@ -65,7 +65,9 @@ def remove_repeated_units(docs: DataFrame, separator: str = "\n", least_words: i
     units = stored(_units(texts, separator, least_words), "units")
     one = F.struct("doc_id", "_hash", "place")
     groups = units.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min(one).alias("first"))
-    copies = units.join(groups.filter("n > 1").drop("n"), ["d1", "d2"]).filter(~one.eqNullSafe(F.col("first")))
+    # Written first: a join of two plain exchanges, which adaptive execution can split at a very common unit.
+    groups = stored(groups.filter("n > 1").drop("n"), "repeated-units")
+    copies = units.join(groups, ["d1", "d2"]).filter(~one.eqNullSafe(F.col("first")))
     spans = copies.groupBy("doc_id", "_hash").agg(F.sort_array(F.collect_set(F.struct("a", "b"))).alias("parts"))
     spans = spans.select("doc_id", "_hash", F.size("parts").alias("n_removed"), merged(F.col("parts")).alias("spans"))
     joined = beside(docs.withColumn("_hash", F.xxhash64(utf8("text"))), spans, "left").drop("_hash")
