@@ -202,7 +202,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, n: int =
     item_type = item_type[benchmark.schema["item_id"].dataType.simpleString()]
     for number, block in enumerate(blocks(benchmark, n, block_words)):
         shared = docs.sparkSession.sparkContext.broadcast(rarest(docs, block, n, share))
-        name = f"_leaks{number}"
+        name = f"_llm_leaks{number}"
         found = found.withColumn(name, F.arrow_udf(_aligner(shared, n, least, item_type), kind)(F.lower("text").cast("binary")))
         names.append(name)
     together = F.concat(*names) if names else F.array().cast(kind)

@@ -212,19 +212,19 @@ def one_of_each(docs: DataFrame, tables: int = TABLES, radius: int = 4) -> DataF
     Near are texts whose word sets have fingerprints within `radius` bits under any of `tables` seeds, and what chains
     of near texts connect. Repeated rows count as one document.
     """
-    hashed = docs.withColumn("_key", F.struct("doc_id", F.xxhash64(utf8("text")).alias("hash")))
-    chosen = hashed.select("_key", utf8("text").alias("_text"))
+    hashed = docs.withColumn("_llm_key", F.struct("doc_id", F.xxhash64(utf8("text")).alias("hash")))
+    chosen = hashed.select("_llm_key", utf8("text").alias("_text"))
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [word_set_fingerprints(text, tables) for text in rows_of(batch, "_text")]
             fps = np.array(found, np.uint64).reshape(-1, tables).view(np.int64)
             columns = [pa.array(np.ascontiguousarray(fps[:, k])) for k in range(tables)]
-            yield pa.RecordBatch.from_arrays([batch.column("_key"), *columns], ["_key", *names])
+            yield pa.RecordBatch.from_arrays([batch.column("_llm_key"), *columns], ["_llm_key", *names])
 
     names = [f"fp{k}" for k in range(tables)]
     kinds = [T.StructField(name, T.LongType()) for name in names]
-    found = chosen.mapInArrow(vote, T.StructType([chosen.schema["_key"], *kinds]))
+    found = chosen.mapInArrow(vote, T.StructType([chosen.schema["_llm_key"], *kinds]))
     found = stored(found.withColumn("node", F.xxhash64(*names)), "word-set-fingerprints")
     nodes = found.select("node", *names).distinct()
     near = None
@@ -235,9 +235,9 @@ def one_of_each(docs: DataFrame, tables: int = TABLES, radius: int = 4) -> DataF
         close = links(named.select("fp"), radius).join(u, "u").join(v, "v").select(F.col("u_first").alias("u"), F.col("v_first").alias("v"))
         part = stored(same.filter("u <> v").unionByName(close), "table-links")
         near = part if near is None else near.unionByName(part)
-    rooted = found.select("_key", "node").join(components(near), "node", "left")
-    order = F.struct(F.col("_key.doc_id").isNull().alias("last"), F.col("_key").alias("key"))
+    rooted = found.select("_llm_key", "node").join(components(near), "node", "left")
+    order = F.struct(F.col("_llm_key.doc_id").isNull().alias("last"), F.col("_llm_key").alias("key"))
     kept = rooted.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min(order).alias("kept"))
-    kept = kept.select(F.col("kept.key").alias("_key"))
-    joined = hashed.join(kept, "_key", "left_semi")
-    return joined.dropDuplicates(["_key"]).select(docs.columns)
+    kept = kept.select(F.col("kept.key").alias("_llm_key"))
+    joined = hashed.join(kept, "_llm_key", "left_semi")
+    return joined.dropDuplicates(["_llm_key"]).select(docs.columns)

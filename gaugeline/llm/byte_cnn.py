@@ -194,5 +194,5 @@ def identify(docs: DataFrame, network: Network | None) -> DataFrame:
             yield pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score)], ["lang", "score"])
 
     text = F.when(readable(), F.lower("text").cast("binary"))
-    found = docs.withColumn("_found", judged(text))
-    return found.withColumns({"lang_pred": F.col("_found.lang"), "score": F.col("_found.score")}).drop("_found")
+    found = docs.withColumn("_llm_found", judged(text))
+    return found.withColumns({"lang_pred": F.col("_llm_found.lang"), "score": F.col("_llm_found.score")}).drop("_llm_found")

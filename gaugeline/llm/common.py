@@ -92,12 +92,22 @@ class RollingHash:
 
 SPANS = "array<struct<a:int,b:int>>"
 
+#: Hash of a document's text; with doc_id it names a document, which repeated rows share.
+HASH_COLUMN = "_llm_hash"
+
+
+def hashed(docs: DataFrame, *results: str) -> DataFrame:
+    """`docs` with the hash of each text, without columns that would clash with an operator's results."""
+    prepare(docs.sparkSession)
+    return docs.drop(*results).withColumn(HASH_COLUMN, F.xxhash64(utf8("text")))
+
+
 
 def beside(texts: DataFrame, found: DataFrame, how: str) -> DataFrame:
-    """Rows of `texts` with what was found for their doc_id, null or not, and text hash (`_hash`)."""
-    found = found.withColumnRenamed("doc_id", "_id").withColumnRenamed("_hash", "_of")
-    joined = texts.join(found, texts["doc_id"].eqNullSafe(found["_id"]) & (texts["_hash"] == found["_of"]), how)
-    return joined.drop("_id", "_of")
+    """Rows of `texts` with what was found for their doc_id, null or not, and text hash (`HASH_COLUMN`)."""
+    found = found.withColumnRenamed("doc_id", "_llm_id").withColumnRenamed(HASH_COLUMN, "_llm_of")
+    joined = texts.join(found, texts["doc_id"].eqNullSafe(found["_llm_id"]) & (texts[HASH_COLUMN] == found["_llm_of"]), how)
+    return joined.drop("_llm_id", "_llm_of")
 
 
 def merged(ranges: Column) -> Column:

@@ -189,6 +189,6 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             scores = np.concatenate(out)
             yield pa.StructArray.from_arrays([pa.array(scores[:, k]) for k in range(3)], ["text_score", "meta_score", "score"])
 
-    found = docs.withColumn("_scores", judged(F.col("text").cast("binary"), "source", "lang", "n_chars"))
+    found = docs.withColumn("_llm_scores", judged(F.col("text").cast("binary"), "source", "lang", "n_chars"))
     names = ("text_score", "meta_score", "score")
-    return found.withColumns({name: F.col(f"_scores.{name}") for name in names}).drop("_scores")
+    return found.withColumns({name: F.col(f"_llm_scores.{name}") for name in names}).drop("_llm_scores")

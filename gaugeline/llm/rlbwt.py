@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeline.llm.common import SPANS, RollingHash, beside, even_partitions, merged, own, stored, utf8, without
+from gaugeline.llm.common import HASH_COLUMN, SPANS, RollingHash, beside, even_partitions, hashed, merged, own, stored, utf8, without
 
 #: Bytes of text that one task indexes at a time; sorting ranks of three neighbours in 63 bits needs fewer than 2**21.
 SHARD_BYTES = 1_000_000
@@ -89,14 +89,14 @@ def segments(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
 
 
 def _anchors(docs: DataFrame, length: int) -> DataFrame:
-    chosen = docs.select("doc_id", "_hash", utf8("text").alias("text"))
+    chosen = docs.select("doc_id", HASH_COLUMN, utf8("text").alias("text"))
     fields = [("anchor", T.LongType()), ("segment", T.LongType()), ("at", T.IntegerType()), ("n", T.IntegerType()), ("place", T.IntegerType())]
-    schema = T.StructType([chosen.schema["doc_id"], chosen.schema["_hash"], *[T.StructField(*f) for f in fields]])
+    schema = T.StructType([chosen.schema["doc_id"], chosen.schema[HASH_COLUMN], *[T.StructField(*f) for f in fields]])
 
     def emit(batch: pa.RecordBatch, rows: list[int], texts: list[bytes]) -> pa.RecordBatch:
         of, anchor, whole, at, n, place = segments(texts, length)
         of = pa.array(np.array(rows, np.int64)[of])
-        columns = [batch.column("doc_id").take(of), batch.column("_hash").take(of)]
+        columns = [batch.column("doc_id").take(of), batch.column(HASH_COLUMN).take(of)]
         columns += [pa.array(x.view(np.int64)) for x in (anchor, whole)]
         columns += [pa.array(x.astype(np.int32)) for x in (at, n, place)]
         return pa.RecordBatch.from_arrays(columns, [f.name for f in schema])
@@ -279,22 +279,22 @@ def _repeated(candidates: DataFrame, length: int, shard_bytes: int) -> DataFrame
 
 
 def repeats(docs: DataFrame, length: int = 400, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """`doc_id, _hash, spans`: the maximal byte ranges to remove from each text that has any; `_hash` is the text's."""
-    texts = own(docs, "doc_id", "text").withColumn("_hash", F.xxhash64(utf8("text")))
+    """`doc_id`, text hash, `spans`: the maximal byte ranges to remove from each text that has any."""
+    texts = hashed(own(docs, "doc_id", "text"))
     anchors = stored(_anchors(texts, length), "anchors")
     counted = anchors.groupBy("anchor").agg(
         F.count("*").alias("copies"), (F.min("segment") == F.max("segment")).alias("same")
     )
     seen = stored(anchors.join(counted.filter("copies > 1").drop("copies"), "anchor"), "repeated-anchors")
-    where = F.struct("doc_id", "_hash", "at", "n", "place")
+    where = F.struct("doc_id", HASH_COLUMN, "at", "n", "place")
     different = seen.filter("not same").groupBy("anchor", "segment")
     different = different.agg(F.count("*").alias("copies"), F.min(where).alias("one")).select(
         "anchor", "segment", "copies", "one.*", F.col("anchor").alias("key"), F.lit(0).alias("offset"),
         F.col("segment").alias("whole"), (F.col("one.n") + F.lit(length)).alias("size"),
     )
     grouped = _grouped(different)
-    parts = [c for c in grouped.columns if c not in ("doc_id", "_hash")]
-    wanted = grouped.groupBy("doc_id", "_hash").agg(F.collect_list(F.struct(*parts)).alias("parts"))
+    parts = [c for c in grouped.columns if c not in ("doc_id", HASH_COLUMN)]
+    wanted = grouped.groupBy("doc_id", HASH_COLUMN).agg(F.collect_list(F.struct(*parts)).alias("parts"))
     text = F.col("text").cast("binary")
     taken = beside(texts, wanted, "inner").select(
         F.explode(
@@ -306,15 +306,15 @@ def repeats(docs: DataFrame, length: int = 400, shard_bytes: int = SHARD_BYTES)
     spread = seen.filter("not same").join(marks, ["anchor", "segment"])
     whole = seen.filter("same").withColumns({"first": F.lit(0), "last": F.col("n") - 1})
     spans = spread.select(whole.columns).unionByName(whole).select(
-        "doc_id", "_hash", (F.col("at") + F.col("first")).alias("a"), (F.col("at") + F.col("last") + length).alias("b")
+        "doc_id", HASH_COLUMN, (F.col("at") + F.col("first")).alias("a"), (F.col("at") + F.col("last") + length).alias("b")
     )
-    ranges = spans.groupBy("doc_id", "_hash").agg(F.sort_array(F.collect_set(F.struct("a", "b"))).alias("ranges"))
-    return ranges.select("doc_id", "_hash", merged(F.col("ranges")).alias("spans"))
+    ranges = spans.groupBy("doc_id", HASH_COLUMN).agg(F.sort_array(F.collect_set(F.struct("a", "b"))).alias("ranges"))
+    return ranges.select("doc_id", HASH_COLUMN, merged(F.col("ranges")).alias("spans"))
 
 
 def remove_repeats(docs: DataFrame, length: int = 400, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """All of `docs` with `spans` (array of removed byte ranges, empty if none) and `kept` (the remaining bytes)."""
-    texts = docs.withColumn("_hash", F.xxhash64(utf8("text")))
-    joined = beside(texts, repeats(docs, length, shard_bytes), "left").drop("_hash")
+    texts = hashed(docs, "spans", "kept")
+    joined = beside(texts, repeats(docs, length, shard_bytes), "left").drop(HASH_COLUMN)
     kept = without(utf8("text"), F.col("spans"))
     return joined.withColumn("kept", kept).withColumn("spans", F.coalesce("spans", F.array().cast(SPANS)))

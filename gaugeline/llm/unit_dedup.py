@@ -23,16 +23,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeline.llm.common import SPANS, WORD, beside, merged, own, rows_of, stored, utf8, without
+from gaugeline.llm.common import HASH_COLUMN, SPANS, WORD, beside, hashed, merged, own, rows_of, stored, utf8, without
 
 LEAST_WORDS = 5
 
 
 def _units(texts: DataFrame, separator: str, least_words: int) -> DataFrame:
     """A row per unit of enough words: document, place, byte range with the separator, digest."""
-    chosen = texts.select("doc_id", "_hash", utf8("text").alias("text"))
+    chosen = texts.select("doc_id", HASH_COLUMN, utf8("text").alias("text"))
     fields = [("place", T.IntegerType()), ("a", T.IntegerType()), ("b", T.IntegerType()), ("d1", T.LongType()), ("d2", T.LongType())]
-    schema = T.StructType([chosen.schema["doc_id"], chosen.schema["_hash"], *[T.StructField(*f) for f in fields]])
+    schema = T.StructType([chosen.schema["doc_id"], chosen.schema[HASH_COLUMN], *[T.StructField(*f) for f in fields]])
     mark = separator.encode()
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -52,7 +52,7 @@ def _units(texts: DataFrame, separator: str, least_words: int) -> DataFrame:
             took = pa.array(rows, pa.int64())
             numbers = np.array(places, np.int32).reshape(-1, 3)
             halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-            columns = [batch.column("doc_id").take(took), batch.column("_hash").take(took)]
+            columns = [batch.column("doc_id").take(took), batch.column(HASH_COLUMN).take(took)]
             columns += [pa.array(numbers[:, k]) for k in range(3)] + [pa.array(halves[:, k]) for k in range(2)]
             yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema])
 
@@ -61,16 +61,16 @@ def _units(texts: DataFrame, separator: str, least_words: int) -> DataFrame:
 
 def remove_repeated_units(docs: DataFrame, separator: str = "\n", least_words: int = LEAST_WORDS) -> DataFrame:
     """`docs` with `n_units` (all of them), `n_removed`, `spans` (byte ranges taken out) and `kept` (the text without them)."""
-    texts = own(docs, "doc_id", "text").withColumn("_hash", F.xxhash64(utf8("text")))
+    texts = hashed(own(docs, "doc_id", "text"))
     units = stored(_units(texts, separator, least_words), "units")
-    one = F.struct("doc_id", "_hash", "place")
+    one = F.struct("doc_id", HASH_COLUMN, "place")
     groups = units.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min(one).alias("first"))
     # Written first: a join of two plain exchanges, which adaptive execution can split at a very common unit.
     groups = stored(groups.filter("n > 1").drop("n"), "repeated-units")
     copies = units.join(groups, ["d1", "d2"]).filter(~one.eqNullSafe(F.col("first")))
-    spans = copies.groupBy("doc_id", "_hash").agg(F.sort_array(F.collect_set(F.struct("a", "b"))).alias("parts"))
-    spans = spans.select("doc_id", "_hash", F.size("parts").alias("n_removed"), merged(F.col("parts")).alias("spans"))
-    joined = beside(docs.withColumn("_hash", F.xxhash64(utf8("text"))), spans, "left").drop("_hash")
+    spans = copies.groupBy("doc_id", HASH_COLUMN).agg(F.sort_array(F.collect_set(F.struct("a", "b"))).alias("parts"))
+    spans = spans.select("doc_id", HASH_COLUMN, F.size("parts").alias("n_removed"), merged(F.col("parts")).alias("spans"))
+    joined = beside(hashed(docs, "n_units", "n_removed", "spans", "kept"), spans, "left").drop(HASH_COLUMN)
     n_units = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", f"\\Q{separator}\\E")))
     kept = F.when(F.col("text").isNotNull(), without(utf8("text"), F.col("spans")).cast("string"))
     return joined.withColumns(
