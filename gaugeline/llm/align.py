@@ -203,7 +203,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, n: int =
     for number, block in enumerate(blocks(benchmark, n, block_words)):
         shared = docs.sparkSession.sparkContext.broadcast(rarest(docs, block, n, share))
         name = f"_llm_leaks{number}"
-        found = found.withColumn(name, F.arrow_udf(_aligner(shared, n, least, item_type), kind)(F.lower("text").cast("binary")))
+        # Not to be computed again for each use of the result, as the optimizer may do with a deterministic function.
+        align = F.arrow_udf(_aligner(shared, n, least, item_type), kind).asNondeterministic()
+        found = found.withColumn(name, align(F.lower("text").cast("binary")))
         names.append(name)
     together = F.concat(*names) if names else F.array().cast(kind)
     return found.withColumn("leaks", F.coalesce(together, F.array().cast(kind))).drop(*names)
@@ -228,7 +230,9 @@ def _aligner(shared, n: int, least: float, item_type: pa.DataType):
                 doc = np.searchsorted(np.cumsum(counts), place, "right")
                 order = np.lexsort((block.item[seeds], doc))
                 doc, place, seeds = doc[order], place[order], seeds[order]
-                edges = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (np.diff(block.item[seeds]) != 0)]) if len(doc) else []
+                if not len(doc):
+                    continue
+                edges = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (np.diff(block.item[seeds]) != 0)])
                 todo = []
                 for a, b in zip(edges, [*edges[1:], len(doc)], strict=True):
                     d, item = int(doc[a]), int(block.item[seeds[a]])
