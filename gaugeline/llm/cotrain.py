@@ -64,12 +64,12 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, seed: int = 3, epochs: int = 30, shrink: float = 1e-4) -> np.ndarray:
-    """Weights and, last, the bias of a logistic regression, by Adam over small batches."""
+def logistic(x: np.ndarray, y: np.ndarray, seed: int = 3, steps: int = 1000, shrink: float = 1e-4) -> np.ndarray:
+    """Weights and, last, the bias of a logistic regression, by so many steps of Adam over small batches."""
     rng = np.random.default_rng(seed)
     weights = np.zeros(x.shape[1] + 1)
     mean, square, step = np.zeros_like(weights), np.zeros_like(weights), 0
-    for _ in range(epochs):
+    while step < steps:
         order = rng.permutation(len(x))
         for at in range(0, len(order), 128):
             part = order[at : at + 128]
@@ -131,7 +131,7 @@ def cotrain(text: np.ndarray, meta: np.ndarray, label: np.ndarray, pool_text: np
     for (x, _), w in zip(views, weights, strict=True):
         odds = (x[check] @ w[:-1] + w[-1])[:, None]
         scale = max(1e-6, float(np.abs(odds).max()))
-        slope, offset = logistic(odds / scale, label[check], epochs=200)
+        slope, offset = logistic(odds / scale, label[check], steps=2000)
         calibration.append(np.array([max(0.0, slope) / scale, offset]))
     prior = np.log((label.sum() + 1) / (len(label) - label.sum() + 1))
     return Model(weights[0], weights[1], tuple(calibration), float(prior))
