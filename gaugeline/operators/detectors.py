@@ -6,7 +6,6 @@ alone, the scored value included.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field, replace
 from typing import Protocol
@@ -117,9 +116,6 @@ def _medians(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return result
 
 
-# Below this, windows are folded one after the other instead of side by side.
-_FEW_WINDOWS = 32
-
 # Rows of the window matrix handled at a time: 128 x 360 doubles stay in a core's cache.
 _MATRIX_ROWS = 128
 
@@ -175,9 +171,7 @@ class EWMA:
     def evaluate(self, windows: Windows) -> Bands:
         lengths = windows.lengths
         if lengths.min() < self.min_points:
-            raise ValueError(f"{self.name} needs at least {self.min_points} values, got {lengths.min()}")
-        if len(windows) < _FEW_WINDOWS:
-            return self._one_by_one(windows)
+            raise ValueError(f"the shortest window holds {lengths.min()} of the {self.min_points} values that {self.name} starts from")
         ending = {int(k): np.flatnonzero(lengths == k) for k in np.unique(lengths)}
         size = len(windows)
         baseline, upper, flagged = np.empty(size), np.empty(size), np.zeros(size, dtype=bool)
@@ -213,28 +207,6 @@ class EWMA:
                 variance *= rest
         return Bands(baseline, None, upper, flagged)
 
-    def _one_by_one(self, windows: Windows) -> Bands:
-        """The same for a handful of windows, as a micro-batch of a series has: array operations would not pay."""
-        answers = []
-        for window in windows.lists():
-            average, variance = window[0], 0.0
-            for index, value in enumerate(window[1:-1], start=1):
-                rise, alpha = value - average, EWMA_ALPHA
-                if index >= EWMA_WARMUP_READINGS and rise > 0:
-                    scale = self._scale(average, variance)
-                    if scale == 0 or rise / scale > EWMA_THRESHOLD:
-                        alpha = EWMA_ALPHA * EWMA_DAMPING
-                average += alpha * rise
-                variance = (1 - alpha) * (variance + alpha * (rise * rise))
-            scale, rise = self._scale(average, variance), window[-1] - average
-            over = rise > 0 and (scale == 0 or rise / scale > EWMA_THRESHOLD)
-            answers.append((average, average + EWMA_THRESHOLD * scale, over))
-        baseline, upper, flagged = (np.array(column) for column in zip(*answers, strict=True))
-        return Bands(baseline, None, upper, flagged)
-
-    def _scale(self, average: float, variance: float) -> float:
-        return max(EWMA_MULTIPLIER * math.sqrt(variance), self.min_deviation, self.min_relative * abs(average))
-
 
 @dataclass(frozen=True)
 class OneWindow:

@@ -224,8 +224,7 @@ def warm_detectors(samples: DataFrame, registry: Registry = DEFAULT_REGISTRY) ->
 def rolling_median(
     samples: DataFrame, window: int = WINDOW_POINTS, order: tuple[str, ...] = DEFAULT_ORDER
 ) -> DataFrame:
-    chunks = series_chunks(samples, ["metric_id", "timestamp", "value"], window - 1, order)
-    return _own(chunks.withColumn("median", F.percentile("value", 0.5).over(recent(window))), "median")
+    return rolling_mad(samples, window, order).select("metric_id", *SERIES, "timestamp", "value", "median")
 
 
 def rolling_mad(samples: DataFrame, window: int = WINDOW_POINTS, order: tuple[str, ...] = DEFAULT_ORDER) -> DataFrame:
@@ -252,11 +251,3 @@ def rolling_mad(samples: DataFrame, window: int = WINDOW_POINTS, order: tuple[st
         f"metric_id string, machine_id string, name string, timestamp {kind}, value double, "
         "median double, mad double, mean_deviation double",
     )
-
-
-def rolling_window_values(
-    samples: DataFrame, window: int = WINDOW_POINTS, order: tuple[str, ...] = DEFAULT_ORDER
-) -> DataFrame:
-    """Each scored sample with its window as an array, oldest first: the input for scoring in plain expressions."""
-    chunks = series_chunks(samples, ["metric_id", "timestamp", "value"], window - 1, order)
-    return _own(chunks.withColumn("window", F.collect_list("value").over(recent(window))), "window")

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import json
+import uuid
+from datetime import datetime
 
 import pytest
 
@@ -8,43 +10,44 @@ from gaugeline.operators import decode as dc
 from gaugeline.sources.streams import dead_letters, to_kafka
 from gaugeline.streaming.sinks import evaluations_row, machines_row, metrics_row
 
-ID = "01a0e974-dc94-74df-ae87-e0e6064b18ef"
+ID = str(uuid.UUID(int=0x5EED << 100 | 7 << 76 | 1 << 63 | 1234567))
 SAMPLE = {
-    "timestamp": 1.0,
-    "name": "system.cpu.utilization",
-    "type": "gauge",
-    "unit": "%",
-    "value": 15.0,
-    "machine_id": "machine-123",
+    "timestamp": 1930000000.25,
+    "name": "fan.speed",
+    "type": "counter",
+    "unit": "rpm",
+    "value": 812.5,
+    "machine_id": "rack7-node2",
     "metric_id": ID,
-    "attributes": {"core": "0"},
+    "attributes": {"slot": "left", "row": "b"},
 }
 EVALUATION = {
     "metric_id": ID,
-    "machine_id": "machine-123",
-    "metric_name": "system.cpu.utilization",
-    "timestamp": 1.0,
-    "algorithm": "ewma",
-    "baseline": 21.3,
+    "machine_id": "rack7-node2",
+    "metric_name": "fan.speed",
+    "timestamp": 1930000000.25,
+    "algorithm": "mad",
+    "baseline": 790.125,
     "lower": None,
-    "upper": 31.3,
+    "upper": 801.0625,
     "is_anomaly": True,
 }
 MACHINE = {
-    "machine_id": "machine-123",
-    "hostname": "workstation",
-    "os": "linux",
-    "os_version": "6.18.0",
-    "architecture": "x86_64",
-    "cores": 16,
-    "total_memory": 34359738368,
-    "total_disk": 1000204886016,
-    "last_boot": "2026-10-01T06:30:00+00:00",
-    "last_seen_at": 1.0,
+    "machine_id": "rack7-node2",
+    "hostname": "press",
+    "os": "bsd",
+    "os_version": "14.2",
+    "architecture": "riscv64",
+    "cores": 12,
+    "total_memory": 48 * 2**30,
+    "total_disk": 3 * 10**12,
+    "last_boot": "2031-03-04T05:06:07+02:00",
+    "last_seen_at": 1930000001.75,
 }
 RECORDS = {"metrics": SAMPLE, "evaluations": EVALUATION, "machines": MACHINE}
-OBSERVATION = {"name": "cpu", "type": "gauge", "unit": "%", "value": "15.5"}
-SNAPSHOT = {"machine_id": "m1", "timestamp": "2026-10-01T06:30:00+00:00", "metrics": [OBSERVATION]}
+OBSERVATION = {"name": "fan.speed", "type": "gauge", "unit": "rpm", "value": "1200.25"}
+SNAPSHOT = {"machine_id": "rack7", "timestamp": "2031-03-04T05:06:07+02:00", "metrics": [OBSERVATION]}
+SNAPSHOT_TIME = datetime.fromisoformat(SNAPSHOT["timestamp"]).timestamp()
 
 
 def split(spark, entity, texts):
@@ -56,66 +59,49 @@ def without(record, field):
     return {k: v for k, v in record.items() if k != field}
 
 
+def spoiled(record, texts=(), numbers=(), other=()):
+    """The record with one field at a time that breaks a rule, and values that are no record at all."""
+    cases = [{**record, f: v} for f in texts for v in ("", None, 8, ["a"])] + [without(record, f) for f in texts]
+    cases += [{**record, f: v} for f in numbers for v in ("twelve", "0b1", "", {"a": 1})] + [without(record, f) for f in numbers]
+    cases += [{**record, f: v} for f, values in other for v in values]
+    return [*cases, "", "{", "null", "17", json.dumps("text"), json.dumps([record, record]), "{}"]
+
+
+NO_IDS = ("", None, 31, "5eed", ID + "0", ID[:-1] + "g", [ID])
 BAD = {
-    "metrics": [
-        *[{**SAMPLE, "metric_id": v} for v in (None, "not-a-uuid", 5)],
-        *[{**SAMPLE, f: ""} for f in ("name", "type", "unit", "machine_id")],
-        *[without(SAMPLE, f) for f in ("name", "value", "timestamp", "metric_id")],
-        {**SAMPLE, "value": "n/a"},
-        {**SAMPLE, "value": "0x1"},
-        {**SAMPLE, "name": 5},
-        {**SAMPLE, "attributes": {"core": 0}},
-        {**SAMPLE, "attributes": {"core": None}},
-        {**SAMPLE, "attributes": 7},
-        {**SAMPLE, "attributes": ["core"]},
-        "not json",
-        "[]",
-        json.dumps([SAMPLE]),
-        "",
-        '{"name":"x"}',
-    ],
-    "evaluations": [
-        *[{**EVALUATION, "metric_id": v} for v in (None, "not-a-uuid", 5)],
-        {**EVALUATION, "machine_id": ""},
-        {**EVALUATION, "algorithm": ""},
-        {**EVALUATION, "baseline": "n/a"},
-        {**EVALUATION, "baseline": None},
-        {**EVALUATION, "lower": "n/a"},
-        {**EVALUATION, "is_anomaly": "perhaps"},
-        "not json",
-        "[]",
-        '{"name":"x"}',
-    ],
-    "machines": [
-        {**MACHINE, "machine_id": ""},
-        {**MACHINE, "cores": -1},
-        {**MACHINE, "cores": 1.5},
-        {**MACHINE, "last_boot": "2026-10-01T06:30:00"},
-        {**MACHINE, "last_boot": "yesterday"},
-        {**MACHINE, "hostname": None},
-        "<html>busy</html>",
-        "[]",
-        '{"name":"x"}',
-    ],
+    "metrics": spoiled(
+        SAMPLE,
+        ("machine_id", "name", "type", "unit"),
+        ("value", "timestamp"),
+        [("metric_id", NO_IDS), ("attributes", ({"slot": 4}, {"slot": None}, "slot", [1]))],
+    ),
+    "evaluations": spoiled(
+        EVALUATION,
+        ("machine_id", "metric_name", "algorithm"),
+        ("timestamp", "baseline", "upper"),
+        [("metric_id", NO_IDS), ("lower", ("low", [])), ("is_anomaly", ("maybe", {}))],
+    ),
+    "machines": spoiled(
+        MACHINE,
+        ("machine_id", "hostname", "os", "os_version", "architecture"),
+        ("last_seen_at", "total_disk"),
+        [("cores", (-3, 2.75, None)), ("total_memory", (-1,)), ("last_boot", ("2031-03-04T05:06:07", "soon", None))],
+    ),
 }
 GOOD = {
     "metrics": [
         SAMPLE,
-        {**SAMPLE, "added_later": 1},
-        {**SAMPLE, "value": "15.5"},
-        {**SAMPLE, "value": 3},
-        {**SAMPLE, "value": "1e3"},
+        {**SAMPLE, "note": {"any": "thing"}},
+        {**SAMPLE, "value": "-7.5"},
+        {**SAMPLE, "value": 44},
+        {**SAMPLE, "value": "2e2"},
         without(SAMPLE, "attributes"),
-        {**SAMPLE, "attributes": None},
-        {**SAMPLE, "attributes": {}},
-        {**SAMPLE, "metric_id": ID.upper()},
-        {**SAMPLE, "metric_id": ID.replace("-", "")},
-        {**SAMPLE, "metric_id": "urn:uuid:" + ID},
-        {**SAMPLE, "metric_id": "{" + ID + "}"},
+        *[{**SAMPLE, "attributes": v} for v in (None, {})],
+        *[{**SAMPLE, "metric_id": v} for v in (ID.upper(), ID.replace("-", ""), f"urn:uuid:{ID}", f"{{{ID}}}")],
         json.dumps({**SAMPLE, "value": float("nan")}),
     ],
-    "evaluations": [EVALUATION, {**EVALUATION, "lower": 1.5}, {**EVALUATION, "added_later": []}],
-    "machines": [MACHINE, {**MACHINE, "cores": "16"}, {**MACHINE, "last_boot": "2026-10-01T06:30+00:00"}],
+    "evaluations": [EVALUATION, {**EVALUATION, "lower": -4.0}, {**EVALUATION, "note": 1}],
+    "machines": [MACHINE, {**MACHINE, "cores": "12"}, {**MACHINE, "last_boot": "2031-03-04T05:06+02:00"}],
 }
 
 
@@ -136,73 +122,63 @@ def test_valid_records_pass(spark, entity):
     assert rows[0].asDict() == RECORDS[entity]
     if entity == "metrics":
         assert {r["metric_id"] for r in rows} == {ID}
-        assert [r["value"] for r in rows[:5]] == [15.0, 15.0, 15.5, 3.0, 1000.0]
+        assert [r["value"] for r in rows[:5]] == [812.5, 812.5, -7.5, 44.0, 200.0]
 
 
 def test_positions_of_malformed_records_are_kept(spark):
-    values = spark.createDataFrame([("[]", "raw_metrics", 3, 41)], "value string, topic string, partition int, offset long")
+    values = spark.createDataFrame([("17", "raw_metrics", 5, 906)], "value string, topic string, partition int, offset long")
     row = dc.decode(values, "metrics")[1].first()
-    assert (row["topic"], row["partition"], row["offset"], row["value"]) == ("raw_metrics", 3, 41, "[]")
+    assert (row["topic"], row["partition"], row["offset"], row["value"]) == ("raw_metrics", 5, 906, "17")
 
 
 def test_rows_for_the_tables(spark):
-    exact = {**EVALUATION, "baseline": 11.280148426792852}
+    exact = {**EVALUATION, "baseline": 0.1 + 0.2}
     row = evaluations_row(split(spark, "evaluations", [exact])[0]).first()
-    assert (row["baseline"], row["lower"]) == (11.280148426792852, None)
+    assert (row["baseline"], row["lower"]) == (0.30000000000000004, None)
     row = metrics_row(split(spark, "metrics", [{**SAMPLE, "attributes": None}])[0]).first()
     assert row["attributes"] == {} and row["inserted_at"] is not None
-    timed = {**MACHINE, "last_seen_at": 1.5, "last_boot": "2026-10-01T06:30+00:00"}
+    timed = {**MACHINE, "last_seen_at": 2.25, "last_boot": "2031-03-04T05:06+02:00"}
     row = machines_row(split(spark, "machines", [timed])[0]).selectExpr("cast(last_boot AS string)", "unix_millis(last_seen_at)").first()
-    assert tuple(row) == ("2026-10-01 06:30:00", 1500)
+    assert tuple(row) == ("2031-03-04 03:06:00", 2250)
 
 
 def snapshots(spark, *bodies):
     texts = [b if isinstance(b, str) else json.dumps(b) for b in bodies]
     return dc.explode_snapshots(
-        spark.createDataFrame([(f"http://a{i}/v1/metrics", t) for i, t in enumerate(texts)], "url string, body string")
+        spark.createDataFrame([(f"http://agent{i}/samples", t) for i, t in enumerate(texts)], "url string, body string")
     )
 
 
 def test_a_snapshot_becomes_samples(spark):
-    two = {**SNAPSHOT, "metrics": [OBSERVATION, {**OBSERVATION, "attributes": {"core": "1"}}, OBSERVATION]}
+    two = {**SNAPSHOT, "metrics": [OBSERVATION, {**OBSERVATION, "attributes": {"slot": "b"}}, OBSERVATION]}
     samples, rejected = snapshots(spark, two, {**SNAPSHOT, "metrics": []})
     rows = samples.collect()
     assert rejected.collect() == []
-    assert {(r["timestamp"], r["value"], r["machine_id"]) for r in rows} == {(1790836200.0, 15.5, "m1")}
-    assert [r["attributes"] for r in rows] == [None, {"core": "1"}, None]
+    assert {(r["timestamp"], r["value"], r["machine_id"]) for r in rows} == {(SNAPSHOT_TIME, 1200.25, "rack7")}
+    assert [r["attributes"] for r in rows] == [None, {"slot": "b"}, None]
     ids = [r["metric_id"] for r in rows]
     assert len(set(ids)) == 3 and all(i[14] == "7" and i[19] in "89ab" and len(i) == 36 for i in ids)
     assert ids == [r["metric_id"] for r in snapshots(spark, two)[0].collect()]
 
 
 def test_one_bad_part_rejects_the_whole_snapshot(spark):
-    bad = [
-        {**SNAPSHOT, "machine_id": ""},
-        {**SNAPSHOT, "timestamp": "2026-10-01T06:30:00"},
-        {**SNAPSHOT, "timestamp": "yesterday"},
-        {**SNAPSHOT, "metrics": [OBSERVATION, {"name": "x"}]},
-        {**SNAPSHOT, "metrics": [OBSERVATION, None]},
-        {**SNAPSHOT, "metrics": [{**OBSERVATION, "unit": 3}]},
-        {**SNAPSHOT, "metrics": {"name": "x"}},
-        {"machine_id": "m1", "metrics": [{"name": "x"}]},
-        without(SNAPSHOT, "metrics"),
-        "<html>busy</html>",
-        "[]",
-    ]
+    part = lambda **fields: {**SNAPSHOT, "metrics": [OBSERVATION, {**OBSERVATION, **fields}]}
+    bad = spoiled(SNAPSHOT, ("machine_id",), (), [("timestamp", ("2031-03-04T05:06:07", "soon", None)), ("metrics", (None, {}, "x", [OBSERVATION, None], [7]))])
+    bad += [part(unit=""), part(name=3), part(type=None), part(value="much"), {**SNAPSHOT, "metrics": [without(OBSERVATION, "unit")]}]
     samples, rejected = snapshots(spark, *bad)
     assert samples.collect() == []
     letters = {r["key"]: json.loads(r["value"]) for r in dead_letters(rejected).collect()}
     assert len(letters) == len(bad)
     for i, body in enumerate(bad):
-        letter = letters[f"http://a{i}/v1/metrics"]
+        letter = letters[f"http://agent{i}/samples"]
         assert letter["body"] == (body if isinstance(body, str) else json.dumps(body)) and letter["error"]
 
 
 def test_machine_bodies(spark):
-    bodies = spark.createDataFrame([("u1", json.dumps(MACHINE)), ("u2", "not json")], "url string, body string")
+    bodies = spark.createDataFrame([("u1", json.dumps(MACHINE)), ("u2", "oops")], "url string, body string")
     records, rejected = dc.machine_records(bodies)
-    assert records.first()["hostname"] == "workstation"
-    assert [(r["url"], r["body"]) for r in rejected.collect()] == [("u2", "not json")]
+    assert records.first()["hostname"] == "press"
+    assert [(r["url"], r["body"]) for r in rejected.collect()] == [("u2", "oops")]
 
 
 def test_published_records_name_every_field(spark):
@@ -210,4 +186,4 @@ def test_published_records_name_every_field(spark):
     assert to_kafka(valid).columns == ["value"]
     assert list(json.loads(to_kafka(valid).first()["value"]).items()) == list(EVALUATION.items())
     keyed = to_kafka(split(spark, "metrics", [SAMPLE])[0], key="machine_id").first()
-    assert keyed["key"] == "machine-123" and json.loads(keyed["value"]) == SAMPLE
+    assert keyed["key"] == "rack7-node2" and json.loads(keyed["value"]) == SAMPLE

@@ -232,7 +232,7 @@ def test_collector_publishes_samples_and_dead_letters(spark, tmp_path):
 
     stream = spark.readStream.schema("url string, body string").parquet(source)
     sinks.start_collector(stream, publish, "raw_metrics", str(tmp_path / "cp"), trigger=None).awaitTermination()
-    assert [(k, v["value"]) for k, v in published["raw_metrics"]] == [("m1", 15.5)]
+    assert [(k, v["value"]) for k, v in published["raw_metrics"]] == [("rack7", 1200.25)]
     (key, letter), = published["raw_metrics_dlq"]
     assert key == letter["url"] == "http://b/v1/metrics" and letter["body"] == "<html>busy</html>"
 
