@@ -258,10 +258,10 @@ def evaluations_streamed(spark, sf_dir):
     source, target, state, progress = (scratch_path(spark, f"stream-{n}") for n in ("in", "out", "state", "progress"))
     rows = dedup.metrics_final(views.metrics_raw(spark, sf_dir))
     rows = rows.select("metric_id", "machine_id", "name", "timestamp", "value")
-    # Three stretches of time, sent one after the other.
-    cuts = [F.lit(t).cast("timestamp") for t in (*ALL_TIME[:1], START, AS_OF, *ALL_TIME[1:])]
-    for low, high in zip(cuts[:-1], cuts[1:], strict=True):
-        rows.where((F.col("timestamp") >= low) & (F.col("timestamp") < high)).write.mode("append").parquet(source)
+    # Three stretches of time, the first and the last without a bound, sent one after the other.
+    stretch = (F.col("timestamp") >= F.lit(START)).cast("int") + (F.col("timestamp") >= F.lit(AS_OF)).cast("int")
+    for part in range(3):
+        rows.where(stretch == part).write.mode("append").parquet(source)
         start_bulk_scoring(
             spark.readStream.schema(rows.schema).parquet(source),
             lambda scored, _: scored.write.mode("append").parquet(target),
@@ -487,8 +487,7 @@ table_query(
     panels.series_overlay,
 )
 table_query(
-    f"""SELECT {_ALL}, round(value, 6) AS value FROM metrics
-    ORDER BY machine_id, name, timestamp, metric_id LIMIT 200000""",
+    f"SELECT {_ALL}, round(value, 6) AS value FROM metrics",
     ["metrics"],
     panels.value_sample,
 )
@@ -556,6 +555,8 @@ table_query(
     ORDER BY m.timestamp DESC, metric_id, algorithm LIMIT 200""",
     EVAL,
     panels.recent_anomalies,
+    None,
+    200,
 )
 table_query(
     """SELECT m.machine_id, m.name, m.timestamp, round(m.value, 6) AS value, round(baseline, 6) AS baseline,
@@ -574,13 +575,10 @@ _FLAGGED = """SELECT machine_id, metric_name AS name, count(*) FILTER (WHERE is_
     FROM evaluations GROUP BY ALL"""
 table_query(_ROLLUP, ["metrics"], panels.series_rollup)
 table_query(_FLAGGED, EVAL, panels.flagged_by)
-table_query(
-    f"""SELECT m.*, coalesce(anomalies, 0) AS anomalies, coalesce(flagged_by, '') AS flagged_by
-    FROM ({_ROLLUP}) m LEFT JOIN ({_FLAGGED}) a USING (machine_id, name)
-    ORDER BY anomalies DESC, machine_id, name LIMIT 500""",
-    EVAL,
-    panels.series_overview,
-)
+_OVERVIEW = f"""SELECT m.*, coalesce(anomalies, 0) AS anomalies, coalesce(flagged_by, '') AS flagged_by
+    FROM ({_ROLLUP}) m LEFT JOIN ({_FLAGGED}) a USING (machine_id, name)"""
+table_query(_OVERVIEW, EVAL, panels.series_overview)
+table_query(f"{_OVERVIEW} ORDER BY anomalies DESC, machine_id, name LIMIT 3", EVAL, panels.top_series, None, 3)
 table_query(f"SELECT {_ALL}, count(*) AS samples FROM metrics GROUP BY {_ALL}", ["metrics"], panels.rows_per_series)
 _LABELS = """SELECT machine_id, coalesce(nullif(hostname, ''), machine_id) AS label
     FROM (SELECT DISTINCT machine_id FROM metrics_raw) LEFT JOIN machines USING (machine_id)"""
@@ -621,15 +619,22 @@ table_query("SELECT count(DISTINCT (machine_id, name)) AS series FROM metrics_ra
 table_query(
     """SELECT (SELECT count(*) FROM metrics_raw) AS metric_rows,
       (SELECT count(DISTINCT (machine_id, name)) FROM metrics_raw) AS series,
-      (SELECT count(*) FROM evaluations_raw) AS evaluation_rows""",
+      (SELECT count(*) FROM evaluations_raw) AS evaluation_rows, true AS metric_files, true AS evaluation_files""",
     EVAL,
-    panels.stored,
+    lambda t: panels.stored(t).withColumns({c: F.col(c) >= 1 for c in ("metric_files", "evaluation_files")}),
+    "stored",
 )
 
 
-@query()
+@query(
+    """SELECT 'metrics' AS "table", (timestamp::date)::varchar AS date, count(*) AS rows, true AS files
+    FROM metrics_raw GROUP BY ALL
+    UNION ALL SELECT 'evaluations', (timestamp::date)::varchar, count(*), true FROM evaluations_raw GROUP BY ALL""",
+    EVAL,
+)
 def stored_files(spark, sf_dir):
-    return panels.stored_files(views.tables(spark, sf_dir))
+    """How many files a day has depends on the layout; that it has any, and all its rows, does not."""
+    return panels.stored_files(views.tables(spark, sf_dir)).withColumn("files", F.col("files") >= 1)
 
 
 table_query(
@@ -1038,6 +1043,22 @@ def compacted(spark, sf_dir):
     return read_table(spark, root, "metrics", dedup=False)
 
 
+@query(
+    f"""SELECT {_METRIC_COLUMNS} FROM metrics WHERE right(metric_id, 1) < '8'
+    UNION ALL SELECT {_METRIC_COLUMNS} FROM metrics_raw WHERE right(metric_id, 1) >= '8'""",
+    ["metrics"],
+)
+def compacted_while_loading(spark, sf_dir):
+    """Half of the rows are compacted while the other half arrives: those are all there, as they came."""
+    root, raw = scratch_path(spark, "compacted-loading"), views.metrics_raw(spark, sf_dir)
+    early = F.expr("right(metric_id, 1) < '8'")
+    lifecycle.append(raw.where(early), root, "metrics")
+    prepared = lifecycle.prepare_compaction(spark, root, "metrics")
+    lifecycle.append(raw.where(~early), root, "metrics", sort=False)
+    prepared.swap()
+    return read_table(spark, root, "metrics", dedup=False)
+
+
 @query(f"SELECT {_EVALUATION_COLUMNS} FROM evaluations", EVAL)
 def replay_collapses(spark, sf_dir):
     """The stored evaluations written once more: a deduplicated read does not change."""

@@ -73,12 +73,12 @@ def metrics_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def machines_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Many records per machine; `m3` has none, `m4` and `m5` send no samples."""
+    """Many records per machine; `m3` has none, `m4` to `m6` send no samples."""
     prepare(spark)
-    customers = spark.read.parquet(f"{sf_dir}/customer.parquet").where("c_custkey % 6 <> 3")
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
     seen = F.timestamp_seconds(F.lit(1704067200) + F.col("c_custkey"))
     return customers.select(
-        F.expr("'m' || (c_custkey % 6)").alias("machine_id"),
+        F.expr("'m' || if(c_custkey % 6 = 3, 6, c_custkey % 6)").alias("machine_id"),
         F.col("c_name").alias("hostname"),
         F.lower("c_mktsegment").alias("os"),
         F.expr("'6.' || c_nationkey").alias("os_version"),
@@ -252,14 +252,14 @@ metrics AS (
 
 _MACHINES_SQL = """
 machines_raw AS (
-  SELECT 'm' || (c_custkey % 6) AS machine_id, c_name AS hostname, lower(c_mktsegment) AS os,
+  SELECT 'm' || CASE WHEN c_custkey % 6 = 3 THEN 6 ELSE c_custkey % 6 END AS machine_id, c_name AS hostname, lower(c_mktsegment) AS os,
     '6.' || c_nationkey AS os_version, CASE WHEN c_nationkey % 2 = 0 THEN 'x86_64' ELSE 'arm64' END AS architecture,
     cast(4 + c_custkey % 29 AS integer) AS cores, (8 + c_custkey % 57) * 1073741824 AS total_memory,
     (100 + c_custkey % 1900) * 1000204886 AS total_disk,
     TIMESTAMP '2023-12-31 15:00:00' + to_seconds(c_custkey) AS last_boot,
     TIMESTAMP '2024-01-01 00:00:00' + to_seconds(c_custkey) AS last_seen_at,
     TIMESTAMP '2024-01-01 00:00:01' + to_seconds(c_custkey) AS inserted_at
-  FROM customer WHERE c_custkey % 6 <> 3),
+  FROM customer),
 machines AS (
   SELECT * EXCLUDE (version) FROM (
     SELECT *, row_number() OVER (PARTITION BY machine_id ORDER BY last_seen_at DESC) AS version FROM machines_raw)

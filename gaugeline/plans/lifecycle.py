@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,20 +73,51 @@ def append(rows: DataFrame, root: str, table: str, insert_seq: int = 0, sort: bo
     writer.parquet(f"{root}/{table}")
 
 
-def compact(spark: SparkSession, root: str, table: str, days: list[date] | None = None) -> None:
-    """Collapse replays of the given days on disk and put their rows in key order.
+@dataclass(frozen=True)
+class Compaction:
+    """The files that a compaction has read, and their rows without replays, in scratch."""
 
-    The result is written to scratch first: a table is never read while it is being overwritten, and until the last step
-    the old files stand. Only the given days are replaced.
-    """
-    stored = spark.read.schema(stored_schema(table)).parquet(f"{root}/{table}")
+    root: str
+    table: str
+    files: list[str]
+    rows: DataFrame
+
+    def swap(self) -> None:
+        """Add the rows as new files, then remove the files they came from, and no others.
+
+        Rows that a sink has added meanwhile lie in files that were not read, so they stay. Stopped in between, the
+        table holds rows twice, which deduplicated reads hide and the next compaction collapses; nothing is ever lost.
+        """
+        spark = self.rows.sparkSession
+        writer = _sorted_by_key(self.rows, self.table).write.mode("append")
+        if self.table in DAILY:
+            writer = writer.partitionBy("date")
+        writer.parquet(f"{self.root}/{self.table}")
+        for file in self.files:
+            delete_path(spark, file)
+
+
+def prepare_compaction(spark: SparkSession, root: str, table: str, days: list[date] | None = None) -> Compaction | None:
+    """Collapse the replays of the given days into scratch, reading only the files there are now; None without any."""
+    source = f"{root}/{table}"
+    stored = spark.read.schema(stored_schema(table)).parquet(source)
     if days is not None and table in DAILY:
         stored = stored.where(F.col("date").isin([str(d) for d in days]))
-    kept = materialise(final(stored, table), f"compact-{table}")
-    writer = _sorted_by_key(kept, table).write.mode("overwrite")
-    if table in DAILY:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy("date")
-    writer.parquet(f"{root}/{table}")
+    files = sorted(stored.inputFiles())  # a path per data file, as Spark's own planning lists them
+    if table in DAILY and days is not None:
+        wanted = {f"date={d}" for d in days}
+        files = [f for f in files if f.rsplit("/", 2)[1] in wanted]
+    if not files:
+        return None
+    read = spark.read.schema(stored_schema(table)).option("basePath", source).parquet(*files)
+    return Compaction(root, table, files, materialise(final(read, table), f"compact-{table}"))
+
+
+def compact(spark: SparkSession, root: str, table: str, days: list[date] | None = None) -> None:
+    """Collapse replays of the given days on disk and put their rows in key order; sinks may go on writing."""
+    prepared = prepare_compaction(spark, root, table, days)
+    if prepared is not None:
+        prepared.swap()
 
 
 def expired_days(stored: DataFrame, as_of: datetime, hours: int = RETENTION_HOURS) -> DataFrame:

@@ -15,15 +15,13 @@ from gaugeline.sources.tables import Range, Tables
 
 Series = tuple[str, str]
 
-# How many rows the panels show at most, and the delay up to which a sample counts as live.
-DISTRIBUTION_CAP = 200_000
-RECENT_CAP = 200
-OVERVIEW_CAP = 500
+# The steps of a histogram, and the delay up to which a sample counts as live.
 HISTOGRAM_BUCKETS = 30
 LIVE_SECONDS = 3_600
 
 
 KEYS = ("machine_id", "name")
+SAMPLE_KEY = ("machine_id", "name", "timestamp", "metric_id")
 
 
 def _of(df: DataFrame, series: Series | None) -> DataFrame:
@@ -76,35 +74,36 @@ def bands(t: Tables, series: Series | None = None, within: Range | None = None)
 
 def anomaly_points(t: Tables, series: Series | None = None, within: Range | None = None) -> DataFrame:
     shown = _shown(series)
-    flagged = _evaluations(t, series, within).where("is_anomaly").select("metric_id", "algorithm")
-    samples = _samples(t, series, within).select(*shown, "metric_id", "timestamp", "value")
-    return (
-        flagged.join(samples, "metric_id")
-        .select(*shown, F.col("timestamp").alias("time"), "algorithm", F.col("value").alias("anomaly"))
-        .orderBy(*shown, "time", "algorithm")
-    )
+    return _points(t, series, within).orderBy(*shown, "time", "algorithm")
+
+
+def _points(t: Tables, series: Series | None, within: Range | None) -> DataFrame:
+    flagged = _evaluations(t, series, within).where("is_anomaly").select(*SAMPLE_KEY, "algorithm")
+    # Only the flagged samples are collapsed, and joined on the key that the collapse has shuffled by.
+    samples = _of(t.final("metrics", within, flagged.select(*SAMPLE_KEY)), series).select(*SAMPLE_KEY, "value")
+    joined = flagged.join(samples, list(SAMPLE_KEY))
+    return joined.select(*_shown(series), F.col("timestamp").alias("time"), "algorithm", F.col("value").alias("anomaly"))
 
 
 def series_overlay(t: Tables, series: Series | None = None, within: Range | None = None) -> DataFrame:
     """Line, anomalies and bands as one frame, told apart by `layer`."""
+    shown = _shown(series)
+    evaluations = _evaluations(t, series, within)
     layers = {
-        "value": series_line(t, series, within),
-        "anomaly": anomaly_points(t, series, within),
-        "band": bands(t, series, within),
+        "value": _samples(t, series, within).select(*shown, F.col("timestamp").alias("time"), "value"),
+        "anomaly": _points(t, series, within),
+        "band": evaluations.select(*shown, F.col("timestamp").alias("time"), "algorithm", "baseline", "lower", "upper"),
     }
     stacked = None
     for name, frame in layers.items():
         frame = frame.withColumn("layer", F.lit(name))
         stacked = frame if stacked is None else stacked.unionByName(frame, allowMissingColumns=True)
-    return stacked
+    return stacked  # in no order: a sort belongs after the union, with whoever draws it
 
 
-def value_sample(
-    t: Tables, series: Series | None = None, within: Range | None = None, cap: int = DISTRIBUTION_CAP
-) -> DataFrame:
-    """The values for a distribution, the first `cap` of them by series and time."""
-    rows = _samples(t, series, within).orderBy(*KEYS, "timestamp", "metric_id").limit(cap)
-    return rows.select(*_shown(series), "value")
+def value_sample(t: Tables, series: Series | None = None, within: Range | None = None) -> DataFrame:
+    """The values for a distribution, all of them; `value_histogram` counts them where they are too many to draw."""
+    return _samples(t, series, within).select(*_shown(series), "value")
 
 
 def value_histogram(
@@ -183,22 +182,20 @@ def flags_per_day(t: Tables) -> DataFrame:
 
 
 def recent_anomalies(
-    t: Tables, machine_id: str | None = None, within: Range | None = None, n: int = RECENT_CAP
+    t: Tables, n: int, machine_id: str | None = None, within: Range | None = None
 ) -> DataFrame:
     """The `n` newest flags of a machine, or of all, newest first."""
     mine = F.lit(True) if machine_id is None else F.col("machine_id") == F.lit(machine_id)
-    flagged = (
-        t.final("evaluations", within).where(mine).where("is_anomaly").select("metric_id", "metric_name", "algorithm")
-    )
-    samples = t.final("metrics", within).where(mine).select("metric_id", "machine_id", "timestamp", "value")
+    flagged = _evaluations(t, None, within).where(mine).where("is_anomaly").select(*SAMPLE_KEY, "algorithm")
+    samples = t.final("metrics", within, flagged.select(*SAMPLE_KEY)).where(mine).select(*SAMPLE_KEY, "value")
     return (
-        flagged.join(samples, "metric_id")
+        flagged.join(samples, list(SAMPLE_KEY))
         .orderBy(F.desc("timestamp"), "metric_id", "algorithm")
         .limit(n)
         .select(
             F.col("timestamp").alias("time"),
             *(["machine_id"] if machine_id is None else []),
-            F.col("metric_name").alias("metric"),
+            F.col("name").alias("metric"),
             "algorithm",
             "value",
         )
@@ -213,12 +210,12 @@ def sample_with_bands(
     scored = (
         _evaluations(t, series, within)
         .where(F.col("algorithm") == algorithm)
-        .select("metric_id", "baseline", "lower", "upper", "is_anomaly")
+        .select(*SAMPLE_KEY, "baseline", "lower", "upper", "is_anomaly")
     )
     return (
         _samples(t, series, within)
-        .select(*shown, "metric_id", "timestamp", "value")
-        .join(scored, "metric_id", "left")
+        .select(*SAMPLE_KEY, "value")
+        .join(scored, list(SAMPLE_KEY), "left")
         .select(*shown, "timestamp", "value", "baseline", "lower", "upper", "is_anomaly")
         .orderBy(*shown, "timestamp")
     )
@@ -253,15 +250,19 @@ def flagged_by(t: Tables, within: Range | None = None) -> DataFrame:
     )
 
 
-def series_overview(t: Tables, within: Range | None = None, n: int = OVERVIEW_CAP) -> DataFrame:
-    """The `n` series with most flags; a series that is not scored shows 0 and no algorithm."""
+def top_series(t: Tables, n: int, within: Range | None = None) -> DataFrame:
+    """The `n` series with most flags."""
+    return series_overview(t, within).limit(n)
+
+
+def series_overview(t: Tables, within: Range | None = None) -> DataFrame:
+    """All series, those with most flags first; a series that is not scored shows 0 and no algorithm."""
     return (
         series_rollup(t, within)
         .join(flagged_by(t, within), ["machine_id", "name"], "left")
         .withColumn("anomalies", F.coalesce("anomalies", F.lit(0)))
         .withColumn("flagged_by", F.coalesce("flagged_by", F.lit("")))
         .orderBy(F.desc("anomalies"), "machine_id", "name")
-        .limit(n)
     )
 
 
@@ -338,11 +339,17 @@ def series_count(t: Tables) -> DataFrame:
 
 
 def stored(t: Tables) -> DataFrame:
+    """Rows, series and data files as they lie on disk."""
+    path = F.input_file_name()
     return one_row(
-        t.raw("metrics").agg(
-            F.count("*").alias("metric_rows"), F.count_distinct("machine_id", "name").alias("series")
+        t.metrics.select(*KEYS, path.alias("file")).agg(
+            F.count("*").alias("metric_rows"),
+            F.count_distinct(*KEYS).alias("series"),
+            F.count_distinct("file").alias("metric_files"),
+        ),
+        t.evaluations.select(path.alias("file")).agg(
+            F.count("*").alias("evaluation_rows"), F.count_distinct("file").alias("evaluation_files")
         ),
-        t.raw("evaluations").agg(F.count("*").alias("evaluation_rows")),
     )
 
 

@@ -86,6 +86,35 @@ def test_days_and_replays_on_disk(spark, root):
         read_table(spark, root, "other")
 
 
+def test_compaction_keeps_what_arrives_meanwhile(spark, root):
+    lifecycle.append(metrics(spark, SAMPLES), root, "metrics")
+    lifecycle.append(metrics(spark, SAMPLES[2:3]), root, "metrics", insert_seq=1)
+    prepared = lifecycle.prepare_compaction(spark, root, "metrics")
+    late = [("m1", "cpu", i, f"late{i}", i, 1) for i in range(50)]
+    lifecycle.append(metrics(spark, late), root, "metrics")
+    prepared.swap()
+    ids = sorted(r["metric_id"] for r in read_table(spark, root, "metrics", dedup=False).collect())
+    assert [i for i in ids if i.startswith("late")] == sorted(f"late{i}" for i in range(50))
+    assert [i for i in ids if not i.startswith("late")] == sorted({s[3] for s in SAMPLES})
+
+
+def test_compaction_stopped_before_it_removes_files(spark, root, monkeypatch):
+    lifecycle.append(metrics(spark, SAMPLES), root, "metrics")
+    before = sorted(map(str, read_table(spark, root, "metrics").collect()))
+
+    def stop(*_):
+        raise OSError("gone")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(lifecycle, "delete_path", stop)
+        with pytest.raises(OSError, match="gone"):
+            lifecycle.compact(spark, root, "metrics")
+    assert sorted(map(str, read_table(spark, root, "metrics").collect())) == before
+    lifecycle.compact(spark, root, "metrics")
+    assert sorted(map(str, read_table(spark, root, "metrics", dedup=False).collect())) == before
+    assert lifecycle.prepare_compaction(spark, root, "metrics", [date(1999, 1, 1)]) is None
+
+
 def test_copies_of_one_row_are_spread_over_files(spark, root):
     one = metrics(spark, SAMPLES[:1]).first()
     values = [F.lit(one[c]).cast(METRICS_TABLE[c].dataType).alias(c) for c in one.asDict() if c != "attributes"]
@@ -174,7 +203,7 @@ def test_joins_on_the_sample(tables):
     bands = panels.sample_with_bands(tables, "mad", ("m2", "mem")).first()
     assert (bands["value"], bands["baseline"], bands["is_anomaly"]) == (5.0, None, None)
     assert [r["metric_id"] for r in checks.orphans(tables).collect()] == ["zz"]
-    assert panels.recent_anomalies(tables, "m1", n=1).count() == 1
+    assert panels.recent_anomalies(tables, 1, "m1").count() == 1
 
 
 def test_summary_of_one_sample_and_of_none(tables):
