@@ -22,6 +22,10 @@ _REPLAYED = "event_id % 10 = 0"
 # Every tenth or so evaluation is stored twice.
 _TWICE = "substr(metric_id, 1, 1) IN ('0', '8')"
 
+# Makes amounts with two decimals uneven, so that no sum of them lies midway between two sixth decimals, where engines
+# round either way.
+UNEVEN = 1.00000037
+
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
@@ -43,7 +47,7 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_trunc("MILLISECOND", "ts").alias("timestamp"),
         F.lit("gauge").alias("type"),
         F.expr(_UNIT).alias("unit"),
-        "value",
+        (F.col("value") * F.lit(UNEVEN)).alias("value"),
         F.create_map(F.lit("k"), F.get_json_object("props", "$.k")).alias("attributes"),
         F.expr(
             "date_trunc('MILLISECOND', ts) + make_dt_interval(0, 0, 0, event_id % 7)"
@@ -231,7 +235,7 @@ def counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SAMPLES_SQL = f"""
 samples AS (
   SELECT event_id, {_dashed("md5(cast(event_id AS varchar))")} AS metric_id, 'm' || (user_id % 4) AS machine_id,
-    {_NAME} AS name, date_trunc('millisecond', ts) AS timestamp, 'gauge' AS type, {_UNIT} AS unit, value,
+    {_NAME} AS name, date_trunc('millisecond', ts) AS timestamp, 'gauge' AS type, {_UNIT} AS unit, value * {UNEVEN}::double AS value,
     json_extract_string(props, '$.k') AS k,
     date_trunc('millisecond', ts) + to_seconds(event_id % 7)
       + to_hours(CASE WHEN event_id % 50 = 0 THEN 2 ELSE 0 END) AS inserted_at
