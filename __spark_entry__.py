@@ -35,7 +35,7 @@ with_views = views.with_views
 SERIES = ("m1", "system.cpu.utilization")
 SIX_HOURS = 21_600
 START, END = datetime(2024, 1, 5, tzinfo=UTC), datetime(2024, 1, 20, 12, tzinfo=UTC)
-ALL_TIME = (datetime(2024, 1, 1, tzinfo=UTC), datetime(2024, 2, 1, tzinfo=UTC))
+ALL_TIME = (datetime(1970, 1, 1, tzinfo=UTC), datetime(2200, 1, 1, tzinfo=UTC))
 AS_OF = datetime(2024, 1, 20, tzinfo=UTC)
 
 
@@ -916,6 +916,44 @@ def validate_machines(spark, sf_dir):
     return dc.examine(_machine_texts(spark, sf_dir), "machines").groupBy("reason").agg(F.count("*").alias("records"))
 
 
+def _collected(spark, sf_dir, topic):
+    """What the collector publishes on a topic, of all bodies: the events' and the machines'."""
+    source, out, progress = (scratch_path(spark, f"collected-{n}") for n in ("in", "out", "progress"))
+    asked = _machine_texts(spark, sf_dir).select(F.lit("http://host/v1/machine").alias("url"), F.col("value").alias("body"))
+    views.bodies(spark, sf_dir).unionByName(asked.withColumn("kind", F.lit("machine"))).write.parquet(source)
+    stream = spark.readStream.schema("url string, body string, kind string").parquet(source)
+
+    def publish(records, to):
+        if to == topic:
+            records.write.mode("append").parquet(out)
+
+    sinks.start_collector(stream, publish, "raw_metrics", progress, trigger=None).awaitTermination()
+    return spark.read.parquet(out)
+
+
+@query(
+    """SELECT machine_id, hostname, os, cores, total_memory, epoch(last_seen_at) AS last_seen_at FROM machines_raw
+    WHERE regexp_extract(hostname, '(\\d+)$', 1)::bigint % 10 > 3""",
+    ["machines"],
+)
+def machine_bodies(spark, sf_dir):
+    """The machine records that come out of the collector."""
+    kind = "machine_id string, hostname string, os string, cores int, total_memory long, last_seen_at double"
+    return _collected(spark, sf_dir, "machines").select(F.from_json("value", kind).alias("r")).select("r.*")
+
+
+@query(
+    """SELECT key, count(*) AS letters FROM (
+      SELECT 'http://host/v1/machine' AS key FROM machines_raw
+      WHERE regexp_extract(hostname, '(\\d+)$', 1)::bigint % 10 <= 3
+      UNION ALL SELECT 'http://' || machine_id || '/v1/machine' FROM samples WHERE event_id % 60 = 0) GROUP BY key""",
+    ["machines", "samples"],
+)
+def machine_dead_letters(spark, sf_dir):
+    """Bodies that should have been machine records, by where they came from."""
+    return _collected(spark, sf_dir, "machines_dlq").groupBy("key").agg(F.count("*").alias("letters"))
+
+
 # Rows, records and texts at the sinks
 
 
@@ -1245,6 +1283,40 @@ def mean_cost(spark, sf_dir):
     return ct.mean_cost(_counters(spark, sf_dir), "score_micros_total", "scores_total", ALL_TIME, ["algorithm"])
 
 
+@query(
+    f"""SELECT time, tag AS "table", round(max(quantile) FILTER (WHERE q = 0.5), 6) AS p50,
+      round(max(quantile) FILTER (WHERE q = 0.95), 6) AS p95 FROM asked GROUP BY time, tag""",
+    _COUNTERS,
+    _LADDER.replace("SELECT tag,", f"SELECT {_BUCKET.format('ts')} AS time, tag,", 1)
+    .replace("PARTITION BY tag", "PARTITION BY time, tag")
+    .replace("SELECT tag, q", "SELECT time, tag, q"),
+)
+def histogram_quantile_over_time(spark, sf_dir):
+    c, asked = _counters(spark, sf_dir), {"p50": 0.5, "p95": 0.95}
+    return ct.histogram_quantiles(c, "write_seconds_bucket", asked, ALL_TIME, ["table"], SIX_HOURS)
+
+
+@query(
+    f"""SELECT {_BUCKET.format('ts')} AS time, tag AS algorithm, round(sum(step) FILTER (WHERE name = 'score_micros_total')
+        / nullif(sum(step) FILTER (WHERE name = 'scores_total'), 0), 6) AS mean_cost
+    FROM steps WHERE name IN ('score_micros_total', 'scores_total') GROUP BY ALL""",
+    _COUNTERS,
+)
+def mean_cost_over_time(spark, sf_dir):
+    c = _counters(spark, sf_dir)
+    return ct.mean_cost(c, "score_micros_total", "scores_total", ALL_TIME, ["algorithm"], SIX_HOURS)
+
+
+@query(
+    f"""SELECT time, max(value) AS value FROM (
+      SELECT {_BUCKET.format('ts')} AS time, task, arg_max(value, ts) AS value FROM gauges WHERE name = 'pending_records'
+      GROUP BY ALL) GROUP BY time""",
+    _COUNTERS,
+)
+def gauge_max_over_time(spark, sf_dir):
+    return ct.gauge_max_over_time(_counters(spark, sf_dir), "pending_records", ALL_TIME, SIX_HOURS)
+
+
 _MOMENT = datetime(2024, 1, 15, 6, 0, tzinfo=UTC)
 _CURRENT = """ts <= TIMESTAMP '2024-01-15 06:00:00' AND ts > TIMESTAMP '2024-01-01 06:00:00'"""
 

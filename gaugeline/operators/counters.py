@@ -87,16 +87,30 @@ def counter_rate(
     )
 
 
+def _timed(seconds: int | None) -> list[Column]:
+    """The bucket of time to group by as well, if buckets are asked for."""
+    return [] if seconds is None else [bucket(F.col("ts"), seconds).alias("time")]
+
+
 def histogram_quantiles(
-    counters: DataFrame, name: str, probabilities: dict[str, float], within: Range, by: list[str]
+    counters: DataFrame,
+    name: str,
+    probabilities: dict[str, float],
+    within: Range,
+    by: list[str],
+    seconds: int | None = None,
 ) -> DataFrame:
-    """Quantiles of a cumulative bucket counter, by linear interpolation inside their buckets, a column for each.
+    """Quantiles of a cumulative bucket counter, by linear interpolation inside their buckets, a column for each; over
+    the whole range, or in each bucket of `seconds` (`time`).
 
     Buckets are the values of the label `le`, the last one `+Inf`; a quantile in that one is the bound before it.
     """
     bound = F.when(F.col("le") == "+Inf", F.lit(float("inf"))).otherwise(F.col("le").try_cast("double"))
+    steps = counter_steps(counters, name, within).select(*_timed(seconds), *_by([*by, "le"]), "step")
+    by = [*(["time"] if seconds else []), *by]
     rates = (
-        counter_increase(counters, name, within, by=[*by, "le"])
+        steps.groupBy(*by, "le")
+        .agg(F.sum("step").alias("increase"))
         .withColumn("bound", bound)
         .where(F.col("bound").isNotNull())
     )
@@ -126,9 +140,13 @@ def histogram_quantile(counters: DataFrame, name: str, q: float, within: Range,
     return histogram_quantiles(counters, name, {"quantile": q}, within, by)
 
 
-def mean_cost(counters: DataFrame, total: str, count: str, within: Range, by: list[str]) -> DataFrame:
-    """Mean per call: the increase of a running total over the increase of its count."""
-    steps = counter_steps(counters, [total, count], within).select("name", *_by(by), "step")
+def mean_cost(
+    counters: DataFrame, total: str, count: str, within: Range, by: list[str], seconds: int | None = None
+) -> DataFrame:
+    """Mean per call: the increase of a running total over the increase of its count; in each bucket of `seconds`, if
+    given."""
+    steps = counter_steps(counters, [total, count], within).select("name", *_timed(seconds), *_by(by), "step")
+    by = [*(["time"] if seconds else []), *by]
     spent = F.sum(F.when(F.col("name") == total, F.col("step")))
     calls = F.sum(F.when(F.col("name") == count, F.col("step")))
     return steps.groupBy(*by).agg(F.try_divide(spent, calls).alias("mean_cost"))
@@ -151,6 +169,15 @@ def gauge_max(counters: DataFrame, name: str, as_of: datetime, lookback: int = L
     return _current(counters, name, as_of, lookback).agg(F.max("value").alias("value"))
 
 
+def gauge_max_over_time(counters: DataFrame, name: str, within: Range, seconds: int) -> DataFrame:
+    """Per bucket of `seconds` the greatest of the series' newest values in it."""
+    start, end = within
+    chosen = counters.where((F.col("name") == name) & F.col("ts").between(F.lit(start), F.lit(end)))
+    series = F.to_json(F.array_sort(F.map_entries("labels"))).alias("series")
+    newest = chosen.select(*_timed(seconds), series, "ts", "value").groupBy("time", "series")
+    return newest.agg(F.max_by("value", "ts").alias("value")).groupBy("time").agg(F.max("value").alias("value"))
+
+
 def up_or_zero(counters: DataFrame, job: str, as_of: datetime, lookback: int = LOOKBACK_SECONDS) -> DataFrame:
     """1 if every target of `job` is up, 0 if one is down or none is known."""
     current = _current(counters, "up", as_of, lookback).where(label_equals("job", job))

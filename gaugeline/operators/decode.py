@@ -254,6 +254,11 @@ def machine_records(bodies: DataFrame) -> Split:
     return valid_records(examined), rejected.drop("record", "value")
 
 
+def is_machine(bodies: DataFrame) -> Column:
+    """Whether a body answers a request for the machine record; without a `kind` all are metrics."""
+    return F.col("kind").eqNullSafe("machine") if "kind" in bodies.columns else F.lit(False)
+
+
 def with_metric_id(samples: DataFrame) -> DataFrame:
     """Add `metric_id`: a time-ordered UUID (version 7 layout) made from the sample itself.
 

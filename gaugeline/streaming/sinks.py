@@ -16,9 +16,17 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from gaugeline.functions.scalars import cut_to_millis, epoch_to_timestamp
 from gaugeline.functions.validity import aware_timestamp
-from gaugeline.operators.decode import examine, explode_snapshots, malformed_records, valid_records
+from gaugeline.operators.decode import (
+    examine,
+    explode_snapshots,
+    is_machine,
+    machine_records,
+    malformed_records,
+    valid_records,
+)
 from gaugeline.plans.lifecycle import append
 from gaugeline.schemas import TABLES, assert_agreement, assert_schema
+from gaugeline.session import materialise
 from gaugeline.sources.streams import dead_letters, to_kafka
 from gaugeline.sources.tables import read_counters
 
@@ -245,21 +253,25 @@ def start_collector(
     topic: str,
     checkpoint: str,
     *,
+    machines_topic: str = "machines",
     trigger: str | None = TRIGGER,
 ) -> StreamingQuery:
-    """Snapshot bodies to samples on `topic` and dead letters on `<topic>_dlq`, in one pass over each batch.
+    """Bodies to samples on `topic`, or to records on `machines_topic` where their `kind` is `machine`; bodies that will
+    not do to the dead letters of their kind, `<topic>_dlq`. A batch is stored once in shared scratch and read for each.
 
     `publish(records, topic)` writes key and value columns, e.g. to Kafka.
     """
 
     def collect(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            samples, rejected = explode_snapshots(batch)
-            publish(to_kafka(samples, key="machine_id"), topic)
-            publish(dead_letters(rejected), f"{topic}_dlq")
-        finally:
-            batch.unpersist()
+        bodies = materialise(batch, "bodies")
+        machine = is_machine(bodies)
+        samples, rejected = explode_snapshots(bodies.where(~machine))
+        publish(to_kafka(samples, key="machine_id"), topic)
+        publish(dead_letters(rejected), f"{topic}_dlq")
+        if "kind" in bodies.columns:
+            records, rejected = machine_records(bodies.where(machine))
+            publish(to_kafka(records, key="machine_id"), machines_topic)
+            publish(dead_letters(rejected), f"{machines_topic}_dlq")
 
     timing = {"availableNow": True} if trigger is None else {"processingTime": trigger}
     return (

@@ -237,6 +237,28 @@ def test_collector_publishes_samples_and_dead_letters(spark, tmp_path):
     assert key == letter["url"] == "http://b/v1/metrics" and letter["body"] == "<html>busy</html>"
 
 
+def test_collector_tells_machines_from_metrics(spark, tmp_path):
+    source, published = str(tmp_path / "in"), {}
+    bodies = [
+        ("u1", json.dumps(SNAPSHOT), "metrics"),
+        ("u2", json.dumps(MACHINE), "machine"),
+        ("u3", json.dumps(SNAPSHOT), "machine"),
+        ("u4", json.dumps(MACHINE), "metrics"),
+        ("u5", "<html>busy</html>", "machine"),
+    ]
+    spark.createDataFrame(bodies, "url string, body string, kind string").write.parquet(source)
+
+    def publish(records, topic):
+        published.setdefault(topic, []).extend((r["key"], json.loads(r["value"])) for r in records.collect())
+
+    stream = spark.readStream.schema("url string, body string, kind string").parquet(source)
+    sinks.start_collector(stream, publish, "raw_metrics", str(tmp_path / "cp"), trigger=None).awaitTermination()
+    assert [v["machine_id"] for _, v in published["raw_metrics"]] == ["rack7"]
+    assert published["machines"] == [(MACHINE["machine_id"], MACHINE)]
+    assert [k for k, _ in published["raw_metrics_dlq"]] == ["u4"]
+    assert sorted(k for k, _ in published["machines_dlq"]) == ["u3", "u5"]
+
+
 def test_record_sink_and_replay_suppression(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     row = (EVALUATION["metric_id"], "mad", 1.0)
