@@ -25,6 +25,11 @@ from gaugeline.operators.scoring import DEFAULT_ORDER, SERIES, Observer, evaluat
 WATERMARK = "5 seconds"
 
 
+def _numbers(values: np.ndarray, missing: bool = False) -> pd.arrays.FloatingArray:
+    """Doubles in which not a number stays one, apart from null."""
+    return pd.arrays.FloatingArray(values, np.full(len(values), missing))
+
+
 def score_stream(
     samples: DataFrame,
     *,
@@ -70,9 +75,9 @@ def score_stream(
                     "metric_name": key[1],
                     "timestamp": chosen["timestamp"].to_numpy(),
                     "algorithm": algorithm,
-                    "baseline": bands.baseline,
-                    "lower": np.full(len(block), np.nan) if bands.lower is None else bands.lower,
-                    "upper": bands.upper,
+                    "baseline": _numbers(bands.baseline),
+                    "lower": _numbers(np.zeros(len(block)), True) if bands.lower is None else _numbers(bands.lower),
+                    "upper": _numbers(bands.upper),
                     "is_anomaly": bands.is_anomaly,
                 }
             )

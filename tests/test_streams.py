@@ -107,6 +107,19 @@ def test_a_series_is_cut_down_before_the_shuffle(spark, capsys):
     assert plan.index("WindowGroupLimit", plan.index("Exchange")) and "Partial" in plan
 
 
+def test_not_a_number_is_not_null(spark, tmp_path):
+    values = [1.0, 2.0] * 15 + [float("nan")] + [1.0] * 5
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    epoch(frame(spark, {("m", "nab.x"): values})).coalesce(1).write.parquet(source)
+    stream = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
+    writer = score_stream(stream).writeStream.format("parquet").option("path", out)
+    writer.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    rows = spark.read.parquet(out).where("algorithm = 'mad'").collect()
+    broken = [r for r in rows if r["baseline"] != r["baseline"]]
+    assert len(broken) == 6 and all(r["lower"] != r["lower"] and not r["is_anomaly"] for r in broken)
+    assert all(r["baseline"] is not None for r in rows)
+
+
 def test_late_samples_are_scored(spark, tmp_path):
     source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
     early = epoch(frame(spark, {("m", "nab.x"): [1.0] * 30}))
