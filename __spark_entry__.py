@@ -219,12 +219,9 @@ def scored_only(spark, sf_dir):
 
 @query("SELECT algorithm, count(*) AS calls, true AS timed FROM evaluations GROUP BY algorithm", EVAL)
 def detector_costs(spark, sf_dir):
-    """Calls of each detector and whether their time was taken, from the sums the tasks report."""
-    costs = scoring.DetectorCosts(spark)
-    samples = dedup.metrics_final(views.metrics_raw(spark, sf_dir))
-    scoring.score(samples, observe=costs).write.format("noop").mode("overwrite").save()
-    rows = [(name, calls, micros > 0) for name, (calls, micros) in costs.totals().items()]
-    return spark.createDataFrame(rows, "algorithm string, calls long, timed boolean")
+    """Calls of each detector and whether their time was taken, from what every chunk reports."""
+    costs = scoring.detector_costs(dedup.metrics_final(views.metrics_raw(spark, sf_dir)))
+    return costs.select("algorithm", "calls", (F.col("micros") > 0).alias("timed"))
 
 
 def _twice_the_mean(window: list[float]) -> tuple[float, None, float, bool]:

@@ -182,20 +182,27 @@ def score(
     return chunks.groupBy("_chunk").applyInArrow(kernel, evaluation_schema(samples))
 
 
-class DetectorCosts:
-    """Calls and microseconds per detector, summed over all tasks of a job."""
-
-    def __init__(self, spark: SparkSession, registry: Registry = DEFAULT_REGISTRY):
-        context = spark.sparkContext
-        self._sums = {name: (context.accumulator(0), context.accumulator(0)) for name in registry.algorithms()}
+def detector_costs(
+    samples: DataFrame,
+    window: int = WINDOW_POINTS,
+    order: tuple[str, ...] = DEFAULT_ORDER,
+    registry: Registry = DEFAULT_REGISTRY,
+) -> DataFrame:
+    """Per detector the `calls` and `micros` that scoring the samples takes.
 
-    def __call__(self, algorithm: str, calls: int, seconds: float) -> None:
-        scores, micros = self._sums[algorithm]
-        scores.add(calls)
-        micros.add(round(seconds * 1_000_000))
+    Every chunk reports its own as rows, so a task that is run again is not counted twice.
+    """
+    chunks = series_chunks(samples, ["metric_id", "timestamp", "value"], window - 1, order, registry)
 
-    def totals(self) -> dict[str, tuple[int, int]]:
-        return {name: (scores.value, micros.value) for name, (scores, micros) in self._sums.items()}
+    def kernel(table: pa.Table) -> pa.Table:
+        noted: list[tuple[str, int, float]] = []
+        score_table(table, registry, window, lambda *seen: noted.append(seen))
+        algorithms, calls, seconds = zip(*noted, strict=True) if noted else ((), (), ())
+        micros = pa.array([second * 1e6 for second in seconds], pa.float64())
+        return pa.table({"algorithm": pa.array(algorithms, pa.string()), "calls": pa.array(calls, pa.int64()), "micros": micros})
+
+    noted = chunks.groupBy("_chunk").applyInArrow(kernel, "algorithm string, calls long, micros double")
+    return noted.groupBy("algorithm").agg(F.sum("calls").alias("calls"), F.sum("micros").alias("micros"))
 
 
 def recent(window: int = WINDOW_POINTS) -> WindowSpec:
