@@ -1283,7 +1283,8 @@ def mean_cost(spark, sf_dir):
     _COUNTERS,
     _LADDER.replace("SELECT tag,", f"SELECT {_BUCKET.format('ts')} AS time, tag,", 1)
     .replace("PARTITION BY tag", "PARTITION BY time, tag")
-    .replace("SELECT tag, q", "SELECT time, tag, q"),
+    .replace("SELECT tag, q", "SELECT time, tag, q")
+    .replace("WHERE count >= total * q", "WHERE total > 0 AND count >= total * q"),
 )
 def histogram_quantile_over_time(spark, sf_dir):
     c, asked = _counters(spark, sf_dir), {"p50": 0.5, "p95": 0.95}
