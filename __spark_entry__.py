@@ -1281,7 +1281,10 @@ def mean_cost(spark, sf_dir):
     f"""SELECT time, tag AS "table", round(max(quantile) FILTER (WHERE q = 0.5), 6) AS p50,
       round(max(quantile) FILTER (WHERE q = 0.95), 6) AS p95 FROM asked GROUP BY time, tag""",
     _COUNTERS,
+    # Buckets seen first at different times may not rise within a stretch of time: a later one includes the earlier.
     _LADDER.replace("SELECT tag,", f"SELECT {_BUCKET.format('ts')} AS time, tag,", 1)
+    .replace("ladder AS (", "counted AS (")
+    .replace("rungs AS (", "ladder AS (SELECT * REPLACE (max(count) OVER (PARTITION BY tag ORDER BY bound) AS count) FROM counted),\nrungs AS (")
     .replace("PARTITION BY tag", "PARTITION BY time, tag")
     .replace("SELECT tag, q", "SELECT time, tag, q")
     .replace("WHERE count >= total * q", "WHERE total > 0 AND count >= total * q"),
