@@ -121,7 +121,8 @@ def _weight(depth: int, half: int) -> Column:
 
 def _buckets(fps: DataFrame, half: int, variants: int) -> DataFrame:
     """`fps` dealt into buckets (of `depth` bits) of at most about `variants` variants, whatever lies close together."""
-    spread = fps.count() * ball(64, half) / (variants / 2)
+    # An even bucket is an eighth full at most: only where fingerprints lie close together is one dealt out again.
+    spread = fps.count() * ball(64, half) / (variants / 8)
     deeper = min(24, max(1, math.ceil(math.log2(max(2, spread)))))
     rows, depth = fps.select("fp", F.lit(0).cast("long").alias("bucket")), 0
     ready = None
