@@ -253,7 +253,7 @@ def _grouped(candidates: DataFrame) -> DataFrame:
         F.sum("size").alias("bytes"),
         (F.min("whole") == F.max("whole")).alias("same"),
     )
-    return candidates.join(groups.filter("all_copies > 1").drop("all_copies"), "key")
+    return candidates.join(stored(groups.filter("all_copies > 1").drop("all_copies"), "groups"), "key")
 
 
 def _repeated(candidates: DataFrame, length: int, shard_bytes: int) -> DataFrame:
@@ -285,7 +285,9 @@ def repeats(docs: DataFrame, length: int = 400, shard_bytes: int = SHARD_BYTES)
     counted = anchors.groupBy("anchor").agg(
         F.count("*").alias("copies"), (F.min("segment") == F.max("segment")).alias("same")
     )
-    seen = stored(anchors.join(counted.filter("copies > 1").drop("copies"), "anchor"), "repeated-anchors")
+    # Written first: a join of two plain exchanges, which adaptive execution can split at a hot anchor.
+    counted = stored(counted.filter("copies > 1").drop("copies"), "counted-anchors")
+    seen = stored(anchors.join(counted, "anchor"), "repeated-anchors")
     where = F.struct("doc_id", HASH_COLUMN, "at", "n", "place")
     different = seen.filter("not same").groupBy("anchor", "segment")
     different = different.agg(F.count("*").alias("copies"), F.min(where).alias("one")).select(
