@@ -10,6 +10,10 @@ variants than a task should hold is dealt out again by more leading bits, down t
 Within a bucket only a spanning forest of the links leaves the task, never all pairs of a group. Components are then
 found over different fingerprints, not documents: a thousand copies are one node.
 
+`one_of_each` takes what chains together by such links as candidates only: within a component texts are near if their
+sets of five-word shingles have a Jaccard similarity of at least 0.8, and that is computed exactly for every pair that
+can reach it and is not connected yet.
+
 Defined results: null and empty texts (no words) have fingerprint zero, which links like any other; repeated rows each
 get their row; a null doc_id is returned but never names a component unless it is all there is; an empty table gives an
 empty result; other columns are ignored.
@@ -38,6 +42,11 @@ VARIANTS = 2_000_000
 TABLES = 4
 #: Leading bits by which an overfull bucket is dealt out again.
 MORE_BITS = 6
+#: Words of a shingle, and the least similarity of near texts, as a fraction of whole numbers.
+SHINGLE = 5
+NEAR = (4, 5)
+#: Rounds in which texts that share a shingle are first compared with one leader each.
+LEADERS = 2
 
 
 def _majority(hashes: list[int]) -> int:
@@ -72,6 +81,21 @@ def word_set_fingerprints(text: bytes, tables: int) -> list[int]:
     return [_majority([digest(word, seed) for word in words]) if words else 0 for seed in range(tables)]
 
 
+def shingles(text: bytes, width: int = SHINGLE) -> np.ndarray:
+    """Different hashes of the text's word windows (all of its words if it has fewer), in order."""
+    words = text.lower().split()
+    if not words:
+        return np.zeros(0, np.int64)
+    joined = b" ".join(words)
+    if len(words) <= width:
+        return np.array([xxhash.xxh64_intdigest(joined, 42)], np.uint64).view(np.int64)
+    ends = np.cumsum([len(word) + 1 for word in words])
+    starts, stops = [0, *ends[:-width].tolist()], (ends[width - 1 :] - 1).tolist()
+    digest = xxhash.xxh64_intdigest
+    found = {digest(joined[a:b], 42) for a, b in zip(starts, stops, strict=True)}
+    return np.sort(np.fromiter(found, np.uint64, len(found)).view(np.int64))
+
+
 def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
     """`doc_id, fp`: the fingerprint as a signed 64-bit number."""
     chosen = own(docs, "doc_id", "text").select("doc_id", utf8("text").alias("text"))
@@ -207,25 +231,103 @@ def near_duplicates(docs: DataFrame, width: int = 4, radius: int = 4) -> DataFra
     return found.join(by_fp, "fp").select("doc_id", shown.alias("fingerprint"), "component_id")
 
 
+def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of the pairs `u, v` of sets (`id, shingles`) with a Jaccard similarity of at least `NEAR`."""
+    left, right = (sets.select(F.col("id").alias(c), F.col("shingles").alias(f"{c}_has")) for c in "uv")
+    both = pairs.join(left, "u").join(right, "v").select("u", "v", "u_has", "v_has")
+    part, whole = NEAR
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = []
+            for a, b in zip(rows_of(batch, "u_has"), rows_of(batch, "v_has"), strict=True):
+                a, b = np.frombuffer(a, np.int64), np.frombuffer(b, np.int64)
+                common = len(np.intersect1d(a, b, assume_unique=True))
+                near.append(whole * common >= part * (len(a) + len(b) - common))
+            yield batch.select(["u", "v"]).filter(pa.array(near, pa.bool_()))
+
+    return both.mapInArrow(compare, "u long, v long")
+
+
+def _near_components(sets: DataFrame) -> DataFrame:
+    """`node, root`: what the pairs of sets (`id, root, shingles`) of one root with similarity `NEAR` connect.
+
+    Sets that are near share one of their first shingles in order of hash (prefix filter). Those with a shingle in common
+    are first compared with one of them; only what is not connected by then is compared in pairs.
+    """
+    part, whole = NEAR
+    size = (F.length("shingles") / 8).cast("int")
+    first = F.floor(size - F.ceil(size * part / whole) + 1).cast("int")
+
+    @F.arrow_udf("array<bigint>")
+    def leading(texts: pa.Array, counts: pa.Array) -> pa.Array:
+        found = [np.frombuffer(x, np.int64)[:n] for x, n in zip(texts.to_pylist(), counts.to_pylist(), strict=True)]
+        return pa.array(found, pa.list_(pa.int64()))
+
+    tokens = sets.filter(size > 0).select("id", "root", size.alias("size"), F.posexplode(leading("shingles", first)).alias("at", "token"))
+    tokens = stored(tokens, "leading-shingles")
+
+    def may(a, b) -> Column:
+        """Whether a and b can be near, by their sizes and the places of the shingle that they share."""
+        common = F.least(a["at"], b["at"]) + 1 + F.least(a["size"] - a["at"], b["size"] - b["at"]) - 1
+        return (part + whole) * common >= part * (a["size"] + b["size"])
+
+    found, labels = None, None
+    for round_ in range(LEADERS + 1):
+        now = tokens.withColumn("label", F.col("id"))
+        if labels is not None:
+            named = labels.select(F.col("node").alias("id"), F.col("root").alias("named"))
+            now = tokens.join(named, "id", "left").withColumn("label", F.coalesce("named", "id")).drop("named")
+        me = F.struct("id", "label", "size", "at")
+        groups = now.groupBy("root", "token").agg(
+            F.min("label").alias("low"), F.max("label").alias("high"), F.min_by(me, F.xxhash64("id", F.lit(round_))).alias("leader")
+        )
+        groups = stored(groups.filter("low <> high").select("root", "token", "leader"), "open-shingles")
+        if labels is not None and groups.isEmpty():
+            return labels
+        now = stored(now.join(groups, ["root", "token"]).select("root", "token", me.alias("me"), "leader"), "open")
+        if round_ < LEADERS:
+            pairs = now.select("me", F.col("leader").alias("other"))
+        else:
+            others = now.select("root", "token", F.col("me").alias("other"))
+            pairs = now.select("root", "token", "me").join(others, ["root", "token"]).filter("me.id < other.id")
+        pairs = pairs.filter("me.label <> other.label").filter(may(F.col("me"), F.col("other")))
+        pairs = pairs.select(F.least("me.id", "other.id").alias("u"), F.greatest("me.id", "other.id").alias("v")).distinct()
+        near = stored(_similar(stored(pairs, "pairs"), sets), "near")
+        found = near if found is None else found.unionByName(near)
+        labels = stored(components(found), "labels")
+    return labels
+
+
 def one_of_each(docs: DataFrame, tables: int = TABLES, radius: int = 4) -> DataFrame:
     """`docs` with one row (the least doc_id that is not null, then text hash) of each group of near-duplicates.
 
-    Near are texts whose word sets have fingerprints within `radius` bits under any of `tables` seeds, and what chains
-    of near texts connect. Repeated rows count as one document.
+    Near are texts whose sets of five-word shingles have similarity 0.8 at least, and what chains of near texts connect.
+    Looked for are they among texts that are connected by word sets with fingerprints within `radius` bits under any of
+    `tables` seeds. Repeated rows count as one document.
     """
     hashed = docs.withColumn("_llm_key", F.struct("doc_id", F.xxhash64(utf8("text")).alias("hash")))
     chosen = hashed.select("_llm_key", utf8("text").alias("_text"))
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [word_set_fingerprints(text, tables) for text in rows_of(batch, "_text")]
+            found, ids = [], []
+            for text in rows_of(batch, "_text"):
+                found.append(word_set_fingerprints(text, tables))
+                ids.append(xxhash.xxh64_intdigest(shingles(text).tobytes(), 42))
             fps = np.array(found, np.uint64).reshape(-1, tables).view(np.int64)
             columns = [pa.array(np.ascontiguousarray(fps[:, k])) for k in range(tables)]
-            yield pa.RecordBatch.from_arrays([batch.column("_llm_key"), *columns], ["_llm_key", *names])
+            columns.append(pa.array(np.array(ids, np.uint64).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("_llm_key"), *columns], ["_llm_key", *names, "id"])
+
+    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            has = pa.array([shingles(text).tobytes() for text in rows_of(batch, "_text")], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("root"), has], ["id", "root", "shingles"])
 
     names = [f"fp{k}" for k in range(tables)]
     kinds = [T.StructField(name, T.LongType()) for name in names]
-    found = chosen.mapInArrow(vote, T.StructType([chosen.schema["_llm_key"], *kinds]))
+    found = chosen.mapInArrow(vote, T.StructType([chosen.schema["_llm_key"], *kinds, T.StructField("id", T.LongType())]))
     found = stored(found.withColumn("node", F.xxhash64(*names)), "word-set-fingerprints")
     nodes = found.select("node", *names).distinct()
     near = None
@@ -236,9 +338,22 @@ def one_of_each(docs: DataFrame, tables: int = TABLES, radius: int = 4) -> DataF
         close = links(named.select("fp"), radius).join(u, "u").join(v, "v").select(F.col("u_first").alias("u"), F.col("v_first").alias("v"))
         part = stored(same.filter("u <> v").unionByName(close), "table-links")
         near = part if near is None else near.unionByName(part)
-    rooted = found.select("_llm_key", "node").join(components(near), "node", "left")
     order = F.struct(F.col("_llm_key.doc_id").isNull().alias("last"), F.col("_llm_key").alias("key"))
-    kept = rooted.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min(order).alias("kept"))
+    sets = found.groupBy("id", "node").agg(F.min(order).alias("least"))
+    sets = sets.join(components(near), "node", "left").groupBy("id").agg(
+        F.min(F.coalesce("root", "node")).alias("root"), F.min("least").alias("least")
+    )
+    sets = stored(sets, "shingle-sets")
+    several = sets.groupBy("root").agg(F.count("*").alias("n")).filter("n > 1").select("root")
+    # The text of one document stands for all that have its shingles.
+    to_verify = sets.join(stored(several, "components"), "root", "left_semi").select("id", "root", F.col("least.key").alias("_llm_key"))
+    texts = chosen.join(stored(to_verify, "to-verify"), "_llm_key").select("id", "root", "_text").mapInArrow(
+        collect, "id long, root long, shingles binary"
+    )
+    texts = stored(texts.dropDuplicates(["id"]), "shingles")
+    near = _near_components(texts)
+    rooted = sets.select("id", "least").join(near.select(F.col("node").alias("id"), F.col("root").alias("near")), "id", "left")
+    kept = rooted.groupBy(F.coalesce("near", "id").alias("root")).agg(F.min("least").alias("kept"))
     kept = kept.select(F.col("kept.key").alias("_llm_key"))
     joined = hashed.join(kept, "_llm_key", "left_semi")
     return joined.dropDuplicates(["_llm_key"]).select(docs.columns)

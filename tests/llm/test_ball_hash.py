@@ -115,3 +115,37 @@ def test_one_of_each(spark):
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 20]
     assert ball_hash.one_of_each(docs.limit(0)).count() == 0
+
+
+def similar_classes(texts):
+    sets = []
+    for text in texts:
+        words = text.split()
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))})
+    least = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) and least[i] != least[j]:
+                old, new = max(least[i], least[j]), min(least[i], least[j])
+                least = [new if x == old else x for x in least]
+    return set(least)
+
+
+def test_one_of_each_keeps_texts_that_only_share_their_words(spark):
+    rng = random.Random(12)
+    words = [f"word{i}" for i in range(5000)]
+    texts = []
+    for _ in range(3):
+        base = rng.sample(words, 300)
+        texts.append(" ".join(base))
+        texts.append(" ".join(base[::-1]))  # the same set of words, no shingle in common
+        for edits in (1, 4, 5, 6, 7, 8, 12, 20, 30):
+            for _ in range(3):
+                copy = list(base)
+                for at in rng.sample(range(300), edits):
+                    copy[at], copy[at - 1] = copy[at - 1], copy[at]
+                texts.append(" ".join(copy))
+    docs = spark.createDataFrame([(i, t, "clash", i) for i, t in enumerate(texts)], DOCS).repartition(3)
+    want = similar_classes(texts)
+    assert 6 <= len(want) < len(texts)
+    assert {r["doc_id"] for r in ball_hash.one_of_each(docs).collect()} == want
