@@ -9,9 +9,12 @@ Test items are taken in blocks of a bounded number of words; a block travels to
 size, and every document meets every block, so nothing is shuffled but a count per n-gram. Documents are read twice (to
 count, to align) and never grouped, so copies, hot sources and common passages cannot pile up anywhere.
 
-Defined results: null and empty texts hold no item; items of fewer words than a seed, and null ones, are never found;
-repeated rows and items are each answered; null ids are returned; empty tables give empty answers; other columns pass
-through. Case and ASCII punctuation do not count.
+An item of fewer words than a seed has no n-gram; its whole word sequence is its seed, so it is found where it stands
+exactly. In scripts without spaces (Chinese, Japanese, Thai, Lao, Burmese, Khmer) every character is a word.
+
+Defined results: null and empty texts hold no item; items without a word, and null ones, are never found; repeated rows
+and items are each answered; null ids are returned; empty tables give empty answers; other columns pass through. Case,
+ASCII punctuation and CJK punctuation do not count.
 """
 
 from __future__ import annotations
@@ -40,12 +43,37 @@ HASH = RollingHash(0xD6E8FEB86659FD93)
 _PLAIN = bytes(b if chr(b).isalnum() or b >= 128 else 32 for b in range(256))
 
 
+def _unspaced(data: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, int]]]:
+    """The bytes with CJK punctuation as spaces, and where characters of scripts without spaces begin, by size."""
+    found = []
+    if data.max() < 0xE0:
+        return data, found
+    second = np.r_[data[1:], np.uint8(32)]
+    thai_lao = (data == 0xE0) & (second >= 0xB8) & (second <= 0xBB)
+    burmese_khmer = (data == 0xE1) & (((second >= 0x80) & (second <= 0x82)) | (second == 0x9E) | (second == 0x9F))
+    marks = np.flatnonzero((data == 0xE3) & (second == 0x80))
+    three = np.flatnonzero(((data >= 0xE3) & (data <= 0xE9)) | thai_lao | burmese_khmer)
+    four = np.flatnonzero((data == 0xF0) & (second >= 0xA0) & (second <= 0xB3))
+    three = three[~np.isin(three, marks)]
+    if len(marks):
+        data = data.copy()
+        for k in range(3):
+            data[marks + k] = 32
+    return data, [(three, 3), (four, 4)]
+
+
 def words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """A hash for every word of the texts in order, and how many words each text has."""
     data = np.frombuffer(b" ".join(texts).translate(_PLAIN) + b" ", np.uint8)
+    data, alone = _unspaced(data)
     inside = np.r_[False, data != 32]
-    start = np.flatnonzero(inside[1:] & ~inside[:-1])
-    end = np.flatnonzero(inside[:-1] & ~inside[1:])
+    begins, ends = inside[1:] & ~inside[:-1], inside[:-1] & ~inside[1:]
+    for at, size in alone:  # a word of its own: one ends before it and may begin behind it
+        begins[at] = True
+        ends[at] |= inside[at]
+        ends[at + size] = True
+        begins[at + size] |= data[at + size] != 32
+    start, end = np.flatnonzero(begins), np.flatnonzero(ends)
     prefix = HASH.prefix(data)
     ends = np.cumsum([len(t) + 1 for t in texts])
     return HASH.ranges(prefix, start, end), np.diff(np.searchsorted(start, ends), prepend=0)
@@ -73,6 +101,12 @@ class Block:
     seed: np.ndarray
     item: np.ndarray
     place: np.ndarray
+    sizes: tuple[int, ...]  # words of its seeds
+
+    def grams(self, hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all that may be a seed, and the place of the first word."""
+        found, at = zip(*[grams(hashes, counts, n) for n in self.sizes], strict=True)
+        return np.concatenate(found), np.concatenate(at)
 
     def finder(self) -> np.ndarray:
         table = np.zeros(1 << 22, bool)
@@ -91,11 +125,17 @@ def block_of(rows: list[tuple], n: int) -> Block:
     hashes, counts = words([text for _, text in rows])
     seed, at = grams(hashes, counts, n)
     begins = np.cumsum(counts) - counts
+    sizes = [n]
+    for short in sorted({int(c) for c in counts if 0 < c < n}):
+        more, whole = grams(hashes, counts, short)
+        whole_item = np.isin(whole, begins[counts == short])
+        seed, at = np.r_[seed, more[whole_item]], np.r_[at, whole[whole_item]]
+        sizes.append(short)
     item = np.searchsorted(begins, at, "right") - 1
     # An item without words begins where the next one does; the right one is the last that begins there.
     order = np.argsort(seed, kind="stable")
     parts = [hashes[b : b + c] for b, c in zip(begins, counts, strict=True)]
-    return Block([i for i, _ in rows], parts, seed[order], item[order], (at - begins[item])[order])
+    return Block([i for i, _ in rows], parts, seed[order], item[order], (at - begins[item])[order], tuple(sizes))
 
 
 def blocks(benchmark: DataFrame, n: int, most_words: int) -> Iterator[Block]:
@@ -103,7 +143,7 @@ def blocks(benchmark: DataFrame, n: int, most_words: int) -> Iterator[Block]:
     rows, held = [], 0
     for item, text in chosen.select("item_id", F.lower("text")).orderBy("item_id", "text").toLocalIterator():
         rows.append((item, text.encode()))
-        held += text.count(" ") + 1
+        held += text.count(" ") + 1 + sum(c >= "\u0e00" for c in text)
         if held >= most_words:
             yield block_of(rows, n)
             rows, held = [], 0
@@ -137,7 +177,7 @@ def rarest(docs: DataFrame, block: Block, n: int, share: float) -> Block:
         for batch in batches:
             for _, texts in _texts(batch.column("text")):
                 hashes, counts = words(texts)
-                found, at = grams(hashes, counts, n)
+                found, at = known.grams(hashes, counts)
                 hit, first = known.hits(table, found)
                 doc = np.searchsorted(np.cumsum(counts), at[hit], "right")
                 once = np.unique(doc.astype(np.int64) << 32 | first)  # a document counts once for an n-gram
@@ -158,7 +198,7 @@ def rarest(docs: DataFrame, block: Block, n: int, share: float) -> Block:
     # Seeds: the rarer share, and whatever is as rare as the rarest, so that an item never loses all.
     kept = (rank < np.ceil(share * size)) | (frequency[order] == frequency[order][begins])
     kept = np.sort(order[kept])
-    return Block(block.ids, block.words, block.seed[kept], block.item[kept], block.place[kept])
+    return Block(block.ids, block.words, block.seed[kept], block.item[kept], block.place[kept], block.sizes)
 
 
 def smith_waterman(passages: list[np.ndarray], items: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -186,11 +226,23 @@ def smith_waterman(passages: list[np.ndarray], items: list[np.ndarray]) -> tuple
 
 
 def _passages(place: np.ndarray, item_place: np.ndarray, size: int, n_words: int) -> list[tuple[int, int]]:
-    """Stretches of a document in which an item may lie, given places of seeds there and in the item."""
+    """Stretches of a document in which an item may lie, given places of seeds there and in the item.
+
+    Seeds that follow each other closely share a stretch; a long one is cut into pieces that overlap so far that what
+    belongs to any seed, `size + 3 * slack` words, lies whole in one of them.
+    """
     slack = size // 4 + 2
     begins = np.sort((place - item_place).clip(min=0))
-    firsts = begins[np.r_[True, np.diff(begins) > slack]]
-    return [(max(0, int(b) - slack), min(n_words, int(b) + size + 2 * slack)) for b in firsts]
+    edges = np.flatnonzero(np.diff(begins) > slack)
+    firsts, lasts = begins[np.r_[0, edges + 1]], begins[np.r_[edges, len(begins) - 1]]
+    reach, found = size + 3 * slack, []
+    for first, last in zip(firsts.tolist(), lasts.tolist(), strict=True):
+        at, end = first - slack, last + size + 2 * slack
+        while end - at > 2 * reach:
+            found.append((max(0, at), min(n_words, at + 2 * reach)))
+            at += reach
+        found.append((max(0, at), min(n_words, end)))
+    return found
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, n: int = SEED_WORDS, share: float = SEED_SHARE,
@@ -220,7 +272,7 @@ def _aligner(shared, n: int, least: float, item_type: pa.DataType):
             for own_rows, texts in _texts(array):
                 hashes, counts = words(texts)
                 begins = np.cumsum(counts) - counts
-                found, at = grams(hashes, counts, n)
+                found, at = block.grams(hashes, counts)
                 hit, first = block.hits(table, found)
                 last = np.searchsorted(block.seed, found[hit], "right")
                 # Every seed equal to a found n-gram: one for each item and place that has it.
@@ -234,13 +286,16 @@ def _aligner(shared, n: int, least: float, item_type: pa.DataType):
                     continue
                 edges = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (np.diff(block.item[seeds]) != 0)])
                 todo = []
+                best: dict[tuple[int, int], tuple[float, int]] = {}
                 for a, b in zip(edges, [*edges[1:], len(doc)], strict=True):
                     d, item = int(doc[a]), int(block.item[seeds[a]])
                     inner = place[a:b] - begins[d]
+                    if len(block.words[item]) < n:  # its seed is the whole of it
+                        best[d, item] = 1.0, int(inner.max()) + len(block.words[item])
+                        continue
                     for x, y in _passages(inner, block.place[seeds[a:b]], len(block.words[item]), int(counts[d])):
                         todo.append((d, item, x, hashes[begins[d] + x : begins[d] + y]))
                 todo.sort(key=lambda t: len(block.words[t[1]]))  # pairs of like size together
-                best: dict[tuple[int, int], tuple[float, int]] = {}
                 for c in range(0, len(todo), 64):
                     part = todo[c : c + 64]
                     score, end = smith_waterman([t[3] for t in part], [block.words[t[1]] for t in part])

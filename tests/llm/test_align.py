@@ -88,3 +88,47 @@ def test_empty_tables(spark, item):
     none, _ = found(docs, items.limit(0))
     assert list(none.values()) == [{}]
     assert align.leaks(docs.limit(0), items).count() == 0
+
+
+def test_whole_chains_of_seeds_are_aligned(spark, item):
+    first = item[:8]
+    texts = {1: " ".join(first * 6 + item), 2: " ".join(first * 200 + item + first * 200), 3: " ".join(first * 6)}
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in texts.items()], DOCS)
+    got, _ = found(docs, spark.createDataFrame([(1, " ".join(item), "")], ITEMS))
+    assert {key[0]: value for key, value in got.items()} == {1: {1: 1.0}, 2: {1: 1.0}, 3: {}}
+
+
+def test_every_seed_lies_whole_in_a_passage():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        size, n_words = int(rng.integers(4, 60)), 2000
+        place = rng.integers(0, n_words, rng.integers(1, 400))
+        slack = size // 4 + 2
+        got = align._passages(place, np.zeros(len(place), int), size, n_words)
+        assert all(b - a <= 2 * (size + 3 * slack) for a, b in got)
+        for p in place:
+            assert any(a <= max(0, p - slack) and b >= min(n_words, p + size + 2 * slack) for a, b in got)
+
+
+def test_short_and_unspaced_items(spark):
+    chinese = "天地玄黄宇宙洪荒日月盈昃"
+    texts = {
+        1: "so it says: Open, Sesame! and more",
+        2: "sesame open",
+        3: f"前言{chinese}。后记",
+        4: f"前言{chinese[:5]}改{chinese[6:]}后",
+        5: "日地玄",
+        6: "opens sesame",
+    }
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in texts.items()], DOCS)
+    items = spark.createDataFrame([(1, "open sesame", ""), (2, chinese, ""), (3, "...", "")], ITEMS)
+    got, _ = found(docs, items)
+    got = {key[0]: value for key, value in got.items()}
+    assert got[1] == {1: 1.0} and got[3] == {2: 1.0}
+    assert list(got[4]) == [2] and 0.7 < got[4][2] < 1
+    assert got[2] == got[5] == got[6] == {}
+
+
+def test_words_of_scripts_without_spaces():
+    _, counts = align.words(["天地ab玄".encode(), "a天".encode(), "天。地".encode(), "été слово".encode(), "𠀀กx".encode()])
+    assert counts.tolist() == [4, 2, 2, 2, 3]
