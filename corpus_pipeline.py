@@ -50,7 +50,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences, each with its ids."""
-    return ss_packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return ss_packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), added=True)
 
 
 STAGES = [

@@ -63,7 +63,7 @@ def op7_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return ss_packing.checksum(ss_packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")))
+    return ss_packing.checksum(ss_packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), added=True))
 
 
 def op9_ball_hash(spark: SparkSession, sf_dir: str) -> DataFrame:

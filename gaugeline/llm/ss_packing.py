@@ -12,7 +12,8 @@ from the vocabulary of a byte-level BPE file of the `tokenizers` library, encode
 several times faster; the file is read once on the driver and travels with the task.
 
 Defined results: null and empty texts are one end id; repeated rows are packed each; null ids are returned; an empty
-table gives an empty result; other columns are ignored. Strings of special tokens in a text are ordinary text.
+table gives an empty result; other columns are ignored. Strings of the file's added tokens are ordinary text, or with
+`added` get the added token's id, as the unchanged tokenizer has it.
 """
 
 from __future__ import annotations
@@ -39,6 +40,12 @@ MOST_OPEN = 4096
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+def read_added(path: str) -> dict[str, int]:
+    """The added tokens of a tokenizer file and their ids."""
+    with open(path, encoding="utf-8") as file:
+        return {token["content"]: token["id"] for token in json.load(file).get("added_tokens", [])}
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     """Byte strings and ids of a byte-level BPE file; its letters stand for bytes, the unprintable ones moved up."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -52,8 +59,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 @lru_cache(maxsize=2)
-def _encoder(ranks: tuple) -> tiktoken.Encoding:
-    return tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks=dict(ranks), special_tokens={})
+def _encoder(ranks: tuple, special: tuple) -> tiktoken.Encoding:
+    return tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks=dict(ranks), special_tokens=dict(special))
 
 
 class Packer:
@@ -150,10 +157,10 @@ class Packer:
 _FIELDS = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
-def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, most_open: int = MOST_OPEN) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, most_open: int = MOST_OPEN, added: bool = False) -> DataFrame:
     """One row per piece of a document's ids: where it starts, its length and ids, and its sequence and offset there."""
     chosen = own(docs, "doc_id", "text").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    ranks = tuple(read_ranks(tokenizer).items())
+    ranks, special = tuple(read_ranks(tokenizer).items()), tuple(read_added(tokenizer).items()) if added else ()
     names = [*_FIELDS[:2], "ids", *_FIELDS[3:]]
     kinds = {name: T.LongType() for name in names} | {"ids": T.BinaryType()}
     schema = T.StructType([chosen.schema["doc_id"], *[T.StructField(name, kinds[name]) for name in names]])
@@ -167,12 +174,12 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, most_open: int =
         return pa.RecordBatch.from_arrays(columns, [f.name for f in schema])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, packer, kind = _encoder(ranks), Packer(window, most_open), None
+        encoder, packer, kind = _encoder(ranks, special), Packer(window, most_open), None
         base = TaskContext.get().partitionId() << 33  # sequences of different partitions have different numbers
         for batch in batches:
             kind = batch.schema.field("doc_id").type
             for doc, text in zip(rows_of(batch, "doc_id"), rows_of(batch, "text"), strict=True):
-                packer.add(doc, np.array([*encoder.encode_ordinary(text), END_ID], np.uint32))
+                packer.add(doc, np.array([*encoder.encode(text, allowed_special="all"), END_ID], np.uint32))
                 if len(packer.done) >= 4096:
                     yield rows(packer.done, base, kind)
                     packer.done = []

@@ -87,3 +87,13 @@ def test_ids_are_those_of_the_tokenizer(spark):
         filled[p["sequence_id"]] += p["length"]
     assert max(filled.values()) <= 1024 and padding(filled.values(), 1024) == 0
     assert ss_packing.pack(spark.createDataFrame([], DOCS), PATH).count() == 0
+
+
+def test_added_tokens_are_those_of_the_unchanged_tokenizer(spark):
+    texts = ["a<|endoftext|>b", "<|endoftext|>", " <|endoftext|> <|endoftext|>\n\nx", "<|endoftext|", "no mark", "don't<|endoftext|>  's"]
+    docs = spark.createDataFrame([(i, t, "clash", 0) for i, t in enumerate(texts)], DOCS).repartition(2)
+    tokenizer = Tokenizer.from_file(PATH)
+    got = defaultdict(list)
+    for p in sorted(ss_packing.pack(docs, PATH, added=True).collect(), key=lambda p: p["start"]):
+        got[p["doc_id"]] += np.frombuffer(p["ids"], "<u4").tolist()
+    assert dict(got) == {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
