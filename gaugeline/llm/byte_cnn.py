@@ -149,13 +149,15 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Network | None:
     """A network from a bounded sample of the labelled documents that are not held out; None if there are none."""
     known = own(docs, "doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
     known = known.filter(~held_out() & readable())
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
-    if not counts:
-        return None
     low = utf8("_low")
     hashed = known.withColumn("_low", F.lower("text")).withColumn("_hash", F.xxhash64("_low"))
-    # A document is drawn by its text's hash, with twice the chance needed, and gives a window from a place drawn likewise.
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, 2 * per_language / r["count"]))])
+    texts_of = hashed.groupBy("lang", "_hash").count().groupBy("lang").agg(F.sum("count").alias("count"), F.count("*").alias("texts"))
+    counts = texts_of.orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    if not counts:
+        return None
+    # A text is drawn by its hash, with twice the chance needed among the different texts of its language, and gives a
+    # window from a place drawn likewise.
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, 2 * per_language / r["texts"]))])
     drawn = hashed.filter(F.pmod("_hash", F.lit(1_000_000)) < F.element_at(share, F.col("lang")) * 1_000_000)
     place = F.pmod(F.xxhash64("_hash"), F.greatest(F.length(low) - WINDOW + 1, F.lit(1))).cast("int")
     windows = drawn.select("lang", "_hash", F.substring(low, place + 1, F.lit(WINDOW)).alias("window"))

@@ -69,3 +69,15 @@ def test_nothing_labelled(spark, docs):
     empty = spark.createDataFrame([(2, "text here", None, "x", 1), (None, "more", "aa", "x", 1)], DOCS)
     assert byte_cnn.fit(empty) is None and byte_cnn.fit(docs.limit(0)) is None
     assert {r["lang_pred"] for r in byte_cnn.identify(empty, None).collect()} == {"und"}
+
+
+def test_copies_do_not_thin_a_language(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [(text(rng, "aa", 40), "aa") for _ in range(60)] * 100 + [(text(rng, "bb", 40), "bb") for _ in range(300)]
+    frame = spark.createDataFrame([(i, t, lang, "x", 1) for i, (t, lang) in enumerate(rows)], DOCS)
+    seen = []
+    monkeypatch.setattr(byte_cnn, "train", lambda texts, labels: seen.append((texts, labels)))
+    byte_cnn.fit(frame, per_language=80)
+    ((texts, labels),) = seen
+    assert labels.count("aa") == 60 and labels.count("bb") == 80
+    assert len(set(zip(texts, labels, strict=True))) == len(labels)
