@@ -6,8 +6,9 @@ below, and the root the whole file. Replicas whose roots agree are the same; bel
 differing nodes are compared, down to the records. All levels of both replicas are built by plain grouping on (file,
 range) and written to shared scratch; descending reads from each level only the children of what differs.
 
-Records at the same offset of a file (damaged indexes, repeated rows) are first reduced to their number, least and
-greatest digest, so that a node's input stays bounded by its range.
+Records at the same offset of a file (damaged indexes, repeated rows) are first reduced to their number and the sums of
+the four 64-bit parts of their digests, which depend on every one of them but not on their order, so that a node's input
+stays bounded by its range.
 
 Defined results: null content counts as empty; a null archive or offset is a place of its own; an empty replica makes
 every record missing; two empty tables give an empty result; other columns are ignored, but for those named in `keep`.
@@ -29,10 +30,13 @@ def _digests(records: DataFrame, side: int, keep: tuple[str, ...]) -> DataFrame:
     content = F.coalesce("content", F.lit("").cast("binary"))
     text = F.concat_ws(":", F.coalesce(F.col("offset"), F.lit(-1)), F.length(content), F.sha2(content, 256))
     hashed = own(records, "archive", "offset", "content", *keep).withColumn("digest", F.sha2(text.cast("binary"), 256))
+    parts = [F.conv(F.substring("digest", 16 * k + 1, 16), 16, 10).cast("decimal(20,0)") for k in range(4)]
+    sums = [F.sum(part.cast("decimal(28,0)")).alias(f"sum{k}") for k, part in enumerate(parts)]
     summed = hashed.groupBy("archive", "offset").agg(
-        F.count("*").alias("n"), F.min("digest").alias("low"), F.max("digest").alias("high"), *[F.max(c).alias(c) for c in keep]
+        F.count("*").alias("n"), F.min("digest").alias("low"), *sums, *[F.max(c).alias(c) for c in keep]
     )
-    alone = F.when(F.col("n") == 1, F.col("low")).otherwise(F.sha2(F.concat_ws(":", "n", "low", "high").cast("binary"), 256))
+    several = F.concat_ws(":", "n", *[F.col(f"sum{k}").cast("string") for k in range(4)])
+    alone = F.when(F.col("n") == 1, F.col("low")).otherwise(F.sha2(several.cast("binary"), 256))
     return summed.select(F.lit(side).alias("side"), "archive", "offset", alone.alias("digest"), *keep)
 
 

@@ -63,3 +63,15 @@ def test_archived_pages(spark):
         assert r["offset"] == by_archive.get(r["archive"], 0)
         by_archive[r["archive"]] = r["end"]
     assert bytes(found[0]["content"]).startswith(b"WARC/1.0\r\n")
+
+
+@pytest.mark.parametrize("place", [(3, 7777), (1, None), (None, None)])
+def test_change_among_many_records_at_one_place(spark, place):
+    many = [(*place, b"record %d" % i) for i in range(40)]
+    primary = [*records(2), *many]
+    assert run(spark, primary, primary[::-1], leaf_bytes=100, fanout=3) == []
+    for i in (0, 7, 39):
+        replica = [*records(2), *many[:i], (*place, b"changed"), *many[i + 1 :]]
+        assert run(spark, primary, replica, leaf_bytes=100, fanout=3) == [(*place, "changed")]
+    swapped = [*records(2), *many[:-2], many[0], many[1]]  # as many records, two of them twice
+    assert run(spark, primary, swapped, leaf_bytes=100, fanout=3) == [(*place, "changed")]
