@@ -3,12 +3,12 @@
 Rules name a host with all its subdomains and the beginning of a path; the longest that fits decides. For other pages
 the host decides: trust starts at hosts whose pages the rules mostly allow and follows links forward, distrust starts at
 hosts whose pages they mostly block and follows links backward (who links to blocked hosts is suspect). Both are
-personalised PageRank, as the sum of its walks: each round moves what is left along the links, weakened by `damping`,
-until less than `rest` is on its way. A host with more distrust than trust is blocked; without evidence it is allowed.
+personalised PageRank, as the sum of its walks, the seeds of each kind adding up to one: each round moves what is left
+along the links, weakened by `damping`, until of either kind less than `rest` is on its way and no host is reached anew. A host with more distrust than trust is blocked; without evidence it is allowed.
 
 Links are counted per pair of hosts before the shuffle, so pages of a hot host are one row per linked host; ranks are
 one row per host. A host with very many links is split by the adaptive skew join, as are the pages of a hot host when
-they get their host's verdict. Each round is written to shared scratch; the driver sees one number a round.
+they get their host's verdict. Each round is written to shared scratch; the driver sees two numbers a round.
 
 Defined results: a null url, or one without `://`, has empty host and path and is allowed; null html has no links;
 repeated rows are judged each; null ids are returned; an empty table gives an empty result; other columns are ignored.
@@ -75,18 +75,20 @@ def spread(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rest: f
     `links` has `kind, src, dst, share`; the shares of a source add up to one. Walks that find no link begin anew at a
     seed, which only scales the ranks; those of a kind are scaled to add up to one.
     """
-    step = stored(seeds, "walk")
+    sums = seeds.groupBy("kind").agg(F.sum("rank").alias("all"))
+    step = seeds.join(F.broadcast(sums), "kind").select("kind", "host", (F.col("rank") / F.col("all")).alias("rank"))
+    step = stored(step, "walk")
     total, sent = step, step
-    start = sent.agg(F.sum("rank")).first()[0] or 0.0
     for _ in range(rounds):
         moved = sent.join(links, (sent["kind"] == links["kind"]) & (sent["host"] == links["src"]))
         moved = moved.groupBy(sent["kind"], F.col("dst").alias("host")).agg(F.sum(F.col("rank") * F.col("share") * damping).alias("rank"))
         sent = stored(moved, "walk")
-        left = sent.agg(F.sum("rank")).first()[0] or 0.0
-        if left:
-            total = total.unionByName(sent)
-        if left <= rest * start:
+        left = [r["rank"] for r in sent.groupBy("kind").agg(F.sum("rank").alias("rank")).collect()]  # two rows at most
+        if max(left, default=0.0) <= rest and sent.join(total, ["kind", "host"], "left_anti").isEmpty():
+            if left:
+                total = total.unionByName(sent)
             break
+        total = total.unionByName(sent)
     ranks = total.groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
     sums = ranks.groupBy("kind").agg(F.sum("rank").alias("all"))  # two rows at most
     return ranks.join(F.broadcast(sums), "kind").select("kind", "host", (F.col("rank") / F.col("all")).alias("rank"))

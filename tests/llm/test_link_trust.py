@@ -83,3 +83,13 @@ def test_trust_and_distrust_spread(spark):
 def test_empty_table(spark):
     assert judged(spark, [(1, "http://a.com/", "")])[0]["verdict"] == "allow"
     assert link_trust.judge(spark.createDataFrame([], PAGES)).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["trust", "distrust"])
+def test_many_seeds_without_links_do_not_cut_the_others_off(spark, kind):
+    alone = [(kind, f"alone{i}", 1.0) for i in range(20_000)]
+    seeds = spark.createDataFrame([*alone, ("distrust", "bad", 1.0)], "kind string, host string, rank double")
+    chain = [("distrust", "bad" if k == 0 else f"h{k}", f"h{k + 1}", 1.0) for k in range(6)]
+    links = spark.createDataFrame(chain, "kind string, src string, dst string, share double")
+    ranks = {r["host"]: r["rank"] for r in link_trust.spread(seeds, links).collect() if r["kind"] == "distrust"}
+    assert all(ranks[f"h{k + 1}"] == pytest.approx(0.85 ** (k + 1) * ranks["bad"]) for k in range(6))
