@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import align, ball_hash, byte_cnn, cotrain, link_trust, merkle, rlbwt, rules, ss_packing, unit_dedup
+from gaugeline.llm import (
+    align, ball_hash, byte_cnn, cotrain, kmeans_tree, link_trust, merkle, rlbwt, rules, ss_packing, turn_repair, unit_dedup, whitening,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +76,20 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.by_component(*whitening.whiten(table(spark, sf_dir, "embeddings")))
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return turn_repair.of_all(conversations, turn_repair.summary(turn_repair.repaired(turn_repair.damage(conversations))))
+
+
+def op13_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return kmeans_tree.search(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_cnn": op1_byte_cnn,
     "op2_merkle_audit": op2_merkle_audit,
@@ -85,6 +101,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sum_of_squares": op8_sum_of_squares,
     "op9_ball_hash": op9_ball_hash,
     "op10_quality_rules": op10_quality_rules,
+    "op11_whitening": op11_whitening,
+    "op12_turn_repair": op12_turn_repair,
+    "op13_kmeans_tree": op13_kmeans_tree,
 }
 
 ORACLE_SQL: dict[str, str] = {
