@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window, WindowSpec
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,7 +21,7 @@ from gaugeline.operators.detectors import (
     detector_config,
     rolling_spread,
 )
-from gaugeline.operators.ordering import chunk_rows, order_rows, with_chunks
+from gaugeline.operators.ordering import Kernel, over_runs
 
 SERIES = ("machine_id", "name")
 DEFAULT_ORDER = ("timestamp", "metric_id")
@@ -105,8 +105,7 @@ def series_starts(table: pa.Table, columns: tuple[str, ...] = SERIES) -> np.ndar
 
 
 def score_table(table: pa.Table, registry: Registry, window: int, observe: Observer | None = None) -> pa.Table:
-    """Evaluations of the `_own` rows of one chunk in `_pos` order."""
-    table = table.sort_by("_pos")
+    """Evaluations of the `_own` rows of a run of rows in order."""
     values = _flat(table, "value").to_numpy(zero_copy_only=False)
     encoded = pc.dictionary_encode(_flat(table, "name"))
     rows, algorithms, baseline, lower, upper, flagged, no_lower = [], [], [], [], [], [], []
@@ -147,21 +146,21 @@ def score_table(table: pa.Table, registry: Registry, window: int, observe: Obser
     )
 
 
-def series_chunks(
+def over_series(
     samples: DataFrame,
-    columns: list[str],
-    halo: int,
+    window: int,
+    kernel: Kernel,
+    schema: T.StructType | str,
     order: tuple[str, ...] = DEFAULT_ORDER,
     registry: Registry | None = DEFAULT_REGISTRY,
 ) -> DataFrame:
-    """Samples in bounded chunks of consecutive rows, each led by the `halo` rows before it.
+    """What `kernel` gives for the samples, series by series, each with the `window - 1` rows before it.
 
     With a registry, samples that no detector scores are dropped first: they take no part in any window.
     """
     rows = samples if registry is None else samples.where(registry.is_scored(F.col("name")))
-    wanted = list(dict.fromkeys([*SERIES, *order, *columns]))
-    ordered = order_rows(rows.select(*wanted), [*SERIES, *order])
-    return with_chunks(ordered, halo, chunk_rows(samples.sparkSession, ordered.total))
+    wanted = list(dict.fromkeys([*SERIES, *order, "metric_id", "timestamp", "value"]))
+    return over_runs(rows.select(*wanted), [*SERIES, *order], window - 1, kernel, schema)
 
 
 def score(
@@ -174,12 +173,11 @@ def score(
 ) -> DataFrame:
     """Evaluations of deduplicated samples. `order` is the order of arrival within a series, unique per row:
     `("partition", "offset")` where samples carry them, else time and id."""
-    chunks = series_chunks(samples, ["metric_id", "timestamp", "value"], window - 1, order, registry)
 
     def kernel(table: pa.Table) -> pa.Table:
         return score_table(table, registry, window, observe)
 
-    return chunks.groupBy("_chunk").applyInArrow(kernel, evaluation_schema(samples))
+    return over_series(samples, window, kernel, evaluation_schema(samples), order, registry)
 
 
 def detector_costs(
@@ -190,9 +188,8 @@ def detector_costs(
 ) -> DataFrame:
     """Per detector the `calls` and `micros` that scoring the samples takes.
 
-    Every chunk reports its own as rows, so a task that is run again is not counted twice.
+    Every run of rows reports its own as rows, so a task that is run again is not counted twice.
     """
-    chunks = series_chunks(samples, ["metric_id", "timestamp", "value"], window - 1, order, registry)
 
     def kernel(table: pa.Table) -> pa.Table:
         noted: list[tuple[str, int, float]] = []
@@ -201,25 +198,37 @@ def detector_costs(
         micros = pa.array([second * 1e6 for second in seconds], pa.float64())
         return pa.table({"algorithm": pa.array(algorithms, pa.string()), "calls": pa.array(calls, pa.int64()), "micros": micros})
 
-    noted = chunks.groupBy("_chunk").applyInArrow(kernel, "algorithm string, calls long, micros double")
+    noted = over_series(samples, window, kernel, "algorithm string, calls long, micros double", order, registry)
     return noted.groupBy("algorithm").agg(F.sum("calls").alias("calls"), F.sum("micros").alias("micros"))
 
 
-def recent(window: int = WINDOW_POINTS) -> WindowSpec:
-    """The last `window` rows of a series inside a chunk, the current one included."""
-    return Window.partitionBy("_chunk", *SERIES).orderBy("_pos").rowsBetween(1 - window, 0)
+def _sample_schema(samples: DataFrame, **more: T.DataType) -> T.StructType:
+    fields = [T.StructField(c, samples.schema[c].dataType) for c in ("metric_id", *SERIES, "timestamp", "value")]
+    return T.StructType([*fields, *[T.StructField(name, kind) for name, kind in more.items()]])
+
 
+def _own(table: pa.Table) -> np.ndarray:
+    return np.flatnonzero(_flat(table, "_own").to_numpy(zero_copy_only=False))
 
-def _own(chunks: DataFrame, *columns: str) -> DataFrame:
-    return chunks.where("_own").select("metric_id", *SERIES, "timestamp", "value", *columns)
+
+def _with_columns(table: pa.Table, rows: np.ndarray, **columns: pa.Array) -> pa.Table:
+    result = table.take(pa.array(rows, pa.int64())).select(["metric_id", *SERIES, "timestamp", "value"])
+    for name, column in columns.items():
+        result = result.append_column(name, column)
+    return result
 
 
 def window_points(
     samples: DataFrame, window: int = WINDOW_POINTS, order: tuple[str, ...] = DEFAULT_ORDER
 ) -> DataFrame:
     """Per scored sample the number of values in its window."""
-    chunks = series_chunks(samples, ["metric_id", "timestamp", "value"], window - 1, order)
-    return _own(chunks.withColumn("points", F.count("*").over(recent(window))), "points")
+
+    def kernel(table: pa.Table) -> pa.Table:
+        own = _own(table)
+        points = np.minimum(own - series_starts(table)[own] + 1, window)
+        return _with_columns(table, own, points=pa.array(points, pa.int64()))
+
+    return over_series(samples, window, kernel, _sample_schema(samples, points=T.LongType()), order)
 
 
 def warm_detectors(samples: DataFrame, registry: Registry = DEFAULT_REGISTRY) -> DataFrame:
@@ -236,25 +245,13 @@ def rolling_median(
 
 def rolling_mad(samples: DataFrame, window: int = WINDOW_POINTS, order: tuple[str, ...] = DEFAULT_ORDER) -> DataFrame:
     """Rolling median, the median of the deviations from it, and their mean, which stands in for it when it is 0."""
-    chunks = series_chunks(samples, ["metric_id", "timestamp", "value"], window - 1, order)
+    names = ("median", "mad", "mean_deviation")
 
     def kernel(table: pa.Table) -> pa.Table:
-        table = table.sort_by("_pos")
-        own = np.flatnonzero(_flat(table, "_own").to_numpy(zero_copy_only=False))
         values = _flat(table, "value").to_numpy(zero_copy_only=False)
-        blocks = window_blocks(values, series_starts(table), own, window)
+        blocks = window_blocks(values, series_starts(table), _own(table), window)
         parts = [(block, *rolling_spread(windows)) for block, windows in blocks]
-        rows, median, mad, mean = (
-            (np.concatenate(column) for column in zip(*parts, strict=True)) if parts else (np.empty(0, int),) * 4
-        )
-        result = table.take(pa.array(rows)).select(["metric_id", *SERIES, "timestamp", "value"])
-        for name, column in (("median", median), ("mad", mad), ("mean_deviation", mean)):
-            result = result.append_column(name, pa.array(column, pa.float64()))
-        return result
-
-    kind = samples.schema["timestamp"].dataType.simpleString()
-    return chunks.groupBy("_chunk").applyInArrow(
-        kernel,
-        f"metric_id string, machine_id string, name string, timestamp {kind}, value double, "
-        "median double, mad double, mean_deviation double",
-    )
+        rows, *found = (np.concatenate(column) for column in zip(*parts, strict=True)) if parts else (np.empty(0, int),) * 4
+        return _with_columns(table, rows, **{n: pa.array(c, pa.float64()) for n, c in zip(names, found, strict=True)})
+
+    return over_series(samples, window, kernel, _sample_schema(samples, **dict.fromkeys(names, T.DoubleType())), order)

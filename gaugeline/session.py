@@ -71,14 +71,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, **options: object) -> DataFrame:
     """Write `df` once to shared scratch and go on from the written table.
 
     What follows no longer depends on how `df` was computed, so a lost executor costs a re-read, and values that a
     recomputation could change (partition ids, sampled range bounds) are fixed by the committed files.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

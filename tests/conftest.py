@@ -34,8 +34,9 @@ def spark(tmp_path_factory):
 
 @pytest.fixture
 def small_chunks(monkeypatch):
-    """Chunks of a few hundred rows, so that a test's series crosses several."""
+    """Chunks and files of some hundred rows, so that a test's series crosses several."""
     from gaugeline.operators import ordering
 
     monkeypatch.setattr(ordering, "MIN_CHUNK_ROWS", 64)
     monkeypatch.setattr(ordering, "MAX_CHUNK_ROWS", 64)
+    monkeypatch.setattr(ordering, "RUN_ROWS", 400)

@@ -4,6 +4,7 @@ import math
 from datetime import UTC, datetime, timedelta
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,6 +85,29 @@ def test_chunks_are_bounded_and_dense_whatever_the_skew(spark, small_chunks):
         assert row["first"] == max(0, row["_chunk"] * 64 - 30)
 
 
+@pytest.mark.parametrize("halo", [0, 1, 7, 90])
+def test_rows_see_exactly_the_rows_before_them(spark, halo, monkeypatch):
+    """Files of 20 rows, partitions of fewer rows than the halo, empty ones, and one of many files."""
+    monkeypatch.setattr(ordering, "RUN_ROWS", 20)
+    samples = spark.range(500).select((F.floor(F.sqrt("id") / 3)).alias("a"), "id").repartition(5)
+
+    def kernel(table):
+        ids, own = table.column("id").to_numpy(), table.column("_own").to_numpy(zero_copy_only=False)
+        assert (np.diff(ids) == 1).all()
+        seen = np.minimum(np.arange(len(ids)), halo)[own]
+        return pa.table({"id": ids[own], "seen": pa.array(seen, pa.int64())})
+
+    got = ordering.over_runs(samples, ["a", "id"], halo, kernel, "id long, seen long").orderBy("id").collect()
+    assert [tuple(r) for r in got] == [(i, min(i, halo)) for i in range(500)]
+
+
+def test_scoring_shuffles_once(spark):
+    plan = score(frame(spark, skewed_series()))._jdf.queryExecution().executedPlan().toString()
+    keys = [line.split("hashpartitioning(")[1] for line in plan.splitlines() if "hashpartitioning(" in line]
+    assert [key.split("#")[0] for key in keys] == ["_edge"], plan  # only rows at the borders of files
+    assert "rangepartitioning" not in plan  # that one has been written
+
+
 def test_ordering_an_empty_table(spark):
     samples = frame(spark, {("m", "nab.hot"): [1.0]}).where("false")
     assert score(samples).collect() == []
