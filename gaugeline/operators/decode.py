@@ -1,7 +1,7 @@
 """Untrusted text to records: parse, check, split into valid rows and rejected ones. One bad record never fails a job.
 
-Fields are first read as text, so that numbers sent as text are understood; a second, typed view of the same JSON tells
-text from numbers where only text will do. All of it runs in the JVM.
+A record is parsed once, its fields as variants: these say whether text, a number or an object was sent, and give its text, from
+which numbers sent as text are understood as well. All of it runs in the JVM.
 """
 
 from __future__ import annotations
@@ -13,44 +13,58 @@ from pyspark.sql import functions as F
 
 from gaugeline import schemas
 from gaugeline.functions import validity as ok
+from gaugeline.session import prepare
 
 Split = tuple[DataFrame, DataFrame]
 Check = tuple[str, Column]
 
 
-def _evaluated_once(df: DataFrame, **columns: Column) -> DataFrame:
-    """Add columns that are used many times. Next to the partition's number, which is no pure function of the row, they
-    are not copied into each of their uses; for parsed JSON that would mean a parse per field and check."""
+def _evaluated_once(df: DataFrame, *done: str, **columns: Column) -> DataFrame:
+    """Add columns that are used many times, and drop those that are `done` with. Next to the partition's number, which is
+    no pure function of the row, they are not copied into each of their uses; for parsed JSON that would mean a parse per
+    field and check."""
     parts = [column.alias(name) for name, column in columns.items()]
     return df.withColumn("_once", F.struct(*parts, F.spark_partition_id().alias("_part"))).select(
-        *df.columns, *[F.col(f"_once.{name}").alias(name) for name in columns]
+        *[c for c in df.columns if c not in done], *[F.col(f"_once.{name}").alias(name) for name in columns]
     )
 
 
-def _text_schema(fields: list[str]) -> str:
-    return ", ".join(f"`{f}` string" for f in fields)
+def _parsed(text: str, **kinds: str) -> Column:
+    """The named fields of a JSON object. What is no object, or no JSON, has none."""
+    return F.from_json(text, ", ".join(f"`{name}` {kind}" for name, kind in kinds.items()))
 
 
 def _is_object(text: Column) -> Column:
     return F.coalesce(F.startswith(F.ltrim(text), F.lit("{")), F.lit(False))
 
 
-def _text_in(typed: Column, path: str) -> Column:
-    """`path` holds JSON text, as far as the typed view could be made."""
-    kind = F.schema_of_variant(F.try_variant_get(typed, path, "variant"))
-    return typed.isNull() | ok.sure(kind == "STRING")
+def _text_of(value: Column, path: str = "$") -> Column:
+    return F.try_variant_get(value, path, "string")
 
 
-def _text_map(text: Column) -> Column:
-    return F.from_json(text, "map<string, string>")
+def _is_text(value: Column) -> Column:
+    return ok.sure(F.schema_of_variant(value) == "STRING")
 
 
-def _text_map_ok(text: Column, typed: Column, path: str) -> Column:
+def _number_of(value: Column, path: str = "$") -> Column:
+    """A number sent as a number or as text; null for anything else."""
+    kind = F.schema_of_variant(F.try_variant_get(value, path, "variant") if path != "$" else value)
+    plain = F.when(kind != "BOOLEAN", F.try_variant_get(value, path, "double"))
+    return F.when(kind == "STRING", ok.number(_text_of(value, path))).otherwise(plain)
+
+
+def _named_values(value: Column) -> Column:
+    """The values of an object by name; null if it is none."""
+    return F.try_variant_get(value, "$", "map<string, variant>")
+
+
+def _texts_by_name(values: Column) -> Column:
+    return F.transform_values(values, lambda _, v: _text_of(v))
+
+
+def _texts_by_name_ok(value: Column, values: Column) -> Column:
     """Absent, or an object whose values are all text."""
-    values = F.map_values(F.try_variant_get(typed, path, "map<string, variant>"))
-    texts = F.forall(values, lambda v: ok.sure(F.schema_of_variant(v) == "STRING"))
-    read = _is_object(text) & ok.sure(F.forall(F.map_values(_text_map(text)), lambda v: v.isNotNull()))
-    return text.isNull() | (read & (typed.isNull() | ok.sure(texts)))
+    return _text_of(value).isNull() | ok.sure(F.forall(F.map_values(values), _is_text))
 
 
 def _first_failure(checks: list[Check]) -> Column:
@@ -58,10 +72,8 @@ def _first_failure(checks: list[Check]) -> Column:
     return F.coalesce(*[F.when(~condition, F.lit(reason)) for reason, condition in checks])
 
 
-def _texts(names: list[str], raw: Column, typed: Column) -> list[Check]:
-    return [
-        (f"{name}: non-empty text expected", ok.non_empty(raw[name]) & _text_in(typed, f"$.{name}")) for name in names
-    ]
+def _texts(names: list[str], raw: Column, sent: Column) -> list[Check]:
+    return [(f"{name}: non-empty text expected", sent[name] & ok.non_empty(raw[name])) for name in names]
 
 
 def _present(names: list[str], fields: Column, expected: str) -> list[Check]:
@@ -69,25 +81,30 @@ def _present(names: list[str], fields: Column, expected: str) -> list[Check]:
     return [(f"{name}: {expected} expected", fields[name].isNotNull()) for name in names]
 
 
+_METRIC_TEXTS = ["name", "type", "unit", "machine_id"]
+_EVALUATION_TEXTS = ["machine_id", "metric_name", "algorithm"]
+_MACHINE_TEXTS = ["machine_id", "hostname", "os", "os_version", "architecture"]
+
+
 def _metric_fields(raw: Column) -> list[Column]:
     return [
-        ok.number(raw["timestamp"]).alias("timestamp"),
+        raw["timestamp"].alias("timestamp"),
         raw["name"].alias("name"),
         raw["type"].alias("type"),
         raw["unit"].alias("unit"),
-        ok.number(raw["value"]).alias("value"),
+        raw["value"].alias("value"),
         raw["machine_id"].alias("machine_id"),
         ok.normalise_uuid(raw["metric_id"]).alias("metric_id"),
-        _text_map(raw["attributes"]).alias("attributes"),
+        raw["attributes"].alias("attributes"),
     ]
 
 
-def _metric_checks(raw: Column, typed: Column, fields: Column) -> list[Check]:
+def _metric_checks(raw: Column, sent: Column, fields: Column) -> list[Check]:
     return [
-        *_texts(["name", "type", "unit", "machine_id"], raw, typed),
+        *_texts(_METRIC_TEXTS, raw, sent),
         *_present(["timestamp", "value"], fields, "number"),
         *_present(["metric_id"], fields, "UUID"),
-        ("attributes: texts by name expected", _text_map_ok(raw["attributes"], typed, "$.attributes")),
+        ("attributes: texts by name expected", sent["attributes"]),
     ]
 
 
@@ -96,20 +113,20 @@ def _evaluation_fields(raw: Column) -> list[Column]:
         ok.normalise_uuid(raw["metric_id"]).alias("metric_id"),
         raw["machine_id"].alias("machine_id"),
         raw["metric_name"].alias("metric_name"),
-        ok.number(raw["timestamp"]).alias("timestamp"),
+        raw["timestamp"].alias("timestamp"),
         raw["algorithm"].alias("algorithm"),
-        ok.number(raw["baseline"]).alias("baseline"),
-        ok.number(raw["lower"]).alias("lower"),
-        ok.number(raw["upper"]).alias("upper"),
+        raw["baseline"].alias("baseline"),
+        raw["lower"].alias("lower"),
+        raw["upper"].alias("upper"),
         ok.boolean(raw["is_anomaly"]).alias("is_anomaly"),
     ]
 
 
-def _evaluation_checks(raw: Column, typed: Column, fields: Column) -> list[Check]:
+def _evaluation_checks(raw: Column, sent: Column, fields: Column) -> list[Check]:
     return [
-        *_texts(["machine_id", "metric_name", "algorithm"], raw, typed),
+        *_texts(_EVALUATION_TEXTS, raw, sent),
         *_present(["timestamp", "baseline", "upper"], fields, "number"),
-        ("lower: number or null expected", raw["lower"].isNull() | fields["lower"].isNotNull()),
+        ("lower: number or null expected", sent["lower"] | fields["lower"].isNotNull()),
         *_present(["is_anomaly"], fields, "true or false"),
         *_present(["metric_id"], fields, "UUID"),
     ]
@@ -117,18 +134,18 @@ def _evaluation_checks(raw: Column, typed: Column, fields: Column) -> list[Check
 
 def _machine_fields(raw: Column) -> list[Column]:
     return [
-        *[raw[name].alias(name) for name in ("machine_id", "hostname", "os", "os_version", "architecture")],
+        *[raw[name].alias(name) for name in _MACHINE_TEXTS],
         ok.whole_number(raw["cores"], "int").alias("cores"),
         ok.whole_number(raw["total_memory"]).alias("total_memory"),
         ok.whole_number(raw["total_disk"]).alias("total_disk"),
         F.when(ok.aware_timestamp(raw["last_boot"]).isNotNull(), raw["last_boot"]).alias("last_boot"),
-        ok.number(raw["last_seen_at"]).alias("last_seen_at"),
+        raw["last_seen_at"].alias("last_seen_at"),
     ]
 
 
-def _machine_checks(raw: Column, typed: Column, fields: Column) -> list[Check]:
+def _machine_checks(raw: Column, sent: Column, fields: Column) -> list[Check]:
     return [
-        *_texts(["machine_id", "hostname", "os", "os_version", "architecture"], raw, typed),
+        *_texts(_MACHINE_TEXTS, raw, sent),
         *[
             (f"{name}: whole number from 0 expected", ok.sure(fields[name] >= 0))
             for name in ("cores", "total_memory", "total_disk")
@@ -138,26 +155,38 @@ def _machine_checks(raw: Column, typed: Column, fields: Column) -> list[Check]:
     ]
 
 
+_NUMBERS = {"timestamp", "value", "baseline", "lower", "upper", "last_seen_at"}
+
+#: Per stream its record, the fields that only text will do for, the conversion and the checks.
 _ENTITIES = {
-    "metrics": (schemas.SAMPLE_STREAM, _metric_fields, _metric_checks),
-    "evaluations": (schemas.EVALUATION_STREAM, _evaluation_fields, _evaluation_checks),
-    "machines": (schemas.MACHINE_STREAM, _machine_fields, _machine_checks),
+    "metrics": (schemas.SAMPLE_STREAM, _METRIC_TEXTS, _metric_fields, _metric_checks),
+    "evaluations": (schemas.EVALUATION_STREAM, _EVALUATION_TEXTS, _evaluation_fields, _evaluation_checks),
+    "machines": (schemas.MACHINE_STREAM, _MACHINE_TEXTS, _machine_fields, _machine_checks),
 }
 
 
 def examine(values: DataFrame, entity: str) -> DataFrame:
     """`values` with `record`, its converted fields, and `reason`, why it is malformed (null if it is not)."""
-    schema, fields_of, checks_of = _ENTITIES[entity]
-    parsed = _evaluated_once(
-        values,
-        _raw=F.from_json("value", _text_schema(schema.fieldNames())),
-        _typed=F.try_parse_json("value"),
-    )
-    raw, typed, fields = F.col("_raw"), F.col("_typed"), F.col("record")
-    converted = _evaluated_once(parsed, record=F.struct(*fields_of(raw)))
-    shaped = _is_object(F.col("value")) & raw.isNotNull()
-    reason = F.when(~shaped, F.lit("JSON object expected")).otherwise(_first_failure(checks_of(raw, typed, fields)))
-    return converted.withColumn("reason", reason).drop("_raw", "_typed")
+    schema, texts_of, fields_of, checks_of = _ENTITIES[entity]
+    prepare(values.sparkSession)
+    names = schema.fieldNames()
+    parsed, raw, fields = F.col("_parsed"), F.col("_raw"), F.col("record")
+    rows = _evaluated_once(values, _parsed=_parsed("value", **dict.fromkeys(names, "variant")))
+    read = {name: _number_of if name in _NUMBERS else _text_of for name in names if name != "attributes"}
+    texts = [how(parsed[name]).alias(name) for name, how in read.items()]
+    sent = [_is_text(parsed[name]).alias(name) for name in texts_of]
+    if "lower" in names:
+        sent.append(_text_of(parsed["lower"]).isNull().alias("lower"))
+    if "attributes" in names:
+        values_by_name = _named_values(parsed["attributes"])
+        texts.append(_texts_by_name(values_by_name).alias("attributes"))
+        sent.append(_texts_by_name_ok(parsed["attributes"], values_by_name).alias("attributes"))
+    shaped = _is_object(F.col("value")) & parsed.isNotNull()
+    rows = _evaluated_once(rows, "_parsed", _raw=F.struct(*texts), _sent=F.struct(*sent, shaped.alias("shaped")))
+    rows = _evaluated_once(rows, record=F.struct(*fields_of(raw)))
+    failure = _first_failure(checks_of(raw, F.col("_sent"), fields))
+    reason = F.when(~F.col("_sent.shaped"), F.lit("JSON object expected")).otherwise(failure)
+    return rows.withColumn("reason", reason).drop("_raw", "_sent")
 
 
 def valid_records(examined: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -176,55 +205,68 @@ def decode(values: DataFrame, entity: str, keep: tuple[str, ...] = ()) -> Split:
     return valid_records(examined, keep), malformed_records(examined)
 
 
-_OBSERVATION_FIELDS = ["name", "type", "unit", "value", "attributes"]
+_OBSERVATION_TEXTS = ["name", "type", "unit"]
 
 
-def _observation_ok(raw: Column, typed: Column) -> Column:
-    texts = [ok.non_empty(raw[f]) & _text_in(typed, f"$.{f}") for f in ("name", "type", "unit")]
-    checks = [
-        *texts,
-        ok.sure(ok.number(raw["value"]).isNotNull()),
-        _text_map_ok(raw["attributes"], typed, "$.attributes"),
-    ]
-    return reduce(lambda a, b: a & b, checks)
+def _observations(metrics: Column) -> Column:
+    """The fields of each observation, and whether they are as they should be; each step works out every part once."""
+    parts = F.transform(
+        metrics,
+        lambda m: F.struct(
+            *[F.try_variant_get(m, f"$.{name}", "variant").alias(name) for name in (*_OBSERVATION_TEXTS, "attributes")],
+            _number_of(m, "$.value").alias("value"),
+        ),
+    )
+    texts = F.transform(
+        parts,
+        lambda p: F.struct(
+            *[F.when(_is_text(p[name]), _text_of(p[name])).alias(name) for name in _OBSERVATION_TEXTS],
+            p["value"].alias("value"),
+            p["attributes"].alias("attributes"),
+            _named_values(p["attributes"]).alias("values"),
+        ),
+    )
+    return F.transform(
+        texts,
+        lambda t: F.struct(
+            *[t[name].alias(name) for name in (*_OBSERVATION_TEXTS, "value")],
+            _texts_by_name(t["values"]).alias("attributes"),
+            reduce(
+                lambda a, b: a & b,
+                [ok.non_empty(t[name]) for name in _OBSERVATION_TEXTS],
+                t["value"].isNotNull() & _texts_by_name_ok(t["attributes"], t["values"]),
+            ).alias("ok"),
+        ),
+    )
 
 
 def examine_snapshots(bodies: DataFrame) -> DataFrame:
     """Snapshot bodies `(url, body)` with the parsed parts and `error`: one bad observation rejects the whole body."""
-    element = f"struct<{', '.join(f'{f}:string' for f in _OBSERVATION_FIELDS)}>"
-    parsed = _evaluated_once(
-        bodies,
-        _raw=F.from_json("body", _text_schema(["machine_id", "timestamp", "metrics"])),
-        _typed=F.try_parse_json("body"),
-    )
-    parsed = _evaluated_once(
-        parsed,
-        _metrics=F.from_json("_raw.metrics", f"array<{element}>"),
-        _epoch=ok.iso_to_epoch(F.col("_raw.timestamp")),
-        _typed_metrics=F.try_variant_get("_typed", "$.metrics", "array<variant>"),
-    )
-    raw, typed = F.col("_raw"), F.col("_typed")
-    is_list = F.startswith(F.ltrim(raw["metrics"]), F.lit("["))
-    pairs = F.arrays_zip(
-        F.col("_metrics").alias("raw"),
-        F.coalesce("_typed_metrics", F.transform("_metrics", lambda m: F.lit(None).cast("variant"))).alias("typed"),
+    prepare(bodies.sparkSession)
+    rows = _evaluated_once(bodies, _parsed=_parsed("body", machine_id="variant", timestamp="variant", metrics="array<variant>"))
+    parsed = F.col("_parsed")
+    rows = _evaluated_once(
+        rows,
+        "_parsed",
+        _machine_id=F.when(_is_text(parsed["machine_id"]), _text_of(parsed["machine_id"])),
+        _epoch=ok.iso_to_epoch(_text_of(parsed["timestamp"])),
+        _metrics=_observations(parsed["metrics"]),
+        _shaped=_is_object(F.col("body")) & parsed.isNotNull(),
     )
-    observations = F.forall(pairs, lambda p: p["raw"].isNotNull() & _observation_ok(p["raw"], p["typed"]))
     checks = [
-        *_texts(["machine_id"], raw, typed),
+        ("machine_id: non-empty text expected", ok.non_empty(F.col("_machine_id"))),
         ("timestamp: time with offset expected", F.col("_epoch").isNotNull()),
-        ("metrics: list expected", ok.sure(is_list & F.col("_metrics").isNotNull())),
-        ("metrics: malformed observation", ok.sure(observations)),
+        ("metrics: list expected", F.col("_metrics").isNotNull()),
+        ("metrics: malformed observation", ok.sure(F.forall("_metrics", lambda m: m["ok"]))),
     ]
-    shaped = _is_object(F.col("body")) & raw.isNotNull()
-    error = F.when(~shaped, F.lit("JSON object expected")).otherwise(_first_failure(checks))
-    return parsed.withColumn("error", error).drop("_typed", "_typed_metrics")
+    error = F.when(~F.col("_shaped"), F.lit("JSON object expected")).otherwise(_first_failure(checks))
+    return rows.withColumn("error", error).drop("_shaped")
 
 
 def snapshot_samples(examined: DataFrame) -> DataFrame:
     """One sample per observation of the valid bodies, with the body's machine and time and an id of its own."""
     flat = examined.where(F.col("error").isNull()).select(
-        F.col("_raw.machine_id").alias("machine_id"),
+        F.col("_machine_id").alias("machine_id"),
         F.col("_epoch").alias("timestamp"),
         F.posexplode("_metrics").alias("position", "m"),
     )
@@ -233,9 +275,9 @@ def snapshot_samples(examined: DataFrame) -> DataFrame:
         F.col("m.name").alias("name"),
         F.col("m.type").alias("type"),
         F.col("m.unit").alias("unit"),
-        ok.number(F.col("m.value")).alias("value"),
+        F.col("m.value").alias("value"),
         "machine_id",
-        _text_map(F.col("m.attributes")).alias("attributes"),
+        F.col("m.attributes").alias("attributes"),
         "position",
     )
     return with_metric_id(samples).select(*schemas.SAMPLE_STREAM.fieldNames())
@@ -244,7 +286,7 @@ def snapshot_samples(examined: DataFrame) -> DataFrame:
 def explode_snapshots(bodies: DataFrame) -> Split:
     """Bodies to (samples, rejected bodies with their error)."""
     examined = examine_snapshots(bodies)
-    return snapshot_samples(examined), examined.where(F.col("error").isNotNull()).drop("_raw", "_metrics", "_epoch")
+    return snapshot_samples(examined), examined.where(F.col("error").isNotNull()).drop("_machine_id", "_metrics", "_epoch")
 
 
 def machine_records(bodies: DataFrame) -> Split:

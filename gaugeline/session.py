@@ -35,9 +35,10 @@ def build_session(app: str = "gaugeline", master: str | None = None, **conf: str
 
 
 def prepare(spark: SparkSession) -> None:
-    """Make an existing session fit: UTC dates, and this package importable in Python workers."""
+    """Make an existing session fit: UTC dates, JSON as usually read, and this package importable in Python workers."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")  # of a name given twice the last value counts
     ship_package(spark)
 
 
