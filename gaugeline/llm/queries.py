@@ -37,7 +37,7 @@ def op3_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = unit_dedup.remove_repeated_units(table(spark, sf_dir, "documents").select("doc_id", "text"))
     kept = F.sha2(F.coalesce("kept", F.lit("")).cast("binary"), 256)
-    counts = [F.col(c).cast("long").alias(c) for c in ("n_units", "n_removed")]
+    counts = [F.col(c).cast("long").alias(c) for c in ("n_units", "n_removed", "n_passage_words")]
     return cut.select("doc_id", *counts, kept.alias("kept_sha256"))
 
 
