@@ -19,6 +19,7 @@ table gives an empty result; other columns are ignored. Strings of the file's ad
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -39,6 +40,12 @@ MOST_OPEN = 4096
 #: Fixed value: how byte-level BPE splits text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: Fixed value: the characters that count as white space there.
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: From so many on, a run of white space is too much for the splitting pattern, which goes back over it step by step.
+LONG_RUN = 10_000
+_RUNS = re.compile(f"[{WHITE}]{{{LONG_RUN},}}")
+
 
 def read_added(path: str) -> dict[str, int]:
     """The added tokens of a tokenizer file and their ids."""
@@ -63,6 +70,26 @@ def _encoder(ranks: tuple, special: tuple) -> tiktoken.Encoding:
     return tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks=dict(ranks), special_tokens=dict(special))
 
 
+def token_ids(encoder: tiktoken.Encoding, text: str) -> np.ndarray:
+    """The ids of a text. Long runs of white space are cut out first, as the pattern would cut them.
+
+    A run is a piece of its own, but for its last character, which the pattern leaves to what follows; where the text or an added
+    token ends the run, it is a piece as a whole.
+    """
+    parts, at = [], 0
+    if len(text) >= LONG_RUN:
+        special = tuple(encoder.special_tokens_set)
+        for run in _RUNS.finditer(text):
+            begin, end = run.span()
+            if end < len(text) and not text.startswith(special, end):
+                end -= 1
+            parts.append(encoder.encode_to_numpy(text[at:begin], allowed_special="all"))
+            parts.append(np.array(encoder._encode_single_piece(text[begin:end]), np.uint32))
+            at = end
+    parts.append(encoder.encode_to_numpy(text[at:] if at else text, allowed_special="all"))
+    return np.concatenate(parts) if len(parts) > 1 else parts[0]
+
+
 class Packer:
     """Windows filled online; `done` holds the pieces of closed windows: (doc, start, ids, doc tokens, window, offset)."""
 
@@ -179,7 +206,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, most_open: int =
         for batch in batches:
             kind = batch.schema.field("doc_id").type
             for doc, text in zip(rows_of(batch, "doc_id"), rows_of(batch, "text"), strict=True):
-                packer.add(doc, np.array([*encoder.encode(text, allowed_special="all"), END_ID], np.uint32))
+                packer.add(doc, np.append(token_ids(encoder, text), np.uint32(END_ID)))
                 if len(packer.done) >= 4096:
                     yield rows(packer.done, base, kind)
                     packer.done = []

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -97,3 +98,21 @@ def test_added_tokens_are_those_of_the_unchanged_tokenizer(spark):
     for p in sorted(ss_packing.pack(docs, PATH, added=True).collect(), key=lambda p: p["start"]):
         got[p["doc_id"]] += np.frombuffer(p["ids"], "<u4").tolist()
     assert dict(got) == {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
+
+
+def test_long_runs_have_the_tokenizer_s_ids(monkeypatch):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder = ss_packing._encoder(tuple(ss_packing.read_ranks(path).items()), tuple(ss_packing.read_added(path).items()))
+    tokenizer = Tokenizer.from_file(path)
+    same = lambda text: ss_packing.token_ids(encoder, text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    million = 1_000_000
+    assert same(" " * million + "a") and same("b" + "\n" * million) and same(" \t" * million + "7")
+    assert same("x" * million) and same("!" * million) and same("ab " * million)
+    # Short runs taken for long ones: every way in which a run can begin and end.
+    monkeypatch.setattr(ss_packing, "_RUNS", re.compile(f"[{ss_packing.WHITE}]{{2,}}"))
+    monkeypatch.setattr(ss_packing, "LONG_RUN", 1)
+    rng = random.Random(9)
+    parts = [" ", "  ", "\n", "\n \n", "\x85", "\xa0 ", " 　", "\x1c", "​", "a", "Don't", " 12", "é", "!?", "<|endoftext|>", "'s"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(8)))
+        assert same(text), repr(text)
