@@ -25,7 +25,8 @@ from gaugeline.llm.common import own, stored
 
 DAMPING = 0.85
 REST = 1e-3
-ROUNDS = 50
+#: Rounds whose ranks are added up and written, so that the plan does not grow with the longest chain of hosts.
+FOLDED = 8
 
 
 @dataclass(frozen=True)
@@ -69,7 +70,7 @@ def host_links(pages: DataFrame) -> DataFrame:
     return links.filter("src <> dst").groupBy("src", "dst").agg(F.count("*").alias("pages"))
 
 
-def spread(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rest: float = REST, rounds: int = ROUNDS) -> DataFrame:
+def spread(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rest: float = REST) -> DataFrame:
     """`kind, host, rank`: where walks from the seeds (`kind, host, rank`) along the links of their kind come to rest.
 
     `links` has `kind, src, dst, share`; the shares of a source add up to one. Walks that find no link begin anew at a
@@ -78,17 +79,19 @@ def spread(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rest: f
     sums = seeds.groupBy("kind").agg(F.sum("rank").alias("all"))
     step = seeds.join(F.broadcast(sums), "kind").select("kind", "host", (F.col("rank") / F.col("all")).alias("rank"))
     step = stored(step, "walk")
-    total, sent = step, step
-    for _ in range(rounds):
+    total, sent, folded = step, step, 0
+    while True:
         moved = sent.join(links, (sent["kind"] == links["kind"]) & (sent["host"] == links["src"]))
         moved = moved.groupBy(sent["kind"], F.col("dst").alias("host")).agg(F.sum(F.col("rank") * F.col("share") * damping).alias("rank"))
         sent = stored(moved, "walk")
         left = [r["rank"] for r in sent.groupBy("kind").agg(F.sum("rank").alias("rank")).collect()]  # two rows at most
-        if max(left, default=0.0) <= rest and sent.join(total, ["kind", "host"], "left_anti").isEmpty():
-            if left:
-                total = total.unionByName(sent)
+        spent = max(left, default=0.0) <= rest and sent.join(total, ["kind", "host"], "left_anti").isEmpty()
+        if left:
+            total, folded = total.unionByName(sent), folded + 1
+        if spent:
             break
-        total = total.unionByName(sent)
+        if folded == FOLDED:
+            total, folded = stored(total.groupBy("kind", "host").agg(F.sum("rank").alias("rank")), "ranks"), 0
     ranks = total.groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
     sums = ranks.groupBy("kind").agg(F.sum("rank").alias("all"))  # two rows at most
     return ranks.join(F.broadcast(sums), "kind").select("kind", "host", (F.col("rank") / F.col("all")).alias("rank"))

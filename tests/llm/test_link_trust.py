@@ -93,3 +93,12 @@ def test_many_seeds_without_links_do_not_cut_the_others_off(spark, kind):
     links = spark.createDataFrame(chain, "kind string, src string, dst string, share double")
     ranks = {r["host"]: r["rank"] for r in link_trust.spread(seeds, links).collect() if r["kind"] == "distrust"}
     assert all(ranks[f"h{k + 1}"] == pytest.approx(0.85 ** (k + 1) * ranks["bad"]) for k in range(6))
+
+
+def test_a_long_chain_of_hosts_is_followed_to_its_end(spark):
+    seeds = spark.createDataFrame([("distrust", "h0", 1.0), ("trust", "good", 1.0)], "kind string, host string, rank double")
+    chain = [("distrust", f"h{k}", f"h{k + 1}", 1.0) for k in range(70)]
+    links = spark.createDataFrame(chain, "kind string, src string, dst string, share double")
+    ranks = {r["host"]: r["rank"] for r in link_trust.spread(seeds, links).collect() if r["kind"] == "distrust"}
+    assert set(ranks) == {f"h{k}" for k in range(71)}
+    assert all(ranks[f"h{k}"] == pytest.approx(0.85**k * ranks["h0"]) for k in range(71))
