@@ -12,7 +12,9 @@ found over different fingerprints, not documents: a thousand copies are one node
 
 `one_of_each` takes what chains together by such links as candidates only: within a component texts are near if their
 sets of five-word shingles have a Jaccard similarity of at least 0.8, and that is computed exactly for every pair that
-can reach it and is not connected yet.
+can reach it and is not connected yet. Pairs come from shared shingles, rarest first: of two near sets, the larger one has a
+common shingle among its first fifth and the smaller one among its first ninth, so frequent shingles name no pairs. Components
+are packed into tasks by their size; one that is too large for a task is verified by joins instead.
 
 Defined results: null and empty texts (no words) have fingerprint zero, which links like any other; repeated rows each
 get their row; a null doc_id is returned but never names a component unless it is all there is; an empty table gives an
@@ -33,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeline.llm.common import own, rows_of, stored, utf8
+from gaugeline.llm.common import even_partitions, own, rows_of, stored, utf8
 from gaugeline.llm.components import components
 
 #: Variants that one task expands at a time.
@@ -45,8 +47,11 @@ MORE_BITS = 6
 #: Words of a shingle, and the least similarity of near texts, as a fraction of whole numbers.
 SHINGLE = 5
 NEAR = (4, 5)
-#: Rounds in which texts that share a shingle are first compared with one leader each.
+#: Shingles that a task verifies at a time; a component with more is verified by joins.
+TASK_SHINGLES = 500_000
+#: Rounds in which texts that share a shingle are first compared with one leader each, and pairs compared at a time.
 LEADERS = 2
+PAIRS = 4_096
 
 
 def _majority(hashes: list[int]) -> int:
@@ -121,12 +126,12 @@ def _flips(bits: int, most: int) -> np.ndarray:
 
 
 def _deal(rows: DataFrame, depth: int, deeper: int, half: int) -> DataFrame:
-    """Every row (`fp`, and `bucket` of `depth` leading bits) once for each bucket of `deeper` bits that its variants reach."""
+    """Every row (`of`, `fp`, `bucket` of `depth` leading bits) once for each bucket of `deeper` bits that its variants reach."""
     masks = [F.lit(int(m)) for m in _flips(deeper - depth, half)]
     own_bits = F.shiftrightunsigned(F.col("fp"), 64 - deeper).bitwiseAND((1 << (deeper - depth)) - 1)
-    spread = rows.select("fp", "bucket", F.explode(F.array(*masks)).alias("mask"))
+    spread = rows.select("of", "fp", "bucket", F.explode(F.array(*masks)).alias("mask"))
     bucket = F.shiftleft("bucket", deeper - depth).bitwiseOR(own_bits.bitwiseXOR(F.col("mask")))
-    spread = spread.select("fp", bucket.alias("bucket"))
+    spread = spread.select("of", "fp", bucket.alias("bucket"))
     return spread.filter(_used(deeper) <= half) if depth else spread
 
 
@@ -146,21 +151,22 @@ def _weight(depth: int, half: int) -> Column:
 def _buckets(fps: DataFrame, half: int, variants: int) -> DataFrame:
     """`fps` dealt into buckets (of `depth` bits) of at most about `variants` variants, whatever lies close together."""
     # An even bucket is an eighth full at most: only where fingerprints lie close together is one dealt out again.
-    spread = fps.count() * ball(64, half) / (variants / 8)
+    largest = fps.groupBy("of").count().agg(F.max("count")).first()[0] or 0
+    spread = largest * ball(64, half) / (variants / 8)
     deeper = min(24, max(1, math.ceil(math.log2(max(2, spread)))))
-    rows, depth = fps.select("fp", F.lit(0).cast("long").alias("bucket")), 0
+    rows, depth = fps.select("of", "fp", F.lit(0).cast("long").alias("bucket")), 0
     ready = None
     while True:
         dealt = _deal(rows, depth, deeper, half)
-        full = dealt.groupBy("bucket").agg(F.sum(_weight(deeper, half)).alias("n")).filter(F.col("n") > variants)
-        full = stored(full.select("bucket"), "full-buckets")
+        full = dealt.groupBy("of", "bucket").agg(F.sum(_weight(deeper, half)).alias("n")).filter(F.col("n") > variants)
+        full = stored(full.select("of", "bucket"), "full-buckets")
         done = deeper == 64 or full.isEmpty()
-        fitting = dealt if done else dealt.join(full, "bucket", "left_anti").select("fp", "bucket")
+        fitting = dealt if done else dealt.join(full, ["of", "bucket"], "left_anti").select("of", "fp", "bucket")
         fitting = fitting.withColumn("depth", F.lit(deeper))
         ready = fitting if ready is None else ready.unionByName(fitting)
         if done:
             return ready
-        rows = stored(dealt.join(full, "bucket", "left_semi").select("fp", "bucket"), "overfull")
+        rows = stored(dealt.join(full, ["of", "bucket"], "left_semi").select("of", "fp", "bucket"), "overfull")
         depth, deeper = deeper, min(64, deeper + MORE_BITS)
 
 
@@ -182,7 +188,7 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def links(fps: DataFrame, radius: int = 4, variants: int = VARIANTS) -> DataFrame:
-    """`u, v`: links that connect exactly the fingerprints (`fp`, all different) within `radius` bits of each other.
+    """`of, u, v`: links that connect exactly the fingerprints (`of, fp`, all different) of each `of` within `radius` bits.
 
     A link may stand for a chain of near pairs that one bucket has seen; all nearness is kept up to that.
     """
@@ -192,7 +198,7 @@ def links(fps: DataFrame, radius: int = 4, variants: int = VARIANTS) -> DataFram
 
     def meet(key: tuple, rows: pa.Table) -> pa.Table:
         fp = rows.column("fp").to_numpy().view(np.uint64)
-        depth, bucket = key[0].as_py(), key[1].as_py()
+        of, depth, bucket = (k.as_py() for k in key)
         bits = 64 - depth
         low = np.uint64((1 << bits) - 1)
         v = fp & low | np.uint64((bucket << bits) % (1 << 64))
@@ -213,16 +219,16 @@ def links(fps: DataFrame, radius: int = 4, variants: int = VARIANTS) -> DataFram
         label = _forest(len(fp), a[near], b[near])
         moved = np.flatnonzero(label != np.arange(len(fp)))
         u, w = fp[moved].view(np.int64), fp[label[moved]].view(np.int64)
-        return pa.table({"u": u, "v": w})
+        return pa.table({"of": pa.array([of] * len(u), pa.int32()), "u": u, "v": w})
 
-    return _buckets(fps, half, variants).groupBy("depth", "bucket").applyInArrow(meet, "u long, v long")
+    return _buckets(fps, half, variants).groupBy("of", "depth", "bucket").applyInArrow(meet, "of int, u long, v long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 4, radius: int = 4) -> DataFrame:
     """`doc_id, fingerprint, component_id` for every document."""
     found = stored(fingerprints(docs, width), "fingerprints")
     different = stored(found.groupBy("fp").agg(F.min("doc_id").alias("least")), "different-fingerprints")
-    roots = components(links(different.select("fp"), radius))
+    roots = components(links(different.select(F.lit(0).alias("of"), "fp"), radius))
     rooted = different.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     rooted = rooted.select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -231,46 +237,132 @@ def near_duplicates(docs: DataFrame, width: int = 4, radius: int = 4) -> DataFra
     return found.join(by_fp, "fp").select("doc_id", shown.alias("fingerprint"), "component_id")
 
 
+def _near(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sets of shingles have a Jaccard similarity of at least `NEAR`."""
+    part, whole = NEAR
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return whole * common >= part * (len(a) + len(b) - common)
+
+
+def _candidates(root: np.ndarray, sets: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of sets of one root that can be near: by a shingle rare enough, where it stands in both, and their sizes."""
+    part, whole = NEAR
+    size = np.array([len(x) for x in sets], np.int64)
+    of = np.repeat(np.arange(len(sets)), size)
+    token = np.concatenate(sets) if sets else np.zeros(0, np.int64)
+    order = np.lexsort((token, root[of]))
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (token[order][1:] != token[order][:-1]) | (root[of[order]][1:] != root[of[order]][:-1])
+    name = np.empty(len(order), np.int64)
+    name[order] = np.cumsum(fresh) - 1
+    many = np.bincount(name)
+    order = np.lexsort((name, many[name], of))  # a set's shingles, rarest first
+    of, name = of[order], name[order]
+    at = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
+    left = size[of] - at
+    shared = many[name] > 1
+    probe = np.flatnonzero(shared & (whole * left >= part * size[of]))
+    index = np.flatnonzero(shared & ((part + whole) * left >= 2 * part * size[of]))
+    # Of each shingle the sets by size: a probing set meets those of at least 4/5 of its size and at most its own.
+    wide = np.int64(size.max() + 1 if len(size) else 1)
+    key = name[index] * wide + size[of[index]]
+    index = index[np.argsort(key, kind="stable")]
+    key.sort()
+    low = np.searchsorted(key, name[probe] * wide + -(-part * size[of[probe]] // whole))
+    high = np.searchsorted(key, name[probe] * wide + size[of[probe]], side="right")
+    met = np.maximum(high - low, 0)
+    begin = 0
+    while begin < len(probe):  # blocks of bounded size
+        end = max(begin + 1, int(np.searchsorted(np.cumsum(met[begin:]), 64 * PAIRS, side="right")) + begin)
+        n = met[begin:end]
+        u = np.repeat(probe[begin:end], n)
+        v = index[np.repeat(low[begin:end], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+        common = np.minimum(left[u], left[v])
+        su, sv = size[of[u]], size[of[v]]
+        may = ((part + whole) * common >= part * (su + sv)) & (of[u] != of[v])
+        pairs = np.unique(np.minimum(of[u], of[v])[may] * np.int64(len(sets)) + np.maximum(of[u], of[v])[may])
+        if len(pairs):
+            yield pairs // len(sets), pairs % len(sets)
+        begin = end
+
+
+def near_classes(root: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
+    """For each set the least index of a set that a chain of near sets of its root connects it with."""
+    label = np.arange(len(sets))
+    for u, v in _candidates(root, sets):
+        for at in range(0, len(u), PAIRS):
+            a, b = u[at : at + PAIRS], v[at : at + PAIRS]
+            open_ = label[a] != label[b]  # what is connected already need not be compared
+            near = [(i, j) for i, j in zip(a[open_].tolist(), b[open_].tolist(), strict=True) if _near(sets[i], sets[j])]
+            if near:
+                i, j = np.array(near).T
+                label = _forest(len(sets), label[i], label[j])[label]
+    return label
+
+
+def _in_tasks(texts: DataFrame, shingles_in_all: int) -> DataFrame:
+    """`node, root`: what the sets (`id, root, shingles`) of components that fit into a task connect."""
+
+    def work(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("root")
+        sets = [np.frombuffer(x.as_py(), np.int64) for x in rows.column("shingles")]
+        ids, root = rows.column("id").to_numpy(), rows.column("root").to_numpy()
+        size = np.cumsum([len(x) for x in sets])
+        ends = np.r_[np.flatnonzero(root[1:] != root[:-1]) + 1, len(root)]
+        node, found, at = [], [], 0
+        while at < len(root):  # whole components, until the bound is passed
+            end = int(ends[np.searchsorted(size[ends - 1], (size[at - 1] if at else 0) + TASK_SHINGLES).clip(max=len(ends) - 1)])
+            label = near_classes(root[at:end], sets[at:end])
+            moved = np.flatnonzero(label != np.arange(end - at))
+            node.append(ids[at + moved])
+            found.append(ids[at + label[moved]])
+            at = end
+        return pa.table({"u": np.concatenate(node), "v": np.concatenate(found)})
+
+    tasks = even_partitions(texts, shingles_in_all, TASK_SHINGLES)
+    dealt = texts.withColumn("task", F.pmod(F.xxhash64("root"), F.lit(tasks)))
+    return components(stored(dealt.groupBy("task").applyInArrow(work, "u long, v long"), "near-in-tasks"))
+
+
 def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the pairs `u, v` of sets (`id, shingles`) with a Jaccard similarity of at least `NEAR`."""
+    """Those of the pairs `u, v` of sets (`id, shingles`) that are near."""
     left, right = (sets.select(F.col("id").alias(c), F.col("shingles").alias(f"{c}_has")) for c in "uv")
     both = pairs.join(left, "u").join(right, "v").select("u", "v", "u_has", "v_has")
-    part, whole = NEAR
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near = []
-            for a, b in zip(rows_of(batch, "u_has"), rows_of(batch, "v_has"), strict=True):
-                a, b = np.frombuffer(a, np.int64), np.frombuffer(b, np.int64)
-                common = len(np.intersect1d(a, b, assume_unique=True))
-                near.append(whole * common >= part * (len(a) + len(b) - common))
+            rows = zip(rows_of(batch, "u_has"), rows_of(batch, "v_has"), strict=True)
+            near = [_near(np.frombuffer(a, np.int64), np.frombuffer(b, np.int64)) for a, b in rows]
             yield batch.select(["u", "v"]).filter(pa.array(near, pa.bool_()))
 
     return both.mapInArrow(compare, "u long, v long")
 
 
-def _near_components(sets: DataFrame) -> DataFrame:
-    """`node, root`: what the pairs of sets (`id, root, shingles`) of one root with similarity `NEAR` connect.
+def _by_joins(sets: DataFrame) -> DataFrame:
+    """`node, root`: what the sets (`id, root, shingles`) of large components connect, as `near_classes` has it, by joins.
 
-    Sets that are near share one of their first shingles in order of hash (prefix filter). Those with a shingle in common
-    are first compared with one of them; only what is not connected by then is compared in pairs.
+    Sets with a shingle in common are first compared with one of them; only what is not connected by then is compared in pairs.
     """
     part, whole = NEAR
-    size = (F.length("shingles") / 8).cast("int")
-    first = F.floor(size - F.ceil(size * part / whole) + 1).cast("int")
 
     @F.arrow_udf("array<bigint>")
-    def leading(texts: pa.Array, counts: pa.Array) -> pa.Array:
-        found = [np.frombuffer(x, np.int64)[:n] for x, n in zip(texts.to_pylist(), counts.to_pylist(), strict=True)]
-        return pa.array(found, pa.list_(pa.int64()))
+    def listed(shingles: pa.Array) -> pa.Array:
+        return pa.array([np.frombuffer(x, np.int64) for x in shingles.to_pylist()], pa.list_(pa.int64()))
 
-    tokens = sets.filter(size > 0).select("id", "root", size.alias("size"), F.posexplode(leading("shingles", first)).alias("at", "token"))
-    tokens = stored(tokens, "leading-shingles")
-
-    def may(a, b) -> Column:
+    size = (F.length("shingles") / 8).cast("int")
+    every = sets.select("id", "root", size.alias("size"), F.explode(listed("shingles")).alias("token"))
+    shared = every.groupBy("root", "token").agg(F.count("*").alias("n")).filter("n > 1")
+    every = every.join(stored(shared, "shared-shingles"), ["root", "token"])
+    ranked = every.groupBy("id", "root", "size").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("all"))
+    spread = ranked.select("id", "root", "size", (F.col("size") - F.size("all")).alias("alone"), F.posexplode("all").alias("at", "x"))
+    at = (F.col("alone") + F.col("at")).alias("at")
+    tokens = spread.select("id", "root", "size", at, F.col("x.token").alias("token"))
+    tokens = stored(tokens.filter(whole * (F.col("size") - F.col("at")) >= part * F.col("size")), "rare-shingles")
+
+    def may(a: str, b: str) -> Column:
         """Whether a and b can be near, by their sizes and the places of the shingle that they share."""
-        common = F.least(a["at"], b["at"]) + 1 + F.least(a["size"] - a["at"], b["size"] - b["at"]) - 1
-        return (part + whole) * common >= part * (a["size"] + b["size"])
+        common = F.least(F.col(f"{a}.size") - F.col(f"{a}.at"), F.col(f"{b}.size") - F.col(f"{b}.at"))
+        return (part + whole) * common >= part * (F.col(f"{a}.size") + F.col(f"{b}.size"))
 
     found, labels = None, None
     for round_ in range(LEADERS + 1):
@@ -289,9 +381,12 @@ def _near_components(sets: DataFrame) -> DataFrame:
         if round_ < LEADERS:
             pairs = now.select("me", F.col("leader").alias("other"))
         else:
-            others = now.select("root", "token", F.col("me").alias("other"))
-            pairs = now.select("root", "token", "me").join(others, ["root", "token"]).filter("me.id < other.id")
-        pairs = pairs.filter("me.label <> other.label").filter(may(F.col("me"), F.col("other")))
+            # The smaller set has the shingle among its first ninth.
+            small = now.filter((part + whole) * (F.col("me.size") - F.col("me.at")) >= 2 * part * F.col("me.size"))
+            small = small.select("root", "token", F.col("me").alias("other"))
+            larger = F.struct("me.size", "me.id") > F.struct("other.size", "other.id")
+            pairs = now.select("root", "token", "me").join(small, ["root", "token"]).filter(larger)
+        pairs = pairs.filter("me.label <> other.label").filter(may("me", "other"))
         pairs = pairs.select(F.least("me.id", "other.id").alias("u"), F.greatest("me.id", "other.id").alias("v")).distinct()
         near = stored(_similar(stored(pairs, "pairs"), sets), "near")
         found = near if found is None else found.unionByName(near)
@@ -299,6 +394,17 @@ def _near_components(sets: DataFrame) -> DataFrame:
     return labels
 
 
+def _near_components(texts: DataFrame) -> DataFrame:
+    """`node, root` for the sets (`id, root, shingles`) that chains of near sets of one root connect."""
+    sizes = texts.groupBy("root").agg(F.sum(F.length("shingles") / 8).alias("n"))
+    sizes = stored(sizes, "component-sizes")
+    large = sizes.filter(F.col("n") > TASK_SHINGLES).select("root")
+    fitting = _in_tasks(texts.join(large, "root", "left_anti"), int(sizes.agg(F.sum("n")).first()[0] or 0))
+    if large.isEmpty():
+        return fitting
+    return fitting.unionByName(_by_joins(stored(texts.join(large, "root", "left_semi"), "large-components")))
+
+
 def one_of_each(docs: DataFrame, tables: int = TABLES, radius: int = 4) -> DataFrame:
     """`docs` with one row (the least doc_id that is not null, then text hash) of each group of near-duplicates.
 
@@ -330,14 +436,14 @@ def one_of_each(docs: DataFrame, tables: int = TABLES, radius: int = 4) -> DataF
     found = chosen.mapInArrow(vote, T.StructType([chosen.schema["_llm_key"], *kinds, T.StructField("id", T.LongType())]))
     found = stored(found.withColumn("node", F.xxhash64(*names)), "word-set-fingerprints")
     nodes = found.select("node", *names).distinct()
-    near = None
-    for name in names:
-        named = stored(nodes.groupBy(F.col(name).alias("fp")).agg(F.min("node").alias("first")), "table")
-        same = nodes.join(named, nodes[name] == named["fp"]).select(F.col("node").alias("u"), F.col("first").alias("v"))
-        u, v = (named.select(F.col("fp").alias(c), F.col("first").alias(f"{c}_first")) for c in "uv")
-        close = links(named.select("fp"), radius).join(u, "u").join(v, "v").select(F.col("u_first").alias("u"), F.col("v_first").alias("v"))
-        part = stored(same.filter("u <> v").unionByName(close), "table-links")
-        near = part if near is None else near.unionByName(part)
+    # All tables in one run; what has equal fingerprints in a table hangs on the least node that has them.
+    spread = nodes.select("node", F.posexplode(F.array(*names)).alias("of", "fp"))
+    named = stored(spread.groupBy("of", "fp").agg(F.min("node").alias("first"), F.count("*").alias("n")), "tables")
+    same = spread.join(named.filter("n > 1").drop("n"), ["of", "fp"]).select(F.col("node").alias("u"), F.col("first").alias("v"))
+    u, v = (named.select("of", F.col("fp").alias(c), F.col("first").alias(f"{c}_first")) for c in "uv")
+    close = links(named.select("of", "fp"), radius).join(u, ["of", "u"]).join(v, ["of", "v"])
+    close = close.select(F.col("u_first").alias("u"), F.col("v_first").alias("v"))
+    near = stored(same.filter("u <> v").unionByName(close), "table-links")
     order = F.struct(F.col("_llm_key.doc_id").isNull().alias("last"), F.col("_llm_key").alias("key"))
     sets = found.groupBy("id", "node").agg(F.min(order).alias("least"))
     sets = sets.join(components(near), "node", "left").groupBy("id").agg(

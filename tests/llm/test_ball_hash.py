@@ -3,6 +3,8 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
+import pytest
 import xxhash
 
 from gaugeline.llm import ball_hash
@@ -49,9 +51,10 @@ def clouds(seed, centres, each, flips):
 
 
 def check_links(spark, points, **more):
-    fps = spark.createDataFrame([(signed(p),) for p in points], "fp long")
+    # The same points under another name must not meet these.
+    fps = spark.createDataFrame([(of, signed(p)) for p in points for of in (3, 4)], "of int, fp long")
     links = ball_hash.links(fps, **more)
-    rows = links.collect()
+    rows = [r for r in links.collect() if r["of"] == 3]
     index = {signed(p): i for i, p in enumerate(points)}
     got = list(range(len(points)))
 
@@ -149,3 +152,48 @@ def test_one_of_each_keeps_texts_that_only_share_their_words(spark):
     want = similar_classes(texts)
     assert 6 <= len(want) < len(texts)
     assert {r["doc_id"] for r in ball_hash.one_of_each(docs).collect()} == want
+
+
+@pytest.mark.parametrize("bound", [ball_hash.TASK_SHINGLES, 100])
+def test_verified_classes_equal_all_pairs(spark, bound, monkeypatch):
+    """Sets with few and many shingles in common, in components that fit into a task and in some that do not."""
+    monkeypatch.setattr(ball_hash, "TASK_SHINGLES", bound)
+    monkeypatch.setattr(ball_hash, "PAIRS", 16)
+    rng = random.Random(21)
+    root, sets = [], []
+    for component in range(8):
+        pool = rng.sample(range(10**6), 60)
+        for _ in range(rng.randrange(1, 25)):
+            base = set(rng.sample(pool, rng.randrange(40, 60))) if rng.random() < 0.8 or not sets else set(sets[-1])
+            for _ in range(rng.randrange(6)):
+                base.add(rng.randrange(10**6))
+            sets.append(sorted(base))
+            root.append(component)
+    sets += [[], [1], [1], [1, 2, 3, 4, 5], [1, 2, 3, 4]]
+    root += [50, 51, 51, 52, 52]
+    label = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            a, b = set(sets[i]), set(sets[j])
+            if root[i] == root[j] and 5 * len(a & b) >= 4 * len(a | b) and label[i] != label[j]:
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if x == old else x for x in label]
+    arrays = [np.array(x, np.int64) for x in sets]
+    if bound > 1000:
+        assert ball_hash.near_classes(np.array(root), arrays).tolist() == label
+    rows = [(i, r, x.tobytes()) for i, (r, x) in enumerate(zip(root, arrays, strict=True))]
+    got = {r["node"]: r["root"] for r in ball_hash._near_components(spark.createDataFrame(rows, "id long, root long, shingles binary")).collect()}
+    assert [got.get(i, i) for i in range(len(sets))] == label
+    assert len(set(label)) < len(sets) - 20
+
+
+def test_frequent_shingles_name_no_pairs():
+    """Texts of the same sentences in ever new orders share most shingles; only the few that share a rare one are compared."""
+    rng = random.Random(3)
+    sentences = [[f"s{k}w{i}" for i in range(12)] for k in range(120)]
+    counts = []
+    for n in (50, 200):
+        texts = [" ".join(w for s in rng.sample(sentences, 120) for w in s).encode() for _ in range(n)]
+        sets = [ball_hash.shingles(t) for t in texts]
+        counts.append(sum(len(u) for u, _ in ball_hash._candidates(np.zeros(n, np.int64), sets)))
+    assert counts[1] < 0.4 * 200 * 199 / 2  # two random orders have some sentence after the same one in most cases
