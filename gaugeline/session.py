@@ -11,6 +11,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+#: Bytes of a batch on its way to Python: rows may be long texts.
+BATCH_BYTES = str(8 << 20)
 
 _local_scratch: dict[str, str] = {}
 _shipped: set[str] = set()
@@ -35,10 +37,13 @@ def build_session(app: str = "gaugeline", master: str | None = None, **conf: str
 
 
 def prepare(spark: SparkSession) -> None:
-    """Make an existing session fit: UTC dates, JSON as usually read, and this package importable in Python workers."""
+    """Make an existing session fit: UTC dates, JSON as usually read, batches of bounded size, this package in Python workers."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")  # of a name given twice the last value counts
+    bound = str(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)).removesuffix("b")
+    if not bound.isdigit() or not 0 < int(bound) <= int(BATCH_BYTES):
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     ship_package(spark)
 
 
