@@ -1,7 +1,15 @@
-"""Corpus preparation from raw documents to packed training sequences, as stages that are written and read again."""
+"""Corpus preparation from raw documents to packed training sequences, as stages that are written and read again.
+
+Defined results: a null, empty or letterless text is of no language and goes with the first stage, as does a text that no
+language clearly claims; repeated rows are one document to `near_dedup`, which keeps one; documents with null ids pass through
+all stages; texts of any length are judged whole; an empty table gives an empty result. Stages return exactly the columns that
+they are given, whatever their names: what has the name of an operator's result is set aside meanwhile.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,17 +17,26 @@ from pyspark.sql import functions as F
 from gaugeline.llm import align, ball_hash, byte_cnn, rlbwt, ss_packing
 from gaugeline.llm.common import stored
 
-#: Documents whose likeliest language is less likely than this are of no known one.
+#: Documents whose likeliest language is less likely than this, and than so many times an even chance, are of no known one.
 LEAST_SCORE = 0.25
+LEAST_LIFT = 1.5
 #: Bytes of a repeated passage: some forty words, so that any of over fifty is caught.
 PASSAGE_BYTES = 200
 
 
+def _apart(docs: DataFrame, results: tuple[str, ...], decide: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What `decide` leaves of the documents, with the columns they came with; `results` are the names it works with."""
+    aside = {name: f"_pipeline_{name}" for name in docs.columns if name in results}
+    decided = decide(docs.withColumnsRenamed(aside)).drop(*results)
+    return decided.withColumnsRenamed({hidden: name for name, hidden in aside.items()}).select(docs.columns)
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages that their labels teach; those without a letter, or of no clear language, go."""
-    found = byte_cnn.identify(docs, byte_cnn.fit(docs))
-    clear = (F.col("lang_pred") != byte_cnn.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
-    return found.filter(clear).select(docs.columns)
+    network = byte_cnn.fit(docs)
+    least = min(LEAST_SCORE, LEAST_LIFT / max(1, len(network.languages) if network else 1))
+    clear = (F.col("lang_pred") != byte_cnn.UNKNOWN) & (F.col("score") >= least)
+    return _apart(docs, ("lang_pred", "score"), lambda rows: byte_cnn.identify(rows, network).filter(clear))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,16 +53,18 @@ def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
         return pa.array([None if x is None else x.decode("utf-8", "ignore") for x in kept.to_pylist()], pa.string())
 
-    cut = rlbwt.remove_repeats(docs, PASSAGE_BYTES)
-    text = F.coalesce(readable(F.when(F.size("spans") > 0, F.col("kept"))), F.col("text"))
-    cut = cut.withColumn("text", text)
-    return cut.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    def decide(rows: DataFrame) -> DataFrame:
+        cut = rlbwt.remove_repeats(rows, PASSAGE_BYTES)
+        text = F.coalesce(readable(F.when(F.size("spans") > 0, F.col("kept"))), F.col("text"))
+        return cut.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long"))
+
+    return _apart(docs, ("spans", "kept"), decide)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no copy of a test item."""
-    found = align.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.filter(F.size("leaks") == 0).select(docs.columns)
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return _apart(docs, ("leaks",), lambda rows: align.leaks(rows, benchmark).filter(F.size("leaks") == 0))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
