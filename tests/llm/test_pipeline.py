@@ -4,6 +4,7 @@ import random
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, extra string"
 
@@ -57,3 +58,48 @@ def test_run_applies_all(spark, folder):
     where, _, _ = folder
     packed = corpus_pipeline.run(spark, where)
     assert {r["doc_id"] for r in packed.collect()} == set(range(120)) | {202, 203}
+
+
+CLASHING = "doc_id long, text string, lang string, source string, n_chars long, score string, kept int, spans string, leaks int, lang_pred string"
+
+
+def test_rows_of_every_kind_pass_unharmed(spark, folder, tmp_path):
+    where, texts, _ = folder
+    rng = random.Random(3)
+    plain = [(i, t, lang) for i, (t, lang) in texts.items() if i < 60]
+    long = " ".join(rng.choice(plain)[1].split()[k % 50] + str(k) for k in range(100_000))
+    rows = plain + [(None, plain[0][1] + " and more of it follows here", "aa"), plain[1], plain[1], (900, long, "aa"), (901, " " * 300_000, None)]
+    rows = [(i, t, lang, None, None, "score", 7, "spans", 8, None) for i, t, lang in rows]
+    docs = spark.createDataFrame(rows, CLASHING).repartition(3)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before, kept = docs, stage(spark, docs, where)
+        assert kept.schema.simpleString() == docs.schema.simpleString()
+        docs = kept
+        docs.write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        assert {(r["score"], r["kept"], r["spans"], r["leaks"], r["lang_pred"]) for r in docs.collect()} == {("score", 7, "spans", 8, None)}
+        assert before.count() - docs.count() <= 4
+    got = [r["doc_id"] for r in docs.collect()]
+    assert got.count(1) == 1 and 900 in got and 901 not in got
+    packed = corpus_pipeline.packing(spark, docs, where)
+    assert {r["doc_id"] for r in packed.select("doc_id").distinct().collect()} == set(got)
+
+
+def test_an_empty_table(spark, folder):
+    where, _, _ = folder
+    docs = spark.createDataFrame([], CLASHING)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, where)
+        assert docs.columns == [f.split()[0] for f in CLASHING.split(", ")]
+    assert corpus_pipeline.packing(spark, docs, where).count() == 0
+
+
+def test_many_languages_do_not_lose_documents(spark, folder, monkeypatch):
+    """With many languages a right guess may be far below one half; it must not be rejected for that."""
+    where, _, _ = folder
+    docs = spark.read.parquet(f"{where}/documents.parquet")
+    network = corpus_pipeline.byte_cnn.Network([f"l{k}" for k in range(300)], *[None] * 4)
+    monkeypatch.setattr(corpus_pipeline.byte_cnn, "fit", lambda docs: network)
+    judged = lambda rows, network: rows.withColumns({"lang_pred": F.lit("l7"), "score": F.lit(0.1)})
+    monkeypatch.setattr(corpus_pipeline.byte_cnn, "identify", judged)
+    assert corpus_pipeline.language(spark, docs, where).count() == docs.count()
