@@ -85,7 +85,16 @@ def materialise(df: DataFrame, label: str, **options: object) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    written._scratch_path = path
+    return written
+
+
+def release(*written: DataFrame) -> None:
+    """Remove what `materialise` wrote for these; call it when nothing reads them any more."""
+    for df in written:
+        if path := getattr(df, "_scratch_path", None):
+            delete_path(df.sparkSession, path)
 
 
 def file_system(spark: SparkSession, path: str):

@@ -41,3 +41,14 @@ def test_dates_are_utc(spark):
     spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
     session.prepare(spark)
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_released_copies_leave_the_scratch_folder(spark):
+    from pathlib import Path
+
+    kept, gone = (session.materialise(spark.range(10).toDF("x"), f"copy-{k}") for k in range(2))
+    paths = [Path(df._scratch_path.removeprefix("file:")) for df in (kept, gone)]
+    assert all(p.is_dir() for p in paths)
+    session.release(gone, spark.range(3), gone)  # what was not written, or is gone already, is passed over
+    assert paths[0].is_dir() and not paths[1].exists()
+    assert kept.count() == 10
