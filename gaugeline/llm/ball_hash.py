@@ -3,9 +3,10 @@
 Two fingerprints that differ in at most 2h bits share a number that lies within h bits of both. So every fingerprint
 stands for all variants within h flipped bits, and equal variants of two fingerprints prove a link. The shuffle goes by
 the leading bits of the variants: a fingerprint is sent once to each bucket that any of its variants falls into (a few
-dozen, not all of its 2,081 variants), and the bucket's task writes out the variants that begin so. A bucket with more
-variants than a task should hold is dealt out again by more leading bits, down to single variants if need be; at most
-2,081 different fingerprints share a variant, so no group is unbounded, and none is cut.
+dozen, not all of its 2,081 variants), and the bucket's task writes out the variants that begin so, some leading bits further
+at a time, so that it holds a bounded number of them. A bucket with more variants than a task should go through is dealt out
+again by more leading bits, down to single variants if need be; at most 2,081 different fingerprints share a variant, so no group
+is unbounded, and none is cut.
 
 Within a bucket only a spanning forest of the links leaves the task, never all pairs of a group. Components are then
 found over different fingerprints, not documents: a thousand copies are one node.
@@ -37,9 +38,13 @@ from pyspark.sql import types as T
 
 from gaugeline.llm.common import even_partitions, own, rows_of, stored, utf8
 from gaugeline.llm.components import components
+from gaugeline.session import release
 
-#: Variants that one task expands at a time.
+#: Variants that one task holds at a time, and how many times as many it goes through.
 VARIANTS = 2_000_000
+SLICES = 16
+#: Leading bits by which fingerprints are dealt at least.
+LEAST_BITS = 8
 #: Independent fingerprints by which `one_of_each` looks for near texts.
 TABLES = 4
 #: Leading bits by which an overfull bucket is dealt out again.
@@ -149,11 +154,12 @@ def _weight(depth: int, half: int) -> Column:
 
 
 def _buckets(fps: DataFrame, half: int, variants: int) -> DataFrame:
-    """`fps` dealt into buckets (of `depth` bits) of at most about `variants` variants, whatever lies close together."""
+    """`fps` dealt into buckets (of `depth` bits) of at most about `variants * SLICES`, whatever lies close together."""
     # An even bucket is an eighth full at most: only where fingerprints lie close together is one dealt out again.
     largest = fps.groupBy("of").count().agg(F.max("count")).first()[0] or 0
+    variants *= SLICES
     spread = largest * ball(64, half) / (variants / 8)
-    deeper = min(24, max(1, math.ceil(math.log2(max(2, spread)))))
+    deeper = min(24, max(LEAST_BITS, math.ceil(math.log2(max(2, spread)))))
     rows, depth = fps.select("of", "fp", F.lit(0).cast("long").alias("bucket")), 0
     ready = None
     while True:
@@ -187,6 +193,33 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
+def _meetings(fp: np.ndarray, rows: np.ndarray, depth: int, bucket: int, half: int, variants: int) -> Iterator[np.ndarray]:
+    """Pairs of neighbours (one index << 32 | the other) among the rows with equal variants that begin with the bucket's bits."""
+    bits = 64 - depth
+    mine = fp[rows]
+    v = mine & np.uint64((1 << bits) - 1) | np.uint64((bucket << bits) % (1 << 64))
+    used = np.bitwise_count(mine ^ v)
+    if bits and sum(int((used == k).sum()) * ball(bits, half - k) for k in range(half + 1)) > variants:
+        further = min(4, bits)
+        lead = (mine >> np.uint64(bits - further)) & np.uint64((1 << further) - 1)
+        for begin in range(1 << further):  # the variants whose next bits are these
+            reach = np.bitwise_count(lead ^ np.uint64(begin)) + used <= half
+            if reach.any():
+                yield from _meetings(fp, rows[reach], depth + further, bucket << further | begin, half, variants)
+        return
+    made, owner = [], []
+    for flipped in range(half + 1):
+        own_ = np.flatnonzero(used == flipped)
+        masks = _flips(bits, half - flipped)
+        made.append((v[own_][:, None] ^ masks[None, :]).ravel())
+        owner.append(np.repeat(rows[own_], len(masks)))
+    made, owner = np.concatenate(made), np.concatenate(owner)
+    order = np.argsort(made)
+    made, owner = made[order], owner[order]
+    same = np.flatnonzero(made[1:] == made[:-1])
+    yield np.unique(owner[same].astype(np.int64) << 32 | owner[same + 1])
+
+
 def links(fps: DataFrame, radius: int = 4, variants: int = VARIANTS) -> DataFrame:
     """`of, u, v`: links that connect exactly the fingerprints (`of, fp`, all different) of each `of` within `radius` bits.
 
@@ -199,21 +232,8 @@ def links(fps: DataFrame, radius: int = 4, variants: int = VARIANTS) -> DataFram
     def meet(key: tuple, rows: pa.Table) -> pa.Table:
         fp = rows.column("fp").to_numpy().view(np.uint64)
         of, depth, bucket = (k.as_py() for k in key)
-        bits = 64 - depth
-        low = np.uint64((1 << bits) - 1)
-        v = fp & low | np.uint64((bucket << bits) % (1 << 64))
-        used = np.bitwise_count(fp ^ v)
-        made, owner = [], []
-        for flipped in range(half + 1):
-            own_ = np.flatnonzero(used == flipped)
-            masks = _flips(bits, half - flipped)
-            made.append((v[own_][:, None] ^ masks[None, :]).ravel())
-            owner.append(np.repeat(own_.astype(np.int32), len(masks)))
-        made, owner = np.concatenate(made), np.concatenate(owner)
-        order = np.argsort(made)
-        made, owner = made[order], owner[order]
-        same = np.flatnonzero(made[1:] == made[:-1])
-        pairs = np.unique(owner[same].astype(np.int64) << 32 | owner[same + 1])
+        pairs = [np.zeros(0, np.int64), *_meetings(fp, np.arange(len(fp), dtype=np.int32), depth, bucket % (1 << 64), half, variants)]
+        pairs = np.unique(np.concatenate(pairs))
         a, b = pairs >> 32, pairs & 0xFFFFFFFF
         near = np.bitwise_count(fp[a] ^ fp[b]) <= radius
         label = _forest(len(fp), a[near], b[near])
@@ -450,6 +470,7 @@ def one_of_each(docs: DataFrame, tables: int = TABLES, radius: int = 4) -> DataF
         F.min(F.coalesce("root", "node")).alias("root"), F.min("least").alias("least")
     )
     sets = stored(sets, "shingle-sets")
+    release(found, named, near)
     several = sets.groupBy("root").agg(F.count("*").alias("n")).filter("n > 1").select("root")
     # The text of one document stands for all that have its shingles.
     to_verify = sets.join(stored(several, "components"), "root", "left_semi").select("id", "root", F.col("least.key").alias("_llm_key"))
@@ -458,6 +479,7 @@ def one_of_each(docs: DataFrame, tables: int = TABLES, radius: int = 4) -> DataF
     )
     texts = stored(texts.dropDuplicates(["id"]), "shingles")
     near = _near_components(texts)
+    release(texts)
     rooted = sets.select("id", "least").join(near.select(F.col("node").alias("id"), F.col("root").alias("near")), "id", "left")
     kept = rooted.groupBy(F.coalesce("near", "id").alias("root")).agg(F.min("least").alias("kept"))
     kept = kept.select(F.col("kept.key").alias("_llm_key"))

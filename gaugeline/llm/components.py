@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeline.llm.common import stored
+from gaugeline.session import release
 
 
 def _distinct(edges: DataFrame) -> DataFrame:
@@ -35,7 +36,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = stored(large, "large-star")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = stored(_distinct(small.unionByName(least.select("u", F.col("m").alias("v")))), "small-star")
-        before, state = state, _state(now)
+        after = stored(_distinct(small.unionByName(least.select("u", F.col("m").alias("v")))), "small-star")
+        release(now, large)
+        now, before, state = after, state, _state(after)
     roots = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

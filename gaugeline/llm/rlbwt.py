@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeline.llm.common import HASH_COLUMN, SPANS, RollingHash, beside, even_partitions, hashed, merged, own, stored, utf8, without
+from gaugeline.session import release
 
 #: Bytes of text that one task indexes at a time; sorting ranks of three neighbours in 63 bits needs fewer than 2**21.
 SHARD_BYTES = 1_000_000
@@ -288,6 +289,7 @@ def repeats(docs: DataFrame, length: int = 400, shard_bytes: int = SHARD_BYTES)
     # Written first: a join of two plain exchanges, which adaptive execution can split at a hot anchor.
     counted = stored(counted.filter("copies > 1").drop("copies"), "counted-anchors")
     seen = stored(anchors.join(counted, "anchor"), "repeated-anchors")
+    release(anchors, counted)
     where = F.struct("doc_id", HASH_COLUMN, "at", "n", "place")
     different = seen.filter("not same").groupBy("anchor", "segment")
     different = different.agg(F.count("*").alias("copies"), F.min(where).alias("one")).select(
@@ -305,6 +307,7 @@ def repeats(docs: DataFrame, length: int = 400, shard_bytes: int = SHARD_BYTES)
     )
     candidates = stored(taken.select("part.*"), "candidates")
     marks = stored(_repeated(candidates, length, shard_bytes).distinct(), "marks")
+    release(candidates)
     spread = seen.filter("not same").join(marks, ["anchor", "segment"])
     whole = seen.filter("same").withColumns({"first": F.lit(0), "last": F.col("n") - 1})
     spans = spread.select(whole.columns).unionByName(whole).select(
