@@ -15,13 +15,19 @@ METRICS_KEY = ("machine_id", "name", "timestamp", "metric_id")
 EVALUATIONS_KEY = ("machine_id", "metric_name", "algorithm", "timestamp", "metric_id")
 MACHINES_KEY = ("machine_id",)
 
+FOUND = ("algorithm", "baseline", "lower", "upper", "is_anomaly")
+
 KEYS = {"metrics": METRICS_KEY, "evaluations": EVALUATIONS_KEY, "machines": MACHINES_KEY}
 VERSIONS = {"metrics": "inserted_at", "evaluations": None, "machines": "last_seen_at"}
 
 
 def latest(df: DataFrame, key: tuple[str, ...], version: str | None) -> DataFrame:
-    """Per `key` the row with the greatest `version`; of equal versions the one inserted last, where known."""
-    keys = [c for c in (*key, "date") if c in df.columns]
+    """Per `key` the row with the greatest `version`; of equal versions the one inserted last, where known.
+
+    The day of a stored row follows from its key, so it is no part of the grouping: what is joined on the key afterwards
+    lies where the collapse has put it.
+    """
+    keys = [c for c in key if c in df.columns]
     order = [F.col(c) for c in (version, INSERT_SEQ) if c and c in df.columns]
     others = [c for c in df.columns if c not in keys]
     if not order:
@@ -32,6 +38,18 @@ def latest(df: DataFrame, key: tuple[str, ...], version: str | None) -> DataFram
     return df.groupBy(*keys).agg(*picked).select(df.columns)
 
 
+def by_sample(evaluations: DataFrame) -> DataFrame:
+    """Per sample (`machine_id, name, timestamp, metric_id`) what each algorithm found, replays hidden, as `found`.
+
+    One shuffle, on the key of samples. Copies combine before it; replays score a sample alike, so a set holds one each.
+    """
+    rows = evaluations.withColumnRenamed("metric_name", "name")
+    sets = rows.groupBy(*METRICS_KEY).agg(F.collect_set(F.struct(*FOUND)).alias("all"))
+    algorithms = F.array_distinct(F.transform("all", lambda x: x["algorithm"]))
+    one = F.transform(algorithms, lambda a: F.element_at(F.filter("all", lambda x: x["algorithm"] == a), 1))
+    return sets.select(*METRICS_KEY, one.alias("found"))
+
+
 def final(df: DataFrame, table: str) -> DataFrame:
     return latest(df, KEYS[table], VERSIONS[table])
 

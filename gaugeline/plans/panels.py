@@ -72,33 +72,41 @@ def bands(t: Tables, series: Series | None = None, within: Range | None = None)
     )
 
 
-def anomaly_points(t: Tables, series: Series | None = None, within: Range | None = None) -> DataFrame:
-    shown = _shown(series)
-    return _points(t, series, within).orderBy(*shown, "time", "algorithm")
+def _points(t: Tables, series: Series | None, within: Range | None) -> DataFrame:
+    """Samples with the algorithms that flag them. Both sides are collapsed on the key of samples and joined where they lie."""
+    flagged = _of(t.found(within), series).where(F.exists("found", lambda x: x["is_anomaly"]))
+    joined = flagged.join(_samples(t, series, within).select(*SAMPLE_KEY, "value"), list(SAMPLE_KEY))
+    return joined.select(*SAMPLE_KEY, "value", F.explode(F.filter("found", lambda x: x["is_anomaly"])).alias("x")).select(
+        *SAMPLE_KEY, "value", "x.algorithm"
+    )
 
 
-def _points(t: Tables, series: Series | None, within: Range | None) -> DataFrame:
-    flagged = _evaluations(t, series, within).where("is_anomaly").select(*SAMPLE_KEY, "algorithm")
-    # Only the flagged samples are collapsed, and joined on the key that the collapse has shuffled by.
-    samples = _of(t.final("metrics", within, flagged.select(*SAMPLE_KEY)), series).select(*SAMPLE_KEY, "value")
-    joined = flagged.join(samples, list(SAMPLE_KEY))
-    return joined.select(*_shown(series), F.col("timestamp").alias("time"), "algorithm", F.col("value").alias("anomaly"))
+def anomaly_points(t: Tables, series: Series | None = None, within: Range | None = None) -> DataFrame:
+    shown = _shown(series)
+    points = _points(t, series, within)
+    points = points.select(*shown, F.col("timestamp").alias("time"), "algorithm", F.col("value").alias("anomaly"))
+    return points.orderBy(*shown, "time", "algorithm")
 
 
 def series_overlay(t: Tables, series: Series | None = None, within: Range | None = None) -> DataFrame:
-    """Line, anomalies and bands as one frame, told apart by `layer`."""
-    shown = _shown(series)
-    evaluations = _evaluations(t, series, within)
-    layers = {
-        "value": _samples(t, series, within).select(*shown, F.col("timestamp").alias("time"), "value"),
-        "anomaly": _points(t, series, within),
-        "band": evaluations.select(*shown, F.col("timestamp").alias("time"), "algorithm", "baseline", "lower", "upper"),
-    }
-    stacked = None
-    for name, frame in layers.items():
-        frame = frame.withColumn("layer", F.lit(name))
-        stacked = frame if stacked is None else stacked.unionByName(frame, allowMissingColumns=True)
-    return stacked  # in no order: a sort belongs after the union, with whoever draws it
+    """Line, anomalies and bands as one frame, told apart by `layer`, from one read of each table."""
+    columns = {"value": "double", "anomaly": "double", "algorithm": "string"} | dict.fromkeys(("baseline", "lower", "upper"), "double")
+
+    def row(layer: str, **given: Column) -> Column:
+        values = [given.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in columns.items()]
+        return F.struct(F.lit(layer).alias("layer"), *values)
+
+    samples = _samples(t, series, within).select(*SAMPLE_KEY, "value", F.lit(True).alias("_sampled"))
+    both = samples.join(_of(t.found(within), series), list(SAMPLE_KEY), "full")
+    found = F.coalesce("found", F.array())
+    line = F.when(F.col("_sampled"), F.array(row("value", value=F.col("value")))).otherwise(F.array())
+    bands_ = F.transform(found, lambda x: row("band", **{c: x[c] for c in ("algorithm", "baseline", "lower", "upper")}))
+    points = F.transform(
+        F.filter(found, lambda x: x["is_anomaly"] & F.col("_sampled")),
+        lambda x: row("anomaly", algorithm=x["algorithm"], anomaly=F.col("value")),
+    )
+    layers = both.select(*_shown(series), F.col("timestamp").alias("time"), F.explode(F.concat(line, points, bands_)).alias("x"))
+    return layers.select(*_shown(series), "time", "x.*")  # in no order: a sort belongs with whoever draws it
 
 
 def value_sample(t: Tables, series: Series | None = None, within: Range | None = None) -> DataFrame:
@@ -186,10 +194,9 @@ def recent_anomalies(
 ) -> DataFrame:
     """The `n` newest flags of a machine, or of all, newest first."""
     mine = F.lit(True) if machine_id is None else F.col("machine_id") == F.lit(machine_id)
-    flagged = _evaluations(t, None, within).where(mine).where("is_anomaly").select(*SAMPLE_KEY, "algorithm")
-    samples = t.final("metrics", within, flagged.select(*SAMPLE_KEY)).where(mine).select(*SAMPLE_KEY, "value")
     return (
-        flagged.join(samples, list(SAMPLE_KEY))
+        _points(t, None, within)
+        .where(mine)
         .orderBy(F.desc("timestamp"), "metric_id", "algorithm")
         .limit(n)
         .select(
@@ -207,15 +214,12 @@ def sample_with_bands(
 ) -> DataFrame:
     """Every sample with the band of one algorithm, null where it was not scored."""
     shown = _shown(series)
-    scored = (
-        _evaluations(t, series, within)
-        .where(F.col("algorithm") == algorithm)
-        .select(*SAMPLE_KEY, "baseline", "lower", "upper", "is_anomaly")
-    )
+    found = _of(t.found(within), series).select(*SAMPLE_KEY, F.get(F.filter("found", lambda x: x["algorithm"] == algorithm), F.lit(0)).alias("x"))
     return (
         _samples(t, series, within)
         .select(*SAMPLE_KEY, "value")
-        .join(scored, list(SAMPLE_KEY), "left")
+        .join(found, list(SAMPLE_KEY), "left")
+        .select(*SAMPLE_KEY, "value", "x.*")
         .select(*shown, "timestamp", "value", "baseline", "lower", "upper", "is_anomaly")
         .orderBy(*shown, "timestamp")
     )

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.operators.dedup import final
+from gaugeline.operators.dedup import by_sample, final
 from gaugeline.schemas import INSERT_SEQ, COUNTERS_TABLE, TABLES, stored_schema
 
 Range = tuple[datetime, datetime]
@@ -36,16 +36,13 @@ class Tables:
     def raw(self, name: str, within: Range | None = None, column: str = "timestamp") -> DataFrame:
         return time_range(getattr(self, name), within, column).drop(INSERT_SEQ, "date")
 
-    def final(self, name: str, within: Range | None = None, only: DataFrame | None = None) -> DataFrame:
-        """The range is part of the key, so it is cut out before replays are collapsed; so are the rows whose key columns
-        are among those of `only`, which spares the collapse of all others."""
-        rows = time_range(getattr(self, name), within)
-        if only is not None:
-            keys = only.columns
-            if "date" in rows.columns and "timestamp" in keys:
-                only, keys = only.withColumn("date", F.to_date("timestamp")), [*keys, "date"]
-            rows = rows.join(only, keys, "left_semi")
-        return final(rows, name).drop(INSERT_SEQ, "date")
+    def final(self, name: str, within: Range | None = None) -> DataFrame:
+        """The range is part of the key, so it is cut out before replays are collapsed."""
+        return final(time_range(getattr(self, name), within), name).drop(INSERT_SEQ, "date")
+
+    def found(self, within: Range | None = None) -> DataFrame:
+        """Evaluations with replays hidden, as an array per sample."""
+        return by_sample(time_range(self.evaluations, within))
 
 
 def _stored(spark: SparkSession, root: str, name: str) -> DataFrame:

@@ -234,3 +234,26 @@ def test_raw_reads_keep_replays(tables):
 def test_fresh_rows(tables):
     rows = checks.fresh_rows(tables, DAY + timedelta(minutes=10)).collect()
     assert {r["table"]: r["fresh"] for r in rows} == {"metrics": 4, "machines": 3, "evaluations": 2}
+
+
+def _exchanges(df):
+    """Shuffles and scans of a plan with broadcasts off, told from its text."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return sum(f"Exchange {kind}partitioning(" in line for line in plan.splitlines() for kind in ("hash", "range")), plan.count("FileScan")
+
+
+@pytest.mark.parametrize(
+    ("panel", "shuffles"), [("series_overlay", 2), ("sample_with_bands", 3), ("anomaly_points", 3), ("recent_anomalies", 2)]
+)
+def test_panels_join_where_the_collapse_has_put_the_rows(spark, tmp_path, panel, shuffles):
+    root = str(tmp_path)
+    lifecycle.create_tables(spark, root, register=False)
+    t = open_tables(spark, root)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        more = {"sample_with_bands": ("mad",), "recent_anomalies": (200,)}.get(panel, ())
+        frame = getattr(panels, panel)(t, *more)
+        frame.write.format("noop").mode("overwrite").save()
+        assert _exchanges(frame) == (shuffles, 2)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
