@@ -1046,6 +1046,56 @@ def sink_counters(spark, sf_dir):
     return totals.groupBy("name").agg(F.max_by("value", "ts").alias("total"))
 
 
+@query(
+    f"""SELECT 'table=metrics' AS place, count(*) AS letters, count(DISTINCT event_id) AS records FROM samples WHERE {_BAD_TEXT}""",
+    ["samples"],
+)
+def letters_once(spark, sf_dir):
+    """Malformed records of a batch that is loaded, fails behind its writes, and is loaded again under its number."""
+    root = scratch_path(spark, "letters-root")
+    texts = views.sample_texts(spark, sf_dir).select("value", "topic", "partition", "offset")
+    for _ in range(2):
+        sinks.load_batch(texts, sinks.SINKS["metrics"], root, batch_id=0)
+    kept = spark.read.json(f"{root}/malformed")
+    where = F.concat(F.lit("table="), F.col("table"))
+    letters = kept.groupBy(where.alias("place"))
+    return letters.agg(F.count("*").alias("letters"), F.count_distinct("partition", "offset").alias("records"))
+
+
+@query(
+    f"""SELECT 'scrapes_total' AS name, 'ok' AS label, count(*)::double AS total FROM samples
+    UNION ALL SELECT 'scrapes_total', 'fetch_error', 0
+    UNION ALL SELECT 'invalid_responses_total', 'machine', count(*) FROM samples WHERE event_id % 60 = 0
+    UNION ALL SELECT 'invalid_responses_total', 'metrics', count(*) FROM samples WHERE event_id % 20 = 0 AND event_id % 60 <> 0
+    UNION ALL SELECT 'messages_published_total', 'machines', 0
+    UNION ALL SELECT 'messages_published_total', 'raw_metrics', 2 * count(*) FROM samples WHERE event_id % 20 <> 0
+    UNION ALL SELECT 'evaluations_emitted_total', '', count(*) FROM evaluations
+    UNION ALL SELECT 'scores_total', algorithm, count(*) FROM evaluations GROUP BY algorithm""",
+    ["samples", *EVAL],
+)
+def job_counters(spark, sf_dir):
+    """What collector and scorer counted while one took the bodies and the other the samples, as streams."""
+    names = ("in", "out", "progress", "samples", "scored", "state", "scored-progress", "root")
+    source, out, progress, samples, scored, state, scoring_progress, root = (scratch_path(spark, f"jobs-{n}") for n in names)
+    views.bodies(spark, sf_dir).write.parquet(source)
+    stream = spark.readStream.schema("url string, body string, kind string").parquet(source)
+    publish = lambda records, topic: records.write.mode("append").parquet(f"{out}/{topic}")
+    sinks.start_collector(stream, publish, "raw_metrics", progress, trigger=None, counters_root=root).awaitTermination()
+    rows = dedup.metrics_final(views.metrics_raw(spark, sf_dir)).select("metric_id", "machine_id", "name", "timestamp", "value")
+    rows.write.parquet(samples)
+    start_bulk_scoring(
+        spark.readStream.schema(rows.schema).parquet(samples),
+        lambda evaluations, _: evaluations.write.mode("append").parquet(scored),
+        state,
+        scoring_progress,
+        counters_root=root,
+    ).awaitTermination()
+    sinks.compact_counters(spark, root)
+    totals = sinks.job_counters(spark, root).where(F.col("name") != "score_micros_total")
+    label = F.coalesce(F.get(F.map_values("labels"), F.lit(0)), F.lit(""))
+    return totals.groupBy("name", label.alias("label")).agg(F.max_by("value", "ts").alias("total"))
+
+
 @query("SELECT metric_id, algorithm FROM evaluations", EVAL)
 def replays_dropped(spark, sf_dir):
     """The stored evaluations, replays included, as a stream that lets each through once."""

@@ -283,17 +283,29 @@ def snapshot_samples(examined: DataFrame) -> DataFrame:
     return with_metric_id(samples).select(*schemas.SAMPLE_STREAM.fieldNames())
 
 
+def rejected_bodies(examined: DataFrame) -> DataFrame:
+    return examined.where(F.col("error").isNotNull()).drop("_machine_id", "_metrics", "_epoch")
+
+
 def explode_snapshots(bodies: DataFrame) -> Split:
     """Bodies to (samples, rejected bodies with their error)."""
     examined = examine_snapshots(bodies)
-    return snapshot_samples(examined), examined.where(F.col("error").isNotNull()).drop("_machine_id", "_metrics", "_epoch")
+    return snapshot_samples(examined), rejected_bodies(examined)
+
+
+def examine_machines(bodies: DataFrame) -> DataFrame:
+    return examine(bodies.withColumn("value", F.col("body")), "machines")
+
+
+def rejected_machines(examined: DataFrame) -> DataFrame:
+    rejected = examined.where(F.col("reason").isNotNull()).withColumnRenamed("reason", "error")
+    return rejected.drop("record", "value")
 
 
 def machine_records(bodies: DataFrame) -> Split:
     """Machine bodies `(url, body)` to (records, rejected bodies with their error)."""
-    examined = examine(bodies.withColumn("value", F.col("body")), "machines")
-    rejected = examined.where(F.col("reason").isNotNull()).withColumnRenamed("reason", "error")
-    return valid_records(examined), rejected.drop("record", "value")
+    examined = examine_machines(bodies)
+    return valid_records(examined), rejected_machines(examined)
 
 
 def is_machine(bodies: DataFrame) -> Column:

@@ -104,8 +104,17 @@ def series_starts(table: pa.Table, columns: tuple[str, ...] = SERIES) -> np.ndar
     return np.maximum.accumulate(np.where(fresh, np.arange(table.num_rows), 0))
 
 
-def score_table(table: pa.Table, registry: Registry, window: int, observe: Observer | None = None) -> pa.Table:
-    """Evaluations of the `_own` rows of a run of rows in order."""
+def score_table(
+    table: pa.Table, registry: Registry, window: int, observe: Observer | None = None, timed: bool = False
+) -> pa.Table:
+    """Evaluations of the `_own` rows of a run of rows in order; with `timed` the time that each took, as `_micros`."""
+    spent: list[float] = []
+
+    def watch(name: str, rows: int, seconds: float) -> None:
+        spent.append(1e6 * seconds / max(rows, 1))
+        if observe:
+            observe(name, rows, seconds)
+
     values = _flat(table, "value").to_numpy(zero_copy_only=False)
     encoded = pc.dictionary_encode(_flat(table, "name"))
     rows, algorithms, baseline, lower, upper, flagged, no_lower = [], [], [], [], [], [], []
@@ -117,7 +126,7 @@ def score_table(table: pa.Table, registry: Registry, window: int, observe: Obser
         encoded.indices.to_numpy(zero_copy_only=False),
         registry,
         window,
-        observe,
+        watch,
     ):
         rows.append(block)
         algorithms.extend([algorithm] * len(block))
@@ -131,7 +140,7 @@ def score_table(table: pa.Table, registry: Registry, window: int, observe: Obser
         return np.concatenate(parts) if parts else np.empty(0, dtype=kind)
 
     taken = table.take(pa.array(column(rows, np.int64)))
-    return pa.table(
+    result = pa.table(
         {
             "metric_id": taken["metric_id"],
             "machine_id": taken["machine_id"],
@@ -144,6 +153,10 @@ def score_table(table: pa.Table, registry: Registry, window: int, observe: Obser
             "is_anomaly": pa.array(column(flagged, bool), pa.bool_()),
         }
     )
+    if timed:
+        each = [np.full(len(block), micros) for block, micros in zip(rows, spent, strict=True)]
+        result = result.append_column("_micros", pa.array(column(each, float), pa.float64()))
+    return result
 
 
 def over_series(
@@ -170,14 +183,18 @@ def score(
     order: tuple[str, ...] = DEFAULT_ORDER,
     registry: Registry = DEFAULT_REGISTRY,
     observe: Observer | None = None,
+    timed: bool = False,
 ) -> DataFrame:
-    """Evaluations of deduplicated samples. `order` is the order of arrival within a series, unique per row:
+    """Evaluations of deduplicated samples; with `timed` the microseconds that each took, as `_micros`. `order` is the order of arrival within a series, unique per row:
     `("partition", "offset")` where samples carry them, else time and id."""
 
     def kernel(table: pa.Table) -> pa.Table:
-        return score_table(table, registry, window, observe)
+        return score_table(table, registry, window, observe, timed)
 
-    return over_series(samples, window, kernel, evaluation_schema(samples), order, registry)
+    schema = evaluation_schema(samples)
+    if timed:
+        schema = schema.add("_micros", T.DoubleType())
+    return over_series(samples, window, kernel, schema, order, registry)
 
 
 def detector_costs(

@@ -12,15 +12,16 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from gaugeline.functions.scalars import epoch_to_timestamp
-from gaugeline.session import delete_path
 from gaugeline.operators.detectors import DEFAULT_REGISTRY, WINDOW_POINTS, Registry
 from gaugeline.operators.scoring import DEFAULT_ORDER, SERIES, Observer, evaluation_schema, score, score_values
+from gaugeline.session import delete_path, materialise, release
+from gaugeline.streaming.sinks import JobCounters
 
 WATERMARK = "5 seconds"
 
@@ -109,6 +110,7 @@ def score_after(
     window: int = WINDOW_POINTS,
     order: tuple[str, ...] = DEFAULT_ORDER,
     registry: Registry = DEFAULT_REGISTRY,
+    timed: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Evaluations of a batch of samples that follow the values of `state`, and the state after them."""
     columns = list(dict.fromkeys(["metric_id", *SERIES, "timestamp", "value", *order]))
@@ -117,7 +119,7 @@ def score_after(
         rows = rows.unionByName(state, allowMissingColumns=True)
     # Earlier values first, the oldest at the head, then the batch in its own order.
     rows = rows.withColumn("_before", F.coalesce(-F.col(_AGE), F.lit(0)))
-    scored = score(rows, window=window, order=("_before", *order), registry=registry)
+    scored = score(rows, window=window, order=("_before", *order), registry=registry, timed=timed)
     return scored.where(F.col("metric_id").isNotNull()), _newest_values(rows, order, window - 1)
 
 
@@ -131,9 +133,13 @@ def start_bulk_scoring(
     window: int = WINDOW_POINTS,
     order: tuple[str, ...] = DEFAULT_ORDER,
     registry: Registry = DEFAULT_REGISTRY,
+    counters_root: str | None = None,
 ) -> StreamingQuery:
     """Score a stream batch by batch and hand each batch's evaluations to `publish(evaluations, batch_id)`.
 
+    With `counters_root` the evaluations, and per algorithm its scores and their microseconds, are counted in the job in which
+    `publish` writes them (it must write them), and reported there.
+
     The state after a batch is written under the batch's number, before the batch counts as done: a batch that is run
     again starts from the state before it and writes the same once more.
     """
@@ -141,16 +147,34 @@ def start_bulk_scoring(
     def version(batch_id: int) -> str:
         return f"{state_path}/batch-{batch_id}"
 
+    counters = JobCounters()
+    algorithms = sorted({detector.name for rule in registry.rules for detector in rule.detectors})
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         state = spark.read.parquet(version(batch_id - 1)) if batch_id else None
-        batch.persist()
-        try:
-            scored, after = score_after(state, batch, window=window, order=order, registry=registry)
-            publish(scored, batch_id)
-            after.write.mode("overwrite").parquet(version(batch_id))
-        finally:
-            batch.unpersist()
+        rows = materialise(batch, "scored-batch")
+        counted = counters_root is not None
+        scored, after = score_after(state, rows, window=window, order=order, registry=registry, timed=counted)
+        if counted:
+            seen, mine = Observation(), lambda name: F.col("algorithm") == name
+            scored = scored.observe(
+                seen,
+                *[F.count_if(mine(name)).alias(f"scores-{name}") for name in algorithms],
+                *[F.sum(F.when(mine(name), F.col("_micros"))).alias(f"micros-{name}") for name in algorithms],
+            )
+            scored = scored.drop("_micros")
+        publish(scored, batch_id)
+        after.write.mode("overwrite").parquet(version(batch_id))
+        release(rows)
+        if counted:
+            found = seen.get
+            for name in algorithms:
+                scores = found.get(f"scores-{name}") or 0
+                counters.add("evaluations_emitted_total", scores)
+                counters.add("scores_total", scores, algorithm=name)
+                counters.add("score_micros_total", found.get(f"micros-{name}") or 0.0, algorithm=name)
+            counters.save(spark, counters_root)
         if batch_id > 1:
             delete_path(spark, version(batch_id - 2))
 

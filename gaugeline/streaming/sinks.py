@@ -10,7 +10,7 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -18,15 +18,18 @@ from gaugeline.functions.scalars import cut_to_millis, epoch_to_timestamp
 from gaugeline.functions.validity import aware_timestamp
 from gaugeline.operators.decode import (
     examine,
-    explode_snapshots,
+    examine_machines,
+    examine_snapshots,
     is_machine,
-    machine_records,
     malformed_records,
+    rejected_bodies,
+    rejected_machines,
+    snapshot_samples,
     valid_records,
 )
 from gaugeline.plans.lifecycle import append
-from gaugeline.schemas import TABLES, assert_agreement, assert_schema
-from gaugeline.session import materialise
+from gaugeline.schemas import COUNTERS_TABLE, TABLES, assert_agreement, assert_schema
+from gaugeline.session import delete_path, materialise, release
 from gaugeline.sources.streams import dead_letters, to_kafka
 from gaugeline.sources.tables import read_counters
 
@@ -106,53 +109,85 @@ def write_with_retries(
     sleep: Callable[[float], None] = time.sleep,
 ) -> None:
     """Repeat a failing write, waiting twice as long each time; the last failure is raised and fails the query."""
-    for attempt in range(1, attempts + 1):
+    for pause in [*(wait * 2**k for k in range(attempts - 1)), None]:
         try:
             return write()
         except Exception:
-            if attempt == attempts:
+            if pause is None:
                 raise
-            logger.exception("write %d of %d failed, again in %.1f s", attempt, attempts, wait)
-            sleep(wait)
-            wait *= 2
+            logger.exception("a write failed, again in %.1f s", pause)
+            sleep(pause)
 
 
-class SinkCounters:
-    """Running totals of one sink, from 0 at the start of its process; each batch appends them to `<root>/counters`."""
+class JobCounters:
+    """Running totals of one job, from 0 at the start of its process; each batch appends them to `<root>/counters`."""
 
-    def __init__(self, table: str):
-        self.table = table
-        self.totals: dict[tuple[str, str], float] = {}
+    def __init__(self, **labels: str):
+        self.labels = labels
+        self.totals: dict[tuple[str, tuple], float] = {}
 
-    def add(self, name: str, amount: float, bound: str = "") -> None:
-        self.totals[name, bound] = self.totals.get((name, bound), 0.0) + amount
+    def add(self, name: str, amount: float, **labels: str) -> None:
+        key = name, tuple(sorted((self.labels | labels).items()))
+        self.totals[key] = self.totals.get(key, 0.0) + amount
 
     def add_write(self, seconds: float) -> None:
         self.add("write_seconds_sum", seconds)
         self.add("write_seconds_count", 1)
         for bound in WRITE_SECONDS_BOUNDS:
-            self.add("write_seconds_bucket", float(seconds <= float(bound)), bound)
+            self.add("write_seconds_bucket", float(seconds <= float(bound)), le=bound)
 
     def save(self, spark: SparkSession, root: str) -> None:
-        rows = [
-            (name, {"table": self.table, "le": bound} if bound else {"table": self.table}, value)
-            for (name, bound), value in self.totals.items()
-        ]
+        rows = [(name, dict(labels), value) for (name, labels), value in self.totals.items()]
         spark.createDataFrame(rows, "name string, labels map<string,string>, value double").select(
             F.current_timestamp().alias("ts"), "name", "labels", "value"
         ).coalesce(1).write.mode("append").parquet(f"{root}/counters")
 
 
+class SinkCounters(JobCounters):
+    """The counters of the sink of one table."""
+
+    def __init__(self, table: str):
+        super().__init__(table=table)
+
+
 def job_counters(spark: SparkSession, root: str) -> DataFrame:
-    """The counters of all sinks that write to `root`."""
+    """The counters of all jobs that report to `root`."""
     return read_counters(spark, f"{root}/counters")
 
 
+def compact_counters(spark: SparkSession, root: str) -> None:
+    """Bring the counters' files, one of each batch, together; jobs may go on reporting.
+
+    Only files that were read are removed. Stopped before that, a reading stands twice, which adds nothing to an increase.
+    """
+    files = job_counters(spark, root).inputFiles()
+    read = materialise(spark.read.schema(COUNTERS_TABLE).parquet(*files), "counters")
+    read.repartitionByRange("name", "ts").sortWithinPartitions("name", "ts").write.mode("append").parquet(f"{root}/counters")
+    for file in files:
+        delete_path(spark, file)
+    release(read)
+
+
+def _counted(rows: DataFrame, label: str, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+    """The rows of a micro-batch, written to shared scratch, and what was counted on the way, in the same job."""
+    seen = Observation()
+    written = materialise(rows.observe(seen, *[F.coalesce(c, F.lit(0)).alias(name) for name, c in counts.items()]), label)
+    return written, dict.fromkeys(counts, 0) | seen.get
+
+
+def _letters_of(batch: DataFrame, root: str, table: str, batch_id: int | None) -> str:
+    """The folder of a batch's malformed records: the same for a batch that is run again."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+    name = f"batch-{batch_id}" if batch_id is not None else f"at-{time.time_ns()}"
+    return f"{root}/malformed/table={table}/query={query}/run={name}"
+
+
 def load_batch(
     batch: DataFrame,
     spec: SinkSpec,
     root: str,
     *,
+    batch_id: int | None = None,
     counters: SinkCounters | None = None,
     attempts: int = WRITE_ATTEMPTS,
     wait: float = FIRST_WAIT_SECONDS,
@@ -161,23 +196,23 @@ def load_batch(
 ) -> tuple[int, int]:
     """Load one micro-batch of `value` texts: valid rows into the table, the others into `<root>/malformed`.
 
-    Returns how many records were read and how many of them were malformed. An empty batch writes nothing.
+    A batch that is run again, after a failure between the two writes or after them, replaces its malformed records, so each is
+    kept once; the rows it adds again are hidden by reads. Returns how many records were read and how many of them were
+    malformed. An empty batch writes nothing.
     """
-    examined = examine(batch, spec.table).persist()  # a micro-batch: as large as its trigger lets it be
-    try:
-        consumed, malformed = examined.agg(F.count("*"), F.count("reason")).first()
-        started = time.perf_counter()
-        if consumed > malformed:
-            rows = spec.to_row(valid_records(examined))
-            assert_schema(rows, TABLES[spec.table])
-            sequence = round(time.time() * 1000)
-            write_with_retries(lambda: write(rows, root, spec.table, sequence, sort=False), attempts, wait, sleep)
-        seconds = time.perf_counter() - started
-        if malformed:
-            bad = malformed_records(examined).withColumn("table", F.lit(spec.table))
-            write_with_retries(lambda: bad.write.mode("append").json(f"{root}/malformed"), attempts, wait, sleep)
-    finally:
-        examined.unpersist()
+    examined, seen = _counted(examine(batch, spec.table), "batch", consumed=F.count(F.lit(1)), malformed=F.count("reason"))
+    consumed, malformed = seen["consumed"], seen["malformed"]
+    started = time.perf_counter()
+    if consumed > malformed:
+        rows = spec.to_row(valid_records(examined))
+        assert_schema(rows, TABLES[spec.table])
+        sequence = round(time.time() * 1000)
+        write_with_retries(lambda: write(rows, root, spec.table, sequence, sort=False), attempts, wait, sleep)
+    seconds = time.perf_counter() - started
+    if malformed:
+        letters, place = malformed_records(examined), _letters_of(batch, root, spec.table, batch_id)
+        write_with_retries(lambda: letters.write.mode("overwrite").json(place), attempts, wait, sleep)
+    release(examined)
     if counters is not None and consumed:
         counters.add("messages_consumed_total", consumed)
         counters.add("malformed_records_total", malformed)
@@ -206,7 +241,7 @@ def start_sink(
     counters = SinkCounters(spec.table)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        load_batch(batch, spec, root, counters=counters, attempts=attempts, wait=wait)
+        load_batch(batch, spec, root, batch_id=batch_id, counters=counters, attempts=attempts, wait=wait)
 
     writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).queryName(spec.table)
     timing = {"availableNow": True} if trigger is None else {"processingTime": trigger}
@@ -255,23 +290,67 @@ def start_collector(
     *,
     machines_topic: str = "machines",
     trigger: str | None = TRIGGER,
+    counters_root: str | None = None,
 ) -> StreamingQuery:
     """Bodies to samples on `topic`, or to records on `machines_topic` where their `kind` is `machine`; bodies that will
-    not do to the dead letters of their kind, `<topic>_dlq`. A batch is stored once in shared scratch and read for each.
+    not do to the dead letters of their kind, `<topic>_dlq`. A batch is examined once and stored in shared scratch.
 
-    `publish(records, topic)` writes key and value columns, e.g. to Kafka.
+    `publish(records, topic)` writes key and value columns, e.g. to Kafka. With `counters_root` the scrapes by outcome (a null body
+    is a failed fetch), the invalid responses and the published messages are counted, while the batch is stored, and reported there.
     """
+    counters = JobCounters()
 
     def collect(batch: DataFrame, batch_id: int) -> None:
-        bodies = materialise(batch, "bodies")
-        machine = is_machine(bodies)
-        samples, rejected = explode_snapshots(bodies.where(~machine))
-        publish(to_kafka(samples, key="machine_id"), topic)
-        publish(dead_letters(rejected), f"{topic}_dlq")
-        if "kind" in bodies.columns:
-            records, rejected = machine_records(bodies.where(machine))
-            publish(to_kafka(records, key="machine_id"), machines_topic)
-            publish(dead_letters(rejected), f"{machines_topic}_dlq")
+        machine = is_machine(batch)
+        fetched = F.count("body")
+        flawless = F.col("error").isNull()
+        examined, seen = _counted(
+            examine_snapshots(batch.where(~machine)),
+            "bodies",
+            scrapes=F.count(F.lit(1)),
+            fetched=fetched,
+            invalid=F.count("error"),
+            published=F.sum(F.when(flawless, F.size("_metrics"))),
+        )
+        stored = [examined]
+        counted = {"metrics": (topic, seen)}
+        outgoing = [
+            (to_kafka(snapshot_samples(examined), key="machine_id"), topic),
+            (dead_letters(rejected_bodies(examined)), f"{topic}_dlq"),
+        ]
+        if "kind" in batch.columns:
+            examined, seen = _counted(
+                examine_machines(batch.where(machine)),
+                "machine-bodies",
+                scrapes=F.count(F.lit(1)),
+                fetched=fetched,
+                invalid=F.count("reason"),
+                published=F.count_if(F.col("reason").isNull()),
+            )
+            stored.append(examined)
+            counted["machine"] = machines_topic, seen
+            outgoing += [
+                (to_kafka(valid_records(examined), key="machine_id"), machines_topic),
+                (dead_letters(rejected_machines(examined)), f"{machines_topic}_dlq"),
+            ]
+        scrapes = sum(seen["scrapes"] for _, seen in counted.values())
+        fetches = sum(seen["fetched"] for _, seen in counted.values())
+        try:
+            for records, place in outgoing:
+                publish(records, place)
+        except Exception:
+            counters.add("scrapes_total", fetches, outcome="publish_error")
+            if counters_root:
+                counters.save(batch.sparkSession, counters_root)
+            raise
+        release(*stored)
+        counters.add("scrapes_total", fetches, outcome="ok")
+        counters.add("scrapes_total", scrapes - fetches, outcome="fetch_error")
+        for kind, (place, seen) in counted.items():
+            counters.add("invalid_responses_total", seen["invalid"], kind=kind)
+            counters.add("messages_published_total", seen["published"], topic=place)
+        if counters_root and scrapes:
+            counters.save(batch.sparkSession, counters_root)
 
     timing = {"availableNow": True} if trigger is None else {"processingTime": trigger}
     return (

@@ -291,3 +291,67 @@ def test_counters_of_the_sinks_can_be_asked(spark, tmp_path):
     everything = (datetime(2020, 1, 1, tzinfo=UTC), datetime(2100, 1, 1, tzinfo=UTC))
     rows = ct.counter_increase(sinks.job_counters(spark, str(tmp_path)), "rows_written_total", everything, by=["table"])
     assert [tuple(r) for r in rows.collect()] == [("metrics", 7.0)]
+
+
+def test_a_batch_that_is_run_again_keeps_each_letter_once(spark, tmp_path):
+    """A failure between the two writes, and one after both: the batch comes again under its number."""
+    spec, root, failures = sinks.SINKS["metrics"], str(tmp_path), [1]
+
+    def write(*args, **kwargs):
+        sinks.append(*args, **kwargs)
+        if failures.pop():
+            raise OSError("down")
+
+    batch = texts(spark, SAMPLE, "[]", "not json")
+    with pytest.raises(OSError):
+        sinks.load_batch(batch, spec, root, batch_id=7, attempts=1, write=write)
+    for _ in range(2):
+        failures[:] = [0]
+        assert sinks.load_batch(batch, spec, root, batch_id=7, write=write) == (3, 2)
+    sinks.load_batch(texts(spark, "{}"), spec, root, batch_id=8, write=write)
+    letters = spark.read.json(f"{root}/malformed")
+    assert sorted(r["value"] for r in letters.collect()) == ["[]", "not json", "{}"]
+    assert {r["table"] for r in letters.select("table").collect()} == {"metrics"}
+    assert read_table(spark, root, "metrics", dedup=False).count() == 3 and read_table(spark, root, "metrics").count() == 1
+
+
+def test_compacted_counters_say_the_same_in_fewer_files(spark, tmp_path):
+    root, counted = str(tmp_path), sinks.JobCounters(job="x")
+    for amount in range(1, 6):
+        counted.add("things_total", amount, kind="a")
+        counted.add_write(0.2)
+        counted.save(spark, root)
+    say = lambda: sorted((r["ts"], r["name"], sorted(r["labels"].items()), r["value"]) for r in sinks.job_counters(spark, root).collect())
+    files = lambda: [f for f in os.listdir(f"{root}/counters") if f.endswith(".parquet")]
+    before = say()
+    assert len(files()) == 5
+    sinks.compact_counters(spark, root)
+    assert say() == before and len(files()) < 5
+
+
+def test_the_collector_counts_outcomes(spark, tmp_path):
+    source, root = str(tmp_path / "in"), str(tmp_path / "root")
+    good = json.dumps(SNAPSHOT)
+    rows = [("http://a/v1/metrics", good), ("http://a/v1/metrics", "<html>"), ("http://b/v1/metrics", None)]
+    spark.createDataFrame(rows, "url string, body string").write.parquet(source)
+    stream = spark.readStream.schema("url string, body string").parquet(source)
+    down = [True]
+
+    def publish(records, topic):
+        if down[0]:
+            raise OSError("no broker")
+        records.write.mode("append").parquet(str(tmp_path / topic))
+
+    run = lambda: sinks.start_collector(stream, publish, "raw", str(tmp_path / "cp"), trigger=None, counters_root=root)
+    with pytest.raises(Exception, match="no broker"):
+        run().awaitTermination()
+    down[0] = False
+    run().awaitTermination()
+    totals = {(r["name"], *sorted(r["labels"].values())): r["value"] for r in sinks.job_counters(spark, root).collect()}
+    assert totals == {
+        ("scrapes_total", "publish_error"): 2,
+        ("scrapes_total", "ok"): 2,
+        ("scrapes_total", "fetch_error"): 1,
+        ("invalid_responses_total", "metrics"): 2,
+        ("messages_published_total", "raw"): len(SNAPSHOT["metrics"]),
+    }
