@@ -9,12 +9,13 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 from datetime import UTC, datetime
+from functools import reduce
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import driver_views as views  # noqa: E402
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
@@ -224,11 +225,6 @@ def detector_costs(spark, sf_dir):
     return costs.select("algorithm", "calls", (F.col("micros") > 0).alias("timed"))
 
 
-def _twice_the_mean(window: list[float]) -> tuple[float, None, float, bool]:
-    mean = sum(window) / len(window)
-    return mean, None, 2 * mean, window[-1] > 2 * mean
-
-
 @query(
     """SELECT metric_id, machine_id, name AS metric_name, timestamp, 'double_mean' AS algorithm,
       round(list_avg(w), 6) AS baseline, NULL::double AS lower, round(2 * list_avg(w), 6) AS upper,
@@ -236,8 +232,8 @@ def _twice_the_mean(window: list[float]) -> tuple[float, None, float, bool]:
     ["windows"],
 )
 def custom_detector(spark, sf_dir):
-    """A detector of one's own, written for a single window, next to no other."""
-    own = [detectors.OneWindow("double_mean", 5, _twice_the_mean)]
+    """A detector of one's own, next to no other."""
+    own = [detectors.MeanMultiple("double_mean", 5, 2.0)]
     registry = detectors.Registry()
     for rule in detectors.DEFAULT_REGISTRY.rules:
         registry = registry.register(rule.pattern, own, rule.is_prefix)
@@ -280,6 +276,26 @@ def evaluations_live(spark, sf_dir):
     return spark.read.parquet(target)
 
 
+@query(
+    """SELECT metric_id, algorithm FROM (
+        SELECT *, row_number() OVER (PARTITION BY machine_id, name ORDER BY timestamp >= TIMESTAMP '{start}' DESC, timestamp, metric_id)
+          AS arrived FROM windows) w JOIN (VALUES ('ewma', 11), ('mad', 20)) d(algorithm, least) ON arrived >= least""".format(start=START),
+    ["windows"],
+)
+def late_samples_scored(spark, sf_dir):
+    """The newer samples arrive first, all others long after the watermark: these are scored where they arrive."""
+    source, target, progress = (scratch_path(spark, f"late-{n}") for n in ("in", "out", "progress"))
+    rows = dedup.metrics_final(views.metrics_raw(spark, sf_dir)).select("metric_id", "machine_id", "name", "timestamp", "value")
+    for newer in (True, False):
+        arriving = rows.where((F.col("timestamp") >= F.lit(START)) == newer)
+        arriving = arriving.withColumn("timestamp", F.unix_millis("timestamp") / 1000)
+        arriving.write.mode("append").parquet(source)
+        writer = score_stream(spark.readStream.schema(arriving.schema).parquet(source)).writeStream.format("parquet")
+        writer = writer.option("path", target).option("checkpointLocation", progress)
+        writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(target).select("metric_id", "algorithm")
+
+
 # Whole-series averages
 
 _STATE = "{'i': 0::bigint, 'v': v, 'average': 0.0::double, 'variance': 0.0::double}"
@@ -1046,6 +1062,52 @@ def sink_counters(spark, sf_dir):
     return totals.groupBy("name").agg(F.max_by("value", "ts").alias("total"))
 
 
+@query(
+    f"""SELECT count(*) AS rows, 0::bigint AS without_time, count(*) AS in_millis FROM samples WHERE NOT {_BAD_TEXT}""",
+    ["samples"],
+)
+def inserted_at_filled(spark, sf_dir):
+    """Rows that the sink adds carry the time of insertion, in milliseconds."""
+    root = scratch_path(spark, "inserted-root")
+    sinks.load_batch(views.sample_texts(spark, sf_dir).select("value", "partition", "offset"), sinks.SINKS["metrics"], root)
+    time = F.col("inserted_at")
+    return read_table(spark, root, "metrics", dedup=False).agg(
+        F.count("*").alias("rows"),
+        F.count_if(time.isNull()).alias("without_time"),
+        F.count_if(F.unix_micros(time) % 1000 == 0).alias("in_millis"),
+    )
+
+
+@query(
+    f"""SELECT outages, outages < 3 AS loaded, CASE WHEN outages < 3 THEN outages + 1 ELSE 3 END AS attempts,
+      CASE WHEN outages < 3 THEN (SELECT count(*) FROM samples WHERE NOT {_BAD_TEXT}) ELSE 0 END AS rows
+    FROM (VALUES (0), (1), (2), (3)) v(outages)""",
+    ["samples"],
+)
+def write_outcomes(spark, sf_dir):
+    """A batch is loaded while the table's writes fail so many times in a row; three attempts are made."""
+    texts = views.sample_texts(spark, sf_dir).select("value", "partition", "offset")
+    outcomes = []
+    for outages in range(4):
+        root, left, attempts = scratch_path(spark, f"outage-{outages}"), [None] * outages, []
+
+        def write(*args, left=left, attempts=attempts, **kwargs):
+            attempts.append(args)
+            if left:
+                left.pop()
+                raise OSError("down")
+            lifecycle.append(*args, **kwargs)
+
+        try:
+            sinks.load_batch(texts, sinks.SINKS["metrics"], root, attempts=3, wait=0.0, write=write)
+            loaded = read_table(spark, root, "metrics", dedup=False)
+        except OSError:
+            loaded = None
+        counted = loaded.agg(F.count("*").alias("rows")) if loaded is not None else spark.range(1).select(F.lit(0).cast("long").alias("rows"))
+        outcomes.append(counted.select(F.lit(outages).alias("outages"), F.lit(loaded is not None).alias("loaded"), F.lit(len(attempts)).alias("attempts"), "rows"))
+    return reduce(DataFrame.unionByName, outcomes)
+
+
 @query(
     f"""SELECT 'table=metrics' AS place, count(*) AS letters, count(DISTINCT event_id) AS records FROM samples WHERE {_BAD_TEXT}""",
     ["samples"],
@@ -1136,6 +1198,23 @@ def compacted_while_loading(spark, sf_dir):
     return read_table(spark, root, "metrics", dedup=False)
 
 
+@query("SELECT count(*) AS rows, 0::bigint AS out_of_order, true AS several_days FROM metrics", ["metrics"])
+def files_in_key_order(spark, sf_dir):
+    """Rows of the compacted table whose key is less than that of the row before in their file."""
+    root = scratch_path(spark, "ordered-files")
+    lifecycle.append(views.metrics_raw(spark, sf_dir), root, "metrics")
+    lifecycle.compact(spark, root, "metrics")
+    stored = spark.read.parquet(f"{root}/metrics")
+    key = F.struct(*dedup.METRICS_KEY)
+    placed = stored.select(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("place"), key.alias("key"), "date")
+    before = F.lag("key").over(Window.partitionBy("file").orderBy("place"))  # a file is a bounded part of a day
+    return placed.withColumn("before", before).agg(
+        F.count("*").alias("rows"),
+        F.count_if(F.col("before") > F.col("key")).alias("out_of_order"),
+        (F.count_distinct("date") > 1).alias("several_days"),
+    )
+
+
 @query(f"SELECT {_EVALUATION_COLUMNS} FROM evaluations", EVAL)
 def replay_collapses(spark, sf_dir):
     """The stored evaluations written once more: a deduplicated read does not change."""
@@ -1393,15 +1472,16 @@ def up_or_zero(spark, sf_dir):
     return answers
 
 
-# Operators on training data: there only if their subpackage is.
+# Operators on training data: there only if their subpackage is, and the libraries that it needs.
 try:
+    import corpus_pipeline
     from gaugeline.llm import queries as llm_queries
 except ModuleNotFoundError as missing:
-    if not str(missing.name).startswith("gaugeline.llm"):
+    name = str(missing.name)
+    if name.startswith("gaugeline") and not name.startswith("gaugeline.llm"):
         raise
+    print(f"without the operators on training data: {missing}", file=sys.stderr)
 else:
-    import corpus_pipeline
-
     _queries.update(llm_queries.QUERIES, pipeline=corpus_pipeline.run)
     _oracles.update(llm_queries.ORACLE_SQL)
     if corpus_pipeline.ORACLE_SQL is not None:

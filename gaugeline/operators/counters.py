@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeline.functions.scalars import bucket
-from gaugeline.operators.ordering import chunk_rows, order_rows, with_chunks
 
 Range = tuple[datetime, datetime]
 
@@ -37,24 +36,33 @@ def label_matches(key: str, pattern: str) -> Column:
 def counter_steps(
     counters: DataFrame, names: str | list[str], within: Range, labels: Column | None = None
 ) -> DataFrame:
-    """Each sample of the counters in the range with `step`, its rise since the sample before it (0 for the first)."""
+    """Each sample of the counters in the range with `step`, its rise since the sample before it (0 for the first).
+
+    Steps are taken day by day, so that no task orders a whole series; the last value of the day before, one row per series and
+    day, is joined to a day's first sample. The samples are shuffled once.
+    """
     start, end = within
     listed = [names] if isinstance(names, str) else names
     chosen = counters.where(F.col("name").isin(listed) & F.col("ts").between(F.lit(start), F.lit(end)))
     if labels is not None:
         chosen = chosen.where(labels)
     # One text per set of labels, whatever the order of the map's entries.
-    series = F.to_json(F.array_sort(F.map_entries("labels")))
-    keyed = chosen.select("name", series.alias("series"), "ts", "value", "labels")
-    ordered = order_rows(keyed, ["name", "series", "ts"])
-    chunks = with_chunks(ordered, 1, chunk_rows(counters.sparkSession, ordered.total))
-    before = F.lag("value").over(Window.partitionBy("_chunk", "name", "series").orderBy("_pos"))
+    series = F.coalesce(F.to_json(F.array_sort(F.map_entries("labels"))), F.lit(""))
+    keyed = chosen.select("name", series.alias("series"), "ts", "value", "labels", F.to_date("ts").alias("day"))
+    of_day = ["name", "series", "day"]
+    within_day = Window.partitionBy(*of_day).orderBy("ts")
+    rows = keyed.withColumn("_before", F.lag("value").over(within_day)).withColumn("_place", F.row_number().over(within_day))
+    lasts = keyed.groupBy(*of_day).agg(F.max_by("value", "ts").alias("_last"))
+    over_days = Window.partitionBy("name", "series").orderBy("day")
+    earlier = lasts.select(*of_day, F.lag("_last").over(over_days).alias("_earlier"))
+    rows = rows.join(earlier, of_day)
+    before = F.when(F.col("_place") == 1, F.col("_earlier")).otherwise(F.col("_before"))
     step = (
         F.when(before.isNull(), F.lit(0.0))
         .when(F.col("value") < before, F.col("value"))
         .otherwise(F.col("value") - before)
     )
-    return chunks.withColumn("step", step).where("_own").select("name", "series", "ts", "labels", "value", "step")
+    return rows.select("name", "series", "ts", "labels", "value", step.alias("step"))
 
 
 def _by(labels: list[str]) -> list[Column]:

@@ -230,6 +230,24 @@ class OneWindow:
         )
 
 
+@dataclass(frozen=True)
+class MeanMultiple:
+    """Flags what exceeds a multiple of its window's mean."""
+
+    name: str
+    min_points: int
+    factor: float
+    min_deviation: float = 0.0
+    min_relative: float = 0.0
+
+    def evaluate(self, windows: Windows) -> Bands:
+        total = np.zeros(len(windows))
+        for k in range(windows.width):
+            total += np.where(k < windows.lengths, windows.step(k), 0.0)
+        mean = total / windows.lengths
+        return Bands(mean, None, self.factor * mean, windows.newest() > self.factor * mean)
+
+
 @dataclass(frozen=True)
 class Rule:
     pattern: str
