@@ -3,13 +3,13 @@
 Bytes are embedded, filters of several widths slide over fixed-length windows, each filter keeps its maximum over the
 window, and a softmax over the maxima gives the languages' probabilities. A text's answer is the mean over all of its
 windows, weighted by their bytes. The network is trained in numpy on the driver, on a bounded sample of labelled
-windows (`per_language` windows of at most `MOST_LANGUAGES` languages; a text that occurs often counts once), and is a
-few thousand numbers. To apply it, embedding and filters are multiplied out into two tables over byte pairs, so that a
+windows (`per_language` windows of every language, fewer where there are so many languages that they would exceed `MOST_WINDOWS`;
+a text that occurs often counts once), and is a few thousand numbers. To apply it, embedding and filters are multiplied out into two tables over byte pairs, so that a
 filter's value at a place is the sum of two rows.
 
 Defined results: a null text or one without a letter is `und` with score 0, as is every text if nothing is labelled; a
 null doc_id is not held out and is not learned from; repeated rows are judged each; windows cover whole texts of any
-length; an empty table gives an empty result; other columns pass through.
+length; an empty table gives an empty result; input columns `lang_pred` and `score` are replaced, others pass through.
 """
 
 from __future__ import annotations
@@ -30,7 +30,8 @@ WIDTHS = (2, 3, 4)
 FILTERS = 12
 EMBEDDED = 8
 PER_LANGUAGE = 1500
-MOST_LANGUAGES = 200
+MOST_WINDOWS = 300_000
+LEAST_WINDOWS = 8
 EPOCHS = 6
 #: Windows computed at a time.
 BLOCK = 128
@@ -132,9 +133,15 @@ def train(texts: list[bytes], labels: list[str], seed: int = 7) -> Network:
                 square += 0.001 * (g * g - square)
                 size = 0.01 / (1 + step / 400)
                 weights[name] -= size * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
-    by_byte = np.einsum("be,kef->kbf", weights["embed"], weights["filter"])
-    pair = lambda i: (by_byte[i][:, None] + by_byte[i + 1][None]).reshape(65536, filters).astype(np.float32)
-    return Network(languages, pair(0), pair(2), weights["dense"].astype(np.float32), weights["bias"].astype(np.float32))
+    first, second = pair_tables(weights["embed"], weights["filter"])
+    return Network(languages, first, second, weights["dense"].astype(np.float32), weights["bias"].astype(np.float32))
+
+
+def pair_tables(embed: np.ndarray, filters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What a pair of bytes adds to each filter (four places, embedding, filter) as its first two and as its last two."""
+    by_byte = np.einsum("be,kef->kbf", embed, filters)
+    first, second = (by_byte[i][:, None] + by_byte[i + 1][None] for i in (0, 2))
+    return tuple(t.reshape(65536, -1).astype(np.float32) for t in (first, second))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -151,10 +158,11 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Network | None:
     known = known.filter(~held_out() & readable())
     low = utf8("_low")
     hashed = known.withColumn("_low", F.lower("text")).withColumn("_hash", F.xxhash64("_low"))
-    texts_of = hashed.groupBy("lang", "_hash").count().groupBy("lang").agg(F.sum("count").alias("count"), F.count("*").alias("texts"))
-    counts = texts_of.orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    texts_of = hashed.select("lang", "_hash").distinct().groupBy("lang").agg(F.count("*").alias("texts"))
+    counts = texts_of.collect()  # a row per language
     if not counts:
         return None
+    per_language = min(per_language, max(LEAST_WINDOWS, MOST_WINDOWS // len(counts)))
     # A text is drawn by its hash, with twice the chance needed among the different texts of its language, and gives a
     # window from a place drawn likewise.
     share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, 2 * per_language / r["texts"]))])

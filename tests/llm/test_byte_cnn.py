@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -35,14 +36,39 @@ def test_held_out_accuracy(docs, network):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
-def test_pair_tables_equal_the_convolution():
+def test_probabilities_equal_a_plain_convolution():
+    """Embedding, filters of each width at every place, maximum, softmax, and the mean over windows, step by step."""
     rng = np.random.default_rng(0)
-    texts = [bytes(rng.integers(97, 123, 300, dtype=np.uint8)) for _ in range(40)]
-    network = byte_cnn.train(texts, ["x", "y"] * 20)
-    whole = network.judge(texts)
-    alone = [network.judge([t]) for t in texts]
-    assert np.array_equal(whole[0], np.concatenate([a[0] for a in alone]))
-    assert np.allclose(whole[1], np.concatenate([a[1] for a in alone]), atol=1e-6)
+    n, widest = byte_cnn.FILTERS * len(byte_cnn.WIDTHS), max(byte_cnn.WIDTHS)
+    embed, filters = rng.normal(size=(256, byte_cnn.EMBEDDED)), rng.normal(size=(widest, byte_cnn.EMBEDDED, n))
+    for f, width in enumerate(np.repeat(byte_cnn.WIDTHS, byte_cnn.FILTERS)):
+        filters[width:, :, f] = 0
+    dense, bias = rng.normal(0, 0.1, (n, 3)), rng.normal(size=3)
+    network = byte_cnn.Network(["x", "y", "z"], *byte_cnn.pair_tables(embed, filters), dense, bias)
+    for text_ in (b"a", b"short text", bytes(rng.integers(97, 123, 700, dtype=np.uint8))):
+        windows, sizes = byte_cnn._windows(text_)
+        total = np.zeros(3)
+        for window, size in zip(windows, sizes, strict=True):
+            rows = [embed[b] for b in window]
+            tops = []
+            for f in range(n):
+                places = range(len(rows) - widest + 1)
+                tops.append(max(0.0, max(sum(rows[at + i] @ filters[i, :, f] for i in range(widest)) for at in places)))
+            odds = np.exp(np.array(tops) @ dense + bias)
+            total += size * odds / odds.sum()
+        best, score = network.judge([text_, b"other"])
+        assert best[0] == total.argmax() and score[0] == pytest.approx(total.max() / total.sum(), abs=1e-4)
+
+
+def test_no_language_is_left_out_for_their_number(spark, monkeypatch):
+    monkeypatch.setattr(byte_cnn, "MOST_WINDOWS", 1000)
+    rows = [(f"{lang} letters {i} {'x' * (i % 7)}", f"l{lang}") for lang in range(250) for i in range(20)]
+    frame = spark.createDataFrame([(i, t, lang, "x", 1) for i, (t, lang) in enumerate(rows)], DOCS)
+    seen = []
+    monkeypatch.setattr(byte_cnn, "train", lambda texts, labels: seen.append(labels))
+    byte_cnn.fit(frame)
+    counts = Counter(seen[0])
+    assert len(counts) == 250 and max(counts.values()) == byte_cnn.LEAST_WINDOWS
 
 
 def test_windows_cover_whole_texts():
