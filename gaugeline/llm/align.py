@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from gaugeline.llm.common import RollingHash, mix, own
 
@@ -250,8 +251,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, n: int =
     """`docs` with `leaks`: an array of (item_id, similarity, end_word) for each test item that a text holds a copy of."""
     kind = f"array<struct<item_id:{benchmark.schema['item_id'].dataType.simpleString()},similarity:double,end_word:bigint>>"
     found, names = docs, []
-    item_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
-    item_type = item_type[benchmark.schema["item_id"].dataType.simpleString()]
+    item_type = to_arrow_type(benchmark.schema["item_id"].dataType)
     for number, block in enumerate(blocks(benchmark, n, block_words)):
         shared = docs.sparkSession.sparkContext.broadcast(rarest(docs, block, n, share))
         name = f"_llm_leaks{number}"

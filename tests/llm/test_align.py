@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import datetime
+
 import numpy as np
 import pytest
 
@@ -132,3 +134,12 @@ def test_short_and_unspaced_items(spark):
 def test_words_of_scripts_without_spaces():
     _, counts = align.words(["天地ab玄".encode(), "a天".encode(), "天。地".encode(), "été слово".encode(), "𠀀กx".encode()])
     assert counts.tolist() == [4, 2, 2, 2, 3]
+
+
+def test_item_ids_of_any_kind(spark):
+    text = "the quick brown fox jumps over the lazy dog near the old river bank today"
+    docs = spark.createDataFrame([(1, f"before {text} after")], "doc_id long, text string")
+    for kind, id_ in (("double", 1.5), ("short", 3), ("date", datetime.date(2024, 1, 2)), ("string", "x")):
+        items = spark.createDataFrame([(id_, text)], f"item_id {kind}, text string")
+        ((row,),) = (r["leaks"] for r in align.leaks(docs, items).collect())
+        assert row["item_id"] == id_ and row["similarity"] == 1.0
