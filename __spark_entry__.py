@@ -23,10 +23,10 @@ from gaugeline.functions import scalars, validity  # noqa: E402
 from gaugeline.operators import counters as ct  # noqa: E402
 from gaugeline.operators import decode as dc  # noqa: E402
 from gaugeline.operators import dedup, detectors, scoring, trajectory  # noqa: E402
-from gaugeline.plans import checks, lifecycle, panels  # noqa: E402
+from gaugeline.plans import checks, lifecycle, panels, sketches  # noqa: E402
 from gaugeline.session import scratch_path  # noqa: E402
 from gaugeline.sources import streams as src  # noqa: E402
-from gaugeline.sources.tables import read_counters, read_table  # noqa: E402
+from gaugeline.sources.tables import open_tables, read_counters, read_table  # noqa: E402
 from gaugeline.streaming import sinks  # noqa: E402
 from gaugeline.streaming.scoring import score_stream, start_bulk_scoring  # noqa: E402
 
@@ -1215,6 +1215,88 @@ def files_in_key_order(spark, sf_dir):
     )
 
 
+@query(
+    f"""SELECT {_METRIC_COLUMNS}, CASE WHEN right(metric_id, 1) < '8' THEN 'as it is' ELSE 'merged' END AS read
+    FROM metrics""",
+    ["metrics"],
+)
+def settled_reads(spark, sf_dir):
+    """A table of which the days of some rows are compacted and others are not; every row once, and how its day was read."""
+    root, raw = scratch_path(spark, "settled"), views.metrics_raw(spark, sf_dir)
+    settled = F.expr("right(metric_id, 1) < '8'")
+    for part, folder in ((raw.where(settled), "one"), (raw.where(~settled), "two")):
+        lifecycle.append(part, f"{root}/{folder}", "metrics")
+    lifecycle.compact(spark, f"{root}/one", "metrics")
+    one, two = (read_table(spark, f"{root}/{folder}", "metrics") for folder in ("one", "two"))
+    return one.withColumn("read", F.lit("as it is")).unionByName(two.withColumn("read", F.lit("merged")))
+
+
+def _with_states(spark: SparkSession, sf_dir: str) -> str:
+    """The stored samples with states of all days, and rows that have come to the later days since."""
+    root, raw = scratch_path(spark, "states"), views.metrics_raw(spark, sf_dir)
+    lifecycle.create_tables(spark, root, register=False)
+    late = F.expr("right(metric_id, 1) >= 'c'") & (F.col("timestamp") >= F.lit(START))
+    lifecycle.append(raw.where(~late), root, "metrics")
+    lifecycle.compact(spark, root, "metrics")
+    sketches.store_states(spark, root)
+    lifecycle.append(raw.where(late), root, "metrics")  # these days are read again, as rows
+    return root
+
+
+def _near(values: DataFrame, found: DataFrame, keys: list[str], p: float, name: str) -> DataFrame:
+    """Whether a quantile's rank is off by at most twice the stated error."""
+    both = values.join(found, keys).groupBy(*keys)
+    shares = both.agg(
+        (F.count_if(F.col("value") < F.col(name)) / F.count("value")).alias("below"),
+        (F.count_if(F.col("value") <= F.col(name)) / F.count("value")).alias("upto"),
+        (F.lit(2 * sketches.RANK_ERROR) + 1 / F.count("value")).alias("slack"),
+    )
+    near = (F.col("below") <= p + F.col("slack")) & (F.col("upto") >= p - F.col("slack"))
+    return shares.select(*keys, near.alias(f"{name}_near"))
+
+
+@query(
+    f"""SELECT {_ALL}, round(arg_max(value, (timestamp, metric_id)), 6) AS latest, round(min(value), 6) AS min,
+      round(avg(value), 6) AS mean, round(max(value), 6) AS max, count(*) AS samples, true AS p95_near
+    FROM metrics GROUP BY {_ALL}""",
+    ["metrics"],
+)
+def series_summary_states(spark, sf_dir):
+    """The summary of every series from stored states and rows of unsettled days, and whether the quantile's rank is near."""
+    root, keys = _with_states(spark, sf_dir), ["machine_id", "name"]
+    found = sketches.series_summary(spark, root).drop("avg_interval")
+    near = _near(read_table(spark, root, "metrics"), found.select(*keys, "p95"), keys, 0.95, "p95")
+    return found.drop("p95").join(near, keys)
+
+
+@query(
+    """SELECT time, count(*) AS samples, true AS p50_near, true AS p95_near FROM (
+      SELECT date_trunc('minute', inserted_at) AS time, (epoch_ms(inserted_at) - epoch_ms(timestamp)) / 1000 AS delay
+      FROM metrics) WHERE delay < 3600 GROUP BY time""",
+    ["metrics"],
+)
+def ingest_delay_states(spark, sf_dir):
+    """Delays per minute of insertion from stored states, of samples whose replays are collapsed, and whether ranks are near."""
+    root = _with_states(spark, sf_dir)
+    lifecycle.compact(spark, root, "metrics")
+    found = sketches.ingest_delay(spark, root)
+    values = sketches.delays(open_tables(spark, root).metrics)
+    near50, near95 = (_near(values, found.select("time", c), ["time"], p, c) for c, p in (("p50", 0.5), ("p95", 0.95)))
+    return found.select("time", "samples").join(near50, "time").join(near95, "time")
+
+
+@query(
+    f"""SELECT {_METRIC_COLUMNS} FROM metrics
+    WHERE metric_id IN (SELECT DISTINCT metric_id FROM metrics ORDER BY metric_id LIMIT 10)""",
+    ["metrics"],
+)
+def samples_by_id(spark, sf_dir):
+    """A lookup of ten ids."""
+    t = views.tables(spark, sf_dir)
+    wanted = t.metrics.select("metric_id").distinct().orderBy("metric_id").limit(10).collect()
+    return panels.samples_by_id(t, [r["metric_id"] for r in wanted])
+
+
 @query(f"SELECT {_EVALUATION_COLUMNS} FROM evaluations", EVAL)
 def replay_collapses(spark, sf_dir):
     """The stored evaluations written once more: a deduplicated read does not change."""

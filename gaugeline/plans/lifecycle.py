@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -10,10 +11,17 @@ from pyspark.sql import functions as F
 
 from gaugeline.operators.dedup import KEYS, VERSIONS, final
 from gaugeline.schemas import INSERT_SEQ, DAILY, TABLES, stored_schema
-from gaugeline.session import delete_path, file_system, materialise
+from gaugeline.session import delete_path, file_system, materialise, release
+from gaugeline.sources.tables import COMPACTED, settled_days
 
 RETENTION_HOURS = 24
 
+#: Bloom filters on the sample's id: files are in order of series and time, so statistics cannot find an id.
+BLOOM = {
+    "parquet.bloom.filter.enabled#metric_id": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+}
+
 
 def create_tables(spark: SparkSession, root: str, register: bool = True) -> None:
     """Make the table folders and, unless told not to, name them in the session's catalog."""
@@ -69,7 +77,7 @@ def append(rows: DataFrame, root: str, table: str, insert_seq: int = 0, sort: bo
         stored = stored.hint("rebalance", F.col("date"))
     writer = stored.write.mode("append")
     if table in DAILY:
-        writer = writer.partitionBy("date")
+        writer = writer.options(**BLOOM).partitionBy("date")
     writer.parquet(f"{root}/{table}")
 
 
@@ -87,18 +95,26 @@ class Compaction:
 
         Rows that a sink has added meanwhile lie in files that were not read, so they stay. Stopped in between, the
         table holds rows twice, which deduplicated reads hide and the next compaction collapses; nothing is ever lost.
+
+        The new files carry the compaction in their names: a day that holds files of one compaction alone has no
+        replays (`settled_days`). The files read go only after all new ones are there, so such a day is complete.
         """
         spark = self.rows.sparkSession
         writer = _sorted_by_key(self.rows, self.table).write.mode("append")
+        writer = writer.option("mapreduce.output.basename", f"{COMPACTED}{uuid.uuid4().hex}")
         if self.table in DAILY:
-            writer = writer.partitionBy("date")
+            writer = writer.options(**BLOOM).partitionBy("date")
         writer.parquet(f"{self.root}/{self.table}")
         for file in self.files:
             delete_path(spark, file)
+        release(self.rows)
 
 
 def prepare_compaction(spark: SparkSession, root: str, table: str, days: list[date] | None = None) -> Compaction | None:
-    """Collapse the replays of the given days into scratch, reading only the files there are now; None without any."""
+    """Collapse the replays of the given days into scratch, reading only the files there are now.
+
+    Days that only hold files of one earlier compaction are left alone; None if that leaves nothing.
+    """
     source = f"{root}/{table}"
     stored = spark.read.schema(stored_schema(table)).parquet(source)
     if days is not None and table in DAILY:
@@ -107,6 +123,8 @@ def prepare_compaction(spark: SparkSession, root: str, table: str, days: list[da
     if table in DAILY and days is not None:
         wanted = {f"date={d}" for d in days}
         files = [f for f in files if f.rsplit("/", 2)[1] in wanted]
+    settled = settled_days(files)
+    files = [f for f in files if f.rsplit("/", 2)[1] not in settled]
     if not files:
         return None
     read = spark.read.schema(stored_schema(table)).option("basePath", source).parquet(*files)

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from gaugeline.functions.scalars import bucket, joined_names, label, readable_size, seconds_between
 from gaugeline.operators.quantiles import exact_quantiles
-from gaugeline.sources.tables import Range, Tables
+from gaugeline.schemas import INSERT_SEQ
+from gaugeline.sources.tables import Range, Tables, without_replays
 
 Series = tuple[str, str]
 
@@ -19,6 +20,8 @@ Series = tuple[str, str]
 HISTOGRAM_BUCKETS = 30
 LIVE_SECONDS = 3_600
 
+HISTOGRAM_SLICES = 64
+
 
 KEYS = ("machine_id", "name")
 SAMPLE_KEY = ("machine_id", "name", "timestamp", "metric_id")
@@ -119,13 +122,16 @@ def value_histogram(
 ) -> DataFrame:
     """Counts in `buckets` equal steps from a series' smallest to its largest value; flat data fills the first only."""
     values = _samples(t, series, within).groupBy(*KEYS, "value").agg(F.count("*").alias("copies"))
+    values = values.withColumn("slice", F.pmod(F.xxhash64("value"), F.lit(HISTOGRAM_SLICES)))
     bounds = values.groupBy(*KEYS).agg(
         F.min("value").alias("low"), ((F.max("value") - F.min("value")) / F.lit(buckets)).alias("width")
     )
+    # One series may be most of the values: they meet its bounds in slices, not in one task.
+    bounds = bounds.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(HISTOGRAM_SLICES - 1).cast("long"))))
     place = F.least(F.lit(buckets), F.floor((F.col("value") - F.col("low")) / F.col("width")).cast("int") + 1)
     shown = _shown(series)
     return (
-        values.join(bounds, list(KEYS))
+        values.join(bounds, [*KEYS, "slice"])
         .withColumn("bucket", F.when(F.col("width") > 0, place).otherwise(F.lit(1)))
         .groupBy(*KEYS, "bucket", "low", "width")
         .agg(F.sum("copies").alias("samples"))
@@ -154,6 +160,12 @@ def latest_value(t: Tables, series: Series | None = None, within: Range | None =
     return _samples(t, series, within).groupBy(*_shown(series)).agg(_latest("value").alias("latest"))
 
 
+def samples_by_id(t: Tables, ids: list[str]) -> DataFrame:
+    """The samples with these ids. Bloom filters skip the row groups that hold none of them."""
+    found = t.metrics.where(F.col("metric_id").isin(list(ids)))
+    return without_replays(found, "metrics", t.settled.get("metrics", {})).drop(INSERT_SEQ, "date")
+
+
 # Anomalies
 
 

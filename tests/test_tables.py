@@ -257,3 +257,79 @@ def test_panels_join_where_the_collapse_has_put_the_rows(spark, tmp_path, panel,
         assert _exchanges(frame) == (shuffles, 2)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_settled_days_are_read_without_a_shuffle(spark, root):
+    lifecycle.append(metrics(spark, SAMPLES), root, "metrics")
+    lifecycle.append(machines(spark, [("m1", "old", 1), ("m1", "new", 9)]), root, "machines")
+    lifecycle.create_tables(spark, root, register=False)
+    before = sorted(map(str, read_table(spark, root, "metrics").collect()))
+    lifecycle.compact(spark, root, "metrics", [date(2024, 3, 1)])
+    lifecycle.compact(spark, root, "machines")
+    t = open_tables(spark, root)
+    assert set(t.settled["metrics"]) == {"date=2024-03-01"} and set(t.settled["machines"]) == {"machines"}
+    first_day = t.final("metrics", (DAY, DAY + timedelta(hours=1)))
+    assert "Exchange" not in _plan(read_table(spark, root, "machines"))
+    assert sorted(map(str, t.final("metrics").collect())) == before
+    assert first_day.count() == 2
+    lifecycle.compact(spark, root, "metrics")
+    assert sorted(map(str, read_table(spark, root, "metrics").collect())) == before
+    assert set(open_tables(spark, root).settled["metrics"]) == {"date=2024-03-01", "date=2024-03-02"}
+    lifecycle.append(metrics(spark, SAMPLES[2:3]), root, "metrics", insert_seq=1)  # a replay unsettles its day
+    assert set(open_tables(spark, root).settled["metrics"]) == {"date=2024-03-02"}
+    assert sorted(map(str, read_table(spark, root, "metrics").collect())) == before
+
+
+def test_compaction_leaves_settled_days_alone(spark, root):
+    lifecycle.append(metrics(spark, SAMPLES), root, "metrics")
+    lifecycle.compact(spark, root, "metrics")
+    files = {f for _, _, names in os.walk(root) for f in names}
+    assert lifecycle.prepare_compaction(spark, root, "metrics") is None
+    lifecycle.append(metrics(spark, SAMPLES[2:3]), root, "metrics", insert_seq=1)
+    prepared = lifecycle.prepare_compaction(spark, root, "metrics")
+    assert {f.rsplit("/", 2)[1] for f in prepared.files} == {"date=2024-03-01"}
+    prepared.swap()
+    assert {f for _, _, names in os.walk(f"{root}/metrics/date=2024-03-02") for f in names} <= files
+    assert read_table(spark, root, "metrics", dedup=False).count() == 4
+
+
+def test_rows_without_a_time_are_kept_beside_settled_days(spark, root):
+    timeless = metrics(spark, SAMPLES[:1]).withColumn("timestamp", F.lit(None).cast("timestamp"))
+    lifecycle.append(metrics(spark, SAMPLES).unionByName(timeless), root, "metrics")
+    before = sorted(map(str, read_table(spark, root, "metrics").collect()))
+    assert len(before) == 5
+    lifecycle.compact(spark, root, "metrics")
+    assert sorted(map(str, read_table(spark, root, "metrics").collect())) == before
+
+
+def test_ids_are_found_in_few_row_groups(spark, root):
+    rows = spark.range(0, 200_000, 1, 8).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("metric_id"),
+        F.concat(F.lit("m"), F.col("id") % 40).alias("machine_id"),
+        F.lit("cpu").alias("name"),
+        (F.lit(DAY).cast("timestamp") + F.make_dt_interval(secs=F.col("id") / 10)).alias("timestamp"),
+        F.lit("gauge").alias("type"), F.lit("%").alias("unit"), F.col("id").cast("double").alias("value"),
+        F.expr("map('k', '1')").alias("attributes"), F.lit(DAY).cast("timestamp").alias("inserted_at"),
+    )
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 5_000)
+    try:
+        lifecycle.append(rows, root, "metrics")
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    lifecycle.create_tables(spark, root, register=False)
+    wanted = [r["metric_id"] for r in rows.where("id % 66667 = 3").select("metric_id").collect()]
+    t = open_tables(spark, root)
+    spark.sparkContext.setJobGroup("lookup", "lookup")
+    try:
+        found = panels.samples_by_id(t, wanted).collect()
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    assert sorted(r["metric_id"] for r in found) == sorted(wanted) and len(wanted) == 3
+    status, store = spark.sparkContext.statusTracker(), spark.sparkContext._jsc.sc().statusStore()
+    stages = {s for job in status.getJobIdsForGroup("lookup") for s in status.getJobInfo(job).stageIds}
+    read = sum(store.lastStageAttempt(s).inputRecords() for s in stages)
+    assert 3 <= read <= 40_000  # three files of 5,000 rows, and what the filters let through by mistake
