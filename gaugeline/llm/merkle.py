@@ -16,7 +16,7 @@ every record missing; two empty tables give an empty result; other columns are i
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeline.llm.common import own, stored
@@ -25,11 +25,22 @@ LEAF_BYTES = 65_536
 FANOUT = 16
 
 
+def fingerprint(content: Column) -> tuple[Column, Column]:
+    """Length and hash of a content; null counts as empty."""
+    known = F.coalesce(content, F.lit("").cast("binary"))
+    return F.length(known).cast("long"), F.sha2(known, 256)
+
+
 def _digests(records: DataFrame, side: int, keep: tuple[str, ...]) -> DataFrame:
     """A row per (archive, offset) with one hash for what stands there."""
-    content = F.coalesce("content", F.lit("").cast("binary"))
-    text = F.concat_ws(":", F.coalesce(F.col("offset"), F.lit(-1)), F.length(content), F.sha2(content, 256))
-    hashed = own(records, "archive", "offset", "content", *keep).withColumn("digest", F.sha2(text.cast("binary"), 256))
+    if "content" in records.columns:
+        rows = own(records, "archive", "offset", "content", *keep)
+        length, sha = fingerprint(F.col("content"))
+        rows = rows.select("archive", "offset", *keep, length.alias("length"), sha.alias("sha"))
+    else:
+        rows = own(records, "archive", "offset", *keep, "length", "sha")
+    text = F.concat_ws(":", F.coalesce(F.col("offset"), F.lit(-1)), "length", "sha")
+    hashed = rows.withColumn("digest", F.sha2(text.cast("binary"), 256))
     parts = [F.conv(F.substring("digest", 16 * k + 1, 16), 16, 10).cast("decimal(20,0)") for k in range(4)]
     sums = [F.sum(part.cast("decimal(28,0)")).alias(f"sum{k}") for k, part in enumerate(parts)]
     summed = hashed.groupBy("archive", "offset").agg(
@@ -62,7 +73,10 @@ def _below(level: DataFrame, differing: DataFrame, node) -> DataFrame:
 
 def audit(primary: DataFrame, replica: DataFrame, keep: tuple[str, ...] = (), leaf_bytes: int = LEAF_BYTES,
           fanout: int = FANOUT) -> DataFrame:
-    """A row per record (archive, offset) that is `changed`, `missing` from the replica or `extra` there."""
+    """A row per record (archive, offset) that is `changed`, `missing` from the replica or `extra` there.
+
+    Records have a `content`, or the `length` and `sha` that `fingerprint` makes of it.
+    """
     sides = _digests(primary, 0, keep).unionByName(_digests(replica, 1, keep))
     records = stored(sides, "record-digests")
     leaf = F.floor(F.col("offset") / leaf_bytes)
@@ -86,8 +100,8 @@ def audit(primary: DataFrame, replica: DataFrame, keep: tuple[str, ...] = (), le
 PAGES_PER_ARCHIVE = 500
 
 
-def archived(pages: DataFrame) -> DataFrame:
-    """Pages as response records of archive files of 500 page ids each, in order of id; ids name the file, null ids by content."""
+def as_records(pages: DataFrame) -> DataFrame:
+    """Pages as response records of archive files of 500 page ids each; ids name the file, null ids by content."""
     html = F.coalesce("html", F.lit(""))
     head = F.concat(
         F.lit("WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: "), F.coalesce("url", F.lit("")),
@@ -96,22 +110,40 @@ def archived(pages: DataFrame) -> DataFrame:
     content = F.concat(head, html, F.lit("\r\n\r\n")).cast("binary")
     by_content = -1 - F.pmod(F.xxhash64("url", "html"), F.lit(1 << 40))
     archive = F.coalesce(F.floor(F.col("page_id") / PAGES_PER_ARCHIVE), by_content)
-    rows = own(pages, "page_id", "url", "html").select("page_id", archive.alias("archive"), content.alias("content"))
-    before = Window.partitionBy("archive").orderBy("page_id", F.xxhash64("content"))
-    before = before.rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("offset", F.coalesce(F.sum(F.length("content").cast("long")).over(before), F.lit(0).cast("long")))
+    return own(pages, "page_id", "url", "html").select("page_id", archive.alias("archive"), content.alias("content"))
+
 
+def placed(records: DataFrame) -> DataFrame:
+    """Records with the `offset` at which each begins in its archive, in order of id, from their `length` and `sha`."""
+    before = Window.partitionBy("archive").orderBy("page_id", "sha").rowsBetween(Window.unboundedPreceding, -1)
+    return records.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0).cast("long")))
 
-def damaged_copy(records: DataFrame) -> DataFrame:
-    """A replica with known faults, by page id: a changed last byte, a record cut in half, a record lost."""
+
+def archived(pages: DataFrame) -> DataFrame:
+    """Pages as records with their content and offset, to be written as archives."""
+    records = as_records(pages)
+    length, sha = fingerprint(F.col("content"))
+    return placed(records.withColumns({"length": length, "sha": sha})).drop("length", "sha")
+
+
+def with_damaged_copy(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The records of pages, and a replica with known faults, by page id: a changed last byte, a record cut in half, a
+    record lost. Contents are read and hashed once, for both; only lengths and hashes are shuffled."""
     size = F.length("content")
     content = F.when(F.col("page_id") % 97 == 5, F.concat(F.substring("content", F.lit(1), size - 1), F.lit("X").cast("binary")))
     content = content.when(F.col("page_id") % 389 == 11, F.substring("content", F.lit(1), F.floor(size / 2).cast("int")))
-    kept = records.filter(F.coalesce(F.col("page_id") % 211 != 7, F.lit(True)))
-    return kept.withColumn("content", content.otherwise(F.col("content")))
+    length, sha = fingerprint(F.col("content"))
+    copied_length, copied_sha = fingerprint(content.otherwise(F.col("content")))
+    measured = as_records(pages).select(
+        "page_id", "archive", length.alias("length"), sha.alias("sha"), copied_length.alias("copied_length"), copied_sha.alias("copied_sha")
+    )
+    both = stored(placed(measured), "archive-index")
+    kept = both.filter(F.coalesce(F.col("page_id") % 211 != 7, F.lit(True)))
+    replica = kept.select("page_id", "archive", "offset", F.col("copied_length").alias("length"), F.col("copied_sha").alias("sha"))
+    return both.drop("copied_length", "copied_sha"), replica
 
 
-#: What the audit of `damaged_copy` must find, by comparing all records, in DuckDB.
+#: What the audit of `with_damaged_copy` must find, by comparing all records, in DuckDB.
 SQL = f"""
 WITH r AS (SELECT page_id, page_id // {PAGES_PER_ARCHIVE} AS archive,
     octet_length(encode('WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10)

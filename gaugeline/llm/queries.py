@@ -24,8 +24,7 @@ def op1_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = merkle.archived(table(spark, sf_dir, "pages"))
-    return merkle.audit(records, merkle.damaged_copy(records), keep=("page_id",))
+    return merkle.audit(*merkle.with_damaged_copy(table(spark, sf_dir, "pages")), keep=("page_id",))
 
 
 def op3_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:

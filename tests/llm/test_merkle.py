@@ -75,3 +75,23 @@ def test_change_among_many_records_at_one_place(spark, place):
         assert run(spark, primary, replica, leaf_bytes=100, fanout=3) == [(*place, "changed")]
     swapped = [*records(2), *many[:-2], many[0], many[1]]  # as many records, two of them twice
     assert run(spark, primary, swapped, leaf_bytes=100, fanout=3) == [(*place, "changed")]
+
+
+def test_long_content_and_fingerprints_in_its_place(spark):
+    long = b"0123456789" * 2_000_000
+    primary = [(0, 0, long), (0, len(long), b"after"), (1, 0, None)]
+    replica = [(0, 0, long[:-1] + b"x"), (0, len(long), b"after"), (1, 0, b"")]
+    assert run(spark, primary, replica) == [(0, 0, "changed")]
+    frames = [spark.createDataFrame([(*r, "clash", 1) for r in rows], RECORDS) for rows in (primary, replica)]
+    length, sha = merkle.fingerprint(F.col("content"))
+    short = [f.select("archive", "offset", length.alias("length"), sha.alias("sha"), "node") for f in frames]
+    assert [tuple(r) for r in merkle.audit(*short).collect()] == [(0, 0, "changed")]
+
+
+def test_damaged_copy_is_found_and_nothing_else(spark):
+    rows = [(i, f"http://h/{i}", "word " * (i % 9)) for i in range(900)] + [(None, None, None), (None, "u", "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    found = {r["page_id"]: r["status"] for r in merkle.audit(*merkle.with_damaged_copy(pages), keep=("page_id",)).collect()}
+    lost = {i: "missing" for i in range(900) if i % 211 == 7}
+    changed = {i: "changed" for i in range(900) if i % 97 == 5 or i % 389 == 11}
+    assert found == changed | lost
