@@ -1,38 +1,42 @@
 """Quality classification by co-training.
 
 Two logistic classifiers see different views of a document: one its text (shares of bytes and byte pairs), one its
-metadata (source, language, length). In each round both are fitted, and each hands the documents of an unlabelled pool
-of which it is sure to the other as labelled ones; what a view cannot tell it therefore learns from the other view. At
-last both are calibrated on labelled documents kept aside, and their log-odds are added, less the prior that both hold.
-
-Fitting takes a bounded sample: at most `labelled` labelled documents and `pool` others, drawn by a hash of their id,
-whose features (2 KB each, computed in the tasks) go to the driver. Scoring covers every document with its whole text
-in one pass without a shuffle.
-
-Defined results: null text and null metadata are values of their own; documents listed twice are scored each, and a
-document labelled twice counts with its best label; null ids are scored but not learned from; without labels all scores
-are one half; an empty table gives an empty result; other columns pass through.
+metadata (source, language, length). In each round both are fitted, and each hands unlabelled documents of which it is
+sure to the other as labelled ones; what a view cannot tell it therefore learns from the other view. At last both are
+calibrated on labelled documents kept aside, and their log-odds are added, less the prior that both hold.
+
+Fitting takes at most `labelled` labelled documents, drawn by a hash of their id (features of 2 KB each, computed in the
+tasks, go to the driver). Pseudo-labels come from all other documents: every round is a Spark pass without a shuffle of
+texts, in which each task keeps, for each view, class and group of metadata (source and language, by hash), the few
+documents that the view is surest of, each text once; a small shuffle then picks `quota` of each over all tasks. Their
+number is bounded by the groups and not by the corpus, so that a rare source gets its pseudo-labels however large
+the corpus is. Scoring covers every document with its whole text in one pass without a shuffle.
+
+Defined results: null text and null metadata are values of their own; documents listed twice are scored each, and handed
+on once; a document labelled twice counts with its best label; one with a label that was not drawn counts as unlabelled;
+null ids are scored but not learned from; without labels all scores are one half; an empty table gives an empty result;
+other columns pass through.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeline.llm.common import own
 
 LABELLED = 4000
-POOL = 4000
 ROUNDS = 4
-#: A view hands on what it holds for at least so sure, and so many of each class in a round.
+#: A view hands on what it holds for at least so sure, in a round so many of each class and group of metadata.
 SURE = 0.95
-HANDED = 200
+QUOTA = 4
+GROUPS = 128
 
 PAIRS = 384
 TEXT_SIZE = 129 + PAIRS
@@ -100,35 +104,83 @@ class Model:
         return _sigmoid(np.stack([*odds, odds[0] + odds[1] - self.prior], axis=1))
 
 
-def cotrain(text: np.ndarray, meta: np.ndarray, label: np.ndarray, pool_text: np.ndarray, pool_meta: np.ndarray,
+@dataclass
+class Handed:
+    """Documents that the views are sure of: their keys, both views, and a slot for the view, class and group."""
+
+    key: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    text: np.ndarray = field(default_factory=lambda: np.zeros((0, TEXT_SIZE), np.float32))
+    meta: np.ndarray = field(default_factory=lambda: np.zeros((0, META_SIZE), np.float32))
+    slot: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    sure: np.ndarray = field(default_factory=lambda: np.zeros(0))
+
+    def at(self, rows: np.ndarray) -> Handed:
+        return Handed(self.key[rows], self.text[rows], self.meta[rows], self.slot[rows], self.sure[rows])
+
+    def with_rows(self, other: Handed) -> Handed:
+        pairs = zip(vars(self).values(), vars(other).values(), strict=True)
+        return Handed(*[np.concatenate(pair) for pair in pairs])
+
+    def view(self) -> np.ndarray:
+        """The view that is sure: 0 the text, 1 the metadata."""
+        return self.slot // (2 * GROUPS)
+
+    def label(self) -> np.ndarray:
+        return (self.slot // GROUPS % 2).astype(float)
+
+    def surest(self, quota: int) -> Handed:
+        """The `quota` surest documents of each slot, every key once in a slot; of equally sure ones those with lesser keys."""
+        order = np.lexsort((self.key, -self.sure, self.slot))
+        slot, key = self.slot[order], self.key[order]
+        new = np.r_[True, (slot[1:] != slot[:-1]) | (key[1:] != key[:-1])] if len(order) else np.zeros(0, bool)
+        order, slot = order[new], slot[new]
+        rank = np.arange(len(slot)) - np.searchsorted(slot, slot)
+        return self.at(order[rank < quota])
+
+
+Weights = list[np.ndarray]
+
+
+def sure_of(key: np.ndarray, text: np.ndarray, meta: np.ndarray, group: np.ndarray, weights: Weights, taken: list[np.ndarray],
+            quota: int) -> Handed:
+    """Of some documents those that a view is sure of and has not handed on yet, at most `quota` of a class and group."""
+    found = Handed()
+    for view, (x, w) in enumerate(zip((text, meta), weights, strict=True)):
+        chance = _sigmoid(x @ w[:-1] + w[-1])
+        sure = np.maximum(chance, 1 - chance)
+        rows = np.flatnonzero((sure >= SURE) & ~np.isin(key, taken[view]))
+        slot = (2 * view + (chance[rows] >= 0.5)) * GROUPS + group[rows]
+        found = found.with_rows(Handed(key[rows], text[rows], meta[rows], slot.astype(np.int64), sure[rows]))
+    return found.surest(quota)
+
+
+def cotrain(text: np.ndarray, meta: np.ndarray, label: np.ndarray, hand: Callable[[Weights, list[np.ndarray]], Handed],
             rounds: int = ROUNDS) -> Model:
-    """Fit both views on the labelled rows, letting them label the pool for each other; every fifth row calibrates."""
+    """Fit both views on the labelled rows and what they hand each other; every fifth labelled row calibrates.
+
+    `hand(weights, taken)` finds what the views with these weights are sure of, without the keys each has handed on.
+    """
     if not len(label):
         zero = np.zeros(2)
         return Model(np.zeros(TEXT_SIZE + 1), np.zeros(META_SIZE + 1), (zero, zero), 0.0)
     aside = np.arange(len(label)) % 5 == 4
     fit = ~aside if aside.any() else np.ones(len(label), bool)
-    views = [(text, pool_text), (meta, pool_meta)]
-    given = [(np.zeros(0, np.int64), np.zeros(0)), (np.zeros(0, np.int64), np.zeros(0))]
+    given = Handed()
     for last in [False] * rounds + [True]:
-        weights = [
-            logistic(np.concatenate([x[fit], pool[rows]]), np.concatenate([label[fit], y]))
-            for (x, pool), (rows, y) in zip(views, given, strict=True)
-        ]
+        weights = []
+        for view, x in enumerate((text, meta)):
+            more = given.at(np.flatnonzero(given.view() != view))  # what the other view is sure of
+            known = np.concatenate([x[fit], more.meta if view else more.text])
+            weights.append(logistic(known, np.concatenate([label[fit], more.label()])))
         if last:
             break
-        for k, (_, pool) in enumerate(views):
-            other = 1 - k
-            chance = _sigmoid(pool @ weights[k][:-1] + weights[k][-1])
-            free = np.setdiff1d(np.arange(len(pool)), given[other][0])
-            by_chance = free[np.argsort(chance[free], kind="stable")]
-            low = by_chance[:HANDED][chance[by_chance[:HANDED]] <= 1 - SURE]
-            high = by_chance[-HANDED:][chance[by_chance[-HANDED:]] >= SURE]
-            rows, y = given[other]
-            given[other] = np.r_[rows, low, high], np.r_[y, np.zeros(len(low)), np.ones(len(high))]
+        handed = hand(weights, [given.key[given.view() == view] for view in (0, 1)])
+        if not len(handed.key):
+            break  # nobody is sure of anything new: another round would fit the same
+        given = given.with_rows(handed)
     check = aside if aside.any() else fit
     calibration = []
-    for (x, _), w in zip(views, weights, strict=True):
+    for x, w in zip((text, meta), weights, strict=True):
         odds = (x[check] @ w[:-1] + w[-1])[:, None]
         scale = max(1e-6, float(np.abs(odds).max()))
         slope, offset = logistic(odds / scale, label[check], steps=2000)
@@ -145,33 +197,76 @@ def _sampled(rows: DataFrame, most: int) -> DataFrame:
     return drawn.filter(F.pmod("_order", F.lit(1_000_000)) < share * 1_000_000).orderBy("_order", "doc_id").limit(most)
 
 
-def _features(docs: DataFrame, *more: str) -> tuple[np.ndarray, np.ndarray, list]:
-    """Both views of a bounded number of documents, on the driver."""
+def _group(source: str | None, lang: str | None) -> int:
+    return zlib.crc32(repr((source, lang)).encode()) % GROUPS
+
+
+def _views(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    text = [text_view(r["text"]) for r in rows]
+    meta = [meta_view(r["source"], r["lang"], r["n_chars"]) for r in rows]
+    return np.array(text, np.float32).reshape(-1, TEXT_SIZE), np.array(meta, np.float32).reshape(-1, META_SIZE)
+
+
+def _packed(x: np.ndarray) -> pa.Array:
+    return pa.array([row.tobytes() for row in x], pa.binary())
+
+
+def _unpacked(rows: list, name: str, size: int) -> np.ndarray:
+    return np.array([np.frombuffer(r[name], np.float32) for r in rows], np.float32).reshape(-1, size)
+
+
+def _slices(batches: Iterator[pa.RecordBatch], size: int = 512) -> Iterator[pa.RecordBatch]:
+    return (batch.slice(at, size) for batch in batches for at in range(0, batch.num_rows, size))
+
+
+def _features(docs: DataFrame, label: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Both views and the label of a bounded number of documents, on the driver."""
 
     def views(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = batch.to_pylist()
-            text = pa.array([text_view(r["text"]).tobytes() for r in rows], pa.binary())
-            meta = pa.array([meta_view(r["source"], r["lang"], r["n_chars"]).tobytes() for r in rows], pa.binary())
-            yield pa.RecordBatch.from_arrays([text, meta, *[batch.column(c) for c in more]], ["t", "m", *more])
+        for batch in _slices(batches):
+            text, meta = _views(batch.to_pylist())
+            yield pa.RecordBatch.from_arrays([_packed(text), _packed(meta), batch.column(label)], ["t", "m", label])
 
-    kinds = "".join(f", {c} double" for c in more)
-    rows = docs.mapInArrow(views, f"t binary, m binary{kinds}").collect()
-    stack = lambda k, size: np.array([np.frombuffer(r[k], np.float32) for r in rows], np.float32).reshape(-1, size)
-    return stack("t", TEXT_SIZE), stack("m", META_SIZE), [[r[c] for r in rows] for c in more]
+    rows = docs.mapInArrow(views, f"t binary, m binary, {label} double").collect()
+    return _unpacked(rows, "t", TEXT_SIZE), _unpacked(rows, "m", META_SIZE), np.array([r[label] for r in rows], float)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled: int = LABELLED, pool: int = POOL) -> Model:
-    """A model from labels (`doc_id` and a 0/1 column) of some of the documents."""
+_HANDED = "slot long, sure double, key long, t binary, m binary"
+
+
+def _hand(docs: DataFrame, weights: Weights, taken: list[np.ndarray], quota: int) -> Handed:
+    """What the views are sure of among all of `docs` (`key` and the columns of the views), by one pass over them."""
+
+    def surest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = Handed()
+        for batch in _slices(batches):
+            rows = batch.to_pylist()
+            key = np.array([r["key"] for r in rows], np.int64)
+            group = np.array([_group(r["source"], r["lang"]) for r in rows], np.int64)
+            best = best.with_rows(sure_of(key, *_views(rows), group, weights, taken, quota)).surest(quota)
+        columns = [pa.array(best.slot), pa.array(best.sure), pa.array(best.key), _packed(best.text), _packed(best.meta)]
+        yield pa.RecordBatch.from_arrays(columns, ["slot", "sure", "key", "t", "m"])
+
+    found = docs.mapInArrow(surest, _HANDED).dropDuplicates(["slot", "key"])
+    first = Window.partitionBy("slot").orderBy(F.desc("sure"), "key")  # at most `quota` rows of a task and slot
+    rows = found.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= quota).collect()
+    key, slot = (np.array([r[c] for r in rows], np.int64) for c in ("key", "slot"))
+    handed = Handed(key, _unpacked(rows, "t", TEXT_SIZE), _unpacked(rows, "m", META_SIZE), slot, np.array([r["sure"] for r in rows], float))
+    return handed.surest(quota)  # in an order of its own
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled: int = LABELLED, quota: int = QUOTA,
+        rounds: int = ROUNDS) -> Model:
+    """A model from labels (`doc_id` and a 0/1 column) of some of the documents, and from all the others without."""
     known = own(labels, "doc_id", label).filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
     known = known.groupBy("doc_id").agg(F.max(label).cast("double").alias("label"))
     cut = own(docs, "doc_id", *_COLUMNS).withColumn("text", F.col("text").cast("binary"))
-    taught = F.broadcast(_sampled(known, labelled))  # at most `labelled` rows of two numbers
-    text, meta, (y,) = _features(cut.join(taught.select("doc_id", "label"), "doc_id").select(*_COLUMNS, "label").limit(labelled), "label")
-    ids = own(docs, "doc_id").filter("doc_id is not null").join(known, "doc_id", "left_anti")
-    other = F.broadcast(_sampled(ids.distinct(), pool))  # at most `pool` ids
-    pool_text, pool_meta, _ = _features(cut.join(other.select("doc_id"), "doc_id").select(*_COLUMNS).limit(pool))
-    return cotrain(text, meta, np.array(y, float), pool_text, pool_meta)
+    taught = F.broadcast(_sampled(known, labelled).select("doc_id", "label"))  # at most `labelled` rows of two numbers
+    chosen = cut.join(taught, "doc_id").select("doc_id", *_COLUMNS, "label").orderBy(F.xxhash64("doc_id"), "doc_id", *_COLUMNS)
+    text, meta, y = _features(chosen.limit(labelled).select(*_COLUMNS, "label"), "label")
+    others = cut.filter("doc_id is not null").join(taught, "doc_id", "left_anti")
+    others = others.select(F.xxhash64(*_COLUMNS).alias("key"), *_COLUMNS)  # copies are one document to learn from
+    return cotrain(text, meta, y, lambda weights, taken: _hand(others, weights, taken, quota), rounds)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

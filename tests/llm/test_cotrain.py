@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from gaugeline.llm import cotrain
 
@@ -27,7 +28,7 @@ def corpus(n, seed=4):
 def test_finds_quality_from_both_views(spark):
     docs, labels, truth = corpus(800)
     frame, table = spark.createDataFrame(docs, DOCS).repartition(3), spark.createDataFrame([*labels, (None, 1, ""), (3, None, "")], LABELS)
-    model = cotrain.fit(frame, table, labelled=200, pool=200)
+    model = cotrain.fit(frame, table, labelled=200)
     got = cotrain.score(frame, model).collect()
     assert len(got) == len(docs)
     right = [(r["score"] >= 0.5) == truth[r["doc_id"]] for r in got if r["doc_id"] in truth]
@@ -45,8 +46,10 @@ def test_a_view_learns_from_the_other():
     group = rng.integers(0, 30, 600)  # two sources for each group, one of each class; few of them are labelled
     meta[np.arange(600), group * 2 + y] = 1
     few = np.arange(600) < 30
-    taught = cotrain.cotrain(text[few], meta[few], y[few].astype(float), text[~few], meta[~few])
-    alone = cotrain.cotrain(text[few], meta[few], y[few].astype(float), text[:0], meta[:0])
+    pool = (np.arange(600)[~few], text[~few], meta[~few], group[~few])
+    labelled = (text[few], meta[few], y[few].astype(float))
+    taught = cotrain.cotrain(*labelled, lambda weights, taken: cotrain.sure_of(*pool, weights, taken, 4))
+    alone = cotrain.cotrain(*labelled, lambda *_: cotrain.Handed())
     accuracy = lambda m: np.mean(((meta @ m.meta[:-1] + m.meta[-1]) > 0) == y)
     assert accuracy(taught) > accuracy(alone) + 0.1
 
@@ -61,3 +64,31 @@ def test_odd_rows_no_labels_and_empty_tables(spark):
     assert cotrain.score(frame.limit(0), cotrain.fit(frame.limit(0), table)).count() == 0
     one_class = cotrain.fit(frame, table.filter("quality = 1"))
     assert all(r["score"] > 0.5 for r in cotrain.score(frame.filter("doc_id < 60"), one_class).collect())
+
+
+def test_what_is_handed_on_equals_a_plain_choice(spark):
+    """Every document is looked at, copies count once, and each source and language has its own share."""
+    docs, _, _ = corpus(300)
+    docs = docs + [(1000 + i, *docs[5][1:]) for i in range(150)]  # a third of all rows is one text
+    docs.append((5000, "## ## rare", "once", "xx", 10, "clash"))
+    columns = ("text", "source", "lang", "n_chars")
+    rng = np.random.default_rng(1)
+    weights = [rng.normal(0, 9, cotrain.TEXT_SIZE + 1), rng.normal(0, 9, cotrain.META_SIZE + 1)]
+    frame = spark.createDataFrame(docs, DOCS).repartition(5).withColumn("text", F.col("text").cast("binary"))
+    frame = frame.select(F.xxhash64(*columns).alias("key"), *columns)
+    rows = frame.collect()
+    skipped = rows[0]["key"]
+    got = cotrain._hand(frame, weights, [np.array([skipped]), np.zeros(0, np.int64)], 2)
+    wanted = {}
+    for r in {r["key"]: r for r in rows}.values():
+        views = (cotrain.text_view(r["text"]), cotrain.meta_view(r["source"], r["lang"], r["n_chars"]))
+        for view, (x, w) in enumerate(zip(views, weights, strict=True)):
+            chance = 1 / (1 + np.exp(-np.clip(float(x @ w[:-1]) + w[-1], -30, 30)))
+            if max(chance, 1 - chance) >= cotrain.SURE and not (view == 0 and r["key"] == skipped):
+                slot = (2 * view + (chance >= 0.5)) * cotrain.GROUPS + cotrain._group(r["source"], r["lang"])
+                wanted.setdefault(slot, []).append((-round(max(chance, 1 - chance), 9), r["key"]))
+    for slot, found in wanted.items():
+        mine = got.sure[got.slot == slot]
+        assert np.allclose(np.sort(mine), sorted(-s for s, _ in sorted(found)[:2]), atol=1e-6)
+        assert {k for k in got.key[got.slot == slot]} <= {k for _, k in found}
+    assert set(got.slot) == set(wanted) and len(got.key) == len({*zip(got.slot, got.key, strict=True)})
