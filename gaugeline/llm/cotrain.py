@@ -141,6 +141,14 @@ class Handed:
 Weights = list[np.ndarray]
 
 
+def _calibrated(x: np.ndarray, label: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Slope and offset that turn a view's log-odds into chances, never against the view."""
+    odds = (x @ weights[:-1] + weights[-1])[:, None]
+    scale = max(1e-6, float(np.abs(odds).max()))
+    slope, offset = logistic(odds / scale, label, steps=2000)
+    return np.array([max(0.0, slope) / scale, offset])
+
+
 def sure_of(key: np.ndarray, text: np.ndarray, meta: np.ndarray, group: np.ndarray, weights: Weights, taken: list[np.ndarray],
             quota: int) -> Handed:
     """Of some documents those that a view is sure of and has not handed on yet, at most `quota` of a class and group."""
@@ -158,13 +166,15 @@ def cotrain(text: np.ndarray, meta: np.ndarray, label: np.ndarray, hand: Callabl
             rounds: int = ROUNDS) -> Model:
     """Fit both views on the labelled rows and what they hand each other; every fifth labelled row calibrates.
 
-    `hand(weights, taken)` finds what the views with these weights are sure of, without the keys each has handed on.
+    `hand(weights, taken)` finds what the views with these weights are sure of, without the keys each has handed on. Its
+    weights are calibrated: a view that tells nothing is sure of nothing, whatever it has learnt by heart.
     """
     if not len(label):
         zero = np.zeros(2)
         return Model(np.zeros(TEXT_SIZE + 1), np.zeros(META_SIZE + 1), (zero, zero), 0.0)
     aside = np.arange(len(label)) % 5 == 4
     fit = ~aside if aside.any() else np.ones(len(label), bool)
+    check = aside if aside.any() else fit
     given = Handed()
     for last in [False] * rounds + [True]:
         weights = []
@@ -172,19 +182,14 @@ def cotrain(text: np.ndarray, meta: np.ndarray, label: np.ndarray, hand: Callabl
             more = given.at(np.flatnonzero(given.view() != view))  # what the other view is sure of
             known = np.concatenate([x[fit], more.meta if view else more.text])
             weights.append(logistic(known, np.concatenate([label[fit], more.label()])))
+        calibration = [_calibrated(x[check], label[check], w) for x, w in zip((text, meta), weights, strict=True)]
         if last:
             break
-        handed = hand(weights, [given.key[given.view() == view] for view in (0, 1)])
+        sure = [np.r_[w[:-1] * slope, w[-1] * slope + offset] for w, (slope, offset) in zip(weights, calibration, strict=True)]
+        handed = hand(sure, [given.key[given.view() == view] for view in (0, 1)])
         if not len(handed.key):
             break  # nobody is sure of anything new: another round would fit the same
         given = given.with_rows(handed)
-    check = aside if aside.any() else fit
-    calibration = []
-    for x, w in zip((text, meta), weights, strict=True):
-        odds = (x[check] @ w[:-1] + w[-1])[:, None]
-        scale = max(1e-6, float(np.abs(odds).max()))
-        slope, offset = logistic(odds / scale, label[check], steps=2000)
-        calibration.append(np.array([max(0.0, slope) / scale, offset]))
     prior = np.log((label.sum() + 1) / (len(label) - label.sum() + 1))
     return Model(weights[0], weights[1], tuple(calibration), float(prior))
 

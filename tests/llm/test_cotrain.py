@@ -92,3 +92,22 @@ def test_what_is_handed_on_equals_a_plain_choice(spark):
         assert np.allclose(np.sort(mine), sorted(-s for s, _ in sorted(found)[:2]), atol=1e-6)
         assert {k for k in got.key[got.slot == slot]} <= {k for _, k in found}
     assert set(got.slot) == set(wanted) and len(got.key) == len({*zip(got.slot, got.key, strict=True)})
+
+
+def test_a_view_that_tells_nothing_hands_on_nothing():
+    rng = np.random.default_rng(5)
+    y = rng.integers(0, 2, 400).astype(float)
+    text = np.zeros((400, cotrain.TEXT_SIZE), np.float32)
+    text[:, 0] = y
+    meta = np.zeros((400, cotrain.META_SIZE), np.float32)
+    meta[np.arange(400), rng.integers(0, cotrain.META_SIZE, 400)] = 1
+    seen = []
+
+    def hand(weights, taken):
+        handed = cotrain.sure_of(np.arange(300), text[100:], meta[100:], np.zeros(300, np.int64), weights, taken, 50)
+        seen.append(handed.view())
+        return handed
+
+    cotrain.cotrain(text[:100], meta[:100], y[:100], hand)
+    views = np.concatenate(seen)
+    assert (views == 0).sum() >= 100 and (views == 1).sum() <= 5
