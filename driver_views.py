@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from gaugeline.operators.dedup import metrics_final
 from gaugeline.operators.scoring import score
-from gaugeline.plans.lifecycle import append
-from gaugeline.session import materialise, prepare, scratch_path
-from gaugeline.sources.tables import Tables, open_tables
+from gaugeline.plans.lifecycle import append, create_tables
+from gaugeline.schemas import TABLES
+from gaugeline.session import materialise, prepare, release, scratch_path
+from gaugeline.sources.tables import Tables, open_table, read_table, settled_days
 
 _NAME = """CASE event_type WHEN 'click' THEN 'system.cpu.utilization' WHEN 'view' THEN 'system.memory.usage'
     WHEN 'purchase' THEN 'nab.purchase' WHEN 'error' THEN 'system.uptime' ELSE 'system.memory.limit' END"""
@@ -102,24 +103,64 @@ def evaluations_raw(evaluations: DataFrame) -> DataFrame:
 
 
 _stored: dict[tuple[str, str], str] = {}
+_filled: set[tuple[str, str]] = set()
 
 
-def store_root(spark: SparkSession, sf_dir: str) -> str:
-    """The folder of the filled tables, written on first use in a session, as the pipeline's sinks would fill them."""
+def store_root(spark: SparkSession, sf_dir: str, *names: str) -> str:
+    """The folder of the tables, in which those named, or else all, are filled as the pipeline's sinks would fill them.
+
+    Each is written on first use in a session: a question about samples does not wait for their scoring.
+    """
     prepare(spark)
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stored:
-        root = scratch_path(spark, "store")
-        append(metrics_raw(spark, sf_dir), root, "metrics")
-        append(machines_raw(spark, sf_dir), root, "machines")
-        scored = materialise(score(metrics_final(metrics_raw(spark, sf_dir))), "scored")
-        append(evaluations_raw(scored), root, "evaluations")
-        _stored[key] = root
-    return _stored[key]
+        _stored[key] = scratch_path(spark, "store")
+        create_tables(spark, _stored[key], register=False)
+    root = _stored[key]
+    for name in names or TABLES:
+        if (root, name) not in _filled:
+            _FILL[name](spark, sf_dir, root)
+            _filled.add((root, name))
+    return root
+
+
+def _fill_metrics(spark: SparkSession, sf_dir: str, root: str) -> None:
+    append(metrics_raw(spark, sf_dir), root, "metrics")
+
+
+def _fill_machines(spark: SparkSession, sf_dir: str, root: str) -> None:
+    append(machines_raw(spark, sf_dir), root, "machines")
+
+
+def _fill_evaluations(spark: SparkSession, sf_dir: str, root: str) -> None:
+    store_root(spark, sf_dir, "metrics")
+    scored = materialise(score(read_table(spark, root, "metrics")), "scored")
+    append(evaluations_raw(scored), root, "evaluations")
+    release(scored)
+
+
+_FILL = {"metrics": _fill_metrics, "evaluations": _fill_evaluations, "machines": _fill_machines}
+
+
+class FilledOnUse(Tables):
+    """The stored tables, each filled when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.__dict__.update(spark=spark, sf_dir=sf_dir, opened={}, settled={})
+
+    def _open(self, name: str) -> DataFrame:
+        if name not in self.opened:
+            self.opened[name] = open_table(self.spark, store_root(self.spark, self.sf_dir, name), name)
+            self.settled[name] = settled_days(self.opened[name].inputFiles())
+        return self.opened[name]
+
+    metrics = property(lambda self: self._open("metrics"))
+    evaluations = property(lambda self: self._open("evaluations"))
+    machines = property(lambda self: self._open("machines"))
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    return open_tables(spark, store_root(spark, sf_dir))
+    return FilledOnUse(spark, sf_dir)
 
 
 def bodies(spark: SparkSession, sf_dir: str) -> DataFrame:

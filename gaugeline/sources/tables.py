@@ -86,12 +86,12 @@ class Tables:
         return by_sample(time_range(self.evaluations, within))
 
 
-def _stored(spark: SparkSession, root: str, name: str) -> DataFrame:
+def open_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(stored_schema(name)).parquet(f"{root}/{name}")
 
 
 def open_tables(spark: SparkSession, root: str) -> Tables:
-    stored = {name: _stored(spark, root, name) for name in ("metrics", "evaluations", "machines")}
+    stored = {name: open_table(spark, root, name) for name in ("metrics", "evaluations", "machines")}
     settled = {name: settled_days(rows.inputFiles()) for name, rows in stored.items()}  # a path per file, as planning lists them
     return Tables(**stored, settled=settled)
 
@@ -102,7 +102,7 @@ def read_table(
     """One table of `root`, with replays hidden unless `dedup` is off."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name}")
-    stored = _stored(spark, root, name)
+    stored = open_table(spark, root, name)
     rows = time_range(stored, within)
     return (without_replays(rows, name, settled_days(stored.inputFiles())) if dedup else rows).drop(INSERT_SEQ, "date")
 

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+import driver_views as views
 from check_oracle import rows_of
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -44,3 +45,15 @@ def test_sizes_beyond_tebibytes_equal_sql(spark, db, tmp_path):
     got = rows_of(entry.queries()[name](spark, str(tmp_path)).toPandas())
     want = db.execute(f"WITH customer AS ({shifted.replace('FROM customer', 'FROM main.customer')}) {entry.oracle_sql()[name]}").df()
     assert got.equals(rows_of(want)) and got.str.contains("5977.80 TiB").any()
+
+
+def test_samples_are_stored_without_scoring(spark, monkeypatch):
+    """A question about samples fills their table alone; evaluations are scored from what is stored."""
+    monkeypatch.setattr(views, "_stored", {})
+    scored = []
+    monkeypatch.setattr(views, "score", lambda rows, score=views.score: scored.append(rows.inputFiles()) or score(rows))
+    lines = entry.queries()["series_line"](spark, SF_DIR).count()
+    assert lines == entry.queries()["series_summary"](spark, SF_DIR).selectExpr("sum(samples)").first()[0]
+    assert not scored
+    assert entry.queries()["evaluations_final"](spark, SF_DIR).count() == entry.entry(spark).count()
+    assert len(scored) == 1 and all("/metrics/" in file for file in scored[0])
