@@ -13,7 +13,7 @@ from gaugeline.operators.dedup import metrics_final
 from gaugeline.operators.scoring import score
 from gaugeline.plans.lifecycle import append, create_tables
 from gaugeline.schemas import TABLES
-from gaugeline.session import materialise, prepare, release, scratch_path
+from gaugeline.session import prepare, scratch_path
 from gaugeline.sources.tables import Tables, open_table, read_table, settled_days
 
 _NAME = """CASE event_type WHEN 'click' THEN 'system.cpu.utilization' WHEN 'view' THEN 'system.memory.usage'
@@ -125,7 +125,7 @@ def store_root(spark: SparkSession, sf_dir: str, *names: str) -> str:
 
 
 def _fill_metrics(spark: SparkSession, sf_dir: str, root: str) -> None:
-    append(metrics_raw(spark, sf_dir), root, "metrics")
+    append(metrics_raw(spark, sf_dir), root, "metrics", once=True)
 
 
 def _fill_machines(spark: SparkSession, sf_dir: str, root: str) -> None:
@@ -134,9 +134,7 @@ def _fill_machines(spark: SparkSession, sf_dir: str, root: str) -> None:
 
 def _fill_evaluations(spark: SparkSession, sf_dir: str, root: str) -> None:
     store_root(spark, sf_dir, "metrics")
-    scored = materialise(score(read_table(spark, root, "metrics")), "scored")
-    append(evaluations_raw(scored), root, "evaluations")
-    release(scored)
+    append(evaluations_raw(score(read_table(spark, root, "metrics"))), root, "evaluations", once=True)
 
 
 _FILL = {"metrics": _fill_metrics, "evaluations": _fill_evaluations, "machines": _fill_machines}

@@ -64,17 +64,20 @@ def _sorted_by_key(stored: DataFrame, table: str) -> DataFrame:
     )
 
 
-def append(rows: DataFrame, root: str, table: str, insert_seq: int = 0, sort: bool = True) -> None:
+def append(rows: DataFrame, root: str, table: str, insert_seq: int = 0, sort: bool = True, once: bool = False) -> None:
     """Add rows to a table.
 
-    Sorting takes a sample of the rows first, so rows that are dear to compute should be written out before. Small
-    batches go unsorted, in as few files per day as their size allows; `compact` puts them in order later.
+    Sorting takes a sample of the rows first. Rows of daily tables that are dear to compute go in `once`: days are brought
+    together in files as large as their size allows, each sorted by key. Small batches go unsorted, in as few files per day
+    as their size allows; `compact` puts them in order later.
     """
     stored = to_stored(rows, table, insert_seq)
-    if sort:
-        stored = _sorted_by_key(stored, table)
-    elif table in DAILY:
+    if table in DAILY and (once or not sort):
         stored = stored.hint("rebalance", F.col("date"))
+        if sort:
+            stored = stored.sortWithinPartitions("date", *KEYS[table])
+    elif sort:
+        stored = _sorted_by_key(stored, table)
     writer = stored.write.mode("append")
     if table in DAILY:
         writer = writer.options(**BLOOM).partitionBy("date")

@@ -333,3 +333,22 @@ def test_ids_are_found_in_few_row_groups(spark, root):
     stages = {s for job in status.getJobIdsForGroup("lookup") for s in status.getJobInfo(job).stageIds}
     read = sum(store.lastStageAttempt(s).inputRecords() for s in stages)
     assert 3 <= read <= 40_000  # three files of 5,000 rows, and what the filters let through by mistake
+
+
+def test_rows_are_computed_once_to_be_appended_in_order(spark, root):
+    """No pass for a sample of the rows comes before the one that stores them; files are in key order all the same."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = metrics(spark, [("m1", "cpu", 40_000 * (i % 5) + i, f"{i:03}", i, 1) for i in range(60)])
+    lifecycle.append(rows.mapInArrow(count, rows.schema), root, "metrics", once=True)
+    assert seen.value == 60
+    stored = spark.read.parquet(f"{root}/metrics").select(F.input_file_name().alias("file"), "timestamp", "metric_id").collect()
+    by_file = {}
+    for row in stored:
+        by_file.setdefault(row["file"], []).append((row["timestamp"], row["metric_id"]))
+    assert len(stored) == 60 and all(keys == sorted(keys) for keys in by_file.values())
