@@ -64,13 +64,15 @@ class States:
 
 
 class Traces:
-    """What `advance` notes for each reading: a row per reading, a column per setting."""
+    """What `advance` notes for each reading: a row per reading, a column per setting; of `flags` alone, an eighteenth."""
 
-    def __init__(self, readings: int, settings: int):
-        self.average = np.empty((readings, settings))
-        self.threshold = np.full((readings, settings), np.nan)
-        self.warm = np.zeros((readings, settings), bool)
+    def __init__(self, readings: int, settings: int, flags: bool = False):
         self.flagged = np.zeros((readings, settings), bool)
+        self.average = self.threshold = self.warm = None
+        if not flags:
+            self.average = np.empty((readings, settings))
+            self.threshold = np.full((readings, settings), np.nan)
+            self.warm = np.zeros((readings, settings), bool)
 
 
 def advance(values: np.ndarray, begin: np.ndarray, end: np.ndarray, states: States, settings: list[Settings],
@@ -99,8 +101,9 @@ def advance(values: np.ndarray, begin: np.ndarray, end: np.ndarray, states: Stat
             now.variance[:k] = np.where(opening, 0.0, (1 - share) * (variance + share * (rise * rise)))
             now.readings[:k] = np.minimum(readings + 1, WARMUP_READINGS)
             if traces is not None:
-                traces.average[places], traces.threshold[places] = now.average[:k], threshold
-                traces.warm[places], traces.flagged[places] = warm, flagged
+                traces.flagged[places] = flagged
+                if traces.average is not None:
+                    traces.average[places], traces.threshold[places], traces.warm[places] = now.average[:k], threshold, warm
     after = States.fresh(*states.average.shape)
     after.put(order, now)
     return after
@@ -275,19 +278,27 @@ def _ordered_series(series: DataFrame, order: tuple[str, ...]) -> Ordered:
     return order_rows(series.select(*columns), [*SERIES, *order])
 
 
-def _run_all(series: DataFrame, settings: list[Settings], order: tuple[str, ...], kernel, schema: str) -> DataFrame:
+#: The columns of chunks that states follow from; tasks in Python are handed no others unless they return them.
+_CHUNKED = (*SERIES, "value", "_chunk", "_pos", "_own")
+
+
+def _run_all(
+    series: DataFrame, settings: list[Settings], order: tuple[str, ...], kernel, schema: str, carried: tuple[str, ...] = ()
+) -> DataFrame:
     ordered = _ordered_series(series, order)
     size = balanced_rows(series.sparkSession, ordered.total)
     together = F.lit(max(1, TASK_ROWS // size))
     task = F.floor(F.col("_chunk") / together).alias("_task")
-    led = with_chunks(ordered, min(GUESS_ROWS, size), size)
-    own = with_chunks(ordered, 0, size)
+    led = with_chunks(ordered, min(GUESS_ROWS, size), size).select(*_CHUNKED)
+    whole = with_chunks(ordered, 0, size)
+    own = whole.select(*_CHUNKED)
+    returned = whole.select(*dict.fromkeys([*_CHUNKED, *carried]))
     guessed = led.groupBy(task).applyInArrow(_guess_states(settings), STATE_SCHEMA)
     states = _settled(own, materialise(guessed, "states"), settings, task)
-    return own.groupBy(task).cogroup(states.groupBy(task)).applyInArrow(kernel, schema)
+    return returned.groupBy(task).cogroup(states.groupBy(task)).applyInArrow(kernel, schema)
 
 
-def _traced(chunks: pa.Table, states: pa.Table, settings: list[Settings]) -> tuple[pa.Table, Pieces, Traces]:
+def _traced(chunks: pa.Table, states: pa.Table, settings: list[Settings], flags: bool = False) -> tuple[pa.Table, Pieces, Traces]:
     """The chunks in order, and what every reading came to."""
     chunks = chunks.sort_by([("_chunk", "ascending"), ("_pos", "ascending")])
     pieces = Pieces(chunks)
@@ -295,7 +306,7 @@ def _traced(chunks: pa.Table, states: pa.Table, settings: list[Settings]) -> tup
     start = States.fresh(len(pieces.begin), len(settings))
     goes_on = continues.any(axis=1)
     start.put(pieces.first[goes_on], given.at(goes_on))
-    traces = Traces(chunks.num_rows, len(settings))
+    traces = Traces(chunks.num_rows, len(settings), flags)
     advance(_values(chunks), pieces.begin, pieces.end, start, settings, traces)
     return chunks, pieces, traces
 
@@ -323,7 +334,8 @@ def ewma_trajectory(
 
     kinds = {field.name: field.dataType.simpleString() for field in series.schema}
     schema = ", ".join(f"{name} {kinds[name]}" for name in carried)
-    return _run_all(series, settings, order, kernel, schema + ", average double, threshold double, anomaly boolean")
+    schema += ", average double, threshold double, anomaly boolean"
+    return _run_all(series, settings, order, kernel, schema, tuple(carried))
 
 
 def ewma_flagged(series: DataFrame, **settings) -> DataFrame:
@@ -336,7 +348,7 @@ def ewma_sweep(
     """Flags per series under each of several settings: the data is ordered and read once for all of them."""
 
     def kernel(chunks: pa.Table, states: pa.Table) -> pa.Table:
-        chunks, pieces, traces = _traced(chunks, states, settings)
+        chunks, pieces, traces = _traced(chunks, states, settings, flags=True)
         flagged = np.add.reduceat(traces.flagged, pieces.begin, dtype=np.int64)
         each, first = len(settings), pa.array(np.repeat(pieces.begin, len(settings)))
         return pa.table(

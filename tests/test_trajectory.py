@@ -81,3 +81,11 @@ def test_span_average(spark, small_chunks, series, span):
                 expected[machine, name, i] = average
     assert set(got) == set(expected)
     assert all(got[k] == pytest.approx(v, rel=1e-9) for k, v in expected.items())
+
+
+def test_a_sweep_is_handed_no_more_than_it_counts(spark, series):
+    """Ids and times stay out of Python, and of a sweep's traces only the flags are kept."""
+    plan = tr.ewma_sweep(frame(spark, series), [tr.Settings()])._jdf.queryExecution().executedPlan().toString()
+    assert "value" in plan and "metric_id" not in plan and "timestamp" not in plan
+    traces = tr.Traces(10, 2, flags=True)
+    assert traces.flagged.shape == (10, 2) and traces.average is None and traces.threshold is None
