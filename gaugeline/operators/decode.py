@@ -313,6 +313,23 @@ def is_machine(bodies: DataFrame) -> Column:
     return F.col("kind").eqNullSafe("machine") if "kind" in bodies.columns else F.lit(False)
 
 
+def examine_bodies(bodies: DataFrame) -> DataFrame:
+    """Bodies of both kinds, told apart by `asked`, with `error` and, where there is none, what they hold: the parsed parts of a
+    snapshot or a machine's `record`. Only a rejected body keeps its text: no more is stored than what goes on from here."""
+    flawed = F.col("error").isNotNull()
+
+    def outcome(examined: DataFrame, asked: str, *held: str) -> DataFrame:
+        parts = [F.when(~flawed, F.col(name)).alias(name) for name in held]
+        return examined.select("url", F.lit(asked).alias("asked"), "error", F.when(flawed, F.col("body")).alias("body"), *parts)
+
+    machine = is_machine(bodies)
+    metrics = outcome(examine_snapshots(bodies.where(~machine)), "metrics", "_machine_id", "_epoch", "_metrics")
+    if "kind" not in bodies.columns:
+        return metrics
+    machines = examine_machines(bodies.where(machine)).withColumnRenamed("reason", "error")
+    return outcome(machines, "machine", "record").unionByName(metrics, allowMissingColumns=True)
+
+
 def with_metric_id(samples: DataFrame) -> DataFrame:
     """Add `metric_id`: a time-ordered UUID (version 7 layout) made from the sample itself.
 

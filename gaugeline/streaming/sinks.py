@@ -18,12 +18,9 @@ from gaugeline.functions.scalars import cut_to_millis, epoch_to_timestamp
 from gaugeline.functions.validity import aware_timestamp
 from gaugeline.operators.decode import (
     examine,
-    examine_machines,
-    examine_snapshots,
-    is_machine,
+    examine_bodies,
     malformed_records,
     rejected_bodies,
-    rejected_machines,
     snapshot_samples,
     valid_records,
 )
@@ -293,7 +290,7 @@ def start_collector(
     counters_root: str | None = None,
 ) -> StreamingQuery:
     """Bodies to samples on `topic`, or to records on `machines_topic` where their `kind` is `machine`; bodies that will
-    not do to the dead letters of their kind, `<topic>_dlq`. A batch is examined once and stored in shared scratch.
+    not do to the dead letters of their kind, `<topic>_dlq`. A batch of both kinds is examined in one job and stored in shared scratch.
 
     `publish(records, topic)` writes key and value columns, e.g. to Kafka. With `counters_root` the scrapes by outcome (a null body
     is a failed fetch), the invalid responses and the published messages are counted, while the batch is stored, and reported there.
@@ -301,40 +298,28 @@ def start_collector(
     counters = JobCounters()
 
     def collect(batch: DataFrame, batch_id: int) -> None:
-        machine = is_machine(batch)
-        fetched = F.count("body")
-        flawless = F.col("error").isNull()
-        examined, seen = _counted(
-            examine_snapshots(batch.where(~machine)),
-            "bodies",
-            scrapes=F.count(F.lit(1)),
-            fetched=fetched,
-            invalid=F.count("error"),
-            published=F.sum(F.when(flawless, F.size("_metrics"))),
-        )
-        stored = [examined]
-        counted = {"metrics": (topic, seen)}
+        topics = {"metrics": topic} | ({"machine": machines_topic} if "kind" in batch.columns else {})
+        rows = examine_bodies(batch)
+        flawless, published = F.col("error").isNull(), {"metrics": F.size("_metrics"), "machine": F.lit(1)}
+        wanted = {}
+        for kind in topics:
+            mine = F.col("asked") == kind
+            wanted[f"scrapes-{kind}"] = F.count_if(mine)
+            wanted[f"fetched-{kind}"] = F.count_if(mine & (flawless | F.col("body").isNotNull()))
+            wanted[f"invalid-{kind}"] = F.count_if(mine & ~flawless)
+            wanted[f"published-{kind}"] = F.sum(F.when(mine & flawless, published[kind]))
+        examined, seen = _counted(rows, "bodies", **wanted)
+        asked = {kind: examined.where(F.col("asked") == kind) for kind in topics}
         outgoing = [
-            (to_kafka(snapshot_samples(examined), key="machine_id"), topic),
-            (dead_letters(rejected_bodies(examined)), f"{topic}_dlq"),
+            (to_kafka(snapshot_samples(asked["metrics"]), key="machine_id"), topic),
+            (dead_letters(rejected_bodies(asked["metrics"])), f"{topic}_dlq"),
         ]
-        if "kind" in batch.columns:
-            examined, seen = _counted(
-                examine_machines(batch.where(machine)),
-                "machine-bodies",
-                scrapes=F.count(F.lit(1)),
-                fetched=fetched,
-                invalid=F.count("reason"),
-                published=F.count_if(F.col("reason").isNull()),
-            )
-            stored.append(examined)
-            counted["machine"] = machines_topic, seen
+        if "machine" in topics:
             outgoing += [
-                (to_kafka(valid_records(examined), key="machine_id"), machines_topic),
-                (dead_letters(rejected_machines(examined)), f"{machines_topic}_dlq"),
+                (to_kafka(asked["machine"].where(flawless).select("record.*"), key="machine_id"), machines_topic),
+                (dead_letters(rejected_bodies(asked["machine"])), f"{machines_topic}_dlq"),
             ]
-        scrapes = sum(seen["scrapes"] for _, seen in counted.values())
-        fetches = sum(seen["fetched"] for _, seen in counted.values())
+        scrapes, fetches = (sum(seen[f"{what}-{kind}"] for kind in topics) for what in ("scrapes", "fetched"))
         try:
             for records, place in outgoing:
                 publish(records, place)
@@ -343,12 +328,12 @@ def start_collector(
             if counters_root:
                 counters.save(batch.sparkSession, counters_root)
             raise
-        release(*stored)
+        release(examined)
         counters.add("scrapes_total", fetches, outcome="ok")
         counters.add("scrapes_total", scrapes - fetches, outcome="fetch_error")
-        for kind, (place, seen) in counted.items():
-            counters.add("invalid_responses_total", seen["invalid"], kind=kind)
-            counters.add("messages_published_total", seen["published"], topic=place)
+        for kind, place in topics.items():
+            counters.add("invalid_responses_total", seen[f"invalid-{kind}"], kind=kind)
+            counters.add("messages_published_total", seen[f"published-{kind}"], topic=place)
         if counters_root and scrapes:
             counters.save(batch.sparkSession, counters_root)
 

@@ -272,6 +272,28 @@ def test_collector_tells_machines_from_metrics(spark, tmp_path):
     assert sorted(k for k, _ in published["machines_dlq"]) == ["u3", "u5"]
 
 
+def stored(monkeypatch, module, *columns):
+    """The rows that each copy in scratch holds, as they are written."""
+    copies, write = [], module.materialise
+
+    def noted(df, label, **options):
+        copies.append((written := write(df, label, **options)).select(*columns).collect())
+        return written
+
+    monkeypatch.setattr(module, "materialise", noted)
+    return copies
+
+
+def test_the_collector_stores_bodies_of_both_kinds_at_once_and_text_of_rejected_ones_alone(spark, tmp_path, monkeypatch):
+    source, copies = str(tmp_path / "in"), stored(monkeypatch, sinks, "url", "body")
+    bodies = [("u1", json.dumps(SNAPSHOT), "metrics"), ("u2", json.dumps(MACHINE), "machine"), ("u3", "<html>", "machine"), ("u4", "{}", "metrics")]
+    spark.createDataFrame(bodies, "url string, body string, kind string").write.parquet(source)
+    stream = spark.readStream.schema("url string, body string, kind string").parquet(source)
+    sinks.start_collector(stream, lambda *_: None, "raw_metrics", str(tmp_path / "cp"), trigger=None).awaitTermination()
+    (copy,) = copies
+    assert sorted((r["url"], r["body"]) for r in copy if r["body"]) == [("u3", "<html>"), ("u4", "{}")] and len(copy) == 4
+
+
 def test_record_sink_and_replay_suppression(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     row = (EVALUATION["metric_id"], "mad", 1.0)
