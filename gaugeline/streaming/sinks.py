@@ -197,7 +197,10 @@ def load_batch(
     kept once; the rows it adds again are hidden by reads. Returns how many records were read and how many of them were
     malformed. An empty batch writes nothing.
     """
-    examined, seen = _counted(examine(batch, spec.table), "batch", consumed=F.count(F.lit(1)), malformed=F.count("reason"))
+    good = F.col("reason").isNull()
+    parts = {"record": F.when(good, F.col("record")), "value": F.when(~good, F.col("value"))}  # stored is what goes on from here
+    rows = examine(batch, spec.table).withColumns(parts)
+    examined, seen = _counted(rows, "batch", consumed=F.count(F.lit(1)), malformed=F.count("reason"))
     consumed, malformed = seen["consumed"], seen["malformed"]
     started = time.perf_counter()
     if consumed > malformed:

@@ -294,6 +294,13 @@ def test_the_collector_stores_bodies_of_both_kinds_at_once_and_text_of_rejected_
     assert sorted((r["url"], r["body"]) for r in copy if r["body"]) == [("u3", "<html>"), ("u4", "{}")] and len(copy) == 4
 
 
+def test_a_sink_stores_the_text_of_malformed_records_alone(spark, tmp_path, monkeypatch):
+    copies = stored(monkeypatch, sinks, "value", "record", "reason")
+    assert sinks.load_batch(texts(spark, SAMPLE, "[]"), sinks.SINKS["metrics"], str(tmp_path)) == (2, 1)
+    ((good, bad),) = [sorted(copy, key=lambda r: r["reason"] is not None) for copy in copies]
+    assert good["value"] is None and good["record"]["metric_id"] and (bad["value"], bad["record"]) == ("[]", None)
+
+
 def test_record_sink_and_replay_suppression(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     row = (EVALUATION["metric_id"], "mad", 1.0)
