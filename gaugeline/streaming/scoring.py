@@ -48,10 +48,8 @@ def score_stream(
     holds what its trigger lets in (`maxOffsetsPerTrigger`, `maxFilesPerTrigger`), which bounds a series' share of it.
     The number of shuffle partitions is fixed by the first run of a checkpoint.
     """
-    columns = list(dict.fromkeys(["metric_id", *SERIES, "timestamp", "value", *order]))
     scored = (
-        samples.where(registry.is_scored(F.col("name")))
-        .select(*columns)
+        _scored(samples, order, registry)
         .withColumn("event_time", epoch_to_timestamp(F.col("timestamp")))
         .withWatermark("event_time", watermark)
     )
@@ -95,6 +93,12 @@ def score_stream(
 _AGE = "_age"
 
 
+def _scored(samples: DataFrame, order: tuple[str, ...], registry: Registry) -> DataFrame:
+    """Of the samples that a detector scores, what scoring asks for."""
+    columns = list(dict.fromkeys(["metric_id", *SERIES, "timestamp", "value", *order]))
+    return samples.where(registry.is_scored(F.col("name"))).select(*columns)
+
+
 def _newest_values(rows: DataFrame, order: tuple[str, ...], count: int) -> DataFrame:
     """Per series the last `count` values, the newest with age 1. Spark cuts a series down to `count` rows in every map
     task before it brings them together."""
@@ -113,8 +117,7 @@ def score_after(
     timed: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Evaluations of a batch of samples that follow the values of `state`, and the state after them."""
-    columns = list(dict.fromkeys(["metric_id", *SERIES, "timestamp", "value", *order]))
-    rows = batch.where(registry.is_scored(F.col("name"))).select(*columns).withColumn(_AGE, F.lit(None).cast("int"))
+    rows = _scored(batch, order, registry).withColumn(_AGE, F.lit(None).cast("int"))
     if state is not None:
         rows = rows.unionByName(state, allowMissingColumns=True)
     # Earlier values first, the oldest at the head, then the batch in its own order.
@@ -153,7 +156,7 @@ def start_bulk_scoring(
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         state = spark.read.parquet(version(batch_id - 1)) if batch_id else None
-        rows = materialise(batch, "scored-batch")
+        rows = materialise(_scored(batch, order, registry), "scored-batch")
         counted = counters_root is not None
         scored, after = score_after(state, rows, window=window, order=order, registry=registry, timed=counted)
         if counted:

@@ -301,6 +301,19 @@ def test_a_sink_stores_the_text_of_malformed_records_alone(spark, tmp_path, monk
     assert good["value"] is None and good["record"]["metric_id"] and (bad["value"], bad["record"]) == ("[]", None)
 
 
+def test_bulk_scoring_stores_what_is_scored_alone(spark, tmp_path, monkeypatch):
+    from gaugeline.streaming import scoring
+
+    source, copies = str(tmp_path / "in"), stored(monkeypatch, scoring, "*")
+    samples = epoch(frame(spark, {("m", "nab.x"): [1.0] * 30, ("m", "unscored"): [1.0] * 30}))
+    samples.withColumn("unit", F.lit("By")).write.parquet(source)
+    stream = spark.readStream.schema(f"{SCHEMA}, unit string").parquet(source)
+    out, state, progress = (str(tmp_path / n) for n in ("out", "state", "cp"))
+    start_bulk_scoring(stream, lambda df, _: df.write.parquet(out), state, progress).awaitTermination()
+    (copy,) = copies
+    assert len(copy) == 30 and {r["name"] for r in copy} == {"nab.x"} and "unit" not in copy[0].asDict()
+
+
 def test_record_sink_and_replay_suppression(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     row = (EVALUATION["metric_id"], "mad", 1.0)
