@@ -21,11 +21,12 @@ KEYS = {"metrics": METRICS_KEY, "evaluations": EVALUATIONS_KEY, "machines": MACH
 VERSIONS = {"metrics": "inserted_at", "evaluations": None, "machines": "last_seen_at"}
 
 
-def latest(df: DataFrame, key: tuple[str, ...], version: str | None) -> DataFrame:
+def latest(df: DataFrame, key: tuple[str, ...], version: str | None, whole: bool = False) -> DataFrame:
     """Per `key` the row with the greatest `version`; of equal versions the one inserted last, where known.
 
     The day of a stored row follows from its key, so it is no part of the grouping: what is joined on the key afterwards
-    lies where the collapse has put it.
+    lies where the collapse has put it. Columns are picked one by one, so that those nobody reads are left out; where all are
+    wanted, a `whole` row is picked, and its version goes along once instead of next to every column.
     """
     keys = [c for c in key if c in df.columns]
     order = [F.col(c) for c in (version, INSERT_SEQ) if c and c in df.columns]
@@ -34,6 +35,9 @@ def latest(df: DataFrame, key: tuple[str, ...], version: str | None) -> DataFram
         picked = [F.any_value(c).alias(c) for c in others]
     else:
         by = order[0] if len(order) == 1 else F.struct(*order)
+        if whole:
+            rows = df.groupBy(*keys).agg(F.max_by(F.struct(*others), by).alias("_picked"))
+            return rows.select(*keys, "_picked.*").select(df.columns)
         picked = [F.max_by(c, by).alias(c) for c in others]
     return df.groupBy(*keys).agg(*picked).select(df.columns)
 
@@ -50,8 +54,8 @@ def by_sample(evaluations: DataFrame) -> DataFrame:
     return sets.select(*METRICS_KEY, one.alias("found"))
 
 
-def final(df: DataFrame, table: str) -> DataFrame:
-    return latest(df, KEYS[table], VERSIONS[table])
+def final(df: DataFrame, table: str, whole: bool = False) -> DataFrame:
+    return latest(df, KEYS[table], VERSIONS[table], whole)
 
 
 def metrics_final(df: DataFrame) -> DataFrame:

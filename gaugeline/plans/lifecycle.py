@@ -131,7 +131,7 @@ def prepare_compaction(spark: SparkSession, root: str, table: str, days: list[da
     if not files:
         return None
     read = spark.read.schema(stored_schema(table)).option("basePath", source).parquet(*files)
-    return Compaction(root, table, files, materialise(final(read, table), f"compact-{table}"))
+    return Compaction(root, table, files, materialise(final(read, table, whole=True), f"compact-{table}"))
 
 
 def compact(spark: SparkSession, root: str, table: str, days: list[date] | None = None) -> None:

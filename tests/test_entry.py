@@ -57,3 +57,14 @@ def test_samples_are_stored_without_scoring(spark, monkeypatch):
     assert not scored
     assert entry.queries()["evaluations_final"](spark, SF_DIR).count() == entry.entry(spark).count()
     assert len(scored) == 1 and all("/metrics/" in file for file in scored[0])
+
+
+def test_ranks_of_all_quantiles_are_compared_in_one_pass(spark):
+    """101 values of a series: a median and a 95 % quantile that are near, and ones that are far off."""
+    values = spark.range(101).selectExpr("'m' AS k", "cast(id AS double) AS value")
+    found = spark.createDataFrame([("m", 50.0, 95.0)], "k string, p50 double, p95 double")
+    near = entry._near(values, found, ["k"], {"p50": 0.5, "p95": 0.95})
+    assert [tuple(r) for r in near.collect()] == [("m", True, True)]
+    assert near._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+    off = found.selectExpr("k", "p50 + 5 AS p50", "p95 - 5 AS p95")
+    assert [tuple(r) for r in entry._near(values, off, ["k"], {"p50": 0.5, "p95": 0.95}).collect()] == [("m", False, False)]

@@ -47,6 +47,15 @@ SAMPLES = [
 ]
 
 
+def test_a_whole_row_is_picked_like_its_columns(spark):
+    rows = metrics(spark, SAMPLES).withColumn("insert_seq", F.lit(0).cast("long"))
+    tied = rows.withColumns({"insert_seq": F.lit(1).cast("long"), "value": F.col("value") + 100, "unit": F.lit(None).cast("string")})
+    both, say = rows.unionByName(tied), lambda df: sorted(map(str, df.collect()))
+    picked = latest(both, ("machine_id", "name", "timestamp", "metric_id"), "inserted_at", whole=True)
+    assert picked.columns == both.columns and say(picked) == say(metrics_final(both))
+    assert sorted(r["value"] for r in picked.collect()) == [102, 103, 104, 105]
+
+
 def test_last_version_wins(spark):
     kept = {r["metric_id"]: r["value"] for r in metrics_final(metrics(spark, SAMPLES)).collect()}
     assert kept == {"a": 2.0, "b": 3.0, "c": 4.0, "d": 5.0}
