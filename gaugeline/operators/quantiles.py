@@ -12,9 +12,16 @@ from pyspark.sql import functions as F
 from gaugeline.operators.ordering import balanced_rows, order_rows, with_chunks
 
 
-def ranked_values(df: DataFrame, groups: list[str], value: str) -> DataFrame:
-    """Per group and distinct value: `_first` and `_last`, the ranks its copies take, and `_total`, the group's size."""
-    counted = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count("*").alias("_copies"))
+def ranked_values(df: DataFrame, groups: list[str], value: str, copies: str | None = None) -> DataFrame:
+    """Per group and distinct value: `_first` and `_last`, the ranks its copies take, and `_total`, the group's size.
+
+    Where `copies` names a column, `df` has each value of a group once already, and how many there are of it.
+    """
+    values = df.where(F.col(value).isNotNull())
+    if copies is None:
+        counted = values.groupBy(*groups, value).agg(F.count("*").alias("_copies"))
+    else:
+        counted = values.select(*groups, value, F.col(copies).alias("_copies"))
     ordered = order_rows(counted, [*groups, value])
     chunks = with_chunks(ordered, 0, balanced_rows(df.sparkSession, ordered.total))
     # One row per chunk and group. A group has at most about the square root of its values many chunks.
@@ -41,9 +48,11 @@ def ranked_values(df: DataFrame, groups: list[str], value: str) -> DataFrame:
     )
 
 
-def exact_quantiles(df: DataFrame, groups: list[str], value: str, probabilities: dict[str, float]) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, groups: list[str], value: str, probabilities: dict[str, float], copies: str | None = None
+) -> DataFrame:
     """One row per group with a column per named probability, interpolated between neighbouring values."""
-    ranked = ranked_values(df, groups, value)
+    ranked = ranked_values(df, groups, value, copies)
     parts, result = [], []
     for i, (name, p) in enumerate(probabilities.items()):
         rank = (F.col("_total") - 1) * F.lit(float(p))

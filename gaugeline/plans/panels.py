@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from gaugeline.functions.scalars import bucket, joined_names, label, readable_size, seconds_between
 from gaugeline.operators.quantiles import exact_quantiles
 from gaugeline.schemas import INSERT_SEQ
+from gaugeline.session import materialise
 from gaugeline.sources.tables import Range, Tables, without_replays
 
 Series = tuple[str, str]
@@ -141,18 +142,24 @@ def value_histogram(
 
 
 def series_summary(t: Tables, series: Series | None = None, within: Range | None = None) -> DataFrame:
-    samples = _samples(t, series, within)
+    """The rows are read and collapsed once, into the distinct values of a series with their numbers and newest samples; these,
+    in scratch, give the quantile and all the rest."""
     shown = _shown(series)
-    span = seconds_between(F.max("timestamp"), F.min("timestamp"))
-    plain = samples.groupBy(*shown).agg(
-        _latest("value").alias("latest"),
+    counted = _samples(t, series, within).groupBy(*shown, "value").agg(
+        F.count("*").alias("copies"), F.max(F.struct("timestamp", "metric_id")).alias("newest"), F.min("timestamp").alias("oldest")
+    )
+    counted = materialise(counted, "values")
+    value, copies, samples = F.col("value"), F.col("copies"), F.coalesce(F.sum("copies"), F.lit(0))
+    span = seconds_between(F.max("newest.timestamp"), F.min("oldest"))
+    plain = counted.groupBy(*shown).agg(
+        F.max_by("value", "newest").alias("latest"),
         F.min("value").alias("min"),
-        F.avg("value").alias("mean"),
+        (F.sum(value * copies) / F.nullif(F.sum(F.when(value.isNotNull(), copies)), F.lit(0))).alias("mean"),
         F.max("value").alias("max"),
-        F.count("*").alias("samples"),
-        (span / F.nullif(F.count("*") - 1, F.lit(0))).alias("avg_interval"),
+        samples.alias("samples"),
+        (span / F.nullif(samples - 1, F.lit(0))).alias("avg_interval"),
     )
-    quantile = exact_quantiles(samples, shown, "value", {"p95": 0.95})
+    quantile = exact_quantiles(counted, shown, "value", {"p95": 0.95}, copies="copies")
     return plain.join(quantile, shown) if shown else one_row(plain, quantile)
 
 

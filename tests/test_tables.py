@@ -56,6 +56,18 @@ def test_a_whole_row_is_picked_like_its_columns(spark):
     assert sorted(r["value"] for r in picked.collect()) == [102, 103, 104, 105]
 
 
+def test_the_summary_reads_the_table_once(spark, root):
+    """What it is made from are the distinct values, in scratch; a series may have values that are null."""
+    lifecycle.create_tables(spark, root, register=False)
+    rows = metrics(spark, [*SAMPLES, ("m2", "cpu", 90_001, "e", 4, 1), ("m2", "cpu", 90_002, "f", 0, 1)])
+    lifecycle.append(rows.withColumn("value", F.when(F.col("metric_id") != "f", F.col("value"))), root, "metrics")
+    found = panels.series_summary(open_tables(spark, root))
+    assert not [file for file in found.inputFiles() if f"{root}/metrics" in file]
+    got = {(r["machine_id"], r["name"]): r for r in found.collect()}
+    assert [got["m2", "cpu"][c] for c in ("latest", "min", "mean", "max", "samples", "avg_interval", "p95")] == [None, 4, 4, 4, 3, 1, 4]
+    assert [got["m1", "cpu"][c] for c in ("latest", "min", "mean", "max", "samples", "avg_interval")] == [3, 2, 2.5, 3, 2, 10]
+
+
 def test_last_version_wins(spark):
     kept = {r["metric_id"]: r["value"] for r in metrics_final(metrics(spark, SAMPLES)).collect()}
     assert kept == {"a": 2.0, "b": 3.0, "c": 4.0, "d": 5.0}
