@@ -9,12 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.operators.dedup import metrics_final
-from gaugeline.operators.scoring import score
+from gaugeline.operators import scoring
+from gaugeline.operators.dedup import VERSIONS, metrics_final
 from gaugeline.plans.lifecycle import append, create_tables
 from gaugeline.schemas import TABLES
 from gaugeline.session import prepare, scratch_path
-from gaugeline.sources.tables import Tables, open_table, read_table, settled_days
+from gaugeline.sources.tables import Tables, open_table, settled_days
 
 _NAME = """CASE event_type WHEN 'click' THEN 'system.cpu.utilization' WHEN 'view' THEN 'system.memory.usage'
     WHEN 'purchase' THEN 'nab.purchase' WHEN 'error' THEN 'system.uptime' ELSE 'system.memory.limit' END"""
@@ -97,6 +97,11 @@ def machines_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def score(stored: DataFrame) -> DataFrame:
+    """Evaluations of samples as they are stored, replays included."""
+    return scoring.score(stored, version=VERSIONS["metrics"])
+
+
 def evaluations_raw(evaluations: DataFrame) -> DataFrame:
     copies = F.expr(f"explode(if({_TWICE}, array(0, 1), array(0)))").alias("copy")
     return evaluations.select("*", copies).drop("copy")
@@ -134,7 +139,7 @@ def _fill_machines(spark: SparkSession, sf_dir: str, root: str) -> None:
 
 def _fill_evaluations(spark: SparkSession, sf_dir: str, root: str) -> None:
     store_root(spark, sf_dir, "metrics")
-    append(evaluations_raw(score(read_table(spark, root, "metrics"))), root, "evaluations", once=True)
+    append(evaluations_raw(score(open_table(spark, root, "metrics"))), root, "evaluations", once=True)
 
 
 _FILL = {"metrics": _fill_metrics, "evaluations": _fill_evaluations, "machines": _fill_machines}

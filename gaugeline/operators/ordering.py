@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gaugeline.operators.dedup import latest
+from gaugeline.schemas import INSERT_SEQ
 from gaugeline.session import materialise
 
 # monotonically_increasing_id() keeps the partition above this bit and the row's place in it below.
@@ -40,9 +42,16 @@ class Ordered(NamedTuple):
     total: int
 
 
-def _sorted(df: DataFrame, keys: list[str], partitions: int | None, **options: object) -> DataFrame:
-    """The rows range-partitioned and sorted by `keys`, written, with `_place`: partition and place in it."""
+def _sorted(
+    df: DataFrame, keys: list[str], partitions: int | None, version: str | None = None, **options: object
+) -> DataFrame:
+    """The rows range-partitioned and sorted by `keys`, written, with `_place`: partition and place in it.
+
+    With a `version` rows may share a key: they lie in one range, where the last of them is picked without another shuffle.
+    """
     ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    if version:
+        ranged = latest(ranged, tuple(keys), version).drop(version, INSERT_SEQ)
     return materialise(
         ranged.sortWithinPartitions(*keys).withColumn("_place", F.monotonically_increasing_id()), "ordered", **options
     )
@@ -81,16 +90,20 @@ def order_rows(df: DataFrame, keys: list[str], partitions: int | None = None) ->
 Kernel = Callable[[pa.Table], pa.Table]
 
 
-def over_runs(df: DataFrame, keys: list[str], halo: int, kernel: Kernel, schema: T.StructType | str) -> DataFrame:
+def over_runs(
+    df: DataFrame, keys: list[str], halo: int, kernel: Kernel, schema: T.StructType | str, version: str | None = None
+) -> DataFrame:
     """What `kernel` gives for every row, told the `halo` rows before it in the order of `keys`, in one shuffle.
 
+    With a `version`, of rows with the same keys the one with the greatest counts, as in `dedup.latest`.
+
     The rows are range-partitioned, sorted and written in files of at most `RUN_ROWS`. Tasks read the files in place and
     carry the last `halo` rows from batch to batch. The first `halo` rows of a file lack what came before: these alone,
     with as many rows from the end of the files before, are shuffled by the file that they belong to.
     """
     spark, run = df.sparkSession, max(RUN_ROWS, halo + 1)
     # A number of its own keeps adaptive execution from joining partitions: each is read as one stream.
-    written = _sorted(df, keys, int(spark.conf.get("spark.sql.shuffle.partitions")), maxRecordsPerFile=run)
+    written = _sorted(df, keys, int(spark.conf.get("spark.sql.shuffle.partitions")), version, maxRecordsPerFile=run)
     in_place = written.mapInArrow(_carrying(kernel, halo, run), schema)
     if not halo:
         return in_place

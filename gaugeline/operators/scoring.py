@@ -22,6 +22,7 @@ from gaugeline.operators.detectors import (
     rolling_spread,
 )
 from gaugeline.operators.ordering import Kernel, over_runs
+from gaugeline.schemas import INSERT_SEQ
 
 SERIES = ("machine_id", "name")
 DEFAULT_ORDER = ("timestamp", "metric_id")
@@ -166,6 +167,7 @@ def over_series(
     schema: T.StructType | str,
     order: tuple[str, ...] = DEFAULT_ORDER,
     registry: Registry | None = DEFAULT_REGISTRY,
+    version: str | None = None,
 ) -> DataFrame:
     """What `kernel` gives for the samples, series by series, each with the `window - 1` rows before it.
 
@@ -173,7 +175,9 @@ def over_series(
     """
     rows = samples if registry is None else samples.where(registry.is_scored(F.col("name")))
     wanted = list(dict.fromkeys([*SERIES, *order, "metric_id", "timestamp", "value"]))
-    return over_runs(rows.select(*wanted), [*SERIES, *order], window - 1, kernel, schema)
+    if version:
+        wanted += [c for c in (version, INSERT_SEQ) if c in samples.columns]
+    return over_runs(rows.select(*wanted), [*SERIES, *order], window - 1, kernel, schema, version)
 
 
 def score(
@@ -184,9 +188,14 @@ def score(
     registry: Registry = DEFAULT_REGISTRY,
     observe: Observer | None = None,
     timed: bool = False,
+    version: str | None = None,
 ) -> DataFrame:
     """Evaluations of deduplicated samples; with `timed` the microseconds that each took, as `_micros`. `order` is the order of arrival within a series, unique per row:
-    `("partition", "offset")` where samples carry them, else time and id."""
+    `("partition", "offset")` where samples carry them, else time and id.
+
+    Samples that are read as stored need not be deduplicated: with their `version`, the last of a sample's rows is picked
+    where they are sorted anyway. Its copies meet in one task, so for keys with very many copies collapse them before.
+    """
 
     def kernel(table: pa.Table) -> pa.Table:
         return score_table(table, registry, window, observe, timed)
@@ -194,7 +203,7 @@ def score(
     schema = evaluation_schema(samples)
     if timed:
         schema = schema.add("_micros", T.DoubleType())
-    return over_series(samples, window, kernel, schema, order, registry)
+    return over_series(samples, window, kernel, schema, order, registry, version)
 
 
 def detector_costs(

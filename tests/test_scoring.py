@@ -108,6 +108,27 @@ def test_scoring_shuffles_once(spark):
     assert "rangepartitioning" not in plan  # that one has been written
 
 
+def test_stored_replays_are_collapsed_where_samples_are_sorted(spark, small_chunks, monkeypatch):
+    """Of a sample's rows the one inserted last counts, of several inserted at one time the one added last; one shuffle does it."""
+    plans, write = [], ordering.materialise
+
+    def noted(df, *args, **options):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, *args, **options)
+
+    first = frame(spark, skewed_series()).withColumns({"inserted_at": F.col("timestamp"), "insert_seq": F.lit(0).cast("long")})
+    copied = first.where(F.col("metric_id").endswith("3"))
+    tied = copied.withColumns({"value": F.col("value") + 7, "insert_seq": F.lit(1).cast("long")})
+    older = copied.withColumns({"value": F.lit(-1.0), "inserted_at": F.col("timestamp") - F.make_dt_interval(secs=F.lit(9))})
+    raw = tied.unionByName(first).unionByName(older.withColumn("insert_seq", F.lit(2).cast("long")))
+    monkeypatch.setattr(ordering, "materialise", noted)
+    got = collected(score(raw, version="inserted_at"))
+    (plan,) = plans
+    assert plan.count("rangepartitioning") == 1 and "hashpartitioning" not in plan
+    value = F.when(F.col("metric_id").endswith("3"), F.col("value") + 7).otherwise(F.col("value"))
+    assert got == collected(score(first.withColumn("value", value).drop("inserted_at", "insert_seq")))
+
+
 def test_ordering_an_empty_table(spark):
     samples = frame(spark, {("m", "nab.hot"): [1.0]}).where("false")
     assert score(samples).collect() == []
