@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from gaugeline.llm.common import RollingHash, mix, own
+from gaugeline.llm.common import RollingHash, lean, mix, own
 
 SEED_WORDS = 4
 #: Share of an item's n-grams, the rarest first, that serve as seeds.
@@ -186,7 +186,7 @@ def rarest(docs: DataFrame, block: Block, n: int, share: float) -> Block:
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["seed", "docs"])
 
-    counted = chosen.mapInArrow(count, "seed long, docs long").groupBy("seed").agg(F.sum("docs").alias("docs"))
+    counted = chosen.mapInArrow(lean(count), "seed long, docs long").groupBy("seed").agg(F.sum("docs").alias("docs"))
     frequency = np.zeros(len(block.seed), np.int64)
     for row in counted.collect():  # a row per n-gram of the block at most
         frequency[row["seed"]] = row["docs"]
@@ -256,7 +256,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, n: int =
         shared = docs.sparkSession.sparkContext.broadcast(rarest(docs, block, n, share))
         name = f"_llm_leaks{number}"
         # Not to be computed again for each use of the result, as the optimizer may do with a deterministic function.
-        align = F.arrow_udf(_aligner(shared, n, least, item_type), kind).asNondeterministic()
+        align = F.arrow_udf(lean(_aligner(shared, n, least, item_type)), kind).asNondeterministic()
         found = found.withColumn(name, align(F.lower("text").cast("binary")))
         names.append(name)
     together = F.concat(*names) if names else F.array().cast(kind)

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeline.llm.common import even_partitions, own, rows_of, stored, utf8
+from gaugeline.llm.common import even_partitions, give_back, lean, own, rows_of, stored, utf8
 from gaugeline.llm.components import components
 from gaugeline.session import release
 
@@ -115,7 +115,7 @@ def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
             found = np.array([fingerprint(text, width) for text in rows_of(batch, "text")], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fp"])
 
-    return chosen.mapInArrow(vote, T.StructType([chosen.schema["doc_id"], T.StructField("fp", T.LongType())]))
+    return chosen.mapInArrow(lean(vote), T.StructType([chosen.schema["doc_id"], T.StructField("fp", T.LongType())]))
 
 
 def ball(bits: int, flips: int) -> int:
@@ -337,6 +337,8 @@ def _in_tasks(texts: DataFrame, shingles_in_all: int) -> DataFrame:
             node.append(ids[at + moved])
             found.append(ids[at + label[moved]])
             at = end
+        del sets
+        give_back()
         return pa.table({"u": np.concatenate(node), "v": np.concatenate(found)})
 
     tasks = even_partitions(texts, shingles_in_all, TASK_SHINGLES)
@@ -355,7 +357,7 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             near = [_near(np.frombuffer(a, np.int64), np.frombuffer(b, np.int64)) for a, b in rows]
             yield batch.select(["u", "v"]).filter(pa.array(near, pa.bool_()))
 
-    return both.mapInArrow(compare, "u long, v long")
+    return both.mapInArrow(lean(compare), "u long, v long")
 
 
 def _by_joins(sets: DataFrame) -> DataFrame:
@@ -453,7 +455,7 @@ def one_of_each(docs: DataFrame, tables: int = TABLES, radius: int = 4) -> DataF
 
     names = [f"fp{k}" for k in range(tables)]
     kinds = [T.StructField(name, T.LongType()) for name in names]
-    found = chosen.mapInArrow(vote, T.StructType([chosen.schema["_llm_key"], *kinds, T.StructField("id", T.LongType())]))
+    found = chosen.mapInArrow(lean(vote), T.StructType([chosen.schema["_llm_key"], *kinds, T.StructField("id", T.LongType())]))
     found = stored(found.withColumn("node", F.xxhash64(*names)), "word-set-fingerprints")
     nodes = found.select("node", *names).distinct()
     # All tables in one run; what has equal fingerprints in a table hangs on the least node that has them.
@@ -475,7 +477,7 @@ def one_of_each(docs: DataFrame, tables: int = TABLES, radius: int = 4) -> DataF
     # The text of one document stands for all that have its shingles.
     to_verify = sets.join(stored(several, "components"), "root", "left_semi").select("id", "root", F.col("least.key").alias("_llm_key"))
     texts = chosen.join(stored(to_verify, "to-verify"), "_llm_key").select("id", "root", "_text").mapInArrow(
-        collect, "id long, root long, shingles binary"
+        lean(collect), "id long, root long, shingles binary"
     )
     texts = stored(texts.dropDuplicates(["id"]), "shingles")
     near = _near_components(texts)

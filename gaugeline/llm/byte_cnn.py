@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import own, utf8
+from gaugeline.llm.common import lean, own, utf8
 
 UNKNOWN = "und"
 WINDOW = 256
@@ -44,6 +44,13 @@ class Network:
     second: np.ndarray  # and as its last two
     weight: np.ndarray
     bias: np.ndarray
+    by_byte: np.ndarray | None = None  # what a byte adds at each of the four places, from which the pairs are made
+
+    def __reduce__(self):
+        """A task is sent the small table, if that is known, and multiplies the large ones out itself."""
+        if self.by_byte is None:
+            return Network, (self.languages, self.first, self.second, self.weight, self.bias)
+        return _made, (self.languages, self.by_byte, self.weight, self.bias)
 
     def probabilities(self, windows: np.ndarray) -> np.ndarray:
         pairs = windows[:, :-1].astype(np.int32) << 8 | windows[:, 1:]
@@ -133,15 +140,30 @@ def train(texts: list[bytes], labels: list[str], seed: int = 7) -> Network:
                 square += 0.001 * (g * g - square)
                 size = 0.01 / (1 + step / 400)
                 weights[name] -= size * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
-    first, second = pair_tables(weights["embed"], weights["filter"])
-    return Network(languages, first, second, weights["dense"].astype(np.float32), weights["bias"].astype(np.float32))
+    by_byte = byte_table(weights["embed"], weights["filter"])
+    return _made(languages, by_byte, weights["dense"].astype(np.float32), weights["bias"].astype(np.float32))
+
+
+def _made(languages: list[str], by_byte: np.ndarray, weight: np.ndarray, bias: np.ndarray) -> Network:
+    return Network(languages, *_of_pairs(by_byte), weight, bias, by_byte)
+
+
+def byte_table(embed: np.ndarray, filters: np.ndarray) -> np.ndarray:
+    """What a byte adds to each filter (four places, embedding, filter) at each place."""
+    return np.einsum("be,kef->kbf", embed, filters)
+
+
+def _of_pairs(by_byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    first, second = (np.empty((256, *by_byte.shape[1:]), np.float32) for _ in range(2))
+    for table, i in ((first, 0), (second, 2)):
+        for row, byte in zip(table, by_byte[i], strict=True):
+            row[:] = byte + by_byte[i + 1]
+    return first.reshape(65536, -1), second.reshape(65536, -1)
 
 
 def pair_tables(embed: np.ndarray, filters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """What a pair of bytes adds to each filter (four places, embedding, filter) as its first two and as its last two."""
-    by_byte = np.einsum("be,kef->kbf", embed, filters)
-    first, second = (by_byte[i][:, None] + by_byte[i + 1][None] for i in (0, 2))
-    return tuple(t.reshape(65536, -1).astype(np.float32) for t in (first, second))
+    """What a pair of bytes adds to each filter as its first two and as its last two."""
+    return _of_pairs(byte_table(embed, filters))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -187,6 +209,7 @@ def identify(docs: DataFrame, network: Network | None) -> DataFrame:
     names = np.array(network.languages, object)
 
     @F.arrow_udf("struct<lang:string,score:double>")
+    @lean
     def judged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             lang, score = np.full(len(batch), UNKNOWN, object), np.zeros(len(batch))

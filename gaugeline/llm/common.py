@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,24 @@ def rows_of(batch: pa.RecordBatch, name: str) -> Iterator:
     return (value.as_py() for value in batch.column(name))
 
 
+def give_back() -> None:
+    """Free memory of this process goes back to the system, also what lies between blocks in use."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # where the C library has it
+        trim(0)
+
+
+def lean(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """`work` over a task's batches. Python workers outlive their tasks: what one has freed does not stay with them."""
+
+    @wraps(work)
+    def run(batches: Iterator) -> Iterator:
+        yield from work(batches)
+        give_back()
+
+    return run
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit numbers (a bijection)."""
     h = h ^ (h >> np.uint64(32))

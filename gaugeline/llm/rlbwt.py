@@ -33,7 +33,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeline.llm.common import HASH_COLUMN, SPANS, RollingHash, beside, even_partitions, hashed, merged, own, stored, utf8, without
+from gaugeline.llm.common import (
+    HASH_COLUMN, SPANS, RollingHash, beside, even_partitions, give_back, hashed, lean, merged, own, stored, utf8, without
+)
 from gaugeline.session import release
 
 #: Bytes of text that one task indexes at a time; sorting ranks of three neighbours in 63 bits needs fewer than 2**21.
@@ -118,7 +120,7 @@ def _anchors(docs: DataFrame, length: int) -> DataFrame:
             if rows:
                 yield emit(batch, rows, texts)
 
-    return chosen.mapInArrow(cut, schema)
+    return chosen.mapInArrow(lean(cut), schema)
 
 
 def _ranks(symbols: np.ndarray) -> tuple[list[tuple[int, np.ndarray]], np.ndarray]:
@@ -216,6 +218,7 @@ def _index(length: int, shard_bytes: int):
                 first += (a + offset[at + i]).tolist()
                 last += (b + offset[at + i]).tolist()
             at = end
+        give_back()
         took = pa.array(of, pa.int64())
         columns = [rows.column("anchor").take(took), rows.column("segment").take(took)]
         columns += [pa.chunked_array([pa.array(x, pa.int32())]) for x in (first, last)]
@@ -243,7 +246,7 @@ def _narrower(candidates: DataFrame, width: int, length: int) -> DataFrame:
                     out.append(row | part)
             yield pa.RecordBatch.from_pylist(out, batch.schema)
 
-    narrow = candidates.mapInArrow(cut, candidates.schema)
+    narrow = candidates.mapInArrow(lean(cut), candidates.schema)
     return narrow.withColumn("whole", F.xxhash64("text", "place")).withColumn("size", F.length("text") + 1)
 
 

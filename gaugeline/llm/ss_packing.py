@@ -31,11 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeline.llm.common import own, rows_of
+from gaugeline.llm.common import lean, own, rows_of
 
 WINDOW = 1024
 END_ID = 0
 MOST_OPEN = 4096
+#: Pieces handed on at a time, of up to a window's ids each.
+BATCH = 512
 
 #: Fixed value: how byte-level BPE splits text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -106,7 +108,8 @@ class Packer:
         for at in range(0, whole, self.window):
             self._close([(doc, at, ids[at : at + self.window], len(ids))])
         if whole < len(ids):
-            self._place((doc, whole, ids[whole:], len(ids)))
+            rest = ids[whole:].copy() if whole else ids  # an open window does not hold the whole document
+            self._place((doc, whole, rest, len(ids)))
 
     def _place(self, piece: tuple) -> None:
         size = len(piece[2])
@@ -200,6 +203,11 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, most_open: int =
         columns += [pa.array([base + p[4] for p in done], pa.int64()), pa.array([p[5] for p in done], pa.int64())]
         return pa.RecordBatch.from_arrays(columns, [f.name for f in schema])
 
+    def handed_on(packer: Packer, base: int, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+        done, packer.done = packer.done, []
+        for at in range(0, len(done), BATCH):
+            yield rows(done[at : at + BATCH], base, kind)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, packer, kind = _encoder(ranks, special), Packer(window, most_open), None
         base = TaskContext.get().partitionId() << 33  # sequences of different partitions have different numbers
@@ -207,14 +215,12 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, most_open: int =
             kind = batch.schema.field("doc_id").type
             for doc, text in zip(rows_of(batch, "doc_id"), rows_of(batch, "text"), strict=True):
                 packer.add(doc, np.append(token_ids(encoder, text), np.uint32(END_ID)))
-                if len(packer.done) >= 4096:
-                    yield rows(packer.done, base, kind)
-                    packer.done = []
+                if len(packer.done) >= BATCH:
+                    yield from handed_on(packer, base, kind)
         packer.close_all()
-        if packer.done:
-            yield rows(packer.done, base, kind)
+        yield from handed_on(packer, base, kind)
 
-    return chosen.mapInArrow(work, schema)
+    return chosen.mapInArrow(lean(work), schema)
 
 
 def checksum(pieces: DataFrame) -> DataFrame:

@@ -11,8 +11,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-#: Bytes of a batch on its way to Python: rows may be long texts.
-BATCH_BYTES = str(8 << 20)
+#: Bytes of a batch on its way to Python: rows may be long texts, and both sides hold some copies of a batch.
+BATCH_BYTES = str(2 << 20)
 
 _local_scratch: dict[str, str] = {}
 _shipped: set[str] = set()
@@ -41,7 +41,7 @@ def prepare(spark: SparkSession) -> None:
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")  # of a name given twice the last value counts
-    bound = str(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)).removesuffix("b")
+    bound = str(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None)).removesuffix("b")  # None: Spark's own, far more
     if not bound.isdigit() or not 0 < int(bound) <= int(BATCH_BYTES):
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     ship_package(spark)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pickle
 import random
 from collections import Counter
 
@@ -107,3 +108,13 @@ def test_copies_do_not_thin_a_language(spark, monkeypatch):
     ((texts, labels),) = seen
     assert labels.count("aa") == 60 and labels.count("bb") == 80
     assert len(set(zip(texts, labels, strict=True))) == len(labels)
+
+
+def test_a_network_is_sent_without_its_large_tables():
+    network = byte_cnn.train([b"aaaa bbbb", b"cccc dddd"] * 4, ["x", "y"] * 4)
+    sent = pickle.dumps(network)
+    assert len(sent) < 1 << 20 < network.first.nbytes
+    got = pickle.loads(sent)
+    assert got.languages == network.languages
+    for name in ("first", "second", "weight", "bias"):
+        assert np.array_equal(getattr(got, name), getattr(network, name))

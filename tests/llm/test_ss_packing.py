@@ -116,3 +116,31 @@ def test_long_runs_have_the_tokenizer_s_ids(monkeypatch):
     for _ in range(3000):
         text = "".join(rng.choice(parts) for _ in range(rng.randrange(8)))
         assert same(text), repr(text)
+
+
+def test_open_windows_do_not_hold_whole_documents():
+    packer = ss_packing.Packer(32)
+    for doc in range(20):
+        packer.add(doc, np.arange(100_001 + doc, dtype=np.uint32))
+    packer.done = []  # handed on
+    waiting = [piece[2] for level in packer.open for pieces in level for piece in pieces]
+    assert waiting and all((ids if ids.base is None else ids.base).nbytes <= 4 * 32 for ids in waiting)
+
+
+def test_pieces_are_handed_on_in_small_batches(spark, monkeypatch):
+    class Context:
+        @staticmethod
+        def get():
+            return Context
+
+        @staticmethod
+        def partitionId():
+            return 0
+
+    docs, taken = spark.createDataFrame([], "doc_id long, text string"), []
+    monkeypatch.setattr(ss_packing, "TaskContext", Context)
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, work, schema: taken.append(work))  # the task's function, to be run here
+    ss_packing.pack(docs, PATH)
+    batch = ss_packing.pa.RecordBatch.from_pydict({"doc_id": list(range(5000)), "text": ["some words"] * 5000})
+    sizes = [len(x) for x in taken[0](iter([batch]))]
+    assert sum(sizes) >= 5000 and max(sizes) <= 512
