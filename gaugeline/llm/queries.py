@@ -51,7 +51,7 @@ def op6_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = rlbwt.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    cut = rlbwt.remove_and_count(table(spark, sf_dir, "documents").select("doc_id", "text"))
     n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
     return cut.select(
         "doc_id",
@@ -59,6 +59,7 @@ def op7_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         (n_bytes - F.length("kept")).alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        "n_passage_words",
     )
 
 

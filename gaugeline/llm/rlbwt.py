@@ -29,12 +29,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeline.llm.common import (
-    HASH_COLUMN, SPANS, RollingHash, beside, even_partitions, give_back, hashed, lean, merged, own, stored, utf8, without
+    HASH_COLUMN, SPANS, WORD, RollingHash, beside, even_partitions, give_back, hashed, lean, merged, own, stored, utf8, without
 )
 from gaugeline.session import release
 
@@ -193,28 +193,49 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2] - 1
 
 
-_MARK = "anchor long, segment long, first int, last int"
+_MARK = "anchor long, segment long, first int, last int, across boolean"
+
+
+def _in_several(texts: list[bytes], flags: list[np.ndarray], low: np.ndarray, high: np.ndarray, length: int) -> list[np.ndarray]:
+    """Of the flagged strings of each segment: whether their copies lie in more than one document, least and greatest being known."""
+    counts = [int(x.sum()) for x in flags]
+    grams = [HASH.grams(HASH.prefix(np.frombuffer(x, np.uint8)), length)[f] for x, f in zip(texts, flags, strict=True)]
+    _, group = np.unique(np.concatenate(grams), return_inverse=True)
+    least, most = np.full(len(group), np.iinfo(np.int64).max), np.full(len(group), np.iinfo(np.int64).min)
+    np.minimum.at(least, group, np.repeat(low, counts))
+    np.maximum.at(most, group, np.repeat(high, counts))
+    several = np.split((least != most)[group], np.cumsum(counts)[:-1])
+    out = [np.zeros(len(f), bool) for f in flags]
+    for found, flag, x in zip(out, flags, several, strict=True):
+        found[flag] = x
+    return out
 
 
 def _index(length: int, shard_bytes: int):
-    def repeated(texts: list[bytes], counts: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        best, begin = matching_statistics(texts), 0
-        for i, (text, n) in enumerate(zip(texts, counts, strict=True)):
-            yield i, *_runs(best[begin : begin + n] >= length)
+    def repeated(texts: list[bytes], counts: list[int], bounds: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray, bool]]:
+        best, begin, flags = matching_statistics(texts), 0, []
+        for text, n in zip(texts, counts, strict=True):
+            flags.append(best[begin : begin + n] >= length)
             begin += len(text) + 1
+        several = _in_several(texts, flags, *bounds, length) if bounds else [np.zeros(len(f), bool) for f in flags]
+        for i, (flag, found) in enumerate(zip(flags, several, strict=True)):
+            yield i, *_runs(flag & ~found), False
+            yield i, *_runs(found), True
 
     def work(rows: pa.Table) -> pa.Table:
         """Of a shard of candidates: the runs of strings that are repeated, counted from the segment's first."""
         rows = rows.sort_by("key")
         keys, size = rows.column("key").to_numpy(), np.cumsum(rows.column("size").to_numpy())
         n, offset = rows.column("n").to_numpy(), rows.column("offset").to_numpy()
-        of, first, last, at = [], [], [], 0
+        of, first, last, across, at = [], [], [], [], 0
+        bounds = [rows.column(c).to_numpy() for c in ("low", "high") if c in rows.column_names]
         ends = np.r_[np.flatnonzero(keys[1:] != keys[:-1]) + 1, len(keys)]
         while at < len(keys):  # whole keys, until the shard's bound is passed
             end = ends[np.searchsorted(size[ends - 1], (size[at - 1] if at else 0) + shard_bytes).clip(max=len(ends) - 1)]
             texts = [x.as_py() for x in rows.column("text").slice(at, end - at)]
-            for i, a, b in repeated(texts, n[at:end].tolist()):
+            for i, a, b, several in repeated(texts, n[at:end].tolist(), [x[at:end] for x in bounds]):
                 of += [at + i] * len(a)
+                across += [several] * len(a)
                 first += (a + offset[at + i]).tolist()
                 last += (b + offset[at + i]).tolist()
             at = end
@@ -222,7 +243,8 @@ def _index(length: int, shard_bytes: int):
         took = pa.array(of, pa.int64())
         columns = [rows.column("anchor").take(took), rows.column("segment").take(took)]
         columns += [pa.chunked_array([pa.array(x, pa.int32())]) for x in (first, last)]
-        return pa.Table.from_arrays(columns, ["anchor", "segment", "first", "last"])
+        columns.append(pa.chunked_array([pa.array(across, pa.bool_())]))
+        return pa.Table.from_arrays(columns, ["anchor", "segment", "first", "last", "across"])
 
     return work
 
@@ -251,43 +273,54 @@ def _narrower(candidates: DataFrame, width: int, length: int) -> DataFrame:
 
 
 def _grouped(candidates: DataFrame) -> DataFrame:
-    """With the bytes under each key, and whether all there is the same; keys that occur once are dropped."""
+    """With the bytes under each key, whether all there is the same, and in several documents; keys that occur once are dropped."""
+    several = F.min("low") != F.max("high") if "low" in candidates.columns else F.lit(False)
     groups = candidates.groupBy("key").agg(
         F.sum("copies").alias("all_copies"),
         F.sum("size").alias("bytes"),
         (F.min("whole") == F.max("whole")).alias("same"),
+        several.alias("across"),
     )
     return candidates.join(stored(groups.filter("all_copies > 1").drop("all_copies"), "groups"), "key")
 
 
 def _repeated(candidates: DataFrame, length: int, shard_bytes: int) -> DataFrame:
-    """`anchor, segment, first, last`: the runs of repeated strings of grouped candidates with their text."""
-    found, widths = None, list(WIDTHS)
+    """`anchor, segment, first, last, across`: the runs of repeated strings of grouped candidates with their text.
+
+    With `low` and `high`, the least and greatest document of each candidate, `across` tells strings that stand in several.
+    """
+    found, widths = None, [width for width in WIDTHS if width <= length]  # wider blocks have nothing in common
+    several = F.col("low") != F.col("high") if "low" in candidates.columns else F.lit(False)
     while True:
         certain = candidates.filter("same or copies > 1").select(
-            "anchor", "segment", F.col("offset").alias("first"), (F.col("offset") + F.col("n") - 1).alias("last")
-        )
+            "anchor", "segment", F.col("offset").alias("first"), (F.col("offset") + F.col("n") - 1).alias("last"),
+            F.when(F.col("same"), F.col("across")).otherwise(several).alias("across"),
+        )
         over = candidates.filter(~F.col("same") & (F.col("bytes") > shard_bytes)) if widths else candidates.limit(0)
         fitting = candidates.filter(~F.col("same") & ((F.col("bytes") <= shard_bytes) | F.lit(not widths)))
         shards = even_partitions(candidates, fitting.agg(F.sum("size")).first()[0] or 0, shard_bytes // 2)
         fitting = fitting.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
-        indexed = fitting.groupBy("shard").applyInArrow(
-            _index(length, shard_bytes), "anchor long, segment long, first int, last int"
-        )
+        indexed = fitting.groupBy("shard").applyInArrow(_index(length, shard_bytes), _MARK)
         part = certain.unionByName(indexed)
         found = part if found is None else found.unionByName(part)
         if over.isEmpty():
             return found
-        narrow = stored(_narrower(over.drop("bytes", "same"), widths.pop(0), length), "narrower")
+        narrow = stored(_narrower(over.drop("bytes", "same", "across"), widths.pop(0), length), "narrower")
         candidates = stored(_grouped(narrow), "narrower-grouped")
 
 
-def repeats(docs: DataFrame, length: int = 400, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """`doc_id`, text hash, `spans`: the maximal byte ranges to remove from each text that has any."""
+def repeats(docs: DataFrame, length: int = 400, shard_bytes: int = SHARD_BYTES, across: Column | None = None) -> DataFrame:
+    """`doc_id`, text hash, `spans`: the maximal byte ranges to remove from each text that has any.
+
+    With `across`, a number of the document that a row belongs to, also `shared`: the ranges of strings that another one holds too.
+    """
+    tracked = across is not None
+    several = F.min(across) != F.max(across) if tracked else F.lit(False)
+    bounds = [F.min(across).alias("low"), F.max(across).alias("high")] if tracked else []
     texts = hashed(own(docs, "doc_id", "text"))
     anchors = stored(_anchors(texts, length), "anchors")
     counted = anchors.groupBy("anchor").agg(
-        F.count("*").alias("copies"), (F.min("segment") == F.max("segment")).alias("same")
+        F.count("*").alias("copies"), (F.min("segment") == F.max("segment")).alias("same"), several.alias("across")
     )
     # Written first: a join of two plain exchanges, which adaptive execution can split at a hot anchor.
     counted = stored(counted.filter("copies > 1").drop("copies"), "counted-anchors")
@@ -295,8 +328,9 @@ def repeats(docs: DataFrame, length: int = 400, shard_bytes: int = SHARD_BYTES)
     release(anchors, counted)
     where = F.struct("doc_id", HASH_COLUMN, "at", "n", "place")
     different = seen.filter("not same").groupBy("anchor", "segment")
-    different = different.agg(F.count("*").alias("copies"), F.min(where).alias("one")).select(
-        "anchor", "segment", "copies", "one.*", F.col("anchor").alias("key"), F.lit(0).alias("offset"),
+    different = different.agg(F.count("*").alias("copies"), F.min(where).alias("one"), *bounds)
+    different = different.select(
+        "anchor", "segment", "copies", "one.*", *[c for c in ("low", "high") if tracked], F.col("anchor").alias("key"), F.lit(0).alias("offset"),
         F.col("segment").alias("whole"), (F.col("one.n") + F.lit(length)).alias("size"),
     )
     grouped = _grouped(different)
@@ -311,18 +345,119 @@ def repeats(docs: DataFrame, length: int = 400, shard_bytes: int = SHARD_BYTES)
     candidates = stored(taken.select("part.*"), "candidates")
     marks = stored(_repeated(candidates, length, shard_bytes).distinct(), "marks")
     release(candidates)
-    spread = seen.filter("not same").join(marks, ["anchor", "segment"])
+    spread = seen.filter("not same").drop("across").join(marks, ["anchor", "segment"])
     whole = seen.filter("same").withColumns({"first": F.lit(0), "last": F.col("n") - 1})
     spans = spread.select(whole.columns).unionByName(whole).select(
-        "doc_id", HASH_COLUMN, (F.col("at") + F.col("first")).alias("a"), (F.col("at") + F.col("last") + length).alias("b")
+        "doc_id", HASH_COLUMN, F.struct((F.col("at") + F.col("first")).alias("a"), (F.col("at") + F.col("last") + length).alias("b")).alias("range"),
+        "across",
     )
-    ranges = spans.groupBy("doc_id", HASH_COLUMN).agg(F.sort_array(F.collect_set(F.struct("a", "b"))).alias("ranges"))
-    return ranges.select("doc_id", HASH_COLUMN, merged(F.col("ranges")).alias("spans"))
+    kinds = {"spans": F.col("range")} | ({"shared": F.when(F.col("across"), F.col("range"))} if tracked else {})
+    ranges = spans.groupBy("doc_id", HASH_COLUMN).agg(*[F.sort_array(F.collect_set(x)).alias(name) for name, x in kinds.items()])
+    return ranges.select("doc_id", HASH_COLUMN, *[merged(F.col(name)).alias(name) for name in kinds])
+
+
+def _inside(docs: DataFrame, found: DataFrame, length: int, shard_bytes: int) -> DataFrame:
+    """`spans` of the repeats of `length` bytes, given those of shorter strings: a longer one lies whole inside a range of theirs.
+
+    The ranges are judged as texts of their own, so there are rows for each of them.
+    """
+    texts = hashed(own(docs, "doc_id", "text")).withColumn("text", utf8("text"))
+    long = found.select("doc_id", HASH_COLUMN, F.filter("spans", lambda x: x["b"] - x["a"] >= length).alias("spans"))
+    pieces = beside(texts, long.filter(F.size("spans") > 0), "inner").select("doc_id", HASH_COLUMN, "text", F.explode("spans").alias("range"))
+    pieces = pieces.select(
+        F.struct("doc_id", HASH_COLUMN, F.col("range.a").alias("begin")).alias("doc_id"),
+        F.substring("text", F.col("range.a") + 1, F.col("range.b") - F.col("range.a")).alias("text"),
+    )
+    return _placed(repeats(stored(pieces, "pieces"), length, shard_bytes), "spans")
+
+
+def _placed(judged: DataFrame, name: str) -> DataFrame:
+    """Ranges of pieces as ranges of the documents that they begin in."""
+    place = lambda x: F.struct((x["a"] + F.col("begin")).alias("a"), (x["b"] + F.col("begin")).alias("b"))
+    return judged.select("doc_id.*", name).select("doc_id", HASH_COLUMN, F.transform(name, place).alias(name))
+
+
+def dense(text: bytes, words: int, size: int) -> list[tuple[int, int]]:
+    """The stretches of a text in which more than `words` words follow each other in fewer than `size` bytes."""
+    data = np.frombuffer(text, np.uint8)
+    starts, last = _runs((data != 32) & ((data < 9) | (data > 13)))
+    ends = last + 1
+    if len(starts) <= words:
+        return []
+    first, final = _runs(ends[words:] - starts[: len(starts) - words] < size)
+    return list(zip(starts[first].tolist(), ends[final + words].tolist(), strict=True))
+
+
+def _dense(docs: DataFrame, words: int, size: int) -> DataFrame:
+    """The dense stretches of all documents, as documents of their own."""
+    chosen = hashed(own(docs, "doc_id", "text")).select("doc_id", HASH_COLUMN, utf8("text").alias("text"))
+    schema = T.StructType([*chosen.schema, T.StructField("begin", T.IntegerType())])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of, begins, pieces = [], [], []
+            for i, value in enumerate(batch.column("text")):
+                text = value.as_py()
+                for a, b in dense(text, words, size):
+                    of.append(i)
+                    begins.append(a)
+                    pieces.append(text[a:b])
+            if of:
+                took = pa.array(of, pa.int64())
+                columns = [batch.column("doc_id").take(took), batch.column(HASH_COLUMN).take(took)]
+                columns += [pa.array(pieces, batch.column("text").type), pa.array(begins, pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema])
+
+    return chosen.mapInArrow(lean(cut), schema).select(F.struct("doc_id", HASH_COLUMN, "begin").alias("doc_id"), "text")
+
+
+def _words(text: Column, spans: Column, over: int) -> Column:
+    """Whole words in those of the byte ranges that hold more than `over` of them."""
+    space = WORD[:-1].replace("^", "")
+    blank = F.lit(" ").cast("binary")
+
+    def count(x: Column) -> Column:
+        before = F.when(x["a"] == 0, blank).otherwise(F.substring(text, x["a"], F.lit(1)))
+        after = F.when(x["b"] == F.length(text), blank).otherwise(F.substring(text, x["b"] + 1, F.lit(1)))
+        piece = F.concat(before, F.substring(text, x["a"] + 1, x["b"] - x["a"]), after).cast("string")
+        return F.regexp_count(piece, F.lit(f"(?<={space}){WORD}(?={space})"))
+
+    counts = F.filter(F.transform(spans, count), lambda n: n > over)
+    return F.aggregate(counts, F.lit(0), lambda done, n: done + n)
 
 
 def remove_repeats(docs: DataFrame, length: int = 400, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """All of `docs` with `spans` (array of removed byte ranges, empty if none) and `kept` (the remaining bytes)."""
-    texts = hashed(docs, "spans", "kept")
-    joined = beside(texts, repeats(docs, length, shard_bytes), "left").drop(HASH_COLUMN)
+    return _removed(hashed(docs, "spans", "kept"), repeats(docs, length, shard_bytes)).drop(HASH_COLUMN)
+
+
+def _removed(texts: DataFrame, found: DataFrame) -> DataFrame:
     kept = without(utf8("text"), F.col("spans"))
-    return joined.withColumn("kept", kept).withColumn("spans", F.coalesce("spans", F.array().cast(SPANS)))
+    joined = beside(texts, found, "left").withColumn("kept", kept)
+    return joined.withColumn("spans", F.coalesce("spans", F.array().cast(SPANS)))
+
+
+def remove_and_count(
+    docs: DataFrame, length: int = 400, words: int = 50, size: int = 200, shard_bytes: int = SHARD_BYTES
+) -> DataFrame:
+    """As `remove_repeats`, with `n_passage_words`: the words in passages of over `words` words that another document holds too.
+
+    Such a passage may have fewer bytes than `length`, and then stays. Strings of `size` bytes are searched for first; passages
+    of fewer bytes lie in stretches of very short words, and there strings of one byte a word and one between each two are
+    searched for as well, so that none is missed. Whole words in a range that the strings found in other documents cover are
+    counted if there are more than `words`.
+    """
+    least = 2 * words + 1
+    if not least <= size < length:
+        raise ValueError(f"passages are searched for by {least} bytes at least, fewer than the {length} removed")
+    texts = hashed(docs, "spans", "kept", "n_passage_words")
+    short = stored(repeats(docs, size, shard_bytes, F.xxhash64("doc_id", HASH_COLUMN)), "short")
+    tight = stored(_dense(docs, words, size), "dense")
+    holder = F.xxhash64("doc_id.doc_id", f"doc_id.{HASH_COLUMN}")
+    tiny = _placed(repeats(tight, least, shard_bytes, holder), "shared")
+    parts = [_inside(docs, short, length, shard_bytes), short.drop("spans"), tiny]
+    both = parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
+    spans, shared = (F.sort_array(F.flatten(F.collect_list(c))) for c in ("spans", "shared"))
+    found = both.groupBy("doc_id", HASH_COLUMN).agg(spans.alias("spans"), shared.alias("shared"))
+    n = F.coalesce(_words(utf8("text"), merged(F.col("shared")), words), F.lit(0)).cast("long")
+    return _removed(texts, found).withColumn("n_passage_words", n).drop("shared", HASH_COLUMN)

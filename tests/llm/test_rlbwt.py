@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -113,3 +114,80 @@ def test_very_long_text_and_empty_table(spark):
 @pytest.mark.parametrize("length", [1, 3])
 def test_tiny_lengths(spark, length):
     check(spark, [(1, "abcab"), (2, "xyz"), (3, "q")], length)
+
+
+def plain_passage_words(texts, words, size):
+    """Whole words in runs of bytes that strings of other documents cover, if there are more than `words`."""
+    data = [(t or "").encode() for t in texts]
+    stretches = {2 * words + 1: [], size: [[(0, len(b))] for b in data]}
+    for b in data:
+        found = list(re.finditer(rb"[^\x20\x09-\x0D]+", b))
+        tight = np.zeros(len(b) + 1, bool)
+        for x, y in zip(found, found[words:]):
+            if y.end() - x.start() < size:
+                tight[x.start() : y.end()] = True
+        edges = np.flatnonzero(np.diff(np.r_[0, tight.astype(int), 0]))
+        stretches[2 * words + 1].append(list(zip(edges[::2].tolist(), edges[1::2].tolist())))
+    shares = [np.zeros(len(b) + 1, bool) for b in data]
+    for length, of in stretches.items():
+        holders = {}
+        for i, parts in enumerate(of):
+            for a, z in parts:
+                for k in range(a, z - length + 1):
+                    holders.setdefault(data[i][k : k + length], []).append((i, k))
+        for places in holders.values():
+            if len({i for i, _ in places}) > 1:
+                for i, k in places:
+                    shares[i][k : k + length] = True
+    out = []
+    for b, shared in zip(data, shares, strict=True):
+        n = at = 0
+        while at < len(b):
+            end = at
+            while shared[end]:
+                end += 1
+            found = [m for m in re.finditer(rb"[^\x20\x09-\x0D]+", b) if at <= m.start() and m.end() <= end]
+            n += len(found) if len(found) > words else 0
+            at = end + 1
+        out.append(n)
+    return out
+
+
+@pytest.mark.parametrize("shard_bytes", [2000, 1_000_000])
+def test_passages_that_other_documents_hold_are_counted_in_words(spark, shard_bytes):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 9)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    passages = [prose(n) for n in (9, 10, 11, 12, 14, 25, 30)]
+    texts = [f"{prose(rng.randint(0, 20))} {rng.choice(passages)}\n{prose(rng.randint(0, 20))}{passages[6]}{prose(3)}" for _ in range(60)]
+    own = prose(30)
+    texts += [f"{own} {prose(4)} {own}", "x " * 60, "y\t" * 11, "y\t" * 40, "é " * 70, "é " * 12, None, "", passages[0], passages[5]]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame([(i, t, 1, "clash", 2) for i, t in [*rows, (None, passages[5])]], DOCS).repartition(3)
+    got = rlbwt.remove_and_count(docs, 60, 10, 40, shard_bytes).collect()
+    texts.append(passages[5])
+    wanted = zip([*range(len(rows)), None], brute(texts, 60), plain_passage_words(texts, 10, 40), strict=True)
+    assert Counter((r["doc_id"], bytes(r["kept"]), len(r["spans"]), r["n_passage_words"]) for r in got) == Counter(
+        (i, kept, n, words) for i, (kept, n), words in wanted
+    )
+    counts = {r["doc_id"]: r["n_passage_words"] for r in got}
+    assert counts[60] == counts[61] == 0 < counts[62]  # repeated in itself alone
+
+
+def test_repeated_rows_are_one_document_to_passages(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, text, 0, "", 0), (1, text, 0, "", 0), (2, text[:150], 0, "", 0)], DOCS)
+    for words, n in ((30, 40), (50, 0)):
+        got = sorted((r["doc_id"], len(r["kept"]), r["n_passage_words"]) for r in rlbwt.remove_and_count(docs, 160, words, 120).collect())
+        assert got == [(1, 0, n), (1, 0, n), (2, 150, n)]
+
+
+def test_the_query_tells_passages_shorter_than_its_strings(spark, tmp_path):
+    from gaugeline.llm.queries import op7_run_length_index
+
+    passage = " ".join(["a few words of four and five to six"] * 7)  # 63 words, 251 bytes
+    texts = [f"one {passage} begin", f"two {passage} other end", "clean", None]
+    spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in op7_run_length_index(spark, str(tmp_path)).collect()}
+    assert [got[i]["n_passage_words"] for i in range(4)] == [63, 63, 0, 0]
+    assert [got[i]["n_removed"] for i in range(4)] == [0, 0, 0, 0]
